@@ -173,6 +173,137 @@ FROM record GROUP BY topic, "partition" """)
 ORACLE["offsets_checkpoint"] = with_(KEPT, """
 SELECT topic, "partition", store, max("offset") AS "offset" FROM changelog GROUP BY topic, "partition", store""")
 
+SC_CUTS = ("2024-01-10 00:00:00", "2024-01-20 00:00:00")
+SC_LOCAL_CUT = "2024-01-05 00:00:00"
+SC_LOST = "(2)"
+N = C.DEFAULT_SNAPSHOT_FREQUENCY
+T = C.RESTORE_OFFSET_THRESHOLD
+
+SNAP = KEPT + f""",
+flush AS (
+  SELECT *, CAST('0x' || substr(md5(CAST("partition" AS VARCHAR) || ':' || CAST("offset" AS VARCHAR)), 1, 8)
+                 AS BIGINT) % {N} = 0 AS sampled
+  FROM changelog),
+pos1 AS (SELECT "partition", max("offset") AS version FROM flush
+         WHERE sampled AND ts < TIMESTAMP '{SC_CUTS[0]}' GROUP BY "partition"),
+pos2 AS (SELECT "partition", max("offset") AS version FROM flush
+         WHERE sampled AND ts < TIMESTAMP '{SC_CUTS[1]}' GROUP BY "partition"),
+state1 AS (SELECT c."partition", c.key, c.window_start, c.window_end, arg_max(c.agg, c."offset") AS agg, p.version
+           FROM changelog c JOIN pos1 p USING ("partition") WHERE c."offset" <= p.version GROUP BY ALL),
+state2 AS (SELECT c."partition", c.key, c.window_start, c.window_end, arg_max(c.agg, c."offset") AS agg, p.version
+           FROM changelog c JOIN pos2 p USING ("partition") WHERE c."offset" <= p.version GROUP BY ALL),
+pointers AS (
+  SELECT '{APP}' AS app, '0_' || CAST("partition" AS VARCHAR) AS task, '{STORE}' AS store, version,
+         CAST(count(*) AS BIGINT) AS row_count FROM state1 GROUP BY ALL
+  UNION ALL
+  SELECT '{APP}' AS app, '0_' || CAST("partition" AS VARCHAR) AS task, '{STORE}' AS store, version,
+         CAST(count(*) AS BIGINT) AS row_count FROM state2 GROUP BY ALL),
+localc AS (
+  SELECT '{APP}' AS app, '0_' || CAST("partition" AS VARCHAR) AS task, store, topic, "partition",
+         max("offset") AS "offset"
+  FROM changelog WHERE ts < TIMESTAMP '{SC_LOCAL_CUT}' AND "partition" NOT IN {SC_LOST}
+  GROUP BY ALL),
+remotec AS (
+  SELECT '{APP}' AS app, '0_' || CAST("partition" AS VARCHAR) AS task, '{STORE}' AS store,
+         '{CHANGELOG_TOPIC}' AS topic, "partition", version AS "offset" FROM pos2)"""
+
+ORACLE["snapshot_state"] = with_(SNAP, "SELECT * FROM pointers")
+
+ORACLE["latest_snapshot"] = with_(SNAP, """
+SELECT app, task, store, arg_max(version, version) AS version, arg_max(row_count, version) AS row_count
+FROM pointers GROUP BY app, task, store""")
+
+ORACLE["read_snapshot"] = with_(SNAP, f"""
+SELECT '0_' || CAST("partition" AS VARCHAR) AS task, '{STORE}' AS store, version, "partition", key,
+       window_start, window_end, agg, epoch_us(window_start) // {SEG} AS segment_id
+FROM state2""")
+
+ORACLE["snapshot_manifest"] = with_(SNAP, f"""
+SELECT '0_' || CAST("partition" AS VARCHAR) AS task, version, epoch_us(window_start) // {SEG} AS segment_id,
+       CAST(count(*) AS BIGINT) AS "rows", CAST(sum(agg) AS BIGINT) AS agg,
+       min(window_start) AS min_window_start, max(window_start) AS max_window_start
+FROM state2 GROUP BY ALL""")
+
+ORACLE["restore_with_tail"] = with_(KEPT, "SELECT key, window_start, window_end, agg FROM strict_state")
+
+ORACLE["restore_decision"] = with_(SNAP + """,
+stores AS (SELECT app, task, store FROM localc UNION SELECT app, task, store FROM remotec),
+r AS (SELECT app, task, store, count(*) AS n, min(topic) AS r_topic, min("partition") AS r_partition,
+             max("offset") AS r_offset FROM remotec GROUP BY ALL),
+t AS (SELECT DISTINCT app, task, true AS has_local FROM localc),
+d AS (SELECT s.app, s.task, s.store, coalesce(r.n, 0) AS n, r.r_topic, r.r_partition, r.r_offset,
+             coalesce(t.has_local, false) AS has_local, l."offset" AS l_offset
+      FROM stores s LEFT JOIN r ON s.app = r.app AND s.task = r.task AND s.store = r.store
+      LEFT JOIN t ON s.app = t.app AND s.task = t.task
+      LEFT JOIN localc l ON l.app = s.app AND l.task = s.task AND l.topic = r.r_topic
+                         AND l."partition" = r.r_partition)""", f"""
+SELECT app, task, store,
+       CASE WHEN n = 1 THEN r_topic END AS topic,
+       CASE WHEN n = 1 THEN r_partition END AS "partition",
+       CASE WHEN n = 1 THEN l_offset END AS local_offset,
+       CASE WHEN n = 1 THEN r_offset END AS remote_offset,
+       CASE WHEN n = 0 THEN false WHEN NOT has_local THEN true WHEN n <> 1 THEN false
+            WHEN l_offset IS NULL THEN true ELSE l_offset + {T} < r_offset END AS should_fetch,
+       CASE WHEN n = 0 THEN 'no remote checkpoint' WHEN NOT has_local THEN 'no local checkpoint'
+            WHEN n <> 1 THEN 'remote checkpoint has more than one offset'
+            WHEN l_offset IS NULL THEN 'partition missing locally'
+            WHEN l_offset + {T} < r_offset THEN 'local behind remote by more than threshold'
+            ELSE 'local within threshold' END AS reason
+FROM d""")
+
+ORACLE["merge_offsets"] = with_(SNAP, """
+SELECT coalesce(r.app, l.app) AS app, coalesce(r.task, l.task) AS task, coalesce(r.topic, l.topic) AS topic,
+       coalesce(r."partition", l."partition") AS "partition", coalesce(r."offset", l."offset") AS "offset",
+       CASE WHEN r."offset" IS NOT NULL THEN 'remote' ELSE 'local' END AS source
+FROM (SELECT * FROM localc WHERE (app, task) IN (SELECT app, task FROM remotec)) l
+FULL OUTER JOIN remotec r
+  ON l.app = r.app AND l.task = r.task AND l.topic = r.topic AND l."partition" = r."partition" """)
+
+ORACLE["lag_report"] = with_(SNAP + f""",
+endc AS (SELECT '{APP}' AS app, '0_' || CAST("partition" AS VARCHAR) AS task, store, topic, "partition",
+                max("offset") + 1 AS end_offset FROM changelog GROUP BY ALL)""", f"""
+SELECT e.app, e.task, e.store, e.topic, e."partition", e.end_offset,
+       coalesce(l."offset" + 1, 0) AS current_offset,
+       e.end_offset - coalesce(l."offset" + 1, 0) AS lag,
+       e.end_offset - coalesce(l."offset" + 1, 0) <= {C.ACCEPTABLE_RECOVERY_LAG} AS caught_up
+FROM endc e LEFT JOIN localc l
+  ON e.app = l.app AND e.task = l.task AND e.store = l.store AND e.topic = l.topic
+ AND e."partition" = l."partition" """)
+
+_EVENT_LIST = "[" + ", ".join(f"'{e}'" for e in C.TASK_EVENTS) + "]"
+TASK_EVENT = f"""
+te AS (
+  SELECT event_id AS seq, CAST(user_id % {P} AS INTEGER) AS "partition",
+         CASE WHEN user_id % {2 * P} < {P} THEN 'agg-store' ELSE 'count-store' END AS store,
+         {_EVENT_LIST}[event_id % {len(C.TASK_EVENTS)} + 1] AS event, event_id % 3 AS total
+  FROM events),
+status AS (
+  SELECT "partition", store,
+         coalesce(arg_max(event IN ('restore_start', 'standby_start')
+                          OR (event IN ('restore_suspended', 'standby_suspended') AND total <= 0), seq)
+                  FILTER (WHERE event IN ('restore_start', 'restore_end', 'restore_suspended',
+                                          'standby_start', 'standby_suspended')), false) AS restoring,
+         coalesce(arg_max(event = 'standby_start', seq)
+                  FILTER (WHERE event IN ('standby_start', 'standby_suspended')), false) AS standby,
+         CAST(count(*) AS BIGINT) AS events
+  FROM te GROUP BY ALL)"""
+
+ORACLE["task_status"] = with_(TASK_EVENT, 'SELECT "partition", store, restoring, standby, events FROM status')
+
+ORACLE["snapshot_eligible"] = with_(KEPT + "," + TASK_EVENT + """,
+offs AS (SELECT topic, "partition", store, max("offset") AS "offset" FROM changelog GROUP BY ALL),
+src AS (SELECT DISTINCT "partition", topic AS source_topic FROM record)""", """
+SELECT coalesce(s."partition", o."partition") AS "partition", coalesce(s.store, o.store) AS store,
+       coalesce(s.restoring, false) AS restoring, coalesce(s.standby, false) AS standby,
+       o."offset", src.source_topic,
+       NOT coalesce(s.restoring, false) AND NOT coalesce(s.standby, false) AND o."offset" IS NOT NULL
+         AND src.source_topic IS NOT NULL AS eligible
+FROM status s FULL OUTER JOIN offs o ON s."partition" = o."partition" AND s.store = o.store
+LEFT JOIN src ON src."partition" = coalesce(s."partition", o."partition")""")
+
+ORACLE["snapshot_sampled"] = with_(SNAP, """
+SELECT topic, "partition", "offset", key, window_start, agg FROM flush WHERE sampled""")
+
 
 def oracle_sql() -> dict[str, str]:
     from .queries import CUSUM_DRIFT

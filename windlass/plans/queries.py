@@ -17,8 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..operators import lateness, windows
-from ..sources.records import read_records
+from ..operators import lateness, offsets, restore, status, windows
+from ..sources.records import events, read_records, task_events
+from . import scenario
 
 HOP_SIZE, HOP_SLIDE = 7_200, 3_600
 SLIDE_RANGE = 6 * 3_600
@@ -123,20 +124,104 @@ def q_segment_rollup(spark, sf):
 
 @register("changelog_compact")
 def q_changelog_compact(spark, sf):
-    from ..operators.restore import changelog_compact
-    return changelog_compact(lateness.changelog(read_records(spark, sf)))
+    return restore.changelog_compact(lateness.changelog(read_records(spark, sf)))
 
 
 @register("source_positions")
 def q_source_positions(spark, sf):
-    from ..operators.offsets import source_positions
-    return source_positions(read_records(spark, sf))
+    return offsets.source_positions(read_records(spark, sf))
 
 
 @register("offsets_checkpoint")
 def q_offsets_checkpoint(spark, sf):
-    from ..operators.offsets import offsets_checkpoint
-    return offsets_checkpoint(lateness.changelog(read_records(spark, sf)))
+    return offsets.offsets_checkpoint(lateness.changelog(read_records(spark, sf)))
+
+
+# -- snapshots ---------------------------------------------------------------
+# Each snapshot query publishes into its own fresh folder under the shared
+# checkpoint dir, reads back what it wrote and returns that.
+
+_POINTER_COLS = ["app", "task", "store", "version", "row_count"]
+_STATE_COLS = ["task", "store", "version", "partition", "key", "window_start", "window_end", "agg",
+               "segment_id"]
+
+
+@register("snapshot_state")
+def q_snapshot_state(spark, sf):
+    store, _ = scenario.publish_snapshots(spark, sf)
+    return store.versions().select(*_POINTER_COLS)
+
+
+@register("latest_snapshot")
+def q_latest_snapshot(spark, sf):
+    store, _ = scenario.publish_snapshots(spark, sf)
+    return store.latest().select(*_POINTER_COLS)
+
+
+@register("read_snapshot")
+def q_read_snapshot(spark, sf):
+    store, _ = scenario.publish_snapshots(spark, sf)
+    return store.read().select(*_STATE_COLS)
+
+
+@register("snapshot_manifest")
+def q_snapshot_manifest(spark, sf):
+    store, _ = scenario.publish_snapshots(spark, sf)
+    return (store.read().groupBy("task", "version", "segment_id")
+            .agg(F.count(F.lit(1)).alias("rows"), F.sum("agg").cast("bigint").alias("agg"),
+                 F.min("window_start").alias("min_window_start"),
+                 F.max("window_start").alias("max_window_start")))
+
+
+@register("restore_with_tail")
+def q_restore_with_tail(spark, sf):
+    store, cl = scenario.publish_snapshots(spark, sf)
+    snap = store.read()
+    positions = store.latest().select(F.regexp_extract("task", r"_(\d+)$", 1).cast("int").alias("partition"),
+                                      "version")
+    return restore.restore_with_tail(snap, positions, cl)
+
+
+# -- restore decisions and reports ---------------------------------------------
+
+def _changelog(spark, sf):
+    return lateness.changelog(read_records(spark, sf))
+
+
+@register("restore_decision")
+def q_restore_decision(spark, sf):
+    cl = _changelog(spark, sf)
+    return restore.restore_decision(scenario.local_checkpoint(cl), scenario.remote_checkpoint(cl))
+
+
+@register("merge_offsets")
+def q_merge_offsets(spark, sf):
+    cl = _changelog(spark, sf)
+    return restore.merge_offsets(scenario.local_checkpoint(cl), scenario.remote_checkpoint(cl))
+
+
+@register("lag_report")
+def q_lag_report(spark, sf):
+    cl = _changelog(spark, sf)
+    return offsets.lag_report(offsets.end_offsets(cl), scenario.local_checkpoint(cl))
+
+
+@register("task_status")
+def q_task_status(spark, sf):
+    return status.task_status(task_events(events(spark, sf)))
+
+
+@register("snapshot_eligible")
+def q_snapshot_eligible(spark, sf):
+    recs = read_records(spark, sf)
+    st = status.task_status(task_events(events(spark, sf)))
+    return status.snapshot_eligible(st, offsets.offsets_checkpoint(lateness.changelog(recs)),
+                                    offsets.source_positions(recs))
+
+
+@register("snapshot_sampled")
+def q_snapshot_sampled(spark, sf):
+    return status.snapshot_sampled(_changelog(spark, sf))
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
