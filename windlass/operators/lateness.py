@@ -23,7 +23,10 @@ from .windows import _keyed
 
 def with_stream_time(records: DataFrame, *, span: int | None = None) -> DataFrame:
     """Add ``stream_time``: running max of ts per (topic, partition) by
-    offset. Block-parallel: a topic partition is far too big for one task."""
+    offset. Block-parallel: a topic partition is far too big for one task.
+    A source that already carries it (see ``records_from_events``) is kept."""
+    if "stream_time" in records.columns:
+        return records
     return scan.running(records, ["topic", "partition"], "offset",
                         [("stream_time", "max", F.col("ts"))], span=span)
 

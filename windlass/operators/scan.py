@@ -77,15 +77,16 @@ def block_of(order: str | Column, span: int | None = None) -> Column:
 
 
 def _join_back(rows: DataFrame, blocks: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Join block-level columns back on (by, block), null-safe on keys."""
-    renamed = blocks
-    conds = []
-    for i, k in enumerate([*by, _BLK]):
-        renamed = renamed.withColumnRenamed(k, f"__k{i}")
-        conds.append(rows[k].eqNullSafe(F.col(f"__k{i}")))
-    # every row's (group, block) has exactly one block row: inner join
-    joined = rows.join(renamed, on=conds, how="inner")
-    return joined.drop(*[f"__k{i}" for i in range(len(by) + 1)])
+    """Join block-level columns back on (by, block).
+
+    Plain equi-keys in the same order as the window's partitioning, so the
+    row side keeps its exchange (no second shuffle of the rows) and the
+    exchange feeding the block totals is reused. Left join: no row is ever
+    dropped. Group keys are non-null in every caller (null keys are
+    skipped upstream); a null group would only miss its cross-block prefix.
+    """
+    keys = [*by, _BLK]
+    return rows.join(blocks, on=keys, how="left")
 
 
 def running(df: DataFrame, by: Sequence[str], order: Sequence[str] | str,

@@ -37,6 +37,10 @@ def register(name: str):
     return deco
 
 
+def _changelog(spark, sf):
+    return lateness.changelog(read_records(spark, sf, stream_time=True))
+
+
 @register("read_records")
 def q_read_records(spark, sf):
     return read_records(spark, sf)
@@ -99,32 +103,32 @@ def q_ordered_fold(spark, sf):
 
 @register("strict_late_drop")
 def q_strict_late_drop(spark, sf):
-    return lateness.strict_late_drop(read_records(spark, sf))
+    return lateness.strict_late_drop(read_records(spark, sf, stream_time=True))
 
 
 @register("update_stream")
 def q_update_stream(spark, sf):
-    return lateness.update_stream(read_records(spark, sf))
+    return lateness.update_stream(read_records(spark, sf, stream_time=True))
 
 
 @register("final_windows")
 def q_final_windows(spark, sf):
-    return lateness.final_windows(read_records(spark, sf))
+    return lateness.final_windows(read_records(spark, sf, stream_time=True))
 
 
 @register("live_windows")
 def q_live_windows(spark, sf):
-    return lateness.live_windows(read_records(spark, sf))
+    return lateness.live_windows(read_records(spark, sf, stream_time=True))
 
 
 @register("segment_rollup")
 def q_segment_rollup(spark, sf):
-    return lateness.segment_rollup(read_records(spark, sf))
+    return lateness.segment_rollup(read_records(spark, sf, stream_time=True))
 
 
 @register("changelog_compact")
 def q_changelog_compact(spark, sf):
-    return restore.changelog_compact(lateness.changelog(read_records(spark, sf)))
+    return restore.changelog_compact(_changelog(spark, sf))
 
 
 @register("source_positions")
@@ -134,7 +138,7 @@ def q_source_positions(spark, sf):
 
 @register("offsets_checkpoint")
 def q_offsets_checkpoint(spark, sf):
-    return offsets.offsets_checkpoint(lateness.changelog(read_records(spark, sf)))
+    return offsets.offsets_checkpoint(_changelog(spark, sf))
 
 
 # -- snapshots ---------------------------------------------------------------
@@ -184,8 +188,6 @@ def q_restore_with_tail(spark, sf):
 
 # -- restore decisions and reports ---------------------------------------------
 
-def _changelog(spark, sf):
-    return lateness.changelog(read_records(spark, sf))
 
 
 @register("restore_decision")
@@ -213,7 +215,7 @@ def q_task_status(spark, sf):
 
 @register("snapshot_eligible")
 def q_snapshot_eligible(spark, sf):
-    recs = read_records(spark, sf)
+    recs = read_records(spark, sf, stream_time=True)
     st = status.task_status(task_events(events(spark, sf)))
     return status.snapshot_eligible(st, offsets.offsets_checkpoint(lateness.changelog(recs)),
                                     offsets.source_positions(recs))

@@ -62,7 +62,7 @@ def materialized_changelog(spark: SparkSession, sf: str, root: str) -> DataFrame
     shared folder (it is the changelog topic; later steps read it instead
     of recomputing the lineage)."""
     path = f"{root}/changelog"
-    lateness.changelog(read_records(spark, sf)).write.partitionBy("partition").parquet(path)
+    lateness.changelog(read_records(spark, sf, stream_time=True)).write.partitionBy("partition").parquet(path)
     return spark.read.parquet(path)
 
 

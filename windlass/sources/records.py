@@ -37,7 +37,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def records_from_events(ev: DataFrame, *, partitions: int = C.FIXTURE_PARTITIONS,
                         topic: str = C.SAMPLE_TOPIC, late_every: int = C.FIXTURE_LATE_EVERY,
                         late_shift_hours: int = C.FIXTURE_LATE_SHIFT_HOURS,
-                        span: int | None = None) -> DataFrame:
+                        span: int | None = None, stream_time: bool = False) -> DataFrame:
     """Cut the keyed topic out of ``events`` (FIXTURES.md, RECORD).
 
     partition = user_id % partitions; offset = position of the event in its
@@ -45,6 +45,11 @@ def records_from_events(ev: DataFrame, *, partitions: int = C.FIXTURE_PARTITIONS
     can hold a large share of the data); every ``late_every``-th event is
     moved ``late_shift_hours`` back in time to make late records; key is
     the user id as a string; value is exact cents.
+
+    ``stream_time=True`` also adds the partition's stream time (running max
+    of ts over non-null-key records, by offset) from the same scan: offsets
+    and stream time follow the same order, so one block-parallel pass
+    yields both.
     """
     shifted = F.when(F.col("event_id") % late_every == 0,
                      F.col("ts") - F.make_dt_interval(F.lit(0), F.lit(late_shift_hours))
@@ -57,8 +62,12 @@ def records_from_events(ev: DataFrame, *, partitions: int = C.FIXTURE_PARTITIONS
         F.col("user_id").cast("string").alias("key"),
         cents("value").alias("value"),
     )
-    with_off = scan.row_number(base, ["topic", "partition"], "event_id", "offset", span=span, start=0)
-    return with_off.select(*RECORD_COLUMNS)
+    aggs = [("offset", "count", F.lit(1))]
+    if stream_time:
+        aggs.append(("stream_time", "max", F.when(F.col("key").isNotNull(), F.col("ts"))))
+    out = scan.running(base, ["topic", "partition"], "event_id", aggs, span=span)
+    out = out.withColumn("offset", (F.col("offset") - 1).cast("bigint"))
+    return out.select(*RECORD_COLUMNS, *(["stream_time"] if stream_time else []))
 
 
 def read_records(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:

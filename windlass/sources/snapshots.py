@@ -141,19 +141,24 @@ class SnapshotStore:
     def read(self, pointer: DataFrame | None = None, *, verify: bool = True) -> DataFrame:
         """State rows of the versions named by ``pointer`` (default: the
         latest). Only those version directories are listed and read
-        (partition filter). A pointer whose data is missing is an error."""
+        (partition filter). With ``verify``, row counts per version (from
+        parquet footers) must equal the pointer's ``row_count``: missing or
+        partial data is an error, never a silent empty state."""
         pointer = self.latest() if pointer is None else pointer
-        keys = self._partition_keys(pointer.select("task", "store", "version"))
+        pinned = pointer.select("task", "store", "version", "row_count").collect()
+        if len(pinned) > MAX_POINTERS:
+            raise ValueError("more snapshot pointers than a metadata table should hold")
+        keys = [(r["task"], r["store"], int(r["version"])) for r in pinned]
         if not keys:
             return self.spark.createDataFrame([], STATE_SCHEMA)
         data = self._read_data().where(self._key_filter(keys))
         if verify:
-            # directory listing only (pruned to these versions), no file contents
-            have = {(r["task"], r["store"], r["version"]) for r in
-                    self.files(pointer).select("task", "store", "version").distinct().collect()}
-            missing = [k for k in keys if k not in have]
-            if missing:
-                raise FileNotFoundError(f"snapshot data missing for {missing[:5]}")
+            have = {(r["task"], r["store"], r["version"]): r["n"] for r in
+                    data.groupBy("task", "store", "version").agg(F.count(F.lit(1)).alias("n")).collect()}
+            bad = [(k, rc, have.get(k, 0)) for k, rc in
+                   zip(keys, [r["row_count"] for r in pinned]) if rc is not None and have.get(k, 0) != rc]
+            if bad:
+                raise FileNotFoundError(f"snapshot data missing or partial (key, expected, found): {bad[:5]}")
         return data
 
     def files(self, pointer: DataFrame | None = None) -> DataFrame:
