@@ -27,7 +27,7 @@ from windlass.operators.restore import state_as_of  # noqa: E402
 from windlass.plans import scenario  # noqa: E402
 from windlass.session import build_session, scratch_dir  # noqa: E402
 from windlass.sources.records import read_records  # noqa: E402
-from windlass.sources.snapshots import SnapshotStore  # noqa: E402
+from windlass.sources.snapshots import SnapshotStore, pointer_positions  # noqa: E402
 
 HEADLINE = ["tumbling_sum", "strict_late_drop", "update_stream", "snapshot_state", "restore_with_tail"]
 
@@ -59,8 +59,7 @@ def main() -> None:
 
     def restore_with_tail():
         snap = base.read()
-        positions = base.latest().select(
-            F.regexp_extract("task", r"_(\d+)$", 1).cast("int").alias("partition"), "version")
+        positions = pointer_positions(base.latest())
         run(restore.restore_with_tail(snap, positions, cl))
 
     plans = {

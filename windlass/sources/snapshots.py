@@ -145,7 +145,8 @@ class SnapshotStore:
         parquet footers) must equal the pointer's ``row_count``: missing or
         partial data is an error, never a silent empty state."""
         pointer = self.latest() if pointer is None else pointer
-        pinned = pointer.select("task", "store", "version", "row_count").collect()
+        rc = F.col("row_count") if "row_count" in pointer.columns else F.lit(None).cast("bigint")
+        pinned = pointer.select("task", "store", "version", rc.alias("row_count")).collect()
         if len(pinned) > MAX_POINTERS:
             raise ValueError("more snapshot pointers than a metadata table should hold")
         keys = [(r["task"], r["store"], int(r["version"])) for r in pinned]
@@ -155,8 +156,8 @@ class SnapshotStore:
         if verify:
             have = {(r["task"], r["store"], r["version"]): r["n"] for r in
                     data.groupBy("task", "store", "version").agg(F.count(F.lit(1)).alias("n")).collect()}
-            bad = [(k, rc, have.get(k, 0)) for k, rc in
-                   zip(keys, [r["row_count"] for r in pinned]) if rc is not None and have.get(k, 0) != rc]
+            bad = [(k, rc, have.get(k, 0)) for k, rc in zip(keys, [r["row_count"] for r in pinned])
+                   if (have.get(k, 0) != rc if rc is not None else have.get(k, 0) == 0)]
             if bad:
                 raise FileNotFoundError(f"snapshot data missing or partial (key, expected, found): {bad[:5]}")
         return data
@@ -190,3 +191,10 @@ class SnapshotStore:
         directories instead of reading them."""
         tags = [f"{t}/{s}/{v}" for t, s, v in keys]
         return F.concat_ws("/", "task", "store", F.col("version").cast("string")).isin(tags)
+
+
+def pointer_positions(pointer: DataFrame) -> DataFrame:
+    """(partition, version) of pointer rows: the task name ``<n>_<p>``
+    carries the partition. One row per task (metadata)."""
+    return pointer.select(F.regexp_extract("task", r"_(\d+)$", 1).cast("int").alias("partition"),
+                          F.col("version").cast("bigint").alias("version"))
