@@ -304,6 +304,10 @@ LEFT JOIN src ON src."partition" = coalesce(s."partition", o."partition")""")
 ORACLE["snapshot_sampled"] = with_(SNAP, """
 SELECT topic, "partition", "offset", key, window_start, agg FROM flush WHERE sampled""")
 
+# streaming forms whose final state has an exact batch twin
+ORACLE["strict_stream"] = ORACLE["restore_with_tail"]
+ORACLE["bootstrap_stream"] = ORACLE["tumbling_sum"]
+
 
 def oracle_sql() -> dict[str, str]:
     from .queries import CUSUM_DRIFT

@@ -226,6 +226,44 @@ def q_snapshot_sampled(spark, sf):
     return status.snapshot_sampled(_changelog(spark, sf))
 
 
+# -- streaming forms (Structured Streaming over micro-batch files) ----------------
+
+@register("strict_stream")
+def q_strict_stream(spark, sf):
+    from .streams import strict_stream
+    return strict_stream(spark, sf)
+
+
+@register("bootstrap_stream")
+def q_bootstrap_stream(spark, sf):
+    from .streams import bootstrap
+    return bootstrap(spark, sf)
+
+
+@register("tumbling_stream")
+def q_tumbling_stream(spark, sf):
+    from .streams import tumbling_stream
+    return tumbling_stream(spark, sf)
+
+
+@register("for_each_update")
+def q_for_each_update(spark, sf):
+    from .streams import for_each_update_rows
+    return for_each_update_rows(spark, sf)
+
+
+@register("read_operator_state")
+def q_read_operator_state(spark, sf):
+    from .streams import operator_state
+    return operator_state(spark, sf)
+
+
+@register("query_events")
+def q_query_events(spark, sf):
+    from .streams import query_events
+    return query_events(spark, sf)
+
+
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     return QUERIES["tumbling_sum"](spark, sf)
 

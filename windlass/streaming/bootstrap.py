@@ -26,6 +26,17 @@ from .. import config as C
 OUTPUT_SCHEMA = "key string, window_start timestamp, agg long, last_offset long"
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb(spark) -> None:
+    """transformWithState keeps several column families per store, which
+    only the RocksDB provider has; new queries of this session use it."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if spark.conf.get(key, None) != ROCKSDB_PROVIDER:
+        spark.conf.set(key, ROCKSDB_PROVIDER)
+
+
 class RunningSum(StatefulProcessor):
     """agg = v + agg per (key, window), starting from the initial state."""
 
@@ -58,6 +69,7 @@ def bootstrap_stream(records: DataFrame, snapshot: DataFrame, positions: DataFra
     (partition, version): the offset each source partition's state
     includes, one row per partition.
     """
+    use_rocksdb(records.sparkSession)
     pos = F.broadcast(positions.select("partition", F.col("version").alias("__pos")))
     fresh = (records.join(pos, "partition", "left")
              .where(F.col("__pos").isNull() | (F.col("offset") > F.col("__pos")))
