@@ -89,6 +89,17 @@ def changelog(records: DataFrame, *, app_id: str = C.SAMPLE_APPLICATION_ID, stor
                      "partition", "offset", "ts", "key", "window_start", "window_end", "agg")
 
 
+def changelog_offsets(records: DataFrame, *, app_id: str = C.SAMPLE_APPLICATION_ID,
+                      store: str = C.STORE_NAME, size_seconds: int = C.STORE_WINDOW_SECONDS,
+                      grace_seconds: int = C.STORE_GRACE_SECONDS, span: int | None = None) -> DataFrame:
+    """The changelog's positions without its values: one row per kept
+    record (topic, store, partition, offset, ts). Offset tables need only
+    this, which skips the per-window running sums of :func:`changelog`."""
+    kept = strict_kept(records, size_seconds, grace_seconds, span=span)
+    return kept.select(F.lit(C.changelog_topic(app_id, store)).alias("topic"), F.lit(store).alias("store"),
+                       "partition", "offset", "ts")
+
+
 def partition_stream_time(records: DataFrame) -> DataFrame:
     """Final stream time per topic partition (a partial aggregate)."""
     return records.groupBy("topic", "partition").agg(F.max("ts").alias("stream_time"))

@@ -42,6 +42,10 @@ def _changelog(spark, sf):
     return lateness.changelog(read_records(spark, sf, stream_time=True))
 
 
+def _changelog_offsets(spark, sf):
+    return lateness.changelog_offsets(read_records(spark, sf, stream_time=True))
+
+
 @register("read_records")
 def q_read_records(spark, sf):
     return read_records(spark, sf)
@@ -49,32 +53,32 @@ def q_read_records(spark, sf):
 
 @register("tumbling_sum")
 def q_tumbling_sum(spark, sf):
-    return windows.tumbling_sum(read_records(spark, sf))
+    return windows.tumbling_sum(read_records(spark, sf, offsets=False))
 
 
 @register("tumbling_count")
 def q_tumbling_count(spark, sf):
-    return windows.tumbling_count(read_records(spark, sf))
+    return windows.tumbling_count(read_records(spark, sf, offsets=False))
 
 
 @register("tumbling_stats")
 def q_tumbling_stats(spark, sf):
-    return windows.tumbling_stats(read_records(spark, sf))
+    return windows.tumbling_stats(read_records(spark, sf, offsets=False))
 
 
 @register("tumbling_timestamped")
 def q_tumbling_timestamped(spark, sf):
-    return windows.tumbling_timestamped(read_records(spark, sf))
+    return windows.tumbling_timestamped(read_records(spark, sf, offsets=False))
 
 
 @register("keyed_sum")
 def q_keyed_sum(spark, sf):
-    return windows.keyed_sum(read_records(spark, sf))
+    return windows.keyed_sum(read_records(spark, sf, offsets=False))
 
 
 @register("hopping_sum")
 def q_hopping_sum(spark, sf):
-    return windows.hopping_sum(read_records(spark, sf), HOP_SIZE, HOP_SLIDE)
+    return windows.hopping_sum(read_records(spark, sf, offsets=False), HOP_SIZE, HOP_SLIDE)
 
 
 @register("sliding_sum")
@@ -84,7 +88,7 @@ def q_sliding_sum(spark, sf):
 
 @register("session_sum")
 def q_session_sum(spark, sf):
-    return windows.session_sum(read_records(spark, sf), SESSION_GAP)
+    return windows.session_sum(read_records(spark, sf, offsets=False), SESSION_GAP)
 
 
 @register("window_rows")
@@ -139,7 +143,7 @@ def q_source_positions(spark, sf):
 
 @register("offsets_checkpoint")
 def q_offsets_checkpoint(spark, sf):
-    return offsets.offsets_checkpoint(_changelog(spark, sf))
+    return offsets.offsets_checkpoint(_changelog_offsets(spark, sf))
 
 
 # -- snapshots ---------------------------------------------------------------
@@ -192,20 +196,20 @@ def q_restore_with_tail(spark, sf):
 
 @register("restore_decision")
 def q_restore_decision(spark, sf):
-    cl = _changelog(spark, sf)
-    return restore.restore_decision(scenario.local_checkpoint(cl), scenario.remote_checkpoint(cl))
+    local, remote, _ = scenario.offset_tables(_changelog_offsets(spark, sf))
+    return restore.restore_decision(local, remote)
 
 
 @register("merge_offsets")
 def q_merge_offsets(spark, sf):
-    cl = _changelog(spark, sf)
-    return restore.merge_offsets(scenario.local_checkpoint(cl), scenario.remote_checkpoint(cl))
+    local, remote, _ = scenario.offset_tables(_changelog_offsets(spark, sf))
+    return restore.merge_offsets(local, remote)
 
 
 @register("lag_report")
 def q_lag_report(spark, sf):
-    cl = _changelog(spark, sf)
-    return offsets.lag_report(offsets.end_offsets(cl), scenario.local_checkpoint(cl))
+    local, _, end = scenario.offset_tables(_changelog_offsets(spark, sf))
+    return offsets.lag_report(end, local)
 
 
 @register("task_status")
@@ -217,7 +221,7 @@ def q_task_status(spark, sf):
 def q_snapshot_eligible(spark, sf):
     recs = read_records(spark, sf, stream_time=True)
     st = status.task_status(task_events(events(spark, sf)))
-    return status.snapshot_eligible(st, offsets.offsets_checkpoint(lateness.changelog(recs)),
+    return status.snapshot_eligible(st, offsets.offsets_checkpoint(lateness.changelog_offsets(recs)),
                                     offsets.source_positions(recs))
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.columns import sampled
 from ..operators import lateness
-from ..operators.offsets import checkpoint_at, task_id
+from ..operators.offsets import task_id
 from ..session import scratch_dir
 from ..sources.records import read_records
 from ..sources.snapshots import SnapshotStore
@@ -79,16 +79,45 @@ def publish_snapshots(spark: SparkSession, sf: str, sc: Scenario = SCENARIO) ->
     return store, cl
 
 
+def checkpoint_table(changelog: DataFrame, sc: Scenario = SCENARIO) -> DataFrame:
+    """One pass over the changelog: per store partition, the offset the
+    stopped local instance checkpointed (none for lost partitions), the
+    newest snapshot version (remote) and the log end. Local, remote and
+    end OFFSETS are all cut from this one small aggregate, so the
+    changelog is derived once and its exchange shared."""
+    lost = [int(p) for p in sc.lost_partitions]
+    local_cond = before(sc.local_cut) & ~F.col("partition").isin(lost)
+    remote_cond = sampled(flush_id(), sc.every_n) & before(sc.snapshot_cuts[-1])
+    return (changelog.groupBy("topic", "partition", "store")
+            .agg(F.max(F.when(local_cond, F.col("offset"))).alias("local_offset"),
+                 F.max(F.when(remote_cond, F.col("offset"))).alias("remote_offset"),
+                 (F.max("offset") + 1).alias("end_offset"))
+            .select(F.lit(C.SAMPLE_APPLICATION_ID).alias("app"), task_id().alias("task"), "store", "topic",
+                    "partition", "local_offset", "remote_offset", "end_offset"))
+
+
+_KEYS = ["app", "task", "store", "topic", "partition"]
+
+
+def offset_tables(changelog: DataFrame, sc: Scenario = SCENARIO) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(local, remote, end) OFFSETS from one pass over the changelog.
+
+    The shared table has one row per store partition; it is materialized
+    once with a reliable ``checkpoint()`` (shared checkpoint folder), so
+    the decision, merge and lag joins - which read it several times - do
+    not re-run the scan over the records for each read."""
+    t = checkpoint_table(changelog, sc).checkpoint(eager=True)
+    local = t.where(F.col("local_offset").isNotNull()).select(*_KEYS, F.col("local_offset").alias("offset"))
+    remote = t.where(F.col("remote_offset").isNotNull()).select(*_KEYS, F.col("remote_offset").alias("offset"))
+    end = t.select(*_KEYS, "end_offset")
+    return local, remote, end
+
+
 def local_checkpoint(changelog: DataFrame, sc: Scenario = SCENARIO) -> DataFrame:
     """OFFSETS of the stopped local instance."""
-    lost = [int(p) for p in sc.lost_partitions]
-    return checkpoint_at(changelog, before(sc.local_cut) & ~F.col("partition").isin(lost))
+    return offset_tables(changelog, sc)[0]
 
 
 def remote_checkpoint(changelog: DataFrame, sc: Scenario = SCENARIO) -> DataFrame:
     """OFFSETS of the newest snapshot per store partition (its version)."""
-    pos = snapshot_positions(changelog, sc.snapshot_cuts[-1], sc.every_n)
-    return pos.select(F.lit(C.SAMPLE_APPLICATION_ID).alias("app"), task_id().alias("task"),
-                      F.lit(C.STORE_NAME).alias("store"),
-                      F.lit(C.changelog_topic(C.SAMPLE_APPLICATION_ID, C.STORE_NAME)).alias("topic"),
-                      "partition", F.col("version").alias("offset"))
+    return offset_tables(changelog, sc)[1]

@@ -37,7 +37,8 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def records_from_events(ev: DataFrame, *, partitions: int = C.FIXTURE_PARTITIONS,
                         topic: str = C.SAMPLE_TOPIC, late_every: int = C.FIXTURE_LATE_EVERY,
                         late_shift_hours: int = C.FIXTURE_LATE_SHIFT_HOURS,
-                        span: int | None = None, stream_time: bool = False) -> DataFrame:
+                        span: int | None = None, stream_time: bool = False,
+                        offsets: bool = True) -> DataFrame:
     """Cut the keyed topic out of ``events`` (FIXTURES.md, RECORD).
 
     partition = user_id % partitions; offset = position of the event in its
@@ -49,7 +50,9 @@ def records_from_events(ev: DataFrame, *, partitions: int = C.FIXTURE_PARTITIONS
     ``stream_time=True`` also adds the partition's stream time (running max
     of ts over non-null-key records, by offset) from the same scan: offsets
     and stream time follow the same order, so one block-parallel pass
-    yields both.
+    yields both. ``offsets=False`` skips the fixture's offset derivation
+    for consumers that never read it (on a real topic offsets are a
+    physical column and cost nothing; here they cost a scan).
     """
     shifted = F.when(F.col("event_id") % late_every == 0,
                      F.col("ts") - F.make_dt_interval(F.lit(0), F.lit(late_shift_hours))
@@ -62,6 +65,8 @@ def records_from_events(ev: DataFrame, *, partitions: int = C.FIXTURE_PARTITIONS
         F.col("user_id").cast("string").alias("key"),
         cents("value").alias("value"),
     )
+    if not offsets and not stream_time:
+        return base.select(*[c for c in RECORD_COLUMNS if c != "offset"])
     aggs = [("offset", "count", F.lit(1))]
     if stream_time:
         aggs.append(("stream_time", "max", F.when(F.col("key").isNotNull(), F.col("ts"))))
