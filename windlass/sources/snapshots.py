@@ -2,15 +2,22 @@
 
 Layout (one function builds it for writer and reader)::
 
-    <path>/<app>/state/task=<t>/store=<s>/version=<v>/segment_id=<n>/part-*.parquet
+    <path>/<app>/state/task=<t>/store=<s>/version=<v>/part-*.parquet
     <path>/<app>/versions/part-*.parquet      SNAPSHOT_VERSION pointer rows
 
 A version is named by the changelog offset the state stands at. Publishing
-is data first, pointer second: executors write the state partitions (the
-file committer makes a failed or retried task invisible), then one pointer
-row per (task, store) with rows is appended. A version with no rows gets no
-pointer (the empty-snapshot guard). Readers trust only pointer rows, so a
-half-written version is never read. Old versions are kept.
+is data first, pointer second: executors write the version directories
+(the file committer makes a failed or retried task invisible), then one
+pointer row per (task, store) with rows is appended. A version with no rows
+gets no pointer (the empty-snapshot guard). Readers trust only pointer
+rows, so a half-written version is never read. Old versions are kept.
+
+Segments (time slices of the store) are a sorted column inside a version,
+not a directory level: files are clustered by ``segment_id`` so a filter on
+it skips row groups by their min/max statistics, while the directory count
+stays tasks x versions. Readers load exactly the pointed version
+directories, so the cost of opening a snapshot does not grow with the
+number of versions kept.
 """
 
 from __future__ import annotations
@@ -20,6 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
 
 from .. import config as C
 from ..functions.columns import layout_path, layout_path_str, segment_id
@@ -31,13 +39,13 @@ STATE_SCHEMA = T.StructType([
     T.StructField("window_start", T.TimestampNTZType()),
     T.StructField("window_end", T.TimestampNTZType()),
     T.StructField("agg", T.LongType()),
+    T.StructField("segment_id", T.LongType()),
     T.StructField("task", T.StringType()),
     T.StructField("store", T.StringType()),
     T.StructField("version", T.LongType()),
-    T.StructField("segment_id", T.LongType()),
 ])
 STATE_COLUMNS = [f.name for f in STATE_SCHEMA.fields]
-PARTITION_COLUMNS = ["task", "store", "version", "segment_id"]
+PARTITION_COLUMNS = ["task", "store", "version"]
 
 VERSION_SCHEMA = T.StructType([
     T.StructField("app", T.StringType()),
@@ -53,6 +61,8 @@ VERSION_SCHEMA = T.StructType([
 # pointer rows are metadata: one per task and store
 MAX_POINTERS = 1_000_000
 
+Key = tuple[str, str, int]
+
 
 @dataclass
 class SnapshotStore:
@@ -75,6 +85,10 @@ class SnapshotStore:
     def versions_path(self) -> str:
         return layout_path_str(self.path, self.app_id, "versions")
 
+    def version_path(self, key: Key) -> str:
+        task, store, version = key
+        return layout_path_str(self.data_path, f"task={task}", f"store={store}", f"version={version}")
+
     # -- sink --------------------------------------------------------------
     def publish(self, state: DataFrame, positions: DataFrame, *,
                 changelog_topic: str | None = None) -> DataFrame:
@@ -87,12 +101,13 @@ class SnapshotStore:
         topic = changelog_topic or C.changelog_topic(self.app_id, self.store)
         rows = (state.join(F.broadcast(positions.select("partition", "version")), "partition")
                 .select("partition", "key", "window_start", "window_end", F.col("agg").cast("bigint"),
+                        segment_id("window_start", self.segment_seconds).alias("segment_id"),
                         task_id().alias("task"), F.lit(self.store).alias("store"),
-                        F.col("version").cast("bigint"),
-                        segment_id("window_start", self.segment_seconds).alias("segment_id")))
-        # rebalance: AQE sizes the write tasks (splits a big segment, merges
-        # small ones) so no directory is written by one overloaded task
+                        F.col("version").cast("bigint")))
+        # rebalance: AQE sizes the write tasks (splits a big version, merges
+        # small ones); rows are clustered by segment inside each file
         (rows.hint("rebalance", *PARTITION_COLUMNS)
+             .sortWithinPartitions(*PARTITION_COLUMNS, "segment_id", "key", "window_start")
              .write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic")
              .option("maxRecordsPerFile", self.max_records_per_file)
@@ -100,11 +115,11 @@ class SnapshotStore:
              .parquet(self.data_path))
         # data committed; count what is really there (parquet footers only)
         wanted = positions.select(task_id().alias("task"), F.lit(self.store).alias("store"),
-                                  F.col("version").cast("bigint"), "partition")
-        keys = self._partition_keys(wanted)
-        if not keys:
+                                  F.col("version").cast("bigint"))
+        present = self._present(self._keys(wanted))
+        if not present:
             return self.spark.createDataFrame([], VERSION_SCHEMA)
-        written = (self._read_data().where(self._key_filter(keys))
+        written = (self._read_data(present)
                    .groupBy("task", "store", "version", "partition").agg(F.count(F.lit(1)).alias("row_count")))
         pointers = (written.where(F.col("row_count") > 0)
                     .select(F.lit(self.app_id).alias("app"), "task", "store", "version",
@@ -117,15 +132,15 @@ class SnapshotStore:
                             F.current_timestamp().alias("published_at")))
         # pointer second: appended only after the data job committed
         pointers.coalesce(1).write.mode("append").parquet(self.versions_path)
-        return self.versions().where(self._key_filter(keys))
+        return self.versions().where(self._key_filter(present))
 
     # -- source ------------------------------------------------------------
     def versions(self) -> DataFrame:
         """All published pointer rows (none yet: empty)."""
         try:
             return self.spark.read.schema(VERSION_SCHEMA).parquet(self.versions_path)
-        except Exception as e:  # noqa: BLE001 - path not created yet
-            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+        except AnalysisException as e:
+            if _missing_path(e):
                 return self.spark.createDataFrame([], VERSION_SCHEMA)
             raise
 
@@ -140,10 +155,10 @@ class SnapshotStore:
 
     def read(self, pointer: DataFrame | None = None, *, verify: bool = True) -> DataFrame:
         """State rows of the versions named by ``pointer`` (default: the
-        latest). Only those version directories are listed and read
-        (partition filter). With ``verify``, row counts per version (from
-        parquet footers) must equal the pointer's ``row_count``: missing or
-        partial data is an error, never a silent empty state."""
+        latest). Only those version directories are listed and read. With
+        ``verify``, row counts per version (from parquet footers) must equal
+        the pointer's ``row_count``: missing or partial data is an error,
+        never a silent empty state."""
         pointer = self.latest() if pointer is None else pointer
         rc = F.col("row_count") if "row_count" in pointer.columns else F.lit(None).cast("bigint")
         pinned = pointer.select("task", "store", "version", rc.alias("row_count")).collect()
@@ -152,7 +167,10 @@ class SnapshotStore:
         keys = [(r["task"], r["store"], int(r["version"])) for r in pinned]
         if not keys:
             return self.spark.createDataFrame([], STATE_SCHEMA)
-        data = self._read_data().where(self._key_filter(keys))
+        missing = sorted(set(keys) - set(self._present(keys)))
+        if missing:
+            raise FileNotFoundError(f"snapshot data missing for {missing[:5]}")
+        data = self._read_data(keys)
         if verify:
             have = {(r["task"], r["store"], r["version"]): r["n"] for r in
                     data.groupBy("task", "store", "version").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -166,19 +184,47 @@ class SnapshotStore:
         """Manifest: every data file of the given versions with its size and
         time; file contents are not read."""
         pointer = self.latest() if pointer is None else pointer
-        keys = self._partition_keys(pointer.select("task", "store", "version"))
-        listing = (self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-                   .load(self.data_path)
-                   .select("path", "length", "modificationTime", "task", "store",
-                           F.col("version").cast("bigint"), F.col("segment_id").cast("bigint")))
-        return listing.where(self._key_filter(keys)) if keys else listing.limit(0)
+        keys = self._present(self._keys(pointer.select("task", "store", "version")))
+        if not keys:
+            return self.spark.createDataFrame(
+                [], "path string, length long, modificationTime timestamp, task string, store string, "
+                    "version long")
+        return (self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+                .option("basePath", self.data_path)
+                .load([self.version_path(k) for k in keys])
+                .select("path", "length", "modificationTime", "task", "store",
+                        F.col("version").cast("bigint").alias("version")))
 
     # -- helpers -------------------------------------------------------------
-    def _read_data(self) -> DataFrame:
-        return self.spark.read.schema(STATE_SCHEMA).parquet(self.data_path)
+    def _read_data(self, keys: list[Key]) -> DataFrame:
+        """Only the given version directories are listed and scanned."""
+        return (self.spark.read.schema(STATE_SCHEMA).option("basePath", self.data_path)
+                .parquet(*[self.version_path(k) for k in keys]))
+
+    def _present(self, keys: list[Key]) -> list[Key]:
+        """Keys whose version directory exists. Opening the reader lists
+        the directories anyway; only when one is missing (an empty version
+        or lost data) are keys checked one by one."""
+        if not keys:
+            return []
+        try:
+            self._read_data(keys)
+            return keys
+        except AnalysisException as e:
+            if not _missing_path(e):
+                raise
+        out = []
+        for k in keys:
+            try:
+                self._read_data([k])
+                out.append(k)
+            except AnalysisException as e:
+                if not _missing_path(e):
+                    raise
+        return out
 
     @staticmethod
-    def _partition_keys(df: DataFrame) -> list[tuple[str, str, int]]:
+    def _keys(df: DataFrame) -> list[Key]:
         """(task, store, version) triples: metadata, one per task and store."""
         rows = df.select("task", "store", "version").distinct().limit(MAX_POINTERS + 1).collect()
         if len(rows) > MAX_POINTERS:
@@ -186,13 +232,16 @@ class SnapshotStore:
         return [(r["task"], r["store"], int(r["version"])) for r in rows]
 
     @staticmethod
-    def _key_filter(keys: list[tuple[str, str, int]]):
-        """Predicate over partition columns only, so the scan prunes
-        directories instead of reading them."""
+    def _key_filter(keys: list[Key]):
         tags = [f"{t}/{s}/{v}" for t, s, v in keys]
         return F.concat_ws("/", "task", "store", F.col("version").cast("string")).isin(tags)
 
 
+def _missing_path(e: Exception) -> bool:
+    msg = str(e)
+    return "PATH_NOT_FOUND" in msg or "does not exist" in msg
+
+
 def pointer_positions(pointer: DataFrame) -> DataFrame:
     """(partition, version) of pointer rows: the task name ``<n>_<p>``
     carries the partition. One row per task (metadata)."""
