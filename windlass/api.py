@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .config import SnapshotOptions
 from .operators.restore import restore_with_tail
-from .sources.snapshots import SnapshotStore, pointer_positions
+from .sources.snapshots import SnapshotStore
 from .streaming import listener
 from .streaming.snapshot_sink import SnapshotSink
 from .streaming.windowed import for_each_update, windowed_stream
@@ -53,9 +53,8 @@ def with_snapshot(state: DataFrame, positions: DataFrame, opts: SnapshotOptions)
 
 def restore_state(spark: SparkSession, opts: SnapshotOptions, changelog: DataFrame) -> DataFrame:
     """State = latest published version + every changelog update after it."""
-    store = SnapshotStore.from_options(spark, opts)
-    latest = store.latest()
-    return restore_with_tail(store.read(latest), pointer_positions(latest), changelog)
+    snap, positions = SnapshotStore.from_options(spark, opts).open()
+    return restore_with_tail(snap, positions, changelog)
 
 
 def enable_listeners(spark: SparkSession) -> listener.QueryEvents:

@@ -129,9 +129,14 @@ def restore_with_tail(snapshot: DataFrame, positions: DataFrame, changelog: Data
     absolute values, so an overlapping tail changes nothing.
     """
     pos = F.broadcast(positions.select("partition", F.col("version").alias("__v")))
-    snap = (snapshot.join(pos, "partition", "left")
-            .select("partition", "key", "window_start", "window_end", "agg",
-                    F.coalesce(F.col("__v"), F.lit(-1)).cast("bigint").alias("offset")))
+    if "version" in snapshot.columns:
+        # snapshot files carry their version: no join needed on this side
+        snap = snapshot.select("partition", "key", "window_start", "window_end", "agg",
+                               F.col("version").cast("bigint").alias("offset"))
+    else:
+        snap = (snapshot.join(pos, "partition", "left")
+                .select("partition", "key", "window_start", "window_end", "agg",
+                        F.coalesce(F.col("__v"), F.lit(-1)).cast("bigint").alias("offset")))
     tail = (changelog.join(pos, "partition", "left")
             .where(F.col("__v").isNull() | (F.col("offset") > F.col("__v")))
             .select("partition", "key", "window_start", "window_end", "agg", "offset"))

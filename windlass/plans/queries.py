@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..operators import lateness, offsets, restore, status, windows
 from ..sources.records import events, read_records, task_events
-from ..sources.snapshots import pointer_positions
 from . import scenario
 
 HOP_SIZE, HOP_SLIDE = 7_200, 3_600
@@ -185,8 +184,7 @@ def q_snapshot_manifest(spark, sf):
 @register("restore_with_tail")
 def q_restore_with_tail(spark, sf):
     store, cl = scenario.publish_snapshots(spark, sf)
-    snap = store.read()
-    positions = pointer_positions(store.latest())
+    snap, positions = store.open()
     return restore.restore_with_tail(snap, positions, cl)
 
 

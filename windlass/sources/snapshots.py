@@ -159,18 +159,30 @@ class SnapshotStore:
         ``verify``, row counts per version (from parquet footers) must equal
         the pointer's ``row_count``: missing or partial data is an error,
         never a silent empty state."""
+        return self.open(pointer, verify=verify)[0]
+
+    def open(self, pointer: DataFrame | None = None, *, verify: bool = True) -> tuple[DataFrame, DataFrame]:
+        """(state rows, positions) of the pointed versions. ``positions``
+        (partition, version) is built from the pointer rows already fetched
+        (metadata, one row per task), so a replay plan that joins it does
+        not re-read the pointer table."""
         pointer = self.latest() if pointer is None else pointer
         rc = F.col("row_count") if "row_count" in pointer.columns else F.lit(None).cast("bigint")
         pinned = pointer.select("task", "store", "version", rc.alias("row_count")).collect()
         if len(pinned) > MAX_POINTERS:
             raise ValueError("more snapshot pointers than a metadata table should hold")
         keys = [(r["task"], r["store"], int(r["version"])) for r in pinned]
+        positions = pointer_positions(self.spark.createDataFrame(
+            [(t, v) for t, _, v in keys], "task string, version bigint"))
         if not keys:
-            return self.spark.createDataFrame([], STATE_SCHEMA)
-        missing = sorted(set(keys) - set(self._present(keys)))
-        if missing:
-            raise FileNotFoundError(f"snapshot data missing for {missing[:5]}")
-        data = self._read_data(keys)
+            return self.spark.createDataFrame([], STATE_SCHEMA), positions
+        try:
+            data = self._read_data(keys)
+        except AnalysisException as e:
+            if not _missing_path(e):
+                raise
+            missing = sorted(set(keys) - set(self._present(keys)))
+            raise FileNotFoundError(f"snapshot data missing for {missing[:5]}") from e
         if verify:
             have = {(r["task"], r["store"], r["version"]): r["n"] for r in
                     data.groupBy("task", "store", "version").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -178,7 +190,7 @@ class SnapshotStore:
                    if (have.get(k, 0) != rc if rc is not None else have.get(k, 0) == 0)]
             if bad:
                 raise FileNotFoundError(f"snapshot data missing or partial (key, expected, found): {bad[:5]}")
-        return data
+        return data, positions
 
     def files(self, pointer: DataFrame | None = None) -> DataFrame:
         """Manifest: every data file of the given versions with its size and

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from .. import config as C
 from ..functions.columns import MICROS, epoch_micros
 from ..operators.restore import restore_with_tail
-from ..sources.snapshots import SnapshotStore, pointer_positions
+from ..sources.snapshots import SnapshotStore
 
 CHANGELOG_SCHEMA = T.StructType([
     T.StructField("partition", T.IntegerType()),
@@ -78,8 +78,8 @@ class SnapshotSink:
         if upto is not None:
             v = v.where(F.col("version") <= upto)
         latest = v.groupBy("app", "task", "store").agg(F.max("version").alias("version"))
-        snap = self.store.read(latest).select("partition", "key", "window_start", "window_end", "agg")
-        positions = pointer_positions(latest)
+        snap, positions = self.store.open(latest)
+        snap = snap.select("partition", "key", "window_start", "window_end", "agg")
         cl = self.changelog()
         if upto is not None:
             cl = cl.where(F.col("batch_id") <= upto)
