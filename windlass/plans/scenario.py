@@ -22,7 +22,7 @@ from .. import config as C
 from ..functions.columns import sampled
 from ..operators import lateness
 from ..operators.offsets import task_id
-from ..session import scratch_dir
+from ..session import ensure_checkpoint_dir, scratch_dir
 from ..sources.records import read_records
 from ..sources.snapshots import SnapshotStore
 
@@ -106,6 +106,7 @@ def offset_tables(changelog: DataFrame, sc: Scenario = SCENARIO) -> tuple[DataFr
     once with a reliable ``checkpoint()`` (shared checkpoint folder), so
     the decision, merge and lag joins - which read it several times - do
     not re-run the scan over the records for each read."""
+    ensure_checkpoint_dir(changelog.sparkSession)
     t = checkpoint_table(changelog, sc).checkpoint(eager=True)
     local = t.where(F.col("local_offset").isNotNull()).select(*_KEYS, F.col("local_offset").alias("offset"))
     remote = t.where(F.col("remote_offset").isNotNull()).select(*_KEYS, F.col("remote_offset").alias("offset"))

@@ -72,6 +72,28 @@ class SnapshotSink:
                 return self.spark.createDataFrame([], CHANGELOG_SCHEMA)
             raise
 
+    def changelog_between(self, after: int, upto: int) -> DataFrame:
+        """Changelog batches in (after, upto]: only those directories are
+        listed, so a compaction costs the new batches, not the history."""
+        out = self.spark.createDataFrame([], CHANGELOG_SCHEMA)
+        paths = [f"{self.changelog_path}/batch_id={b}" for b in range(after + 1, upto + 1)]
+        if not paths:
+            return out
+        try:
+            return (self.spark.read.schema(CHANGELOG_SCHEMA).option("basePath", self.changelog_path)
+                    .parquet(*paths))
+        except Exception as e:  # noqa: BLE001 - some batch wrote nothing
+            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+                raise
+        for p in paths:
+            try:
+                out = out.unionByName(self.spark.read.schema(CHANGELOG_SCHEMA)
+                                      .option("basePath", self.changelog_path).parquet(p))
+            except Exception as e:  # noqa: BLE001
+                if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+                    raise
+        return out
+
     def state(self, upto: int | None = None) -> DataFrame:
         """Latest version (at or before ``upto``) + changelog after it."""
         v = self.store.versions()
@@ -80,9 +102,13 @@ class SnapshotSink:
         latest = v.groupBy("app", "task", "store").agg(F.max("version").alias("version"))
         snap, positions = self.store.open(latest)
         snap = snap.select("partition", "key", "window_start", "window_end", "agg")
-        cl = self.changelog()
-        if upto is not None:
-            cl = cl.where(F.col("batch_id") <= upto)
+        after = positions.agg(F.min("version")).collect()[0][0]   # one scalar (metadata)
+        if upto is not None and after is not None:
+            cl = self.changelog_between(int(after), upto)
+        else:
+            cl = self.changelog()
+            if upto is not None:
+                cl = cl.where(F.col("batch_id") <= upto)
         st = restore_with_tail(snap, positions, cl.drop("batch_id"))
         if self.retention_seconds is not None:
             # one scalar: the newest window seen

@@ -77,10 +77,16 @@ class StrictWindowSink:
                 return self.spark.createDataFrame([], schema)
             raise
 
+    def _carry_at(self, batch_id: int) -> DataFrame:
+        """The carry one batch wrote: its own directory only, so the cost
+        does not grow with the number of batches the stream has run."""
+        path = f"{self.carry_path}/batch_id={batch_id}"
+        schema = T.StructType([f for f in CARRY_SCHEMA.fields if f.name != "batch_id"])
+        return self._read(path, schema).select("topic", "partition", "carry")
+
     def carry_before(self, batch_id: int) -> DataFrame:
         """Stream time per partition as the previous batch left it."""
-        c = self._read(self.carry_path, CARRY_SCHEMA).where(F.col("batch_id") == batch_id - 1)
-        return c.select("topic", "partition", "carry")
+        return self._carry_at(batch_id - 1)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         batch = batch.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
@@ -106,6 +112,13 @@ class StrictWindowSink:
             self.snapshot(batch_id)
 
     def deltas(self, upto: int | None = None, after: int | None = None) -> DataFrame:
+        """Delta batches in (after, upto]. With both bounds only those batch
+        directories are listed; the batch id comes from the path."""
+        if upto is not None and after is not None:
+            paths = [f"{self.delta_path}/batch_id={b}" for b in range(after + 1, upto + 1)]
+            if not paths:
+                return self.spark.createDataFrame([], DELTA_SCHEMA)
+            return self._read_paths(paths, DELTA_SCHEMA, self.delta_path)
         d = self._read(self.delta_path, DELTA_SCHEMA)
         if upto is not None:
             d = d.where(F.col("batch_id") <= upto)
@@ -113,6 +126,18 @@ class StrictWindowSink:
             d = d.where(F.col("batch_id") > after)
         return d
 
+    def _read_paths(self, paths: list[str], schema: T.StructType, base: str) -> DataFrame:
+        try:
+            return self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
+        except Exception as e:  # noqa: BLE001 - a batch without output
+            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+                frames = [self._read_paths([p], schema, base) for p in paths if len(paths) > 1]
+                out = self.spark.createDataFrame([], schema)
+                for f in frames:
+                    out = out.unionByName(f)
+                return out
+            raise
+
     def state(self, upto: int | None = None) -> DataFrame:
         """Windowed state: the last snapshot at or before ``upto`` plus the
         deltas after it (sums are associative, partial aggregation)."""
@@ -135,6 +160,6 @@ class StrictWindowSink:
     def snapshot(self, batch_id: int) -> DataFrame:
         """Fold everything up to ``batch_id`` into version ``batch_id``."""
         st = self.state(upto=batch_id)
-        parts = self._read(self.carry_path, CARRY_SCHEMA).where(F.col("batch_id") == batch_id)
+        parts = self._carry_at(batch_id)
         positions = parts.select("partition", F.lit(batch_id).cast("bigint").alias("version"))
         return self.store.publish(st, positions)
