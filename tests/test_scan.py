@@ -102,3 +102,19 @@ def test_row_number_offsets(spark, span):
     for p, part in out.groupby("p"):
         assert sorted(part["off"]) == list(range(len(part)))
         assert part.sort_values("e")["off"].tolist() == list(range(len(part)))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(st.integers(0, 2), st.integers(-20, 20), st.integers(0, 30)), min_size=1,
+                     max_size=50), rng=st.integers(0, 8), block=st.integers(1, 9))
+def test_sliding_sum_probes_match_range_frame(spark, rows, rng, block):
+    import datetime as dt
+    base = dt.datetime(2024, 1, 1)
+    pdf = pd.DataFrame([{"topic": "t", "partition": 0, "offset": i, "key": str(k), "value": v,
+                         "ts": base + dt.timedelta(seconds=s)} for i, (k, v, s) in enumerate(rows)])
+    df = spark.createDataFrame(pdf, "topic string, partition int, offset long, key string, value long, "
+                                    "ts timestamp_ntz")
+    got = {r["offset"]: r["agg"] for r in windows.sliding_sum(df, rng, block_seconds=block).collect()}
+    for r in pdf.itertuples():
+        same = pdf[(pdf.key == r.key) & (pdf.ts >= r.ts - dt.timedelta(seconds=rng)) & (pdf.ts <= r.ts)]
+        assert got[r.offset] == same.value.sum()

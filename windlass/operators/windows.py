@@ -76,26 +76,36 @@ def keyed_sum(records: DataFrame) -> DataFrame:
             .agg(F.sum("value").cast("bigint").alias("agg"), F.count(F.lit(1)).alias("n")))
 
 
-def sliding_sum(records: DataFrame, range_seconds: int) -> DataFrame:
+def sliding_sum(records: DataFrame, range_seconds: int, *, block_seconds: int = 60) -> DataFrame:
     """Trailing window ending at each record: sum of the key's values with
     ``ts`` in ``[ts - range, ts]`` (ties included), one row per record.
 
-    Split by time bucket of width ``range``: a record's frame lies in its
-    own bucket and the one before, so each record is sent to its own bucket
-    and, as a non-emitting copy, to the next one. A window partition holds
-    two buckets of one key, never the key's whole history.
+    Exact and skew-proof via two zero-valued probes per record on the key's
+    timeline: one at ``ts - range`` ordered before equal times, one at
+    ``ts`` ordered after them. A running sum (block-parallel scan, blocks
+    of ``block_seconds``) gives ``sum(ts <= t)`` at the upper probe and
+    ``sum(ts < t - range)`` at the lower one; their difference is the
+    frame. No window partition holds more than one key's block of time,
+    however hot the key. Records are identified by (partition, offset).
     """
     r = range_seconds * MICROS
     d = _keyed(records).withColumn("__t", epoch_micros("ts"))
-    d = d.withColumn("__home", F.explode(F.array(
-        F.struct(F.floor(F.col("__t") / r).cast("bigint").alias("b"), F.lit(True).alias("own")),
-        F.struct((F.floor(F.col("__t") / r) + 1).cast("bigint").alias("b"), F.lit(False).alias("own")))))
-    w = Window.partitionBy("key", F.col("__home.b")).orderBy("__t").rangeBetween(-r, 0)
-    out = d.withColumn("agg", F.sum("value").over(w).cast("bigint")).where(F.col("__home.own"))
-    return out.drop("__t", "__home")
-
-
-def session_sum(records: DataFrame, gap_seconds: int, *, block_seconds: int = 3_600) -> DataFrame:
+    pts = F.array(
+        F.struct(F.col("__t").alias("t"), F.lit(1).alias("kind"), F.col("value").cast("bigint").alias("v")),
+        F.struct((F.col("__t") - F.lit(r)).alias("t"), F.lit(0).alias("kind"), F.lit(0).cast("bigint").alias("v")),
+        F.struct(F.col("__t").alias("t"), F.lit(2).alias("kind"), F.lit(0).cast("bigint").alias("v")))
+    x = (d.select("topic", "partition", "offset", "ts", "key", "value", F.explode(pts).alias("__p"))
+          .select("topic", "partition", "offset", "ts", "key", "value", "__p.*"))
+    run = scan.running(x, ["key"], ["t", "kind"], [("__P", "sum", F.col("v"))],
+                       block=F.floor(F.col("t") / F.lit(block_seconds * MICROS)).cast("bigint"))
+    probes = run.where(F.col("kind") != 1)
+    return (probes.groupBy("topic", "partition", "offset", "ts", "key", "value")
+            .agg((F.max(F.when(F.col("kind") == 2, F.col("__P")))
+                  - F.coalesce(F.max(F.when(F.col("kind") == 0, F.col("__P"))), F.lit(0))).cast("bigint")
+                 .alias("agg")))
+
+
+def session_sum(records: DataFrame, gap_seconds: int, *, block_seconds: int = 60) -> DataFrame:
     """Session windows: a key's records closer than or exactly ``gap`` apart
     share a session. Session end is the last record's time.
 
