@@ -145,3 +145,19 @@ def test_kafka_long_codec(spark):
 
 
 _ = (os, restore, pointer_positions)
+
+
+def test_append_rows_equal_last_update_of_closed_windows(spark, batches):
+    root, _ = batches
+    upd, app = [], []
+    src = stream_records_from_files(spark, f"{root}/in")
+    for mode, sink_rows, tag in (("update", upd, "u"), ("append", app, "a")):
+        def collect(df, batch_id, rows=sink_rows):
+            rows.extend((r["key"], r["window_start"], r["agg"], batch_id) for r in df.collect())
+        q = for_each_update(windowed_stream(src, 3600), collect, f"{root}/cmp_{tag}", output_mode=mode,
+                            available_now=True)
+        q.awaitTermination()
+    last = {}
+    for k, w, a, b in sorted(upd, key=lambda x: x[3]):
+        last[(k, w)] = a
+    assert app and all(last[(k, w)] == a for k, w, a, _ in app)
