@@ -27,16 +27,34 @@ def encode_long(value: str | Column) -> Column:
     return F.unhex(F.lpad(F.hex(col(value)), 16, "0"))
 
 
+def _epoch_ntz() -> Column:
+    # parsed as a wall clock: independent of the session time zone
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
 def epoch_micros(ts: str | Column) -> Column:
-    """Microseconds since the epoch for timestamp or timestamp_ntz.
+    """Microseconds since the epoch of a ``timestamp_ntz`` wall clock.
 
-    For NTZ the wall clock is read as UTC (session time zone is UTC).
+    Computed as a difference of wall clocks, so the result does not depend
+    on the session time zone (a cast to ``timestamp`` would).
     """
-    return F.unix_micros(col(ts).cast("timestamp"))
+    return F.timestamp_diff("MICROSECOND", _epoch_ntz(), col(ts))
 
 
 def micros_to_ntz(micros: str | Column) -> Column:
-    return F.timestamp_micros(col(micros)).cast("timestamp_ntz")
+    """``timestamp_ntz`` wall clock ``micros`` after the epoch."""
+    return F.timestamp_add("MICROSECOND", col(micros), _epoch_ntz())
+
+
+def ntz_to_instant(ts: str | Column) -> Column:
+    """``timestamp_ntz`` -> ``timestamp`` reading the wall clock as UTC,
+    whatever the session time zone (streaming watermarks need ``timestamp``)."""
+    return F.timestamp_micros(epoch_micros(ts))
+
+
+def instant_to_ntz(ts: str | Column) -> Column:
+    """``timestamp`` -> its UTC wall clock as ``timestamp_ntz``."""
+    return micros_to_ntz(F.unix_micros(col(ts)))
 
 
 def window_start_micros(ts: str | Column, size_seconds: int) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.columns import MICROS, epoch_micros, micros_to_ntz
+from ..functions.columns import MICROS, epoch_micros, instant_to_ntz, micros_to_ntz
 from ..session import scratch_dir
 from ..sources.records import read_records, stream_records_from_files
 from ..sources.snapshots import SnapshotStore
@@ -29,6 +29,11 @@ from .scenario import SCENARIO
 BATCHES = 4
 
 
+def _parallelism(spark: SparkSession) -> int:
+    """State partitions for the registered streams: the cluster's cores."""
+    return max(1, spark.sparkContext.defaultParallelism)
+
+
 def _input(spark: SparkSession, sf: str, tag: str) -> tuple[str, DataFrame]:
     root = scratch_dir(spark, "streams", tag)
     recs = read_records(spark, sf)
@@ -42,7 +47,8 @@ def strict_stream(spark: SparkSession, sf: str) -> DataFrame:
     root, _ = _input(spark, sf, "strict")
     sink = StrictWindowSink(spark, f"{root}/strict", every_n=2, store=SnapshotStore(spark, f"{root}/snap"))
     src = stream_records_from_files(spark, f"{root}/in", event_time_type="timestamp_ntz")
-    for_each_update(src, sink, f"{root}/ckpt", output_mode="append", available_now=True).awaitTermination()
+    for_each_update(src, sink, f"{root}/ckpt", output_mode="append", available_now=True,
+                    state_partitions=_parallelism(spark)).awaitTermination()
     st = sink.state()
     return st.select("key", "window_start", "window_end", "agg")
 
@@ -54,7 +60,8 @@ def tumbling_stream(spark: SparkSession, sf: str) -> DataFrame:
     root, _ = _input(spark, sf, "tumbling")
     sink = SnapshotSink(spark, f"{root}/sink", SnapshotStore(spark, f"{root}/snap"), every_n=2)
     src = stream_records_from_files(spark, f"{root}/in")
-    for_each_update(windowed_stream(src), sink, f"{root}/ckpt", available_now=True).awaitTermination()
+    for_each_update(windowed_stream(src), sink, f"{root}/ckpt", available_now=True,
+                    state_partitions=_parallelism(spark)).awaitTermination()
     return sink.state().select("key", "window_start", "window_end", "agg")
 
 
@@ -68,9 +75,9 @@ def for_each_update_rows(spark: SparkSession, sf: str) -> DataFrame:
 
     src = stream_records_from_files(spark, f"{root}/in")
     for_each_update(windowed_stream(src, C.STORE_WINDOW_SECONDS), deliver, f"{root}/ckpt",
-                    available_now=True).awaitTermination()
-    return spark.read.parquet(out).select("batch_id", "key", F.col("window_start").cast("timestamp_ntz"),
-                                          F.col("window_end").cast("timestamp_ntz"), "agg", "n")
+                    available_now=True, state_partitions=_parallelism(spark)).awaitTermination()
+    return spark.read.parquet(out).select("batch_id", "key", instant_to_ntz("window_start").alias("window_start"),
+                                          instant_to_ntz("window_end").alias("window_end"), "agg", "n")
 
 
 def operator_state(spark: SparkSession, sf: str) -> DataFrame:
@@ -81,7 +88,7 @@ def operator_state(spark: SparkSession, sf: str) -> DataFrame:
     ckpt = f"{root}/ckpt"
     for_each_update(windowed_stream(src, C.STORE_WINDOW_SECONDS),
                     lambda df, i: df.write.format("noop").mode("overwrite").save(), ckpt,
-                    available_now=True).awaitTermination()
+                    available_now=True, state_partitions=_parallelism(spark)).awaitTermination()
     rows = windowed_state_rows(read_operator_state(spark, ckpt))
     return rows.select("key", "window_start", "window_end", "partition_id")
 
@@ -107,9 +114,9 @@ def bootstrap(spark: SparkSession, sf: str) -> DataFrame:
 
     src = stream_records_from_files(spark, f"{root}/in")
     for_each_update(bootstrap_stream(src, snapshot, pos), deliver, f"{root}/ckpt",
-                    available_now=True).awaitTermination()
+                    available_now=True, state_partitions=_parallelism(spark)).awaitTermination()
     emitted = (spark.read.parquet(out)
-               .select("key", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "agg",
+               .select("key", instant_to_ntz("window_start").alias("window_start"), "agg",
                        F.col("batch_id").alias("offset")))
     snap = snapshot.select("key", "window_start", "agg", F.lit(-1).cast("bigint").alias("offset"))
     final = (snap.unionByName(emitted).groupBy("key", "window_start")
@@ -128,7 +135,7 @@ def query_events(spark: SparkSession, sf: str) -> DataFrame:
         src = stream_records_from_files(spark, f"{root}/in")
         q = for_each_update(windowed_stream(src, C.STORE_WINDOW_SECONDS),
                             lambda df, i: df.write.format("noop").mode("overwrite").save(), f"{root}/ckpt",
-                            available_now=True)
+                            available_now=True, state_partitions=_parallelism(spark))
         q.awaitTermination()
         import time
         for _ in range(50):   # listener events arrive asynchronously

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
-from ..functions.columns import cents, decode_long
+from ..functions.columns import cents, decode_long, ntz_to_instant
 from ..operators import scan
 from ..session import table_path
 
@@ -90,9 +90,10 @@ def stream_records_from_files(spark: SparkSession, path: str, *, max_files_per_t
     df = (spark.readStream.schema(RECORD_SCHEMA)
           .option("maxFilesPerTrigger", max_files_per_trigger)
           .parquet(path))
+    ts = ntz_to_instant("ts") if event_time_type == "timestamp" else F.col("ts").cast(event_time_type)
     return (df.where(F.col("key").isNotNull())
               .withColumn("value", F.coalesce(F.col("value"), F.lit(0)))
-              .withColumn("ts", F.col("ts").cast(event_time_type)))
+              .withColumn("ts", ts))
 
 
 def stream_records_from_kafka(spark: SparkSession, bootstrap: str, topic: str = C.SAMPLE_TOPIC, *,

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.columns import instant_to_ntz
+
 
 def state_metadata(spark: SparkSession, checkpoint: str) -> DataFrame:
     return spark.read.format("state-metadata").load(checkpoint)
@@ -42,7 +44,7 @@ def windowed_state_rows(state: DataFrame, key_field: str = "key") -> DataFrame:
                if isinstance(f.dataType, T.StructType) and {"start", "end"} <= set(f.dataType.names))
     return state.select(
         F.col(f"key.{key_field}").alias("key"),
-        F.col(f"key.{win}.start").cast("timestamp_ntz").alias("window_start"),
-        F.col(f"key.{win}.end").cast("timestamp_ntz").alias("window_end"),
+        instant_to_ntz(F.col(f"key.{win}.start")).alias("window_start"),
+        instant_to_ntz(F.col(f"key.{win}.end")).alias("window_end"),
         F.col("value").alias("agg_buffer"),
         F.col("partition_id"))

@@ -14,14 +14,21 @@ are folded with one vectorized cumulative sum per Arrow batch.
 
 from __future__ import annotations
 
+import sys as _sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle as _cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from .. import config as C
+from ..functions.columns import ntz_to_instant
+
+# Executors unpickle the processor; ship this module's code by value so they
+# need no installed copy of the package (same effect as --py-files).
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])
 
 OUTPUT_SCHEMA = "key string, window_start timestamp, agg long, last_offset long"
 
@@ -75,7 +82,7 @@ def bootstrap_stream(records: DataFrame, snapshot: DataFrame, positions: DataFra
              .where(F.col("__pos").isNull() | (F.col("offset") > F.col("__pos")))
              .withColumn("window_start", F.window("ts", f"{size_seconds} seconds").start)
              .select("key", "window_start", "offset", "value"))
-    init = snapshot.select("key", F.col("window_start").cast("timestamp").alias("window_start"),
+    init = snapshot.select("key", ntz_to_instant("window_start").alias("window_start"),
                            F.col("agg").cast("bigint").alias("agg"))
     return (fresh.groupBy("key", "window_start")
             .transformWithStateInPandas(RunningSum(), OUTPUT_SCHEMA, "Update", "None",

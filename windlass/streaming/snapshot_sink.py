@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
-from ..functions.columns import MICROS, epoch_micros
+from ..functions.columns import MICROS, epoch_micros, instant_to_ntz
 from ..operators.restore import restore_with_tail
 from ..sources.snapshots import SnapshotStore
 
@@ -37,6 +37,12 @@ CHANGELOG_SCHEMA = T.StructType([
 ])
 
 
+def _ntz(c: str):
+    """Window bounds of a watermarked stream are ``timestamp``; stored as
+    their UTC wall clock."""
+    return instant_to_ntz(c)
+
+
 def key_partition(key: str, partitions: int):
     return F.pmod(F.hash(F.col(key)), F.lit(partitions)).cast("int")
 
@@ -56,8 +62,8 @@ class SnapshotSink:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         rows = batch.select(key_partition("key", self.partitions).alias("partition"), "key",
-                            F.col("window_start").cast("timestamp_ntz").alias("window_start"),
-                            F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+                            _ntz("window_start").alias("window_start"),
+                            _ntz("window_end").alias("window_end"),
                             F.col("agg").cast("bigint").alias("agg"),
                             F.lit(batch_id).cast("bigint").alias("offset"))
         rows.write.mode("overwrite").parquet(f"{self.changelog_path}/batch_id={batch_id}")

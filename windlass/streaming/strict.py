@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
-from ..functions.columns import MICROS, epoch_micros
+from ..functions.columns import MICROS, epoch_micros, instant_to_ntz
 from ..operators import scan
 from ..sources.snapshots import SnapshotStore
 
@@ -89,7 +89,8 @@ class StrictWindowSink:
         return self._carry_at(batch_id - 1)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        batch = batch.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+        if dict(batch.dtypes)["ts"] == "timestamp":
+            batch = batch.withColumn("ts", instant_to_ntz("ts"))
         carry = self.carry_before(batch_id)
         timed = scan.running(batch, ["topic", "partition"], "offset",
                              [("__run", "max", F.col("ts"))])

@@ -37,7 +37,8 @@ def windowed_stream(records: DataFrame, size_seconds: int = C.SAMPLE_WINDOW_SECO
 
 def for_each_update(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str, *,
                     output_mode: str = "update", available_now: bool = False,
-                    processing_time: str | None = None, query_name: str | None = None) -> StreamingQuery:
+                    processing_time: str | None = None, query_name: str | None = None,
+                    state_partitions: int | None = None) -> StreamingQuery:
     """Hand every emitted batch of (windowed key, value) rows to ``fn``.
 
     ``update`` emits each changed window once per batch (emit on update);
@@ -45,6 +46,10 @@ def for_each_update(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpo
     (emit on window close). ``fn`` gets a DataFrame and the batch id, runs
     on the driver, must accept an empty batch and must consume the whole
     batch (a stateful query checks that every state partition committed).
+
+    ``state_partitions`` fixes the number of state store partitions (it is
+    recorded in the checkpoint at the first start and cannot change later);
+    the session setting is restored once the query has started.
     """
     w = df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint).foreachBatch(fn)
     if query_name:
@@ -53,4 +58,13 @@ def for_each_update(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpo
         w = w.trigger(availableNow=True)
     elif processing_time:
         w = w.trigger(processingTime=processing_time)
-    return w.start()
+    if state_partitions is None:
+        return w.start()
+    spark = df.sparkSession
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return w.start()
+    finally:
+        spark.conf.set(key, before)
