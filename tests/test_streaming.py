@@ -161,3 +161,20 @@ def test_append_rows_equal_last_update_of_closed_windows(spark, batches):
     for k, w, a, b in sorted(upd, key=lambda x: x[3]):
         last[(k, w)] = a
     assert app and all(last[(k, w)] == a for k, w, a, _ in app)
+
+
+def test_kafka_row_decoding(spark):
+    """The Kafka source's projection, on rows shaped like the Kafka source
+    schema (the connector jar is not on this image)."""
+    from windlass.functions.columns import encode_long, ntz_to_instant
+    from windlass.sources.records import decode_kafka_rows
+    recs = read_records(spark, SF001)
+    raw = recs.select(F.col("key").cast("binary").alias("key"), encode_long("value").alias("value"),
+                      "topic", "partition", "offset", ntz_to_instant("ts").alias("timestamp"))
+    nulls = spark.createDataFrame([(None, None, "order", 0, 10 ** 9)],
+                                  "key binary, value binary, topic string, partition int, offset long") \
+        .withColumn("timestamp", F.current_timestamp())
+    got = decode_kafka_rows(raw.unionByName(nulls))
+    assert got.count() == recs.count()
+    a = got.select("partition", "offset", "key", "value")
+    assert a.exceptAll(recs.select("partition", "offset", "key", "value")).count() == 0

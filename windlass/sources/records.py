@@ -114,7 +114,13 @@ def stream_records_from_kafka(spark: SparkSession, bootstrap: str, topic: str =
         reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
-    raw = reader.load()
+    return decode_kafka_rows(reader.load())
+
+
+def decode_kafka_rows(raw: DataFrame) -> DataFrame:
+    """Kafka source rows (key/value binary, topic, partition, offset,
+    timestamp) -> RECORD: String key, Long value (8-byte big-endian),
+    decoded JVM-side. Null keys are skipped, null values fold as 0."""
     return (raw.select(
         F.col("topic"), F.col("partition").cast("int"), F.col("offset").cast("bigint"),
         F.col("timestamp").alias("ts"), F.col("key").cast("string").alias("key"),
