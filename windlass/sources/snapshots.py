@@ -168,7 +168,7 @@ class SnapshotStore:
         not re-read the pointer table."""
         pointer = self.latest() if pointer is None else pointer
         rc = F.col("row_count") if "row_count" in pointer.columns else F.lit(None).cast("bigint")
-        pinned = pointer.select("task", "store", "version", rc.alias("row_count")).collect()
+        pinned = pointer.select("task", "store", "version", rc.alias("row_count")).limit(MAX_POINTERS + 1).collect()
         if len(pinned) > MAX_POINTERS:
             raise ValueError("more snapshot pointers than a metadata table should hold")
         keys = [(r["task"], r["store"], int(r["version"])) for r in pinned]
