@@ -26,7 +26,7 @@ from windlass.operators.restore import state_as_of  # noqa: E402
 from windlass.plans import scenario  # noqa: E402
 from windlass.session import build_session, scratch_dir  # noqa: E402
 from windlass.sources.records import read_records  # noqa: E402
-from windlass.sources.snapshots import SnapshotStore  # noqa: E402
+from windlass.sources.snapshots import SnapshotStore, positions_dict  # noqa: E402
 
 HEADLINE = ["tumbling_sum", "strict_late_drop", "update_stream", "snapshot_state", "restore_with_tail"]
 
@@ -60,7 +60,7 @@ def main() -> None:
 
     def restore_with_tail():
         snap, positions = base.open()
-        run(restore.restore_with_tail(snap, positions, cl))
+        run(restore.restore_with_tail(snap, positions, cl, cut=positions_dict(positions)))
 
     plans = {
         "tumbling_sum": lambda: run(windows.tumbling_sum(read_records(spark, sf, offsets=False))),

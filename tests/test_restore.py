@@ -94,6 +94,10 @@ def test_restore_with_tail_equals_full(spark, store_pipeline, frac):
     got = {(r["key"], r["window_start"]): r["agg"]
            for r in restore.restore_with_tail(snap, pos, cl).collect()}
     assert got == full
+    # the same with the cut pushed into the changelog scan
+    from windlass.sources.snapshots import positions_dict
+    pushed = restore.restore_with_tail(snap, pos, cl, cut=positions_dict(pos))
+    assert {(r["key"], r["window_start"]): r["agg"] for r in pushed.collect()} == full
     # an overlapping tail (replay from earlier than the snapshot) changes nothing
     earlier = pos.select("partition", (F.col("version") - 25).alias("version"))
     tail_from_earlier = cl.join(earlier.withColumnRenamed("version", "v"), "partition").where("offset > v")

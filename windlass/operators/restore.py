@@ -119,14 +119,17 @@ def state_as_of(changelog: DataFrame, positions: DataFrame) -> DataFrame:
     return changelog_compact(cut.where(F.col("offset") <= F.col("version")).drop("version"))
 
 
-def restore_with_tail(snapshot: DataFrame, positions: DataFrame, changelog: DataFrame) -> DataFrame:
+def restore_with_tail(snapshot: DataFrame, positions: DataFrame, changelog: DataFrame, *,
+                      cut: dict[int, int] | None = None) -> DataFrame:
     """State = snapshot rows, then every changelog update after the
     snapshot's position, last write per (key, window).
 
     ``snapshot``: (partition, key, window_start, window_end, agg);
     ``positions``: (partition, version), one row per partition - broadcast.
     A partition without a snapshot replays its whole changelog. Updates are
-    absolute values, so an overlapping tail changes nothing.
+    absolute values, so an overlapping tail changes nothing. ``cut``
+    ({partition: version}, the same positions as a dict) lets the changelog
+    scan skip everything below the smallest version.
     """
     pos = F.broadcast(positions.select("partition", F.col("version").alias("__v")))
     if "version" in snapshot.columns:
@@ -137,6 +140,14 @@ def restore_with_tail(snapshot: DataFrame, positions: DataFrame, changelog: Data
         snap = (snapshot.join(pos, "partition", "left")
                 .select("partition", "key", "window_start", "window_end", "agg",
                         F.coalesce(F.col("__v"), F.lit(-1)).cast("bigint").alias("offset")))
+    if cut:
+        # metadata (one entry per partition): snapshotted partitions are read
+        # from the smallest version on with a filter parquet can push down
+        # (row groups below it are skipped); the others are read whole
+        parts = sorted(int(p) for p in cut)
+        lo = min(int(v) for v in cut.values())
+        changelog = (changelog.where(F.col("partition").isin(parts) & (F.col("offset") > F.lit(lo)))
+                     .unionByName(changelog.where(~F.col("partition").isin(parts))))
     tail = (changelog.join(pos, "partition", "left")
             .where(F.col("__v").isNull() | (F.col("offset") > F.col("__v")))
             .select("partition", "key", "window_start", "window_end", "agg", "offset"))

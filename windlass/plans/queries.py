@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..operators import lateness, offsets, restore, status, windows
 from ..sources.records import events, read_records, task_events
+from ..sources.snapshots import positions_dict
 from . import scenario
 
 HOP_SIZE, HOP_SLIDE = 7_200, 3_600
@@ -185,7 +186,7 @@ def q_snapshot_manifest(spark, sf):
 def q_restore_with_tail(spark, sf):
     store, cl = scenario.publish_snapshots(spark, sf)
     snap, positions = store.open()
-    return restore.restore_with_tail(snap, positions, cl)
+    return restore.restore_with_tail(snap, positions, cl, cut=positions_dict(positions))
 
 
 # -- restore decisions and reports ---------------------------------------------

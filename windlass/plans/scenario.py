@@ -62,7 +62,13 @@ def materialized_changelog(spark: SparkSession, sf: str, root: str) -> DataFrame
     shared folder (it is the changelog topic; later steps read it instead
     of recomputing the lineage)."""
     path = f"{root}/changelog"
-    lateness.changelog(read_records(spark, sf, stream_time=True)).write.partitionBy("partition").parquet(path)
+    # range-partitioned and sorted by (partition, offset): every file and row
+    # group covers a tight offset range, so a tail read skips the old ones;
+    # the range split also spreads a hot partition over many writers
+    (lateness.changelog(read_records(spark, sf, stream_time=True))
+        .repartitionByRange("partition", "offset")
+        .sortWithinPartitions("partition", "offset")
+        .write.partitionBy("partition").parquet(path))
     return spark.read.parquet(path)
 
 

@@ -254,6 +254,15 @@ def _missing_path(e: Exception) -> bool:
     return "PATH_NOT_FOUND" in msg or "does not exist" in msg
 
 
+def positions_dict(positions: DataFrame) -> dict[int, int]:
+    """{partition: version} of a positions table (metadata, one row per
+    partition), for pushing a tail cut into a changelog scan."""
+    rows = positions.limit(MAX_POINTERS + 1).collect()
+    if len(rows) > MAX_POINTERS:
+        raise ValueError("more positions than a metadata table should hold")
+    return {int(r["partition"]): int(r["version"]) for r in rows}
+
+
 def pointer_positions(pointer: DataFrame) -> DataFrame:
     """(partition, version) of pointer rows: the task name ``<n>_<p>``
     carries the partition. One row per task (metadata)."""
