@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from windlass.session import scratch_dir, table_path
@@ -39,3 +39,31 @@ def width(spark: SparkSession, rows: int, rows_per_partition: int) -> int:
 def whole_text(col: str):
     """The text column as a string, null as the empty text."""
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
+
+
+def wrapped(docs: DataFrame, **columns) -> DataFrame:
+    """Each row as one struct column ``row`` beside working columns, so that no
+    name of the input can clash with them; ``unwrapped`` undoes it."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       *[c.alias(n) for n, c in columns.items()])
+
+
+def unwrapped(rows: DataFrame) -> DataFrame:
+    return rows.select("row.*")
+
+
+SMALL_SIDE = 50_000
+
+
+def join_small(rows: DataFrame, few: DataFrame, on: list[str]) -> DataFrame:
+    """Left join with a table that is expected to be small: its rows are counted,
+    and it is broadcast only up to ``SMALL_SIDE`` of them."""
+    few = write_table(few, "small")
+    return rows.join(F.broadcast(few) if few.count() <= SMALL_SIDE else few, on, "left")
+
+
+def one_row_each(rows: DataFrame, kept: DataFrame, on: list[str]) -> DataFrame:
+    """Of ``wrapped`` rows, one for each key of ``kept``."""
+    found = rows.join(kept, on, "left_semi")
+    first = F.row_number().over(Window.partitionBy(*on).orderBy(F.lit(0)))
+    return unwrapped(found.withColumn("nth", first).filter("nth = 1"))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from windlass.llm.common import whole_text, width, write_table
+from windlass.llm.common import one_row_each, whole_text, width, wrapped, write_table
 
 SLOTS = 4  # fingerprints per bucket
 MAX_KICKS = 200
@@ -326,3 +326,11 @@ def _verdicts(keys: DataFrame, index: DataFrame) -> DataFrame:
     copy = F.row_number().over(Window.partitionBy("digest", "doc_id").orderBy("digest"))
     tied_rows = again.withColumn("copy", copy).select(*cols, (F.col("copy") == 1).alias("kept"), sha)
     return single.unionByName(tied_rows)
+
+
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that :func:`exact_dedup` keeps."""
+    verdict = exact_dedup(docs, id_col, text_col).filter("kept")
+    kept = verdict.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.col("text_sha256").alias("sha"))
+    rows = wrapped(docs, id=F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)), sha=F.sha2(whole_text(text_col), 256))
+    return one_row_each(rows, kept, ["id", "sha"])

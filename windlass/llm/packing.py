@@ -278,7 +278,7 @@ def pack_documents(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id",
         res["doc_id"] = res["doc_id"].astype("Int64")
         return res
 
-    parts = width(spark, groups, 20)
+    parts = width(spark, groups, 5)
     return (docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
             .mapInArrow(tokenised, "grp long, doc_id long, ids binary, wide int")
             .repartition(parts, "grp").groupBy("grp").applyInPandas(packed, PIECES))
