@@ -1,0 +1,90 @@
+import math
+
+import numpy as np
+
+from windlass.llm import ann
+
+NAN, INF = float("nan"), float("inf")
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(i, v, 1, "q", 0.5) for i, v in rows],
+                                 "vec_id long, embedding array<float>, label int, v string, score double")
+
+
+def brute(rows, every=100, top=10):
+    dim = 4
+    ok = [(i, np.array(v, np.float32).astype(float)) for i, v in {(i, tuple(v)): (i, v) for i, v in rows
+          if i is not None and v and None not in v and len(v) == dim and np.isfinite(v).all() and any(v)}.values()]
+    out = []
+    for q, qv in ok:
+        if q % every == 0:
+            near = sorted((math.sqrt(((qv - v) ** 2).sum()), i) for i, v in ok if i != q)[:top]
+            out += [(q, k + 1, i, d) for k, (d, i) in enumerate(near)]
+    return sorted(out)
+
+
+def found(df):
+    assert df.columns == ["query_id", "rank", "vec_id", "score"]
+    assert dict(df.dtypes) == {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "double"}
+    return sorted(map(tuple, df.collect()))
+
+
+def same(got, want):
+    assert [g[:3] for g in got] == [w[:3] for w in want]
+    assert np.allclose([g[3] for g in got], [w[3] for w in want], rtol=0, atol=1e-12)
+
+
+def test_awkward_vectors_and_ties(spark):
+    rows = [(0, [1.0, 2.0, 3.0, 4.0]), (100, [1.0, 2.0, 3.0, 4.0]), (3, None), (4, [0.0] * 4), (5, [1.0, None, 2.0, 3.0]),
+            (6, [NAN, 1.0, 1.0, 1.0]), (7, [INF, 1.0, 1.0, 1.0]), (8, [1.0, 2.0]), (None, [1.0, 1.0, 1.0, 1.0]), (9, []),
+            (200, None), (300, [0.0] * 4), (11, [1.0, 2.0, 3.0, 5.0]), (10, [1.0, 2.0, 3.0, 3.0]), (11, [1.0, 2.0, 3.0, 5.0]),
+            (12, [9.0, 9.0, 9.0, 9.0])]
+    same(found(ann.search(table(spark, rows))), brute(rows))
+
+
+def test_hot_vector_and_blocks(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK", 50)
+    monkeypatch.setattr(ann, "CHUNK", 3)
+    r = np.random.default_rng(1)
+    rows = [(i, [1.0, 1.0, 0.0, 0.5] if i % 3 == 0 else r.normal(size=4).tolist()) for i in range(900)]
+    got, want = found(ann.search(table(spark, rows))), brute(rows)
+    assert {g[0] for g in got} == {w[0] for w in want} and len(got) == len(want)
+    assert len({g[:1] + g[2:3] for g in got} & {w[:1] + w[2:3] for w in want}) >= 0.9 * len(want)
+    hot = [g for g in got if g[0] == 300]
+    assert [g[2] for g in hot] == [0, 3, 6, 9, 12, 15, 18, 21, 24, 27] and all(g[3] == 0 for g in hot)
+
+
+def test_empty_tables(spark):
+    assert ann.search(table(spark, [])).count() == 0
+    assert ann.search(table(spark, [(1, [1.0, 2.0])])).count() == 0
+    assert ann.search(table(spark, [(100, [1.0, 2.0])])).count() == 0
+    assert ann.search(table(spark, [(100, None)])).count() == 0
+
+
+def test_walk_visits_cells_by_summed_distance():
+    r = np.random.default_rng(3)
+    first, second = r.random(7), r.random(9)
+    counts = r.integers(0, 3, (7, 9))
+    cells = ann.walk(first, second, counts, math.inf)
+    want = sorted((first[i] + second[j], i, j) for i in range(7) for j in range(9) if counts[i, j])
+    assert cells == [(i, j) for _, i, j in want]
+    some = ann.walk(first, second, counts, 5)
+    assert cells[:len(some)] == some and sum(counts[c] for c in some) >= 5 > sum(counts[c] for c in some[:-1])
+
+
+def test_recall_on_the_test_table(spark):
+    vectors = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = vectors.collect()
+    ids, v = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], dtype=float)
+    got = found(ann.search(vectors))
+    hit = total = 0
+    for q in np.flatnonzero(ids % 100 == 0):
+        d = np.sqrt(((v - v[q]) ** 2).sum(1))
+        d[q] = np.inf
+        true = set(ids[np.lexsort((ids, d))[:10]].tolist())
+        mine = [g for g in got if g[0] == ids[q]]
+        assert [g[1] for g in mine] == list(range(1, 11))
+        assert mine == sorted(mine, key=lambda g: (g[3], g[2]))
+        hit, total = hit + len(true & {g[2] for g in mine}), total + 10
+    assert hit / total >= 0.9

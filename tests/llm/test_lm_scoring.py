@@ -1,0 +1,76 @@
+import numpy as np
+import pytest
+from helpers import LONG, awkward_docs
+
+from windlass.llm import lm_scoring as lm
+from windlass.llm.byte_classes import SIZE, TABLE
+
+
+def brute_score(network, text):
+    """Every place of the text put through the network by itself."""
+    raw = (text or "").encode().translate(TABLE)
+    row = [0, 0, *raw, 0, 0]
+    total = 0.0
+    tables, bias, out, out_bias = [w.astype(float) for w in network.weights]
+    for i in range(2, len(row) - 2):
+        h = np.tanh(bias + sum(tables[k][row[i + d]] for k, d in enumerate((-1, 1, -2, 2))))
+        z = h @ out + out_bias
+        total += z[row[i]] - np.log(np.exp(z - z.max()).sum()) - z.max()
+    return total
+
+
+def test_scores_match_brute_force(spark):
+    rows = [(1, "the cat sat on the mat, and it was there.", "en"), (2, None, None), (3, "", "x"), (4, "É 12!\n日本", "fr"),
+            (None, "a", None), (4, "É 12!\n日本", "fr"), (5, LONG, "en")]
+    docs = awkward_docs(spark, rows)
+    network = lm.WindowNetwork(seed=3)
+    out = lm.score_with(docs, network).collect()
+    assert len(out) == len(rows)
+    by = {r.doc_id: r for r in out}
+    for i, t, _ in rows[:6]:
+        assert by[i].score == pytest.approx(brute_score(network, t), rel=1e-4, abs=1e-4)
+        assert by[i].n_tokens == len((t or "").encode())
+    assert by[2].score == by[3].score == 0
+
+
+def test_full_cache_changes_nothing(monkeypatch):
+    network = lm.WindowNetwork(seed=3)
+    r = np.random.default_rng(1)
+    around = (r.integers(0, SIZE, (500, 4)) << np.arange(0, 24, 6)).sum(axis=1)
+    target = r.integers(0, SIZE, 500)
+    want = network.log_probs(lm.unpack(around))[np.arange(500), target]
+    monkeypatch.setattr(lm, "MAX_KNOWN", 40)
+    known = lm.KnownSurroundings(network)
+    got = np.concatenate([known.look_up(around[i:i + 25], target[i:i + 25]) for i in range(0, 500, 25)])
+    assert np.allclose(got, want, atol=1e-5)
+
+
+def test_counts_cover_every_place_of_every_document(spark):
+    rows = [(i, f"text number {i} of many", "en") for i in range(50)] + [(None, None, None), (7, "text", "x")]
+    counts = lm.window_counts(awkward_docs(spark, rows)).collect()
+    assert sum(r.n for r in counts) == sum(len(t or "") for _, t, _ in rows)
+    assert len({r.replica for r in counts}) > 1
+
+
+def test_training_prefers_what_it_has_seen(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    network = lm.fit(docs, rounds=2)
+    good, bad = "the and that of the with this", "zqx%%vkw##jjq&&xzq"
+    untrained = lm.WindowNetwork()
+    mean = lambda n, t: brute_score(n, t) / len(t)
+    assert mean(network, good) > mean(network, bad) + 1
+    assert mean(network, good) > mean(untrained, good) + 1
+
+
+def test_gradient_step_lowers_the_loss():
+    r = np.random.default_rng(0)
+    around, target = r.integers(0, SIZE, (4000, 4)), r.integers(0, 3, 4000)
+    network = lm.WindowNetwork()
+    loss = lambda: -network.log_probs(around)[np.arange(4000), target].mean()
+    before = loss()
+    network.train(around, target, np.ones(4000), seed=1)
+    assert loss() < before - 0.5
+
+
+def test_empty_table(spark):
+    assert lm.pseudo_likelihood(awkward_docs(spark, [])).count() == 0

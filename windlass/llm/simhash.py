@@ -88,16 +88,17 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp) of every row; fp is the fingerprint's bits as a signed long."""
+    """(doc_id, xx, fp) of every row: fp the fingerprint's bits as a signed long, xx a hash of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column(1).cast(pa.binary())
             fps = np.array([fingerprint(t.as_py(), shingle) for t in texts], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(fps)], names=["doc_id", "xx", "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text")).mapInArrow(
-        run, "doc_id long, fp long")
+    text = whole_text(text_col)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("xx")).mapInArrow(
+        run, "doc_id long, xx long, fp long")
 
 
 def pivot_table(fps: np.ndarray) -> np.ndarray:
@@ -273,31 +274,39 @@ def near_dedup(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS
     Null text counts as empty; texts without words have fingerprint zero, which
     links like any other; texts with fewer words than a shingle are one shingle.
     A null id is larger than every id: component_id is null only if all of a
-    component's ids are. Repeated rows stay repeated. Other columns are not
-    read; an empty table gives an empty result.
+    component's ids are. Repeated rows stay repeated; rows that share an id but
+    not a fingerprint are documents of their own. Other columns are not read; an
+    empty table gives an empty result.
     """
-    spark = docs.sparkSession
+    component = F.col("top")
+    return _classes(docs, shingle, max_bits, id_col, text_col).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.when(component != LAST_ID, component).alias("component_id"))
+
+
+def _classes(docs: DataFrame, shingle: int, max_bits: int, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, xx, fp, root, top): root names the component by a fingerprint of its
+    own, top is its smallest id (``LAST_ID`` for null)."""
     prints = write_table(fingerprints(docs, shingle, id_col, text_col), "simhash-prints")
-    groups = write_table(prints.groupBy("fp").agg(F.min(F.coalesce("doc_id", F.lit(LAST_ID))).alias("low"),
-                                                  F.count(F.lit(1)).alias("n")), "simhash-groups")
+    own = F.coalesce("doc_id", F.lit(LAST_ID))
+    groups = write_table(prints.groupBy("fp").agg(F.min(own).alias("low"), F.count(F.lit(1)).alias("n")), "simhash-groups")
     links = link_fingerprints(groups.select("fp"), groups.count(), max_bits)
-    low_a = groups.select(F.col("fp").alias("a"), F.col("low").alias("src"))
-    low_b = groups.select(F.col("fp").alias("b"), F.col("low").alias("dst"))
-    # several fingerprints may share an id if ids repeat; they are then one vertex, as the document is one
-    tops = components(links.distinct().join(low_a, "a").join(low_b, "b").select("src", "dst"))
-    tops = tops.select(F.col("src").alias("low"), F.col("dst").alias("top"))
-    shared = (groups.join(tops, "low", "left").filter("n > 1 or top is not null")
-              .select("fp", F.coalesce("top", "low").alias("top")))
-    component = F.coalesce("top", "doc_id")
+    roots = components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")))
+    rooted = groups.join(roots.select(F.col("src").alias("fp"), F.col("dst").alias("up")), "fp", "left").select(
+        "fp", "low", "n", F.coalesce("up", "fp").alias("root"))
+    tops = rooted.groupBy("root").agg(F.min("low").alias("top"), F.sum("n").alias("rows"))
+    # a row alone in its component needs no look-up
+    shared = rooted.join(tops.filter("rows > 1"), "root").select("fp", "root", "top")
     return prints.join(shared, "fp", "left").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        F.when(component != LAST_ID, component).alias("component_id"))
+        "doc_id", "xx", "fp", F.coalesce("root", "fp").alias("root"), F.coalesce("top", own).alias("top"))
 
 
 def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, with one document of each component of
-    :func:`near_dedup`: the one of the smallest id (rows that share it: one of them)."""
-    kept = near_dedup(docs, shingle, max_bits, id_col, text_col).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    rows = wrapped(docs, id=F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)))
-    return one_row_each(rows, kept.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("id")), ["id"])
+    :func:`near_dedup`: the one of the smallest id (of rows that share it, one)."""
+    own = F.coalesce(F.col("doc_id"), F.lit(LAST_ID))
+    first = _classes(docs, shingle, max_bits, id_col, text_col).filter(own == F.col("top"))
+    kept = first.groupBy("root", "top").agg(F.min("xx").alias("xx")).select(F.col("top").alias("id"), "xx")
+    rows = wrapped(docs, id=F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)), xx=F.xxhash64(whole_text(text_col)))
+    return one_row_each(rows, kept, ["id", "xx"])
