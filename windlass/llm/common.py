@@ -16,15 +16,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def write_table(df: DataFrame, tag: str) -> DataFrame:
+ROWS_PER_FILE = 500_000
+
+
+def write_table(df: DataFrame, tag: str, rows: int | None = None) -> DataFrame:
     """Write ``df`` to a fresh folder under ``spark.checkpoint.dir`` and reread it.
 
     Used where two branches read the same derived rows, and to cut lineage in
     loops: the copy is on the shared file system, so a lost executor costs
-    nothing but its running tasks.
+    nothing but its running tasks. With ``rows``, a bound on the rows of a narrow
+    table, it is written by a task per ``ROWS_PER_FILE`` instead of a small file
+    per shuffle partition.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, "llm", tag)
+    if rows is not None:
+        df = df.coalesce(math.ceil(rows / ROWS_PER_FILE) + 1)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -23,7 +23,7 @@ def components(links: DataFrame) -> DataFrame:
     now = write_table(both_ways.distinct(), "links")
     seen = _sum(now)
     while seen[0]:
-        now = write_table(_round(now), "links")
+        now = write_table(_round(now), "links", seen[0])  # links never grow in number
         after = _sum(now)
         if after == seen:
             break

@@ -289,7 +289,8 @@ def _classes(docs: DataFrame, shingle: int, max_bits: int, id_col: str, text_col
     own, top is its smallest id (``LAST_ID`` for null)."""
     prints = write_table(fingerprints(docs, shingle, id_col, text_col), "simhash-prints")
     own = F.coalesce("doc_id", F.lit(LAST_ID))
-    groups = write_table(prints.groupBy("fp").agg(F.min(own).alias("low"), F.count(F.lit(1)).alias("n")), "simhash-groups")
+    groups = write_table(prints.groupBy("fp").agg(F.min(own).alias("low"), F.count(F.lit(1)).alias("n")), "simhash-groups",
+                         prints.count())
     links = link_fingerprints(groups.select("fp"), groups.count(), max_bits)
     roots = components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")))
     rooted = groups.join(roots.select(F.col("src").alias("fp"), F.col("dst").alias("up")), "fp", "left").select(
