@@ -5,8 +5,8 @@ Entry points: :mod:`windlass.sources.records` (RECORD), the operators in
 streams in :mod:`windlass.streaming`, and :mod:`windlass.api`.
 """
 
-from .config import SnapshotOptions, WindowSpec
+from .config import SnapshotOptions
 from .session import build_session, ensure_checkpoint_dir
 
-__all__ = ["SnapshotOptions", "WindowSpec", "build_session", "ensure_checkpoint_dir"]
+__all__ = ["SnapshotOptions", "build_session", "ensure_checkpoint_dir"]
 __version__ = "0.1.0"

@@ -6,7 +6,7 @@ parameters of the windowed-state library and of its sample program).
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # --- fixed values -----------------------------------------------------------
 # restore: fetch a remote snapshot only if local + threshold < remote (strict)
@@ -73,28 +73,10 @@ class SnapshotOptions:
     """
 
     path: str
-    app_id: str = SAMPLE_APPLICATION_ID
+    app_id: str
     store: str = STORE_NAME
     every_n: int = DEFAULT_SNAPSHOT_FREQUENCY
     threshold: int = RESTORE_OFFSET_THRESHOLD
     segment_seconds: int = segment_interval_seconds(STORE_RETENTION_SECONDS)
     retention_seconds: int | None = None
     max_records_per_file: int = 5_000_000
-
-
-@dataclass(frozen=True)
-class WindowSpec:
-    """Tumbling (slide None) or hopping window with a grace period."""
-
-    size_seconds: int = SAMPLE_WINDOW_SECONDS
-    slide_seconds: int | None = None
-    grace_seconds: int = SAMPLE_GRACE_SECONDS
-    extra: dict = field(default_factory=dict)
-
-    @property
-    def size(self) -> str:
-        return f"{self.size_seconds} seconds"
-
-    @property
-    def slide(self) -> str | None:
-        return None if self.slide_seconds is None else f"{self.slide_seconds} seconds"

@@ -57,18 +57,6 @@ def instant_to_ntz(ts: str | Column) -> Column:
     return micros_to_ntz(F.unix_micros(col(ts)))
 
 
-def window_start_micros(ts: str | Column, size_seconds: int) -> Column:
-    """Epoch-aligned tumbling window start (floor division, negatives too)."""
-    size = size_seconds * MICROS
-    return F.floor(epoch_micros(ts) / F.lit(size)).cast("bigint") * F.lit(size)
-
-
-def tumbling_bounds(ts: str | Column, size_seconds: int) -> tuple[Column, Column]:
-    """(window_start, window_end) as timestamp_ntz, same grid as F.window."""
-    start = window_start_micros(ts, size_seconds)
-    return micros_to_ntz(start), micros_to_ntz(start + F.lit(size_seconds * MICROS))
-
-
 def segment_id(window_start: str | Column, segment_seconds: int) -> Column:
     """Time slice of the store a window belongs to."""
     return F.floor(epoch_micros(window_start) / F.lit(segment_seconds * MICROS)).cast("bigint")

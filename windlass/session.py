@@ -56,14 +56,15 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder; set one only where it is unset.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared filesystem (HDFS,
-    object store). Only when nothing is configured (tests, a laptop) do we
-    create a fresh local folder.
+    On a cluster ``spark.checkpoint.dir`` must name a shared filesystem (HDFS,
+    object store): without it this raises, as executors could not see a folder
+    of the driver's machine. Only a ``local`` master (tests, a laptop) gets a
+    fresh local folder.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="windlass-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -72,11 +73,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_dir(spark: SparkSession, *parts: str) -> str:
-    """A fresh, unique directory under the shared checkpoint folder."""
-    root = ensure_checkpoint_dir(spark)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    return os.path.join(root, "windlass", *parts, uuid.uuid4().hex)
+    """A fresh, unique directory under the shared checkpoint folder (its URI kept whole)."""
+    return os.path.join(ensure_checkpoint_dir(spark), "windlass", *parts, uuid.uuid4().hex)
 
 
 def table_path(sf_dir: str, name: str) -> str:
