@@ -101,13 +101,13 @@ def changelog_offsets(records: DataFrame, *, app_id: str = C.SAMPLE_APPLICATION_
 
 
 def partition_stream_time(records: DataFrame) -> DataFrame:
-    """Final stream time per topic partition (a partial aggregate)."""
-    return records.groupBy("topic", "partition").agg(F.max("ts").alias("stream_time"))
+    """Final stream time per topic partition (a partial aggregate). Records without a
+    key take no part in the late rule, so they don't move it either."""
+    return _keyed(records).groupBy("topic", "partition").agg(F.max("ts").alias("stream_time"))
 
 
 def _with_partition_time(state: DataFrame, records: DataFrame) -> DataFrame:
-    # one row per topic partition: bounded by the partition count
-    return state.join(F.broadcast(partition_stream_time(records)), ["topic", "partition"])
+    return state.join(partition_stream_time(records), ["topic", "partition"])
 
 
 def final_windows(records: DataFrame, size_seconds: int = C.STORE_WINDOW_SECONDS,

@@ -33,24 +33,6 @@ def source_positions(records: DataFrame) -> DataFrame:
                    .agg(F.max("offset").alias("position"), F.count(F.lit(1)).alias("records")))
 
 
-def checkpoint_at(changelog: DataFrame, cond, *, app_id: str = C.SAMPLE_APPLICATION_ID) -> DataFrame:
-    """OFFSETS as of a cut: last changelog offset per store partition among
-    rows satisfying ``cond``."""
-    return (changelog.where(cond)
-            .groupBy("topic", "partition", "store")
-            .agg(F.max("offset").alias("offset"))
-            .select(F.lit(app_id).alias("app"), task_id().alias("task"), "store", "topic",
-                    "partition", "offset"))
-
-
-def end_offsets(changelog: DataFrame, *, app_id: str = C.SAMPLE_APPLICATION_ID) -> DataFrame:
-    """Log-end offset per store partition (next offset to be written)."""
-    return (changelog.groupBy("topic", "partition", "store")
-            .agg((F.max("offset") + 1).alias("end_offset"))
-            .select(F.lit(app_id).alias("app"), task_id().alias("task"), "store", "topic",
-                    "partition", "end_offset"))
-
-
 def lag_report(end: DataFrame, current: DataFrame, *,
                acceptable_lag: int = C.ACCEPTABLE_RECOVERY_LAG) -> DataFrame:
     """Per store partition: end offset minus the offset the local state has

@@ -10,7 +10,7 @@ partial row per input split.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -54,7 +54,7 @@ def restore_decision(local: DataFrame, remote: DataFrame, *, threshold: int = C.
     has_local = F.coalesce(F.col("local_exists"), F.lit(False))
     reason = (F.when(n == 0, F.lit("no remote checkpoint"))
                .when(~has_local, F.lit("no local checkpoint"))
-               .when(~single, F.lit("remote checkpoint has more than one offset"))
+               .when(~single, F.lit("remote checkpoint names several partitions"))
                .when(F.col("local_offset").isNull(), F.lit("partition missing locally"))
                .when(F.col("local_offset") + F.lit(threshold) < F.col("r_offset"),
                      F.lit("local behind remote by more than threshold"))
@@ -69,12 +69,14 @@ def restore_decision(local: DataFrame, remote: DataFrame, *, threshold: int = C.
                    local_offset.alias("local_offset"), remote_offset.alias("remote_offset"),
                    fetch.alias("should_fetch"), reason.alias("reason"))
     if status is not None:
-        st = status.select(F.col("partition").alias("__p"), F.col("store").alias("__s"), "restoring")
-        out = (out.join(st, (out["partition"] == st["__p"]) & (out["store"] == st["__s"]), "left")
+        # a store's own partition is the number its task name ends in
+        own = F.regexp_extract("task", r"_(\d+)$", 1).cast("int")
+        st = status.select(F.col("partition").alias("__p"), "store", "restoring")
+        out = (out.withColumn("__p", own).join(st, ["__p", "store"], "left")
                   .withColumn("reason", F.when(F.col("restoring"), F.lit("store already restoring"))
                               .otherwise(F.col("reason")))
                   .withColumn("should_fetch", F.col("should_fetch") & ~F.coalesce(F.col("restoring"), F.lit(False)))
-                  .drop("__p", "__s", "restoring"))
+                  .select(*out.columns))
     return out
 
 
@@ -102,59 +104,63 @@ def merge_errors(local: DataFrame, remote: DataFrame) -> DataFrame:
     return local.select("app", "task").distinct().join(remote.select("app", "task"), ["app", "task"], "left_anti")
 
 
+def _values(df: DataFrame) -> list[str]:
+    """Value columns of a changelog or state table."""
+    known = {"topic", "partition", "store", "offset", "ts", "key", "window_start", "window_end", "batch_id", "version",
+             "segment_id", "task", "attempt"}
+    return [c for c in df.columns if c not in known]
+
+
+def _last_write(rows: DataFrame, values: list[str]) -> DataFrame:
+    """Per window the values of the highest offset; a window whose values are all null was deleted."""
+    gone = F.lit(True)
+    for v in values:
+        gone = gone & F.col(v).isNull()
+    return (rows.groupBy("topic", "partition", "key", "window_start", "window_end")
+            .agg(F.max_by(F.struct(*values), "offset").alias("__last"), F.max("offset").alias("offset"))
+            .select("topic", "partition", "key", "window_start", "window_end", "__last.*", "offset")
+            .where(~gone))
+
+
 def changelog_compact(changelog: DataFrame) -> DataFrame:
-    """Last record per (key, window) of a changelog; tombstones (null agg)
-    dropped after compaction."""
-    return (changelog.groupBy("partition", "key", "window_start", "window_end")
-            .agg(F.max_by("agg", "offset").alias("agg"), F.max("offset").alias("offset"))
-            .where(F.col("agg").isNotNull()))
+    """Last record per topic partition, key and window of a changelog;
+    tombstones (null values) dropped after compaction."""
+    return _last_write(changelog, _values(changelog))
 
 
 def state_as_of(changelog: DataFrame, positions: DataFrame) -> DataFrame:
-    """Store state as of a changelog position per partition: last write per
-    (key, window) among updates with ``offset <= version``.
-
-    ``positions`` (partition, version) has one row per partition."""
-    cut = changelog.join(F.broadcast(positions.select("partition", "version")), "partition")
+    """Store state as of a changelog position per topic partition: last write per
+    window among updates with ``offset <= version``. ``positions``: (topic,
+    partition, version)."""
+    cut = changelog.join(positions.select("topic", "partition", "version"), ["topic", "partition"])
     return changelog_compact(cut.where(F.col("offset") <= F.col("version")).drop("version"))
 
 
 def restore_with_tail(snapshot: DataFrame, positions: DataFrame, changelog: DataFrame, *,
-                      cut: dict[int, int] | None = None) -> DataFrame:
+                      cut: Column | None = None) -> DataFrame:
     """State = snapshot rows, then every changelog update after the
-    snapshot's position, last write per (key, window).
-
-    ``snapshot``: (partition, key, window_start, window_end, agg);
-    ``positions``: (partition, version), one row per partition - broadcast.
-    A partition without a snapshot replays its whole changelog. Updates are
-    absolute values, so an overlapping tail changes nothing. ``cut``
-    ({partition: version}, the same positions as a dict) lets the changelog
-    scan skip everything below the smallest version.
+    snapshot's position, last write per window.
+
+    ``snapshot``: (topic, partition, key, window_start, window_end, values...,
+    optional version); ``positions``: (topic, partition, version). A partition
+    without a snapshot replays its whole changelog. Updates are absolute values,
+    so an overlapping tail changes nothing. ``cut`` (see
+    ``sources.snapshots.tail_filter``) says the same as the positions in a form
+    the changelog scan can push down, partition by partition.
     """
-    pos = F.broadcast(positions.select("partition", F.col("version").alias("__v")))
+    where = ["topic", "partition"]
+    pos = positions.select(*where, F.col("version").cast("bigint").alias("__v"))
+    values = _values(changelog)
+    keys = [*where, "key", "window_start", "window_end"]
     if "version" in snapshot.columns:
-        # snapshot files carry their version: no join needed on this side
-        snap = snapshot.select("partition", "key", "window_start", "window_end", "agg",
-                               F.col("version").cast("bigint").alias("offset"))
+        # snapshot rows carry their version: no join needed on this side
+        snap = snapshot.select(*keys, *values, F.col("version").cast("bigint").alias("offset"))
     else:
-        snap = (snapshot.join(pos, "partition", "left")
-                .select("partition", "key", "window_start", "window_end", "agg",
-                        F.coalesce(F.col("__v"), F.lit(-1)).cast("bigint").alias("offset")))
-    if cut:
-        # metadata (one entry per partition): snapshotted partitions are read
-        # from the smallest version on with a filter parquet can push down
-        # (row groups below it are skipped); the others are read whole
-        parts = sorted(int(p) for p in cut)
-        lo = min(int(v) for v in cut.values())
-        changelog = (changelog.where(F.col("partition").isin(parts) & (F.col("offset") > F.lit(lo)))
-                     .unionByName(changelog.where(~F.col("partition").isin(parts))))
-    tail = (changelog.join(pos, "partition", "left")
+        snap = (snapshot.join(pos, where, "left")
+                .select(*keys, *values, F.coalesce(F.col("__v"), F.lit(-1)).cast("bigint").alias("offset")))
+    if cut is not None:
+        changelog = changelog.where(cut)
+    tail = (changelog.join(pos, where, "left")
             .where(F.col("__v").isNull() | (F.col("offset") > F.col("__v")))
-            .select("partition", "key", "window_start", "window_end", "agg", "offset"))
-    merged = snap.unionByName(tail)
-    return (merged.groupBy("key", "window_start", "window_end")
-            .agg(F.max_by("agg", "offset").alias("agg"))
-            .where(F.col("agg").isNotNull()))
-
-
-
+            .select(*keys, *values, "offset"))
+    return _last_write(snap.unionByName(tail), values).drop("offset")

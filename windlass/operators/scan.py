@@ -15,11 +15,15 @@ computation here is a two-level scan:
    so one (group, block) holds at most ``span`` rows;
 2. the within-block running value is a window over (group, block) - one
    hash exchange of the data, bounded partitions;
-3. per (group, block) totals come out of that same exchange (no second
-   shuffle of the rows), and an exclusive prefix over blocks is a window
-   over the *block table*, which is ``span`` times smaller than the data;
-4. the block prefix is joined back on (group, block); the row side is
-   already partitioned on those keys, so only the block table moves.
+3. per (group, block) totals are a second branch over the same exchange (the
+   window's input is read twice, and adaptive execution usually reuses the
+   exchange); an exclusive prefix over blocks is a window over the block table;
+4. the prefix is joined back for the blocks that have an earlier one. A group
+   within one block has none, so what is joined is small unless groups really
+   span blocks.
+
+Each level reads its input for two branches: nested scans multiply that, and
+a long chain is better cut by a written table.
 
 All of it is declared with DataFrame operators; Catalyst keeps the
 expressions in whole-stage codegen.
@@ -79,14 +83,17 @@ def block_of(order: str | Column, span: int | None = None) -> Column:
 def _join_back(rows: DataFrame, blocks: DataFrame, by: Sequence[str]) -> DataFrame:
     """Join block-level columns back on (by, block).
 
-    Plain equi-keys in the same order as the window's partitioning, so the
-    row side keeps its exchange (no second shuffle of the rows) and the
-    exchange feeding the block totals is reused. Left join: no row is ever
-    dropped. Group keys are non-null in every caller (null keys are
-    skipped upstream); a null group would only miss its cross-block prefix.
+    ``blocks`` holds only blocks that have an earlier one in their group, which
+    for most groups is none, so it is small and usually broadcast by size. Left
+    join: no row is ever dropped; null groups match null groups.
     """
     keys = [*by, _BLK]
-    return rows.join(blocks, on=keys, how="left")
+    named = blocks.select(*[F.col(k).alias(f"__r{i}") for i, k in enumerate(keys)],
+                          *[c for c in blocks.columns if c not in keys])
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__r{i}"))
+    return rows.join(named, same, "left").drop(*[f"__r{i}" for i in range(len(keys))])
 
 
 def running(df: DataFrame, by: Sequence[str], order: Sequence[str] | str,
@@ -113,10 +120,12 @@ def running(df: DataFrame, by: Sequence[str], order: Sequence[str] | str,
     # block totals from the same exchange as the within-block window
     totals = rows.groupBy(*by, _BLK).agg(
         *[_ROW_AGG[kind](value).alias(f"__bt_{name}") for name, kind, value in aggs])
-    wb = Window.partitionBy(*by).orderBy(_BLK).rowsBetween(Window.unboundedPreceding, -1)
+    wb = Window.partitionBy(*by).orderBy(_BLK)
+    before = wb.rowsBetween(Window.unboundedPreceding, -1)
     prefix = totals.select(
-        *by, _BLK, *[_PREFIX_AGG[kind](F.col(f"__bt_{name}")).over(wb).alias(f"__bp_{name}")
-                     for name, kind, _ in aggs])
+        *by, _BLK, F.row_number().over(wb).alias("__nth"),
+        *[_PREFIX_AGG[kind](F.col(f"__bt_{name}")).over(before).alias(f"__bp_{name}")
+          for name, kind, _ in aggs]).where("__nth > 1").drop("__nth")
     out = _join_back(rows, prefix, by)
     for name, kind, _ in aggs:
         inner = F.col(f"__in_{name}")
@@ -138,29 +147,6 @@ def row_number(df: DataFrame, by: Sequence[str], order: Sequence[str] | str, nam
     return out.withColumn(name, (F.col(name) - F.lit(1 - start)).cast("bigint"))
 
 
-def previous(df: DataFrame, by: Sequence[str], order: Sequence[str] | str, value: str,
-             name: str, *, span: int | None = None, block: Column | None = None) -> DataFrame:
-    """``lag(value) over (partition by by order by order)``, block-parallel.
-
-    The first row of a block takes the last value of the nearest earlier
-    non-empty block of its group.
-    """
-    order = [order] if isinstance(order, str) else list(order)
-    by = list(by)
-    blk = block if block is not None else block_of(order[0], span)
-    d = df.withColumn(_BLK, blk)
-    wi = Window.partitionBy(*by, _BLK).orderBy(*order)
-    rows = d.withColumn("__lag", F.lag(value).over(wi)).withColumn("__rn", F.row_number().over(wi))
-    last_key = F.struct(*[F.col(o) for o in order])
-    tails = rows.groupBy(*by, _BLK).agg(F.max_by(F.col(value), last_key).alias("__tail"))
-    wb = Window.partitionBy(*by).orderBy(_BLK)
-    prev_tail = tails.select(*by, _BLK, F.lag("__tail").over(wb).alias("__ptail"))
-    out = _join_back(rows, prev_tail, by)
-    # the first row of a block has no in-block predecessor
-    out = out.withColumn(name, F.when(F.col("__rn") == 1, F.col("__ptail")).otherwise(F.col("__lag")))
-    return out.drop("__lag", "__ptail", "__rn", _BLK)
-
-
 def session_starts(df: DataFrame, by: Sequence[str], t: str, gap: int, *, block: Column,
                    name: str = "session_start") -> DataFrame:
     """Start time of each row's session, block-parallel.
@@ -191,9 +177,12 @@ def session_starts(df: DataFrame, by: Sequence[str], t: str, gap: int, *, block:
     blocks = blocks.withColumn(
         "__bstart", F.greatest(F.col("__bopen"), F.when(F.col("__fopen"), F.col("__first"))))
     blocks = blocks.select(
-        *by, _BLK, "__first", "__fopen",
-        F.max("__bstart").over(wb.rowsBetween(Window.unboundedPreceding, -1)).alias("__carry"))
+        *by, _BLK, F.row_number().over(wb).alias("__nth"), "__first", "__fopen",
+        F.max("__bstart").over(wb.rowsBetween(Window.unboundedPreceding, -1)).alias("__carry")).where(
+        "__nth > 1").drop("__nth")
+    # a group's first block always opens a session with its first row
+    rows = rows.withColumn("__low", F.min(t).over(wi))
     out = _join_back(rows, blocks, by)
-    out = out.withColumn(name, F.greatest(F.col("__carry"), F.when(F.col("__fopen"), F.col("__first")),
-                                          F.col("__run")))
-    return out.drop("__rn", "__open", "__run", "__first", "__fopen", "__carry", _BLK)
+    opened = F.when(F.coalesce("__fopen", F.lit(True)), F.coalesce("__first", "__low"))
+    out = out.withColumn(name, F.greatest(F.col("__carry"), opened, F.col("__run")))
+    return out.drop("__rn", "__open", "__run", "__low", "__first", "__fopen", "__carry", _BLK)

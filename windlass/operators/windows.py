@@ -80,46 +80,48 @@ def sliding_sum(records: DataFrame, range_seconds: int, *, block_seconds: int =
     """Trailing window ending at each record: sum of the key's values with
     ``ts`` in ``[ts - range, ts]`` (ties included), one row per record.
 
-    Exact and skew-proof via two zero-valued probes per record on the key's
-    timeline: one at ``ts - range`` ordered before equal times, one at
-    ``ts`` ordered after them. A running sum (block-parallel scan, blocks
-    of ``block_seconds``) gives ``sum(ts <= t)`` at the upper probe and
-    ``sum(ts < t - range)`` at the lower one; their difference is the
-    frame. No window partition holds more than one key's block of time,
-    however hot the key. Records are identified by (partition, offset).
+    Records of one key and time share their frame, so they are summed first
+    (with map-side combine: equal or coarse times of a hot key become one row).
+    On these distinct times two zero-valued probes per time go on the key's
+    timeline: one at ``ts - range`` ordered before equal times, one at ``ts``
+    ordered after them. A running sum (block-parallel scan, blocks of
+    ``block_seconds``) gives ``sum(ts <= t)`` at the upper probe and
+    ``sum(ts < t - range)`` at the lower one; their difference is the frame,
+    which goes back to the records by key and time.
     """
     r = range_seconds * MICROS
     d = _keyed(records).withColumn("__t", epoch_micros("ts"))
-    pts = F.array(
-        F.struct(F.col("__t").alias("t"), F.lit(1).alias("kind"), F.col("value").cast("bigint").alias("v")),
-        F.struct((F.col("__t") - F.lit(r)).alias("t"), F.lit(0).alias("kind"), F.lit(0).cast("bigint").alias("v")),
-        F.struct(F.col("__t").alias("t"), F.lit(2).alias("kind"), F.lit(0).cast("bigint").alias("v")))
-    x = (d.select("topic", "partition", "offset", "ts", "key", "value", F.explode(pts).alias("__p"))
-          .select("topic", "partition", "offset", "ts", "key", "value", "__p.*"))
+    times = d.groupBy("key", "__t").agg(F.sum("value").cast("bigint").alias("__v"))
+    zero = F.lit(0).cast("bigint")
+    pts = F.array(F.struct(F.col("__t").alias("t"), F.lit(1).alias("kind"), F.col("__v").alias("v")),
+                  F.struct((F.col("__t") - F.lit(r)).alias("t"), F.lit(0).alias("kind"), zero.alias("v")),
+                  F.struct(F.col("__t").alias("t"), F.lit(2).alias("kind"), zero.alias("v")))
+    x = times.select("key", "__t", F.explode(pts).alias("__p")).select("key", "__t", "__p.*")
     run = scan.running(x, ["key"], ["t", "kind"], [("__P", "sum", F.col("v"))],
                        block=F.floor(F.col("t") / F.lit(block_seconds * MICROS)).cast("bigint"))
-    probes = run.where(F.col("kind") != 1)
-    return (probes.groupBy("topic", "partition", "offset", "ts", "key", "value")
-            .agg((F.max(F.when(F.col("kind") == 2, F.col("__P")))
-                  - F.coalesce(F.max(F.when(F.col("kind") == 0, F.col("__P"))), F.lit(0))).cast("bigint")
-                 .alias("agg")))
+    frames = (run.where(F.col("kind") != 1).groupBy("key", "__t")
+              .agg((F.max(F.when(F.col("kind") == 2, F.col("__P")))
+                    - F.coalesce(F.max(F.when(F.col("kind") == 0, F.col("__P"))), F.lit(0))).cast("bigint").alias("agg")))
+    return d.join(frames, ["key", "__t"]).select("topic", "partition", "offset", "ts", "key", "value", "agg")
 
 
 def session_sum(records: DataFrame, gap_seconds: int, *, block_seconds: int = 60) -> DataFrame:
     """Session windows: a key's records closer than or exactly ``gap`` apart
     share a session. Session end is the last record's time.
 
+    Records of one key and time are one row from the start (map-side combine).
     Session starts come from a block-parallel scan (see
     :func:`windlass.operators.scan.session_starts`), then a plain
     ``groupBy(key, start)`` with partial aggregation.
     """
-    d = _keyed(records).withColumn("__t", epoch_micros("ts"))
+    d = (_keyed(records).groupBy("key", "ts").agg(F.count(F.lit(1)).alias("__n"), F.sum("value").alias("__v"))
+         .withColumn("__t", epoch_micros("ts")))
     starts = scan.session_starts(d, ["key"], "__t", gap_seconds * MICROS,
                                  block=F.floor(F.col("__t") / (block_seconds * MICROS)).cast("bigint"),
                                  name="__start")
     return (starts.groupBy("key", "__start")
             .agg(F.min("ts").alias("session_start"), F.max("ts").alias("session_end"),
-                 F.count(F.lit(1)).alias("n"), F.sum("value").cast("bigint").alias("agg"))
+                 F.sum("__n").cast("bigint").alias("n"), F.sum("__v").cast("bigint").alias("agg"))
             .drop("__start"))
 
 
@@ -209,12 +211,7 @@ def ordered_fold(df: DataFrame, by: list[str], order: str, value: str, init, ste
             res[name] = [acc]
             yield pd.DataFrame(res)
 
-    n = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
     return (df.select(*by, order, value)
-              .repartition(int(n), *by)
+              .repartition(*by)
               .sortWithinPartitions(*by, order)
               .mapInPandas(run, schema))
-
-
-def window_bounds_from_start(start_col: str, size_seconds: int) -> Column:
-    return micros_to_ntz(epoch_micros(start_col) + F.lit(size_seconds * MICROS))

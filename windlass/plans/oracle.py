@@ -221,9 +221,15 @@ FROM state2""")
 ORACLE["snapshot_manifest"] = with_(SNAP, f"""
 SELECT '0_' || CAST("partition" AS VARCHAR) AS task, version, epoch_us(window_start) // {SEG} AS segment_id,
        CAST(count(*) AS BIGINT) AS "rows", CAST(sum(agg) AS BIGINT) AS agg,
-       min(window_start) AS min_window_start, max(window_start) AS max_window_start
+       min(window_start) AS min_window_start, max(window_start) AS max_window_start, true AS files_listed
 FROM state2 GROUP BY ALL""")
 
+ORACLE["snapshot_aggregates"] = with_(KEPT, """
+SELECT k."partition", key, window_start, window_end, CAST(count(*) AS BIGINT) AS n, CAST(sum(value) AS BIGINT) AS total,
+       max(ts) AS value_ts, any_value(p.version) AS version
+FROM kept k JOIN (SELECT "partition", max("offset") AS version FROM kept GROUP BY ALL) p USING ("partition")
+GROUP BY k."partition", key, window_start, window_end""")
+
 ORACLE["restore_with_tail"] = with_(KEPT, "SELECT key, window_start, window_end, agg FROM strict_state")
 
 ORACLE["restore_decision"] = with_(SNAP + """,
@@ -245,7 +251,7 @@ SELECT app, task, store,
        CASE WHEN n = 0 THEN false WHEN NOT has_local THEN true WHEN n <> 1 THEN false
             WHEN l_offset IS NULL THEN true ELSE l_offset + {T} < r_offset END AS should_fetch,
        CASE WHEN n = 0 THEN 'no remote checkpoint' WHEN NOT has_local THEN 'no local checkpoint'
-            WHEN n <> 1 THEN 'remote checkpoint has more than one offset'
+            WHEN n <> 1 THEN 'remote checkpoint names several partitions'
             WHEN l_offset IS NULL THEN 'partition missing locally'
             WHEN l_offset + {T} < r_offset THEN 'local behind remote by more than threshold'
             ELSE 'local within threshold' END AS reason
@@ -304,6 +310,48 @@ LEFT JOIN src ON src."partition" = coalesce(s."partition", o."partition")""")
 ORACLE["snapshot_sampled"] = with_(SNAP, """
 SELECT topic, "partition", "offset", key, window_start, agg FROM flush WHERE sampled""")
 
+# Streams: batch b of a partition is floor(offset * BATCHES / end). With a zero delay a
+# record is late in batch b if its window ended by the newest time of the batches up to
+# b - 2, and a window is closed once it ended by the newest time of all batches.
+BATCHES = 4
+
+
+def stream_(us: int) -> str:
+    return RECORD + f""",
+cut AS (
+  SELECT r.*, CAST(floor(r."offset" * {BATCHES} / e.n) AS BIGINT) AS batch_id
+  FROM record r JOIN (SELECT "partition", max("offset") + 1 AS n FROM record GROUP BY ALL) e USING ("partition")),
+sized AS (SELECT batch_id, CAST(count(*) AS BIGINT) AS input_rows FROM cut GROUP BY ALL),
+b AS (
+  SELECT batch_id, ts, key, coalesce(value, 0) AS value, {ws(us)} AS window_start, {we(us)} AS window_end
+  FROM cut WHERE key IS NOT NULL),
+newest AS (SELECT batch_id, max(ts) AS ts FROM b GROUP BY ALL),
+late AS (
+  SELECT i.batch_id, max(n.ts) AS mark
+  FROM (SELECT unnest(range({BATCHES})) AS batch_id) i LEFT JOIN newest n ON n.batch_id <= i.batch_id - 2 GROUP BY ALL),
+on_time AS (SELECT b.* FROM b JOIN late USING (batch_id) WHERE mark IS NULL OR window_end > mark)"""
+
+
+ORACLE["tumbling_stream"] = with_(stream_(SAMPLE_W), """
+SELECT key, window_start, window_end, CAST(sum(value) AS BIGINT) AS agg FROM on_time GROUP BY ALL""")
+
+ORACLE["for_each_update"] = with_(stream_(STORE_W) + """,
+per AS (SELECT batch_id, key, window_start, window_end, sum(value) AS v, count(*) AS c FROM on_time GROUP BY ALL)""", """
+SELECT batch_id, key, window_start, window_end,
+       CAST(sum(v) OVER (PARTITION BY key, window_start ORDER BY batch_id) AS BIGINT) AS agg,
+       CAST(sum(c) OVER (PARTITION BY key, window_start ORDER BY batch_id) AS BIGINT) AS n
+FROM per""")
+
+ORACLE["read_operator_state"] = with_(stream_(STORE_W), """
+SELECT key, window_start, window_end, CAST(sum(value) AS BIGINT) AS agg, CAST(count(*) AS BIGINT) AS n
+FROM on_time WHERE window_end > (SELECT max(ts) FROM b) GROUP BY ALL""")
+
+ORACLE["query_events"] = with_(stream_(STORE_W), f"""
+SELECT 'started' AS event, CAST(NULL AS BIGINT) AS batch_id, CAST(NULL AS BIGINT) AS input_rows
+UNION ALL SELECT 'progress', batch_id, input_rows FROM sized
+UNION ALL SELECT 'progress', {BATCHES}, 0
+UNION ALL SELECT 'terminated', NULL, NULL""")
+
 # streaming forms whose final state has an exact batch twin
 ORACLE["strict_stream"] = ORACLE["restore_with_tail"]
 ORACLE["bootstrap_stream"] = ORACLE["tumbling_sum"]

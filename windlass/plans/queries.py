@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..operators import lateness, offsets, restore, status, windows
 from ..sources.records import events, read_records, task_events
-from ..sources.snapshots import positions_dict
+from ..sources.snapshots import tail_filter
 from . import scenario
 
 HOP_SIZE, HOP_SLIDE = 7_200, 3_600
@@ -133,7 +133,8 @@ def q_segment_rollup(spark, sf):
 
 @register("changelog_compact")
 def q_changelog_compact(spark, sf):
-    return restore.changelog_compact(_changelog(spark, sf))
+    return restore.changelog_compact(_changelog(spark, sf)).select(
+        "partition", "key", "window_start", "window_end", "agg", "offset")
 
 
 @register("source_positions")
@@ -176,17 +177,35 @@ def q_read_snapshot(spark, sf):
 @register("snapshot_manifest")
 def q_snapshot_manifest(spark, sf):
     store, _ = scenario.publish_snapshots(spark, sf)
-    return (store.read().groupBy("task", "version", "segment_id")
-            .agg(F.count(F.lit(1)).alias("rows"), F.sum("agg").cast("bigint").alias("agg"),
-                 F.min("window_start").alias("min_window_start"),
-                 F.max("window_start").alias("max_window_start")))
+    # sizes and times vary from run to run: that every file has them is what is reported
+    return (store.manifest().groupBy("task", "version", "segment_id")
+            .agg(F.sum("rows").cast("bigint").alias("rows"), F.sum("agg").cast("bigint").alias("agg"),
+                 F.min("min_window_start").alias("min_window_start"),
+                 F.max("max_window_start").alias("max_window_start"),
+                 F.min((F.col("length") > 0) & F.col("modificationTime").isNotNull()).alias("files_listed")))
+
+
+@register("snapshot_aggregates")
+def q_snapshot_aggregates(spark, sf):
+    """A version of several aggregates with the newest record time, read back."""
+    from ..session import scratch_dir
+    from ..sources.snapshots import SnapshotStore
+    recs = lateness.strict_kept(read_records(spark, sf, stream_time=True))
+    state = (recs.groupBy("topic", "partition", "key", "window_start", "window_end")
+             .agg(F.count(F.lit(1)).alias("n"), F.sum("value").cast("bigint").alias("total"),
+                  F.max("ts").alias("value_ts")))
+    positions = recs.groupBy("topic", "partition").agg(F.max("offset").alias("version"))
+    store = SnapshotStore(spark, scratch_dir(spark, "aggregates"), C.SAMPLE_APPLICATION_ID)
+    store.publish(state, positions)
+    return store.read().select("partition", "key", "window_start", "window_end", "n", "total", "value_ts", "version")
 
 
 @register("restore_with_tail")
 def q_restore_with_tail(spark, sf):
     store, cl = scenario.publish_snapshots(spark, sf)
     snap, positions = store.open()
-    return restore.restore_with_tail(snap, positions, cl, cut=positions_dict(positions))
+    return restore.restore_with_tail(snap, positions, cl, cut=tail_filter(positions)).select(
+        "key", "window_start", "window_end", "agg")
 
 
 # -- restore decisions and reports ---------------------------------------------

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.columns import sampled
-from ..operators import lateness
+from ..operators import lateness, scan
 from ..operators.offsets import task_id
 from ..session import ensure_checkpoint_dir, scratch_dir
 from ..sources.records import read_records
@@ -36,6 +36,7 @@ class Scenario:
 
 
 SCENARIO = Scenario()
+CHANGELOG_BLOCK = 1 << 16  # offsets of one partition that are written together
 
 
 def flush_id(partition: str = "partition", offset: str = "offset"):
@@ -54,7 +55,7 @@ def snapshot_flushes(changelog: DataFrame, every_n: int = C.DEFAULT_SNAPSHOT_FRE
 def snapshot_positions(changelog: DataFrame, cut: str, every_n: int = C.DEFAULT_SNAPSHOT_FREQUENCY) -> DataFrame:
     """(partition, version): last sampled flush before ``cut`` per partition."""
     return (snapshot_flushes(changelog, every_n).where(before(cut))
-            .groupBy("partition").agg(F.max("offset").alias("version")))
+            .groupBy("topic", "partition").agg(F.max("offset").alias("version")))
 
 
 def materialized_changelog(spark: SparkSession, sf: str, root: str) -> DataFrame:
@@ -62,12 +63,12 @@ def materialized_changelog(spark: SparkSession, sf: str, root: str) -> DataFrame
     shared folder (it is the changelog topic; later steps read it instead
     of recomputing the lineage)."""
     path = f"{root}/changelog"
-    # range-partitioned and sorted by (partition, offset): every file and row
-    # group covers a tight offset range, so a tail read skips the old ones;
-    # the range split also spreads a hot partition over many writers
+    # dealt by blocks of offsets and sorted: every file and row group covers tight
+    # offset ranges, so a tail read skips the old ones, and a hot partition is
+    # spread over many writers; no range sampling, so the lineage runs once
+    block = scan.block_of("offset", CHANGELOG_BLOCK)
     (lateness.changelog(read_records(spark, sf, stream_time=True))
-        .repartitionByRange("partition", "offset")
-        .sortWithinPartitions("partition", "offset")
+        .repartition("partition", block).sortWithinPartitions("partition", "offset")
         .write.partitionBy("partition").parquet(path))
     return spark.read.parquet(path)
 
@@ -78,7 +79,7 @@ def publish_snapshots(spark: SparkSession, sf: str, sc: Scenario = SCENARIO) ->
     from ..operators.restore import state_as_of
     root = scratch_dir(spark, "scenario")
     cl = materialized_changelog(spark, sf, root)
-    store = SnapshotStore(spark, f"{root}/snapshots")
+    store = SnapshotStore(spark, f"{root}/snapshots", C.SAMPLE_APPLICATION_ID)
     for cut in sc.snapshot_cuts:
         pos = snapshot_positions(cl, cut, sc.every_n)
         store.publish(state_as_of(cl, pos), pos)
@@ -118,13 +119,3 @@ def offset_tables(changelog: DataFrame, sc: Scenario = SCENARIO) -> tuple[DataFr
     remote = t.where(F.col("remote_offset").isNotNull()).select(*_KEYS, F.col("remote_offset").alias("offset"))
     end = t.select(*_KEYS, "end_offset")
     return local, remote, end
-
-
-def local_checkpoint(changelog: DataFrame, sc: Scenario = SCENARIO) -> DataFrame:
-    """OFFSETS of the stopped local instance."""
-    return offset_tables(changelog, sc)[0]
-
-
-def remote_checkpoint(changelog: DataFrame, sc: Scenario = SCENARIO) -> DataFrame:
-    """OFFSETS of the newest snapshot per store partition (its version)."""
-    return offset_tables(changelog, sc)[1]

@@ -1,6 +1,6 @@
 """Registered streaming queries.
 
-Each one cuts RECORD (derived from ``events``) into micro-batch files in a
+Each one cuts RECORD (derived from ``events``) into micro-batches of files in a
 fresh folder under the shared checkpoint dir, runs a Structured Streaming
 query over them to completion (``availableNow``), and returns what the
 query produced, read back as a batch DataFrame.
@@ -18,15 +18,16 @@ from ..sources.records import read_records, stream_records_from_files
 from ..sources.snapshots import SnapshotStore
 from ..sources.state_reader import read_operator_state, windowed_state_rows
 from ..streaming import listener
+from ..streaming.batches import last_batch, read_batches, write_batch
 from ..streaming.bootstrap import bootstrap_stream
 from ..streaming.files import write_record_batches
 from ..streaming.snapshot_sink import SnapshotSink
 from ..streaming.strict import StrictWindowSink
 from ..streaming.windowed import for_each_update, windowed_stream
-from ..operators import windows
+from .oracle import BATCHES
 from .scenario import SCENARIO
 
-BATCHES = 4
+APP = C.SAMPLE_APPLICATION_ID
 
 
 def _parallelism(spark: SparkSession) -> int:
@@ -34,63 +35,64 @@ def _parallelism(spark: SparkSession) -> int:
     return max(1, spark.sparkContext.defaultParallelism)
 
 
-def _input(spark: SparkSession, sf: str, tag: str) -> tuple[str, DataFrame]:
+def _input(spark: SparkSession, sf: str, tag: str, **source) -> tuple[str, DataFrame, DataFrame]:
+    """(folder, RECORD, the stream over its micro-batches)."""
     root = scratch_dir(spark, "streams", tag)
     recs = read_records(spark, sf)
-    write_record_batches(recs, f"{root}/in", BATCHES)
-    return root, recs
+    files = write_record_batches(recs, f"{root}/in", BATCHES)
+    return root, recs, stream_records_from_files(spark, f"{root}/in", max_files_per_trigger=files, **source)
+
+
+def _deliver_to(path: str):
+    """foreachBatch function that keeps each batch's rows in a directory of its own."""
+    return lambda df, batch_id: write_batch(df, path, batch_id)
+
+
+def _delivered(spark: SparkSession, path: str) -> DataFrame:
+    return read_batches(spark, path, -1, last_batch(spark, path))
 
 
 def strict_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Exact zero-grace store over 1 h windows, as a stream with a carried
     per-partition stream time; snapshots every 2 batches. Final state."""
-    root, _ = _input(spark, sf, "strict")
-    sink = StrictWindowSink(spark, f"{root}/strict", every_n=2, store=SnapshotStore(spark, f"{root}/snap"))
-    src = stream_records_from_files(spark, f"{root}/in", event_time_type="timestamp_ntz")
+    root, _, src = _input(spark, sf, "strict", event_time_type="timestamp_ntz")
+    sink = StrictWindowSink(spark, f"{root}/strict", every_n=2, store=SnapshotStore(spark, f"{root}/snap", APP))
     for_each_update(src, sink, f"{root}/ckpt", output_mode="append", available_now=True,
                     state_partitions=_parallelism(spark)).awaitTermination()
-    st = sink.state()
-    return st.select("key", "window_start", "window_end", "agg")
+    return sink.state().select("key", "window_start", "window_end", "agg")
 
 
 def tumbling_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Watermarked (0 s) 1,000,000 s windows in update mode; the sink keeps
     the changelog and a snapshot every 2 batches. Final state (Spark's
     watermark rule: one global watermark, previous batch's value)."""
-    root, _ = _input(spark, sf, "tumbling")
-    sink = SnapshotSink(spark, f"{root}/sink", SnapshotStore(spark, f"{root}/snap"), every_n=2)
-    src = stream_records_from_files(spark, f"{root}/in")
-    for_each_update(windowed_stream(src), sink, f"{root}/ckpt", available_now=True,
+    root, _, src = _input(spark, sf, "tumbling")
+    sink = SnapshotSink(spark, f"{root}/sink", SnapshotStore(spark, f"{root}/snap", APP), every_n=2)
+    for_each_update(windowed_stream(src, addresses=True), sink, f"{root}/ckpt", available_now=True,
                     state_partitions=_parallelism(spark)).awaitTermination()
     return sink.state().select("key", "window_start", "window_end", "agg")
 
 
 def for_each_update_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Every (windowed key, value) update the stream emitted, by batch."""
-    root, _ = _input(spark, sf, "foreach")
+    root, _, src = _input(spark, sf, "foreach")
     out = f"{root}/updates"
-
-    def deliver(df, batch_id):
-        df.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("append").parquet(out)
-
-    src = stream_records_from_files(spark, f"{root}/in")
-    for_each_update(windowed_stream(src, C.STORE_WINDOW_SECONDS), deliver, f"{root}/ckpt",
+    for_each_update(windowed_stream(src, C.STORE_WINDOW_SECONDS), _deliver_to(out), f"{root}/ckpt",
                     available_now=True, state_partitions=_parallelism(spark)).awaitTermination()
-    return spark.read.parquet(out).select("batch_id", "key", instant_to_ntz("window_start").alias("window_start"),
-                                          instant_to_ntz("window_end").alias("window_end"), "agg", "n")
+    return _delivered(spark, out).select("batch_id", "key", instant_to_ntz("window_start").alias("window_start"),
+                                         instant_to_ntz("window_end").alias("window_end"), "agg", "n")
 
 
 def operator_state(spark: SparkSession, sf: str) -> DataFrame:
     """The running aggregation's own state store, read offline from its
-    checkpoint after the last batch."""
-    root, _ = _input(spark, sf, "state")
-    src = stream_records_from_files(spark, f"{root}/in")
+    checkpoint after the last batch: the windows still open."""
+    root, _, src = _input(spark, sf, "state")
     ckpt = f"{root}/ckpt"
     for_each_update(windowed_stream(src, C.STORE_WINDOW_SECONDS),
                     lambda df, i: df.write.format("noop").mode("overwrite").save(), ckpt,
                     available_now=True, state_partitions=_parallelism(spark)).awaitTermination()
-    rows = windowed_state_rows(read_operator_state(spark, ckpt))
-    return rows.select("key", "window_start", "window_end", "partition_id")
+    rows = windowed_state_rows(read_operator_state(spark, ckpt), ("agg", "n", "value_ts"))
+    return rows.select("key", "window_start", "window_end", "agg", "n")
 
 
 def bootstrap(spark: SparkSession, sf: str) -> DataFrame:
@@ -98,29 +100,23 @@ def bootstrap(spark: SparkSession, sf: str) -> DataFrame:
     the first scenario cut, fed the whole input again: records at or below
     the snapshot position are cut per partition, so the final state equals
     an uninterrupted run."""
-    root, recs = _input(spark, sf, "bootstrap")
+    root, recs, src = _input(spark, sf, "bootstrap")
+    where = ["topic", "partition"]
     cut = F.lit(SCENARIO.snapshot_cuts[0]).cast("timestamp_ntz")
-    pos = recs.where(F.col("ts") < cut).groupBy("partition").agg(F.max("offset").alias("version"))
-    upto = recs.join(F.broadcast(pos), "partition").where(F.col("offset") <= F.col("version"))
-    per_task = windows.tumbling_sum(upto.withColumn("key", F.col("key"))).join(
-        recs.select("key", "partition").distinct(), "key")
-    store = SnapshotStore(spark, f"{root}/snap", store="sum-store")
-    store.publish(per_task.select("partition", "key", "window_start", "window_end", "agg"), pos)
-    snapshot = store.read()
-    out = f"{root}/updates"
-
-    def deliver(df, batch_id):
-        df.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("append").parquet(out)
-
-    src = stream_records_from_files(spark, f"{root}/in")
-    for_each_update(bootstrap_stream(src, snapshot, pos), deliver, f"{root}/ckpt",
-                    available_now=True, state_partitions=_parallelism(spark)).awaitTermination()
-    emitted = (spark.read.parquet(out)
-               .select("key", instant_to_ntz("window_start").alias("window_start"), "agg",
-                       F.col("batch_id").alias("offset")))
-    snap = snapshot.select("key", "window_start", "agg", F.lit(-1).cast("bigint").alias("offset"))
-    final = (snap.unionByName(emitted).groupBy("key", "window_start")
-             .agg(F.max_by("agg", "offset").alias("agg")))
+    pos = recs.where(F.col("ts") < cut).groupBy(*where).agg(F.max("offset").alias("version"))
+    w = F.window("ts", f"{C.SAMPLE_WINDOW_SECONDS} seconds")
+    upto = (recs.join(pos, where).where((F.col("offset") <= F.col("version")) & F.col("key").isNotNull())
+            .groupBy(*where, "key", w.alias("w")).agg(F.sum(F.coalesce("value", F.lit(0))).cast("bigint").alias("agg"))
+            .select(*where, "key", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "agg"))
+    store = SnapshotStore(spark, f"{root}/snap", APP, store="sum-store")
+    store.publish(upto, pos, pos.withColumnRenamed("version", "position"))
+    snapshot, out = store.read(), f"{root}/updates"
+    for_each_update(bootstrap_stream(src, snapshot, store.sources()), _deliver_to(out), f"{root}/ckpt",
+                    available_now=True, state_partitions=_parallelism(spark), rocksdb=True).awaitTermination()
+    emitted = _delivered(spark, out).select("key", instant_to_ntz("window_start").alias("window_start"), "agg", "batch_id")
+    first = snapshot.groupBy("key", "window_start").agg(F.sum("agg").cast("bigint").alias("agg")).withColumn(
+        "batch_id", F.lit(-1).cast("bigint"))
+    final = first.unionByName(emitted).groupBy("key", "window_start").agg(F.max_by("agg", "batch_id").alias("agg"))
     size = C.SAMPLE_WINDOW_SECONDS * MICROS
     return final.select("key", "window_start",
                         micros_to_ntz(epoch_micros("window_start") + F.lit(size)).alias("window_end"), "agg")
@@ -129,19 +125,15 @@ def bootstrap(spark: SparkSession, sf: str) -> DataFrame:
 def query_events(spark: SparkSession, sf: str) -> DataFrame:
     """Lifecycle events of a streaming query (started, progress per batch,
     terminated) with input rows per batch."""
-    root, _ = _input(spark, sf, "events")
-    coll = listener.attach(spark)
+    root, _, src = _input(spark, sf, "events")
+    events = listener.attach(spark, f"{root}/events")
     try:
-        src = stream_records_from_files(spark, f"{root}/in")
         q = for_each_update(windowed_stream(src, C.STORE_WINDOW_SECONDS),
                             lambda df, i: df.write.format("noop").mode("overwrite").save(), f"{root}/ckpt",
                             available_now=True, state_partitions=_parallelism(spark))
         q.awaitTermination()
-        import time
-        for _ in range(50):   # listener events arrive asynchronously
-            if any(r[0] == "terminated" for r in coll._rows):
-                break
-            time.sleep(0.1)
+        events.wait_terminated(str(q.runId))
+        rows = events.frame(str(q.id))
     finally:
-        spark.streams.removeListener(coll)
-    return coll.frame(spark).where(F.col("event") != "idle").select("event", "batch_id", "input_rows")
+        spark.streams.removeListener(events)
+    return rows.where(F.col("event") != "idle").select("event", "batch_id", "input_rows")

@@ -82,7 +82,7 @@ def read_records(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
 
 def stream_records_from_files(spark: SparkSession, path: str, *, max_files_per_trigger: int = 1,
                               event_time_type: str = "timestamp") -> DataFrame:
-    """Streaming RECORD from parquet files, one file per micro-batch.
+    """Streaming RECORD from parquet files, ``max_files_per_trigger`` per micro-batch.
 
     ``ts`` is cast to ``timestamp``: a streaming watermark rejects
     ``timestamp_ntz``. Null keys are skipped, null values fold as 0.

@@ -2,269 +2,272 @@
 
 Layout (one function builds it for writer and reader)::
 
-    <path>/<app>/state/task=<t>/store=<s>/version=<v>/part-*.parquet
-    <path>/<app>/versions/part-*.parquet      SNAPSHOT_VERSION pointer rows
-
-A version is named by the changelog offset the state stands at. Publishing
-is data first, pointer second: executors write the version directories
-(the file committer makes a failed or retried task invisible), then one
-pointer row per (task, store) with rows is appended. A version with no rows
-gets no pointer (the empty-snapshot guard). Readers trust only pointer
-rows, so a half-written version is never read. Old versions are kept.
-
-Segments (time slices of the store) are a sorted column inside a version,
-not a directory level: files are clustered by ``segment_id`` so a filter on
-it skips row groups by their min/max statistics, while the directory count
-stays tasks x versions. Readers load exactly the pointed version
-directories, so the cost of opening a snapshot does not grow with the
-number of versions kept.
+    <path>/<app>/<store>/state/attempt=<id>/task=<t>/part-*.parquet
+    <path>/<app>/<store>/positions/attempt=<id>/part-*.parquet
+    <path>/<app>/<store>/sources/attempt=<id>/part-*.parquet
+    <path>/<app>/<store>/versions/attempt=<id>/part-*.parquet   pointer rows
+
+A version is named by the changelog offset the state stands at, per (topic,
+partition). One publish writes one attempt directory: state first, then the
+positions, then the pointer rows. Every attempt has a directory of its own, so
+nothing that was published is ever overwritten, and a publish that is replayed
+after a failure only adds an attempt: per version the newest pointer counts,
+and a half-written attempt has none. A version with no rows gets no pointer
+(the empty-snapshot guard). Old versions are kept.
+
+Readers list the attempts that the wanted pointers name - as many as there
+were publishes, whatever the number of tasks - and join data and pointers as
+tables. Row counts per version must equal the pointers' or the read fails:
+missing or partial data is never read as an empty state.
+
+State rows carry any number of value columns (``agg`` in the sample; counts,
+sums, ``value_ts``, ... as the aggregation has them). Segments (time slices of
+the store) are a sorted column inside an attempt, so a filter on them skips row
+groups by their statistics.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from .. import config as C
 from ..functions.columns import layout_path, layout_path_str, segment_id
 from ..operators.offsets import task_id
 
-STATE_SCHEMA = T.StructType([
-    T.StructField("partition", T.IntegerType()),
-    T.StructField("key", T.StringType()),
-    T.StructField("window_start", T.TimestampNTZType()),
-    T.StructField("window_end", T.TimestampNTZType()),
-    T.StructField("agg", T.LongType()),
-    T.StructField("segment_id", T.LongType()),
-    T.StructField("task", T.StringType()),
-    T.StructField("store", T.StringType()),
-    T.StructField("version", T.LongType()),
-])
-STATE_COLUMNS = [f.name for f in STATE_SCHEMA.fields]
-PARTITION_COLUMNS = ["task", "store", "version"]
-
-VERSION_SCHEMA = T.StructType([
-    T.StructField("app", T.StringType()),
-    T.StructField("task", T.StringType()),
-    T.StructField("store", T.StringType()),
-    T.StructField("version", T.LongType()),
-    T.StructField("path", T.StringType()),
-    T.StructField("row_count", T.LongType()),
-    T.StructField("offsets", T.MapType(T.StringType(), T.LongType())),
-    T.StructField("published_at", T.TimestampType()),
-])
-
-# pointer rows are metadata: one per task and store
-MAX_POINTERS = 1_000_000
-
-Key = tuple[str, str, int]
+ADDRESS = ["topic", "partition"]
+KEYS = [*ADDRESS, "key", "window_start", "window_end"]
+_META = ["segment_id", "task", "store", "version"]
+KEY_SCHEMA = ("topic string, partition int, key string, window_start timestamp_ntz, window_end timestamp_ntz")
+DEFAULT_VALUES = "agg bigint"
+META_SCHEMA = "segment_id bigint, task string, store string, version bigint"
+POINTER = ["app", "task", "store", "topic", "partition", "version"]
+VERSION_SCHEMA = ("app string, task string, store string, topic string, partition int, version bigint, path string, "
+                  "row_count bigint, offsets map<string,bigint>, published_at timestamp, attempt string")
+POSITION_SCHEMA = "topic string, partition int, version bigint, attempt string"
+SOURCE_SCHEMA = "topic string, partition int, position bigint, stream_time timestamp_ntz, attempt string"
+
+
+def value_columns(state: DataFrame) -> list[str]:
+    """The columns of a state table that are neither its keys nor its address."""
+    return [c for c in state.columns if c not in (*KEYS, *_META, "offset", "attempt")]
+
+
+def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
+    """A table that may not have been written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if not missing_path(e):
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def missing_path(e: Exception) -> bool:
+    return "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e)
 
 
 @dataclass
 class SnapshotStore:
     spark: SparkSession
     path: str
-    app_id: str = C.SAMPLE_APPLICATION_ID
+    app_id: str
     store: str = C.STORE_NAME
     segment_seconds: int = C.segment_interval_seconds(C.STORE_RETENTION_SECONDS)
     max_records_per_file: int = 5_000_000
+    values: str = DEFAULT_VALUES  # schema of the value columns while nothing is published
 
     @classmethod
-    def from_options(cls, spark: SparkSession, opts: C.SnapshotOptions) -> SnapshotStore:
-        return cls(spark, opts.path, opts.app_id, opts.store, opts.segment_seconds, opts.max_records_per_file)
+    def from_options(cls, spark: SparkSession, opts: C.SnapshotOptions, **kw) -> SnapshotStore:
+        return cls(spark, opts.path, opts.app_id, opts.store, opts.segment_seconds, opts.max_records_per_file, **kw)
 
-    @property
-    def data_path(self) -> str:
-        return layout_path_str(self.path, self.app_id, "state")
+    def table_path(self, name: str) -> str:
+        return layout_path_str(self.path, self.app_id, self.store, name)
+
+    def attempt_path(self, name: str, attempt: str) -> str:
+        return layout_path_str(self.table_path(name), f"attempt={attempt}")
 
     @property
-    def versions_path(self) -> str:
-        return layout_path_str(self.path, self.app_id, "versions")
+    def changelog_topic(self) -> str:
+        return C.changelog_topic(self.app_id, self.store)
 
-    def version_path(self, key: Key) -> str:
-        task, store, version = key
-        return layout_path_str(self.data_path, f"task={task}", f"store={store}", f"version={version}")
+    def _addressed(self, df: DataFrame) -> DataFrame:
+        return df if "topic" in df.columns else df.withColumn("topic", F.lit(self.changelog_topic))
 
     # -- sink --------------------------------------------------------------
-    def publish(self, state: DataFrame, positions: DataFrame, *,
-                changelog_topic: str | None = None) -> DataFrame:
-        """Write ``state`` (partition, key, window_start, window_end, agg) as
-        the version given per partition by ``positions`` (partition,
-        version), then publish pointer rows. Returns the published rows.
-
-        ``positions`` has one row per partition (metadata).
+    def publish(self, state: DataFrame, positions: DataFrame, sources: DataFrame | None = None) -> DataFrame:
+        """Write ``state`` (topic, partition, key, window_start, window_end, values...)
+        as the versions ``positions`` (topic, partition, version) names, and return
+        their pointer rows. Without a topic column both are taken to be of the
+        store's changelog topic.
+
+        ``sources`` (topic, partition, position, optional stream_time): how far
+        into the source topics the state reaches, to start a stream from it.
         """
-        topic = changelog_topic or C.changelog_topic(self.app_id, self.store)
-        rows = (state.join(F.broadcast(positions.select("partition", "version")), "partition")
-                .select("partition", "key", "window_start", "window_end", F.col("agg").cast("bigint"),
-                        segment_id("window_start", self.segment_seconds).alias("segment_id"),
-                        task_id().alias("task"), F.lit(self.store).alias("store"),
-                        F.col("version").cast("bigint")))
-        # rebalance: AQE sizes the write tasks (splits a big version, merges
-        # small ones); rows are clustered by segment inside each file
-        (rows.hint("rebalance", *PARTITION_COLUMNS)
-             .sortWithinPartitions(*PARTITION_COLUMNS, "segment_id", "key", "window_start")
-             .write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic")
-             .option("maxRecordsPerFile", self.max_records_per_file)
-             .partitionBy(*PARTITION_COLUMNS)
-             .parquet(self.data_path))
-        # data committed; count what is really there (parquet footers only)
-        wanted = positions.select(task_id().alias("task"), F.lit(self.store).alias("store"),
-                                  F.col("version").cast("bigint"))
-        present = self._present(self._keys(wanted))
-        if not present:
-            return self.spark.createDataFrame([], VERSION_SCHEMA)
-        written = (self._read_data(present)
-                   .groupBy("task", "store", "version", "partition").agg(F.count(F.lit(1)).alias("row_count")))
-        pointers = (written.where(F.col("row_count") > 0)
-                    .select(F.lit(self.app_id).alias("app"), "task", "store", "version",
-                            layout_path(F.lit(self.data_path), F.concat(F.lit("task="), "task"),
-                                        F.concat(F.lit("store="), "store"),
-                                        F.concat(F.lit("version="), F.col("version").cast("string"))).alias("path"),
-                            "row_count",
-                            F.create_map(F.concat(F.lit(topic + "-"), F.col("partition").cast("string")),
+        attempt = uuid.uuid4().hex
+        state, positions = self._addressed(state), self._addressed(positions).select(
+            *ADDRESS, F.col("version").cast("bigint").alias("version"))
+        values = value_columns(state)
+        rows = (state.join(positions, ADDRESS)
+                .select(*KEYS, *values, segment_id("window_start", self.segment_seconds).alias("segment_id"),
+                        task_id().alias("task"), F.lit(self.store).alias("store"), "version"))
+        # rebalance: AQE sizes the write tasks (splits a big task, merges small
+        # ones); rows are clustered by segment inside each file
+        (rows.hint("rebalance", "task").sortWithinPartitions("task", "topic", "segment_id", "key", "window_start")
+             .write.option("maxRecordsPerFile", self.max_records_per_file).partitionBy("task")
+             .parquet(self.attempt_path("state", attempt)))
+        positions.write.parquet(self.attempt_path("positions", attempt))
+        if sources is not None:
+            time = F.col("stream_time") if "stream_time" in sources.columns else F.lit(None)
+            (sources.select(*ADDRESS, F.col("position").cast("bigint").alias("position"),
+                            time.cast("timestamp_ntz").alias("stream_time"))
+                    .write.parquet(self.attempt_path("sources", attempt)))
+        # data committed; count what is really there
+        there = self._attempts([attempt], rows.schema)
+        pointers = (there.groupBy("task", "store", *ADDRESS, "version").agg(F.count(F.lit(1)).alias("row_count"))
+                    .select(F.lit(self.app_id).alias("app"), "task", "store", *ADDRESS, "version",
+                            layout_path(F.lit(self.attempt_path("state", attempt)),
+                                        F.concat(F.lit("task="), "task")).alias("path"), "row_count",
+                            F.create_map(F.concat("topic", F.lit("-"), F.col("partition").cast("string")),
                                          F.col("version")).alias("offsets"),
                             F.current_timestamp().alias("published_at")))
-        # pointer second: appended only after the data job committed
-        pointers.coalesce(1).write.mode("append").parquet(self.versions_path)
-        return self.versions().where(self._key_filter(present))
+        # pointer last: from here on the attempt can be read
+        pointers.write.parquet(self.attempt_path("versions", attempt))
+        return self._pointers().where(F.col("attempt") == attempt)
 
     # -- source ------------------------------------------------------------
+    def _pointers(self) -> DataFrame:
+        return read_or_empty(self.spark, self.table_path("versions"), VERSION_SCHEMA)
+
     def versions(self) -> DataFrame:
-        """All published pointer rows (none yet: empty)."""
-        try:
-            return self.spark.read.schema(VERSION_SCHEMA).parquet(self.versions_path)
-        except AnalysisException as e:
-            if _missing_path(e):
-                return self.spark.createDataFrame([], VERSION_SCHEMA)
-            raise
+        """One pointer row per published version (of replayed publishes the newest)."""
+        rest = [c.split()[0] for c in VERSION_SCHEMA.split(", ") if c.split()[0] not in POINTER]
+        newest = F.max_by(F.struct(*rest), F.struct("published_at", "attempt"))
+        return self._pointers().groupBy(*POINTER).agg(newest.alias("p")).select(*POINTER, "p.*")
 
     def latest(self) -> DataFrame:
-        """Newest published version per (app, task, store)."""
-        v = self.versions()
-        best = F.max_by(F.struct("version", "row_count", "path", "offsets", "published_at"),
-                        F.struct("published_at", "version"))
-        return (v.groupBy("app", "task", "store").agg(best.alias("p"))
-                 .select("app", "task", "store", "p.version", "p.row_count", "p.path", "p.offsets",
-                         "p.published_at"))
+        """Newest published version per (app, task, store, topic)."""
+        by = ["app", "task", "store", "topic", "partition"]
+        rest = [c.split()[0] for c in VERSION_SCHEMA.split(", ") if c.split()[0] not in by]
+        best = F.max_by(F.struct(*rest), F.struct("published_at", "version"))
+        return self.versions().groupBy(*by).agg(best.alias("p")).select(*by, "p.*")
+
+    def at(self, version: int) -> DataFrame:
+        """Per task the highest version at or below ``version``."""
+        by = ["app", "task", "store", "topic", "partition"]
+        rest = [c.split()[0] for c in VERSION_SCHEMA.split(", ") if c.split()[0] not in by]
+        best = F.max_by(F.struct(*rest), "version")
+        return (self.versions().where(F.col("version") <= version).groupBy(*by).agg(best.alias("p"))
+                    .select(*by, "p.*"))
 
     def read(self, pointer: DataFrame | None = None, *, verify: bool = True) -> DataFrame:
-        """State rows of the versions named by ``pointer`` (default: the
-        latest). Only those version directories are listed and read. With
-        ``verify``, row counts per version (from parquet footers) must equal
-        the pointer's ``row_count``: missing or partial data is an error,
-        never a silent empty state."""
+        """State rows of the versions named by ``pointer`` (default: the latest)."""
         return self.open(pointer, verify=verify)[0]
 
     def open(self, pointer: DataFrame | None = None, *, verify: bool = True) -> tuple[DataFrame, DataFrame]:
-        """(state rows, positions) of the pointed versions. ``positions``
-        (partition, version) is built from the pointer rows already fetched
-        (metadata, one row per task), so a replay plan that joins it does
-        not re-read the pointer table."""
+        """(state rows, positions) of the pointed versions; positions (topic,
+        partition, version). With ``verify``, rows per version must equal the
+        pointers' ``row_count``."""
         pointer = self.latest() if pointer is None else pointer
-        rc = F.col("row_count") if "row_count" in pointer.columns else F.lit(None).cast("bigint")
-        pinned = pointer.select("task", "store", "version", rc.alias("row_count")).limit(MAX_POINTERS + 1).collect()
-        if len(pinned) > MAX_POINTERS:
-            raise ValueError("more snapshot pointers than a metadata table should hold")
-        keys = [(r["task"], r["store"], int(r["version"])) for r in pinned]
-        positions = pointer_positions(self.spark.createDataFrame(
-            [(t, v) for t, _, v in keys], "task string, version bigint"))
-        if not keys:
-            return self.spark.createDataFrame([], STATE_SCHEMA), positions
-        try:
-            data = self._read_data(keys)
-        except AnalysisException as e:
-            if not _missing_path(e):
-                raise
-            missing = sorted(set(keys) - set(self._present(keys)))
-            raise FileNotFoundError(f"snapshot data missing for {missing[:5]}") from e
+        keys = ["attempt", "task", "topic", "version"]
+        wanted = pointer.select(*keys, "partition", "row_count")
+        attempts = self._named(wanted)
+        positions = wanted.select(*ADDRESS, "version")
+        if not attempts:
+            empty = ", ".join([KEY_SCHEMA, self.values, META_SCHEMA, "attempt string"])
+            return self.spark.createDataFrame([], empty), positions
+        data = self._attempts(attempts)
         if verify:
-            have = {(r["task"], r["store"], r["version"]): r["n"] for r in
-                    data.groupBy("task", "store", "version").agg(F.count(F.lit(1)).alias("n")).collect()}
-            bad = [(k, rc, have.get(k, 0)) for k, rc in zip(keys, [r["row_count"] for r in pinned])
-                   if (have.get(k, 0) != rc if rc is not None else have.get(k, 0) == 0)]
+            have = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("found"))
+            bad = (wanted.join(have, keys, "left").where(~F.col("row_count").eqNullSafe(F.col("found")))
+                         .select(*keys, "row_count", "found").limit(5).collect())
             if bad:
-                raise FileNotFoundError(f"snapshot data missing or partial (key, expected, found): {bad[:5]}")
-        return data, positions
+                raise FileNotFoundError(f"snapshot data missing or partial, for example {bad}")
+        return data.join(wanted.select(*keys), keys, "left_semi"), positions
+
+    def sources(self, pointer: DataFrame | None = None) -> DataFrame:
+        """(topic, partition, position, stream_time): how far into the source topics the
+        pointed versions reach; where several attempts are named, the furthest."""
+        pointer = self.latest() if pointer is None else pointer
+        attempts = self._named(pointer)
+        rows = read_or_empty(self.spark, self.table_path("sources"), SOURCE_SCHEMA).where(
+            F.col("attempt").isin(attempts))
+        return rows.groupBy(*ADDRESS).agg(F.max("position").alias("position"), F.max("stream_time").alias("stream_time"))
+
+    def offsets(self, pointer: DataFrame | None = None) -> DataFrame:
+        """OFFSETS of the pointed versions: the remote checkpoint of each task."""
+        pointer = self.latest() if pointer is None else pointer
+        return pointer.select("app", "task", "store", "topic", "partition", F.col("version").alias("offset"))
 
     def files(self, pointer: DataFrame | None = None) -> DataFrame:
-        """Manifest: every data file of the given versions with its size and
+        """Manifest: every data file of the pointed attempts with its size and
         time; file contents are not read."""
-        pointer = self.latest() if pointer is None else pointer
-        keys = self._present(self._keys(pointer.select("task", "store", "version")))
-        if not keys:
+        attempts = self._named(self.latest() if pointer is None else pointer)
+        if not attempts:
             return self.spark.createDataFrame(
-                [], "path string, length long, modificationTime timestamp, task string, store string, "
-                    "version long")
+                [], "path string, length long, modificationTime timestamp, attempt string, task string")
         return (self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-                .option("basePath", self.data_path)
-                .load([self.version_path(k) for k in keys])
-                .select("path", "length", "modificationTime", "task", "store",
-                        F.col("version").cast("bigint").alias("version")))
+                .option("basePath", self.table_path("state"))
+                .load([self.attempt_path("state", a) for a in attempts])
+                .select("path", "length", "modificationTime", "attempt", "task"))
+
+    def manifest(self, pointer: DataFrame | None = None) -> DataFrame:
+        """The files joined to the rows they hold: one row per file, task, version and
+        segment, with size, row count and window range."""
+        pointer = self.latest() if pointer is None else pointer
+        self.read(pointer)  # complete, or it raises
+        attempts = self._named(pointer)
+        if not attempts:
+            data = self.read(pointer).withColumn("__file", F.lit(""))
+        else:
+            data = self._attempts(attempts).withColumn("__file", _file_key(F.col("_metadata.file_path")))
+        keys = ["attempt", "task", "topic", "version"]
+        held = (data.join(pointer.select(*keys), keys, "left_semi").groupBy("__file", "task", "version", "segment_id")
+                    .agg(F.count(F.lit(1)).alias("rows"), F.min("window_start").alias("min_window_start"),
+                         F.max("window_start").alias("max_window_start"),
+                         *[F.sum(c).cast("bigint").alias(c) for c in ("agg",) if c in data.columns]))
+        files = self.files(pointer).withColumn("__file", _file_key(F.col("path")))
+        return held.join(files.select("__file", "path", "length", "modificationTime"), "__file").drop("__file")
 
     # -- helpers -------------------------------------------------------------
-    def _read_data(self, keys: list[Key]) -> DataFrame:
-        """Only the given version directories are listed and scanned."""
-        return (self.spark.read.schema(STATE_SCHEMA).option("basePath", self.data_path)
-                .parquet(*[self.version_path(k) for k in keys]))
-
-    def _present(self, keys: list[Key]) -> list[Key]:
-        """Keys whose version directory exists. Opening the reader lists
-        the directories anyway; only when one is missing (an empty version
-        or lost data) are keys checked one by one."""
-        if not keys:
-            return []
+    @staticmethod
+    def _named(pointer: DataFrame) -> list[str]:
+        """The attempts that pointers name: one per publish, however many tasks it had."""
+        return sorted(r["attempt"] for r in pointer.select("attempt").distinct().collect())
+
+    def _attempts(self, attempts: list[str], schema: T.StructType | None = None) -> DataFrame:
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
         try:
-            self._read_data(keys)
-            return keys
+            return reader.option("basePath", self.table_path("state")).parquet(
+                *[self.attempt_path("state", a) for a in attempts])
         except AnalysisException as e:
-            if not _missing_path(e):
+            if schema is not None and "UNABLE_TO_INFER" not in str(e) and not missing_path(e):
                 raise
-        out = []
-        for k in keys:
-            try:
-                self._read_data([k])
-                out.append(k)
-            except AnalysisException as e:
-                if not _missing_path(e):
-                    raise
-        return out
-
-    @staticmethod
-    def _keys(df: DataFrame) -> list[Key]:
-        """(task, store, version) triples: metadata, one per task and store."""
-        rows = df.select("task", "store", "version").distinct().limit(MAX_POINTERS + 1).collect()
-        if len(rows) > MAX_POINTERS:
-            raise ValueError("more snapshot pointers than a metadata table should hold")
-        return [(r["task"], r["store"], int(r["version"])) for r in rows]
-
-    @staticmethod
-    def _key_filter(keys: list[Key]):
-        tags = [f"{t}/{s}/{v}" for t, s, v in keys]
-        return F.concat_ws("/", "task", "store", F.col("version").cast("string")).isin(tags)
+            raise FileNotFoundError(f"snapshot data missing for an attempt of {attempts}") from e
 
 
-def _missing_path(e: Exception) -> bool:
-    msg = str(e)
-    return "PATH_NOT_FOUND" in msg or "does not exist" in msg
+def _file_key(path):
+    """A data file by its attempt, task and name, however its URI is written."""
+    return F.regexp_extract(path, r"(attempt=.*)$", 1)
 
 
-def positions_dict(positions: DataFrame) -> dict[int, int]:
-    """{partition: version} of a positions table (metadata, one row per
-    partition), for pushing a tail cut into a changelog scan."""
-    rows = positions.limit(MAX_POINTERS + 1).collect()
-    if len(rows) > MAX_POINTERS:
-        raise ValueError("more positions than a metadata table should hold")
-    return {int(r["partition"]): int(r["version"]) for r in rows}
+MANY_POSITIONS = 1_000
 
 
-def pointer_positions(pointer: DataFrame) -> DataFrame:
-    """(partition, version) of pointer rows: the task name ``<n>_<p>``
-    carries the partition. One row per task (metadata)."""
-    return pointer.select(F.regexp_extract("task", r"_(\d+)$", 1).cast("int").alias("partition"),
-                          F.col("version").cast("bigint").alias("version"))
+def tail_filter(positions: DataFrame):
+    """Condition that a changelog row lies past its partition's position, for the
+    scan to push down; None beyond ``MANY_POSITIONS`` partitions, where the join
+    with the positions alone does the cut."""
+    rows = positions.select(*ADDRESS, "version").limit(MANY_POSITIONS + 1).collect()
+    if not rows or len(rows) > MANY_POSITIONS:
+        return None
+    past = known = F.lit(False)
+    for r in rows:
+        here = (F.col("topic") == r["topic"]) & (F.col("partition") == r["partition"])
+        past, known = past | (here & (F.col("offset") > r["version"])), known | here
+    return past | ~known

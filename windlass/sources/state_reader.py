@@ -36,15 +36,37 @@ def read_operator_state(spark: SparkSession, checkpoint: str, *, batch_id: int |
     return r.load(checkpoint)
 
 
-def windowed_state_rows(state: DataFrame, key_field: str = "key") -> DataFrame:
-    """STATE_ROW view of a windowed aggregation's state: key, window
-    bounds, the aggregation buffer (as stored) and the state partition."""
+def windowed_state_rows(state: DataFrame, values: tuple[str, ...] = (), key_field: str = "key") -> DataFrame:
+    """STATE_ROW view of a windowed aggregation's state: key, window bounds and the
+    aggregates. ``values`` names the aggregates in the order the query declared them
+    (one buffer field each, as sum, count, min and max of numbers and times have);
+    without it the buffer stays one struct column."""
     key_type = state.schema["key"].dataType
     win = next(f.name for f in key_type.fields
                if isinstance(f.dataType, T.StructType) and {"start", "end"} <= set(f.dataType.names))
+    buffer = state.schema["value"].dataType
+    if values and len(buffer) != len(values):
+        raise ValueError(f"the state has {len(buffer)} buffer fields {buffer.names}, not {len(values)}")
+    # buffer fields are named by function, so names repeat: rename them by place
+    named = T.StructType([T.StructField(v, f.dataType) for v, f in zip(values, buffer.fields)])  # noqa: B905
+    held = F.col("value").cast(named)
+    cols = [held.getField(v).alias(v) for v in values] or [F.col("value").alias("agg_buffer")]
     return state.select(
         F.col(f"key.{key_field}").alias("key"),
         instant_to_ntz(F.col(f"key.{win}.start")).alias("window_start"),
         instant_to_ntz(F.col(f"key.{win}.end")).alias("window_end"),
-        F.col("value").alias("agg_buffer"),
-        F.col("partition_id"))
+        *cols)
+
+
+def snapshot_operator_state(spark: SparkSession, checkpoint: str, store, version: int, values: tuple[str, ...], *,
+                            partitions: int = 4, batch_id: int | None = None) -> DataFrame:
+    """Publish a stopped or running query's own state, read from its checkpoint, as
+    ``version`` of a :class:`~windlass.sources.snapshots.SnapshotStore`; returns the pointers."""
+    rows = windowed_state_rows(read_operator_state(spark, checkpoint, batch_id=batch_id), values)
+    for c, kind in rows.dtypes:
+        if kind == "timestamp":
+            rows = rows.withColumn(c, instant_to_ntz(c))
+    part = F.pmod(F.hash("key"), F.lit(partitions)).cast("int")
+    positions = spark.range(partitions).select(F.lit(store.changelog_topic).alias("topic"),
+                                               F.col("id").cast("int").alias("partition"), F.lit(version).alias("version"))
+    return store.publish(rows.withColumn("topic", F.lit(store.changelog_topic)).withColumn("partition", part), positions)

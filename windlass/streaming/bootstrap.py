@@ -2,20 +2,21 @@
 
 The snapshot becomes the initial state of a ``transformWithStateInPandas``
 processor keyed by (key, window_start); input records at or below the
-snapshot's position are cut *per source partition* before the processor
-(a broadcast stream-static join with one row per partition), because input
-replay is not idempotent: a record folded into the snapshot must not be
-folded again.
-
-The processor keeps one ValueState (the running sum) per window and emits
-the new value after each batch's rows (update semantics). Rows of a group
-are folded with one vectorized cumulative sum per Arrow batch.
+snapshot's source position are cut *per source partition* before the
+processor, because input replay is not idempotent: a record folded into the
+snapshot must not be folded again.
+
+:func:`bootstrap_stream` continues a sum: records are summed per window within
+each Arrow batch before they are shuffled, so a hot key costs a few rows per
+task. :func:`fold_stream` continues any user fold in offset order; one window's
+records of a batch then meet in one task, as an arbitrary fold needs them.
+Start the queries with ``for_each_update(..., rocksdb=True)``.
 """
 
 from __future__ import annotations
 
 import sys as _sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark import cloudpickle as _cloudpickle
@@ -33,15 +34,10 @@ _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
 OUTPUT_SCHEMA = "key string, window_start timestamp, agg long, last_offset long"
 
 
-ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-def use_rocksdb(spark) -> None:
-    """transformWithState keeps several column families per store, which
-    only the RocksDB provider has; new queries of this session use it."""
-    key = "spark.sql.streaming.stateStore.providerClass"
-    if spark.conf.get(key, None) != ROCKSDB_PROVIDER:
-        spark.conf.set(key, ROCKSDB_PROVIDER)
+def _sum_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        if len(pdf):
+            yield pdf.groupby(["key", "window_start"], as_index=False).agg(value=("value", "sum"), offset=("offset", "max"))
 
 
 class RunningSum(StatefulProcessor):
@@ -51,7 +47,7 @@ class RunningSum(StatefulProcessor):
         self.agg = handle.getValueState("agg", "agg long")
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        self.agg.update((int(initialState["agg"].iloc[0]),))
+        self.agg.update((int(initialState["agg"].sum()),))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         total = self.agg.get()[0] if self.agg.exists() else 0
@@ -67,23 +63,57 @@ class RunningSum(StatefulProcessor):
         pass
 
 
+class RunningFold(RunningSum):
+    """agg = step(agg, value) in offset order per (key, window), from ``start``."""
+
+    def __init__(self, start: int, step: Callable[[int, int], int]) -> None:
+        self.start, self.step = start, step
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        agg = self.agg.get()[0] if self.agg.exists() else self.start
+        pdf = pd.concat(list(rows)).sort_values("offset")
+        for v in pdf["value"].tolist():
+            agg = self.step(agg, v)
+        self.agg.update((int(agg),))
+        yield pd.DataFrame({"key": [key[0]], "window_start": [key[1]], "agg": [int(agg)],
+                            "last_offset": [int(pdf["offset"].iloc[-1])]})
+
+
+def _fresh(records: DataFrame, positions: DataFrame | None, size_seconds: int) -> DataFrame:
+    """Records past their source partition's position, with their window."""
+    if positions is not None:
+        pos = positions.select("topic", "partition", F.col("position").alias("__pos"))
+        records = (records.join(pos, ["topic", "partition"], "left")
+                   .where(F.col("__pos").isNull() | (F.col("offset") > F.col("__pos"))))
+    return (records.withColumn("window_start", F.window("ts", f"{size_seconds} seconds").start)
+            .select("key", "window_start", "offset", "value"))
+
+
+def _initial(snapshot: DataFrame):
+    return (snapshot.select("key", ntz_to_instant("window_start").alias("window_start"),
+                            F.col("agg").cast("bigint").alias("agg")).groupBy("key", "window_start"))
+
+
 def bootstrap_stream(records: DataFrame, snapshot: DataFrame, positions: DataFrame,
                      size_seconds: int = C.SAMPLE_WINDOW_SECONDS) -> DataFrame:
-    """Streaming DataFrame of per-window updates that continues from
-    ``snapshot`` (key, window_start, agg).
+    """Streaming DataFrame of per-window sums that continues from ``snapshot``
+    (key, window_start, agg; several rows of a window add up).
 
-    ``records``: streaming RECORD (ts as timestamp); ``positions``
-    (partition, version): the offset each source partition's state
-    includes, one row per partition.
+    ``records``: streaming RECORD (ts as timestamp); ``positions`` (topic,
+    partition, position): the source offset each partition's state includes, as
+    ``SnapshotStore.sources`` returns it.
     """
-    use_rocksdb(records.sparkSession)
-    pos = F.broadcast(positions.select("partition", F.col("version").alias("__pos")))
-    fresh = (records.join(pos, "partition", "left")
-             .where(F.col("__pos").isNull() | (F.col("offset") > F.col("__pos")))
-             .withColumn("window_start", F.window("ts", f"{size_seconds} seconds").start)
-             .select("key", "window_start", "offset", "value"))
-    init = snapshot.select("key", ntz_to_instant("window_start").alias("window_start"),
-                           F.col("agg").cast("bigint").alias("agg"))
-    return (fresh.groupBy("key", "window_start")
-            .transformWithStateInPandas(RunningSum(), OUTPUT_SCHEMA, "Update", "None",
-                                        initialState=init.groupBy("key", "window_start")))
+    fresh = _fresh(records, positions, size_seconds)
+    summed = fresh.mapInPandas(_sum_batches, fresh.schema)
+    return summed.groupBy("key", "window_start").transformWithStateInPandas(
+        RunningSum(), OUTPUT_SCHEMA, "Update", "None", initialState=_initial(snapshot))
+
+
+def fold_stream(records: DataFrame, start: int, step: Callable[[int, int], int],
+                size_seconds: int = C.SAMPLE_WINDOW_SECONDS, *, snapshot: DataFrame | None = None,
+                positions: DataFrame | None = None) -> DataFrame:
+    """Any fold ``step(agg, value)`` from ``start`` per key and window, in offset order,
+    optionally continued from a snapshot."""
+    grouped = _fresh(records, positions, size_seconds).groupBy("key", "window_start")
+    init = {} if snapshot is None else {"initialState": _initial(snapshot)}
+    return grouped.transformWithStateInPandas(RunningFold(start, step), OUTPUT_SCHEMA, "Update", "None", **init)

@@ -1,8 +1,9 @@
 """Query lifecycle events and live lag, from StreamingQueryListener.
 
-The listener only appends small event records (one per callback) in the
-driver; :meth:`QueryEvents.frame` turns them into a DataFrame, and
-:func:`lag_rows` turns a progress report into per-source lag rows.
+Events go to a table of JSON lines, appended ``flush_every`` at a time, so the
+driver holds a bounded number of them however long a query lives.
+:meth:`QueryEvents.frame` and :meth:`QueryEvents.lag_frame` read the table back
+for one query.
 """
 
 from __future__ import annotations
@@ -11,68 +12,91 @@ import json
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
+from ..session import scratch_dir
+from ..sources.snapshots import read_or_empty
+
 EVENT_SCHEMA = ("event string, query_id string, run_id string, name string, batch_id long, "
-                "input_rows long, timestamp string")
-LAG_SCHEMA = "query_id string, batch_id long, source string, start_offset string, end_offset string, " \
-             "latest_offset string, input_rows long"
+                "input_rows long, timestamp string, sources string")
+LAG_SCHEMA = ("query_id string, batch_id long, source string, topic string, partition int, end_offset long, "
+              "latest_offset long, lag long, input_rows long")
 
 
 class QueryEvents(StreamingQueryListener):
-    """Collect started / progress / idle / terminated events (old -> new
-    state of each query)."""
+    """Collect started / progress / idle / terminated events of all queries of a session."""
 
-    def __init__(self) -> None:
+    def __init__(self, spark: SparkSession, path: str | None = None, flush_every: int = 200) -> None:
+        self.spark, self.flush_every = spark, flush_every
+        self.path = path or scratch_dir(spark, "query-events")
         self._rows: list[tuple] = []
-        self._progress: list[dict] = []
-        self._lock = threading.Lock()
+        self._ended: set[str] = set()
+        self._changed = threading.Condition()
 
-    def _add(self, row: tuple) -> None:
-        with self._lock:
+    def _add(self, *row) -> None:
+        with self._changed:
             self._rows.append(row)
+            full = self._rows if len(self._rows) >= self.flush_every else None
+            if full is not None:
+                self._rows = []
+            if row[0] == "terminated":
+                self._ended.add(row[2])
+            self._changed.notify_all()
+        if full:
+            self._write(full)
+
+    def _write(self, rows: list[tuple]) -> None:
+        self.spark.createDataFrame(rows, EVENT_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
 
     def onQueryStarted(self, event) -> None:
-        self._add(("started", str(event.id), str(event.runId), event.name, None, None, event.timestamp))
+        self._add("started", str(event.id), str(event.runId), event.name, None, None, event.timestamp, None)
 
     def onQueryProgress(self, event) -> None:
         p = event.progress
-        with self._lock:
-            self._progress.append(json.loads(p.json))
-        self._add(("progress", str(p.id), str(p.runId), p.name, p.batchId, p.numInputRows, p.timestamp))
+        self._add("progress", str(p.id), str(p.runId), p.name, p.batchId, p.numInputRows, p.timestamp,
+                  json.dumps(json.loads(p.json).get("sources", [])))
 
     def onQueryIdle(self, event) -> None:
-        self._add(("idle", str(event.id), str(event.runId), None, None, None, event.timestamp))
+        self._add("idle", str(event.id), str(event.runId), None, None, None, event.timestamp, None)
 
     def onQueryTerminated(self, event) -> None:
-        self._add(("terminated", str(event.id), str(event.runId), None, None, None, None))
-
-    def frame(self, spark: SparkSession) -> DataFrame:
-        with self._lock:
-            rows = list(self._rows)
-        return spark.createDataFrame(rows, EVENT_SCHEMA)
-
-    def lag_frame(self, spark: SparkSession) -> DataFrame:
-        with self._lock:
-            progress = list(self._progress)
-        rows = [r for p in progress for r in lag_rows(p)]
-        return spark.createDataFrame(rows, LAG_SCHEMA)
-
-
-def lag_rows(progress: dict) -> list[tuple]:
-    """Per source of one progress report: start, end and latest offsets
-    (Kafka reports per-partition offsets; lag = latest - end)."""
-    out = []
-    for s in progress.get("sources", []):
-        out.append((progress.get("id"), progress.get("batchId"), s.get("description"),
-                    json.dumps(s.get("startOffset")), json.dumps(s.get("endOffset")),
-                    json.dumps(s.get("latestOffset")), s.get("numInputRows")))
-    return out
-
-
-def attach(spark: SparkSession) -> QueryEvents:
-    """Install a collector on the session (``enable`` in the reference's
-    terms)."""
-    listener = QueryEvents()
+        self._add("terminated", str(event.id), str(event.runId), None, None, None, None, None)
+
+    def wait_terminated(self, run_id: str, timeout: float = 600.0) -> None:
+        """Wait for the last event of a run (events arrive after the query has ended);
+        raises if it doesn't come, as the table would then be incomplete."""
+        with self._changed:
+            if not self._changed.wait_for(lambda: run_id in self._ended, timeout):
+                raise TimeoutError(f"no terminated event of run {run_id} after {timeout:g} s")
+
+    def frame(self, query_id: str | None = None) -> DataFrame:
+        """Events so far, of one query or of all."""
+        with self._changed:
+            rows, self._rows = self._rows, []
+        if rows:
+            self._write(rows)
+        events = read_or_empty(self.spark, self.path, EVENT_SCHEMA)
+        return events if query_id is None else events.where(F.col("query_id") == query_id)
+
+    def lag_frame(self, query_id: str | None = None) -> DataFrame:
+        """Per progress report, source, topic and partition: how far the query is behind."""
+        sources = "array<struct<description string, endOffset string, latestOffset string, numInputRows bigint>>".replace(
+            " string", ": string").replace(" bigint", ": bigint")
+        src = (self.frame(query_id).where("event = 'progress'")
+               .select("query_id", "batch_id", F.explode(F.from_json("sources", sources)).alias("s")))
+        offsets = "map<string,map<string,bigint>>"
+        end = (src.select("query_id", "batch_id", F.col("s.description").alias("source"),
+                          F.col("s.numInputRows").alias("input_rows"), F.col("s.latestOffset").alias("latest"),
+                          F.explode_outer(F.from_json("s.endOffset", offsets)).alias("topic", "parts"))
+               .select("*", F.explode_outer("parts").alias("p", "end_offset")))
+        latest = F.from_json("latest", offsets)[F.col("topic")][F.col("p")]
+        return end.select("query_id", "batch_id", "source", "topic", F.col("p").cast("int").alias("partition"), "end_offset",
+                          latest.alias("latest_offset"), (latest - F.col("end_offset")).alias("lag"), "input_rows")
+
+
+def attach(spark: SparkSession, path: str | None = None) -> QueryEvents:
+    """Install a collector on the session."""
+    listener = QueryEvents(spark, path)
     spark.streams.addListener(listener)
     return listener

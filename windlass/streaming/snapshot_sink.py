@@ -10,7 +10,9 @@ retention. Each batch costs its own size, never the size of the state;
 a version costs one pass over the previous version and the new changelog.
 
 Windows are assigned to ``partitions`` snapshot tasks by key hash, the same
-way the state store spreads them over shuffle partitions.
+way the state store spreads them over shuffle partitions. Any value columns go
+along. If the stream carries source addresses (see ``windowed_stream``), a
+version also records how far into the source it reaches.
 """
 
 from __future__ import annotations
@@ -19,28 +21,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import config as C
 from ..functions.columns import MICROS, epoch_micros, instant_to_ntz
 from ..operators.restore import restore_with_tail
 from ..sources.snapshots import SnapshotStore
+from .batches import last_batch, read_batches, write_batch
 
-CHANGELOG_SCHEMA = T.StructType([
-    T.StructField("partition", T.IntegerType()),
-    T.StructField("key", T.StringType()),
-    T.StructField("window_start", T.TimestampNTZType()),
-    T.StructField("window_end", T.TimestampNTZType()),
-    T.StructField("agg", T.LongType()),
-    T.StructField("offset", T.LongType()),
-    T.StructField("batch_id", T.LongType()),
-])
-
-
-def _ntz(c: str):
-    """Window bounds of a watermarked stream are ``timestamp``; stored as
-    their UTC wall clock."""
-    return instant_to_ntz(c)
+KEYS = ["topic", "partition", "key", "window_start", "window_end"]
+SOURCE = ["source_topic", "source_partition", "source_offset"]
 
 
 def key_partition(key: str, partitions: int):
@@ -61,72 +50,58 @@ class SnapshotSink:
         return f"{self.path}/changelog"
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select(key_partition("key", self.partitions).alias("partition"), "key",
-                            _ntz("window_start").alias("window_start"),
-                            _ntz("window_end").alias("window_end"),
-                            F.col("agg").cast("bigint").alias("agg"),
+        values = [c for c in batch.columns if c not in KEYS]
+        ntz = [instant_to_ntz(c).alias(c) if t == "timestamp" else F.col(c) for c, t in batch.dtypes if c in values]
+        rows = batch.select(F.lit(self.store.changelog_topic).alias("topic"),
+                            key_partition("key", self.partitions).alias("partition"), "key",
+                            instant_to_ntz("window_start").alias("window_start"),
+                            instant_to_ntz("window_end").alias("window_end"), *ntz,
                             F.lit(batch_id).cast("bigint").alias("offset"))
-        rows.write.mode("overwrite").parquet(f"{self.changelog_path}/batch_id={batch_id}")
+        write_batch(rows, self.changelog_path, batch_id)
         if self.every_n and batch_id % self.every_n == 0:
             self.snapshot(batch_id)
 
-    def changelog(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(CHANGELOG_SCHEMA).parquet(self.changelog_path)
-        except Exception as e:  # noqa: BLE001
-            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-                return self.spark.createDataFrame([], CHANGELOG_SCHEMA)
-            raise
-
-    def changelog_between(self, after: int, upto: int) -> DataFrame:
-        """Changelog batches in (after, upto]: only those directories are
-        listed, so a compaction costs the new batches, not the history."""
-        out = self.spark.createDataFrame([], CHANGELOG_SCHEMA)
-        paths = [f"{self.changelog_path}/batch_id={b}" for b in range(after + 1, upto + 1)]
-        if not paths:
-            return out
-        try:
-            return (self.spark.read.schema(CHANGELOG_SCHEMA).option("basePath", self.changelog_path)
-                    .parquet(*paths))
-        except Exception as e:  # noqa: BLE001 - some batch wrote nothing
-            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-                raise
-        for p in paths:
-            try:
-                out = out.unionByName(self.spark.read.schema(CHANGELOG_SCHEMA)
-                                      .option("basePath", self.changelog_path).parquet(p))
-            except Exception as e:  # noqa: BLE001
-                if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-                    raise
-        return out
+    def changelog(self, after: int = -1, upto: int | None = None) -> DataFrame:
+        """Changelog batches in (after, upto]: only those directories are listed, so a
+        compaction costs the new batches, not the history."""
+        upto = last_batch(self.spark, self.changelog_path) if upto is None else upto
+        return read_batches(self.spark, self.changelog_path, after, upto)
 
     def state(self, upto: int | None = None) -> DataFrame:
         """Latest version (at or before ``upto``) + changelog after it."""
-        v = self.store.versions()
-        if upto is not None:
-            v = v.where(F.col("version") <= upto)
-        latest = v.groupBy("app", "task", "store").agg(F.max("version").alias("version"))
-        snap, positions = self.store.open(latest)
-        snap = snap.select("partition", "key", "window_start", "window_end", "agg")
-        after = positions.agg(F.min("version")).collect()[0][0]   # one scalar (metadata)
-        if upto is not None and after is not None:
-            cl = self.changelog_between(int(after), upto)
-        else:
-            cl = self.changelog()
-            if upto is not None:
-                cl = cl.where(F.col("batch_id") <= upto)
-        st = restore_with_tail(snap, positions, cl.drop("batch_id"))
-        if self.retention_seconds is not None:
-            # one scalar: the newest window seen
-            newest = cl.agg(F.max("window_start")).collect()[0][0]
+        upto = last_batch(self.spark, self.changelog_path) if upto is None else upto
+        snap, positions = self.store.open(self.store.at(upto))
+        low = positions.agg(F.min("version"), F.count(F.lit(1))).first()
+        # a task without a version yet needs the whole changelog
+        after = int(low[0]) if low[1] == self.partitions else -1
+        changelog = self.changelog(after, upto).drop("batch_id")
+        if not low[1]:
+            snap = changelog.drop("offset").limit(0)
+        st = restore_with_tail(snap, positions, changelog)
+        if self.retention_seconds is not None and "value_ts" in st.columns:
+            # stream time is the newest record of snapshot and tail (one scalar)
+            newest = st.agg(F.max("value_ts")).first()[0]
             if newest is not None:
-                cutoff = F.lit(newest).cast("timestamp_ntz")
-                st = st.where(epoch_micros("window_start")
-                              > epoch_micros(cutoff) - F.lit(self.retention_seconds * MICROS))
-        return st.withColumn("partition", key_partition("key", self.partitions))
+                st = st.where(epoch_micros("window_start") > epoch_micros(F.lit(newest).cast("timestamp_ntz"))
+                              - F.lit(self.retention_seconds * MICROS))
+        return st
+
+    def sources(self, upto: int) -> DataFrame | None:
+        """Per source partition the last offset that updates up to a batch include."""
+        changelog = self.changelog(-1, upto)
+        if not set(SOURCE) <= set(changelog.columns):
+            return None
+        pointer = self.store.at(upto)
+        low = pointer.agg(F.min("version"), F.count(F.lit(1))).first()
+        after = int(low[0]) if low[1] else -1
+        new = (self.changelog(after, upto).groupBy(F.col("source_topic").alias("topic"),
+                                                   F.col("source_partition").alias("partition"))
+               .agg(F.max("source_offset").alias("position")))
+        return (new.unionByName(self.store.sources(pointer).drop("stream_time")).groupBy("topic", "partition")
+                .agg(F.max("position").alias("position")))
 
     def snapshot(self, batch_id: int) -> DataFrame:
-        st = self.state(upto=batch_id)
-        positions = self.spark.range(self.partitions).select(F.col("id").cast("int").alias("partition"),
-                                                             F.lit(batch_id).cast("bigint").alias("version"))
-        return self.store.publish(st, positions)
+        positions = self.spark.range(self.partitions).select(
+            F.lit(self.store.changelog_topic).alias("topic"), F.col("id").cast("int").alias("partition"),
+            F.lit(batch_id).cast("bigint").alias("version"))
+        return self.store.publish(self.state(upto=batch_id), positions, self.sources(batch_id))

@@ -3,23 +3,27 @@ per-partition stream time, a per-batch delta log and periodic snapshots.
 
 Per micro-batch ``id`` (all work runs as Spark jobs on the batch):
 
-1. carry = stream time per topic partition after the previous batch, read
-   from ``carry/`` (one row per partition, broadcast);
+1. carry = stream time and source position per topic partition after the
+   previous batch, read from ``carry/`` (one row per partition);
 2. stream time of each record = max(carry, running max of ts in the batch
    by offset) - the block-parallel scan, so a batch's partition is split;
 3. records with ``window_end + grace > stream_time`` are kept and summed
-   per (key, window) into ``deltas/batch_id=<id>``;
+   per (topic, partition, key, window) into ``deltas/batch_id=<id>``;
 4. the new carry is written to ``carry/batch_id=<id>``.
 
 Both writes overwrite their batch directory, so a batch replayed after a
 failure (same id, same input) rewrites the same files: exactly once. The
 carry is looked up by batch id, never "the latest", so a replay sees the
-carry its first run saw. Each partition's records must arrive in offset
-order across batches (true for a topic; the file fixture keeps it).
-
-State = sum of all deltas per (key, window); every ``every_n`` batches the
-sink folds the deltas since the last version into a new snapshot version
-(named by the batch id) - data first, pointer second.
+carry its first run saw; only batch 0 may start without one. Each
+partition's records must arrive in offset order across batches (true for a
+topic; the file fixture keeps it).
+
+State = sum of all deltas per window; every ``every_n`` batches the sink folds
+the deltas since the last version into a new snapshot version (named by the
+batch id), which also records stream time and position per source partition.
+A sink with ``resume`` set starts from such a version of another query: its
+state, stream times and positions take the place of empty ones, and records up
+to the positions are skipped.
 """
 
 from __future__ import annotations
@@ -28,28 +32,19 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import config as C
 from ..functions.columns import MICROS, epoch_micros, instant_to_ntz
 from ..operators import scan
 from ..sources.snapshots import SnapshotStore
+from .batches import last_batch, read_batches, write_batch
 
-CARRY_SCHEMA = T.StructType([
-    T.StructField("topic", T.StringType()),
-    T.StructField("partition", T.IntegerType()),
-    T.StructField("carry", T.TimestampNTZType()),
-    T.StructField("batch_id", T.LongType()),
-])
-DELTA_SCHEMA = T.StructType([
-    T.StructField("partition", T.IntegerType()),
-    T.StructField("key", T.StringType()),
-    T.StructField("window_start", T.TimestampNTZType()),
-    T.StructField("window_end", T.TimestampNTZType()),
-    T.StructField("agg", T.LongType()),
-    T.StructField("n", T.LongType()),
-    T.StructField("batch_id", T.LongType()),
-])
+CARRY = "topic string, partition int, carry timestamp_ntz, position bigint"
+CARRY_SCHEMA = CARRY + ", batch_id bigint"
+DELTA_SCHEMA = ("topic string, partition int, key string, window_start timestamp_ntz, window_end timestamp_ntz, "
+                "agg bigint, n bigint, batch_id bigint")
+WINDOW = ["topic", "partition", "key", "window_start", "window_end"]
+WHERE = ["topic", "partition"]
 
 
 @dataclass
@@ -60,6 +55,7 @@ class StrictWindowSink:
     grace_seconds: int = C.STORE_GRACE_SECONDS
     every_n: int = C.DEFAULT_SNAPSHOT_FREQUENCY
     store: SnapshotStore | None = None
+    resume: SnapshotStore | None = None
 
     @property
     def carry_path(self) -> str:
@@ -69,98 +65,76 @@ class StrictWindowSink:
     def delta_path(self) -> str:
         return f"{self.path}/deltas"
 
-    def _read(self, path: str, schema: T.StructType) -> DataFrame:
-        try:
-            return self.spark.read.schema(schema).parquet(path)
-        except Exception as e:  # noqa: BLE001 - nothing written yet
-            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-                return self.spark.createDataFrame([], schema)
-            raise
-
-    def _carry_at(self, batch_id: int) -> DataFrame:
-        """The carry one batch wrote: its own directory only, so the cost
-        does not grow with the number of batches the stream has run."""
-        path = f"{self.carry_path}/batch_id={batch_id}"
-        schema = T.StructType([f for f in CARRY_SCHEMA.fields if f.name != "batch_id"])
-        return self._read(path, schema).select("topic", "partition", "carry")
-
-    def carry_before(self, batch_id: int) -> DataFrame:
-        """Stream time per partition as the previous batch left it."""
-        return self._carry_at(batch_id - 1)
+    def carry_after(self, batch_id: int) -> DataFrame:
+        """Stream time and position per topic partition as a batch left them: its own
+        directory only, so the cost does not grow with the batches run."""
+        if batch_id < 0:
+            if self.resume is None:
+                return self.spark.createDataFrame([], CARRY)
+            return self.resume.sources().select(*WHERE, F.col("stream_time").alias("carry"), "position")
+        return read_batches(self.spark, self.carry_path, batch_id - 1, batch_id, CARRY_SCHEMA).drop("batch_id")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         if dict(batch.dtypes)["ts"] == "timestamp":
             batch = batch.withColumn("ts", instant_to_ntz("ts"))
-        carry = self.carry_before(batch_id)
-        timed = scan.running(batch, ["topic", "partition"], "offset",
-                             [("__run", "max", F.col("ts"))])
-        # carry: one row per topic partition
-        timed = (timed.join(F.broadcast(carry), ["topic", "partition"], "left")
+        carry = self.carry_after(batch_id - 1)
+        if self.resume is not None:
+            batch = batch.join(carry.select(*WHERE, "position"), WHERE, "left").where(
+                F.col("position").isNull() | (F.col("offset") > F.col("position"))).drop("position")
+        timed = scan.running(batch, WHERE, "offset", [("__run", "max", F.col("ts"))])
+        timed = (timed.join(carry, WHERE, "left")
                  .withColumn("stream_time", F.greatest("carry", "__run")))
         w = F.window("ts", f"{self.size_seconds} seconds")
         kept = (timed.withColumn("__w", w)
                 .where((epoch_micros("__w.end") + F.lit(self.grace_seconds * MICROS))
                        > epoch_micros("stream_time")))
-        deltas = (kept.groupBy("partition", "key", F.col("__w.start").alias("window_start"),
+        deltas = (kept.groupBy(*WHERE, "key", F.col("__w.start").alias("window_start"),
                                F.col("__w.end").alias("window_end"))
                   .agg(F.sum("value").cast("bigint").alias("agg"), F.count(F.lit(1)).alias("n")))
-        deltas.write.mode("overwrite").parquet(f"{self.delta_path}/batch_id={batch_id}")
-        seen = batch.groupBy("topic", "partition").agg(F.max("ts").alias("__m"))
-        new_carry = (carry.join(seen, ["topic", "partition"], "full_outer")
-                     .select("topic", "partition", F.greatest("carry", "__m").alias("carry")))
-        new_carry.coalesce(1).write.mode("overwrite").parquet(f"{self.carry_path}/batch_id={batch_id}")
+        write_batch(deltas, self.delta_path, batch_id)
+        seen = batch.groupBy(*WHERE).agg(F.max("ts").alias("__t"), F.max("offset").alias("__o"))
+        after = carry.join(seen, WHERE, "full_outer").select(
+            *WHERE, F.greatest("carry", "__t").alias("carry"), F.greatest("position", "__o").alias("position"))
+        write_batch(after, self.carry_path, batch_id)
         if self.store is not None and self.every_n and batch_id % self.every_n == 0:
             self.snapshot(batch_id)
 
-    def deltas(self, upto: int | None = None, after: int | None = None) -> DataFrame:
-        """Delta batches in (after, upto]. With both bounds only those batch
-        directories are listed; the batch id comes from the path."""
-        if upto is not None and after is not None:
-            paths = [f"{self.delta_path}/batch_id={b}" for b in range(after + 1, upto + 1)]
-            if not paths:
-                return self.spark.createDataFrame([], DELTA_SCHEMA)
-            return self._read_paths(paths, DELTA_SCHEMA, self.delta_path)
-        d = self._read(self.delta_path, DELTA_SCHEMA)
-        if upto is not None:
-            d = d.where(F.col("batch_id") <= upto)
-        if after is not None:
-            d = d.where(F.col("batch_id") > after)
-        return d
-
-    def _read_paths(self, paths: list[str], schema: T.StructType, base: str) -> DataFrame:
-        try:
-            return self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
-        except Exception as e:  # noqa: BLE001 - a batch without output
-            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-                frames = [self._read_paths([p], schema, base) for p in paths if len(paths) > 1]
-                out = self.spark.createDataFrame([], schema)
-                for f in frames:
-                    out = out.unionByName(f)
-                return out
-            raise
-
     def state(self, upto: int | None = None) -> DataFrame:
-        """Windowed state: the last snapshot at or before ``upto`` plus the
-        deltas after it (sums are associative, partial aggregation)."""
-        base, after = None, None
+        """Windowed state (topic, partition, key, window, agg, n): per topic partition the
+        last version at or before ``upto`` plus the deltas of the batches after it."""
+        upto = last_batch(self.spark, self.delta_path) if upto is None else upto
+        parts, after = [], -1
+        if self.resume is not None:
+            parts.append(self.resume.read().select(*WINDOW, "agg", "n"))
         if self.store is not None:
-            v = self.store.latest()
-            if upto is not None:
-                v = self.store.versions().where(F.col("version") <= upto).groupBy("app", "task", "store").agg(
-                    F.max("version").alias("version"))
-            if v.limit(1).count():
-                base = self.store.read(v).select("partition", "key", "window_start", "window_end", "agg",
-                                                 F.lit(None).cast("bigint").alias("n"))
-                after = v.agg(F.min("version")).collect()[0][0]
-        d = self.deltas(upto=upto, after=after).select("partition", "key", "window_start", "window_end",
-                                                        "agg", "n")
-        parts = d if base is None else base.unionByName(d)
-        return (parts.groupBy("partition", "key", "window_start", "window_end")
-                .agg(F.sum("agg").cast("bigint").alias("agg")))
+            pointer = self.store.at(upto)
+            base, positions = self.store.open(pointer)
+            # versions of one store may differ between tasks: each task's deltas start after its own
+            low = positions.agg(F.min("version"), F.count(F.lit(1))).first()
+            if low[1]:
+                seen = self.carry_after(upto).select(*WHERE)
+                missing = seen.join(positions, WHERE, "left_anti").limit(1).count()
+                after = -1 if missing else int(low[0])
+                if self.resume is not None:  # its rows are inside the versions of the tasks that have one
+                    parts = [parts[0].join(positions, WHERE, "left_anti")]
+                parts.append(base.select(*WINDOW, "agg", "n"))
+                deltas = read_batches(self.spark, self.delta_path, after, upto, DELTA_SCHEMA).join(
+                    positions.select(*WHERE, F.col("version").alias("__v")), WHERE, "left").where(
+                    F.col("__v").isNull() | (F.col("batch_id") > F.col("__v")))
+                return self._summed([*parts, deltas.select(*WINDOW, "agg", "n")])
+        deltas = read_batches(self.spark, self.delta_path, after, upto, DELTA_SCHEMA)
+        return self._summed([*parts, deltas.select(*WINDOW, "agg", "n")])
+
+    @staticmethod
+    def _summed(parts: list[DataFrame]) -> DataFrame:
+        rows = parts[0]
+        for p in parts[1:]:
+            rows = rows.unionByName(p)
+        return rows.groupBy(*WINDOW).agg(F.sum("agg").cast("bigint").alias("agg"), F.sum("n").cast("bigint").alias("n"))
 
     def snapshot(self, batch_id: int) -> DataFrame:
         """Fold everything up to ``batch_id`` into version ``batch_id``."""
-        st = self.state(upto=batch_id)
-        parts = self._carry_at(batch_id)
-        positions = parts.select("partition", F.lit(batch_id).cast("bigint").alias("version"))
-        return self.store.publish(st, positions)
+        carry = self.carry_after(batch_id)
+        positions = carry.select(*WHERE, F.lit(batch_id).cast("bigint").alias("version"))
+        return self.store.publish(self.state(upto=batch_id), positions,
+                                  carry.select(*WHERE, "position", F.col("carry").alias("stream_time")))
