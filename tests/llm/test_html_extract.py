@@ -32,6 +32,13 @@ def test_blocks_space_and_references():
     assert main_text(page) == "A & B AB é x\n\none two three\n\nitem, one\n\nitem two\n\na < b"
 
 
+def test_menus_inside_the_article_are_left_out_and_linked_text_stays():
+    menu = "<ul>" + "".join(f"<li><a href=/{i}>Section {i}</a></li>" for i in range(5)) + "</ul>"
+    linked = '<p><a href="x">See here</a></p><p>One <a href=a>link</a>, two <a href=b>links</a>, three <a href=c>links</a> in a text.</p>'
+    assert main_text(f"<article>{menu}{ARTICLE}{linked}</article>") == \
+        WANT + "\n\nSee here\n\nOne link, two links, three links in a text."
+
+
 def test_siblings_of_the_best_container_are_kept():
     page = f"<body><h2>Title</h2><div>{ARTICLE}</div><div>{ARTICLE}</div></body>"
     assert main_text(page) == "Title\n\n" + WANT + "\n\n" + WANT

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+MENU_LIKE = frozenset("ul ol dl div section table p".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CUT = frozenset("""head title script style noscript template nav header footer aside form button select textarea
     input label fieldset iframe object embed svg canvas math video audio dialog menu datalist""".split())
@@ -51,13 +52,13 @@ CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "parent", "children", "score", "chars", "linked")
+    __slots__ = ("tag", "attrs", "parent", "children", "score", "chars", "linked", "links")
 
     def __init__(self, tag: str, attrs: dict, parent):
         self.tag, self.attrs, self.parent = tag, attrs, parent
         self.children: list = []  # Node or str
         self.score = 0.0
-        self.chars = self.linked = 0
+        self.chars = self.linked = self.links = 0
 
 
 # one markup token; quoted attribute values may hold ">"; possessive, so no input makes it backtrack
@@ -197,6 +198,7 @@ def measure(root: Node) -> list[Node]:
     for node in reversed(order):
         node.chars = sum(c.chars if isinstance(c, Node) else len(c.strip()) for c in node.children)
         node.linked = node.chars if node.tag == "a" else sum(c.linked for c in node.children if isinstance(c, Node))
+        node.links = (node.tag == "a") + sum(c.links for c in node.children if isinstance(c, Node))
     return order
 
 
@@ -204,6 +206,11 @@ def link_density(node: Node) -> float:
     return node.linked / node.chars if node.chars else 0.0
 
 
+def is_menu(node: Node) -> bool:
+    """A list or box that is hardly anything but several links, whatever its class."""
+    return node.tag in MENU_LIKE and node.links >= 3 and link_density(node) >= 0.75
+
+
 def own_text(node: Node) -> str:
     """Text of a block without the blocks inside it."""
     out, stack = [], list(reversed(node.children))
@@ -271,7 +278,8 @@ def select(order: list[Node]) -> list[Node]:
 
 
 def blocks(nodes: list[Node]) -> list[str]:
-    """Texts of the blocks in page order; a block ends where another begins or ends."""
+    """Texts of the blocks in page order; a block ends where another begins or ends.
+    Menus inside the kept nodes are left out."""
     out: list[str] = []
     run: list[str] = []
 
@@ -290,6 +298,8 @@ def blocks(nodes: list[Node]) -> list[str]:
             run.append(c)
         elif c.tag in BLOCK:
             flush()
+            if is_menu(c) and c not in nodes:
+                continue
             stack.append(None)
             stack.extend(reversed(c.children))
         else:
