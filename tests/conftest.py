@@ -13,7 +13,7 @@ SF01 = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from windlass.session import build_session
-    s = build_session("local[*]", 8, app_name="windlass-tests")
+    s = build_session("local[*]", 4, app_name="windlass-tests")
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

@@ -40,6 +40,7 @@ from .. import config as C
 from ..functions.columns import layout_path, layout_path_str, segment_id
 from ..operators.offsets import task_id
 
+MANY_POSITIONS = 1_000
 ADDRESS = ["topic", "partition"]
 KEYS = [*ADDRESS, "key", "window_start", "window_end"]
 _META = ["segment_id", "task", "store", "version"]
@@ -176,7 +177,12 @@ class SnapshotStore:
         pointer = self.latest() if pointer is None else pointer
         keys = ["attempt", "task", "topic", "version"]
         wanted = pointer.select(*keys, "partition", "row_count")
-        attempts = self._named(wanted)
+        few = wanted.limit(MANY_POSITIONS + 1).toArrow()
+        if few.num_rows <= MANY_POSITIONS:  # a handful of pointers: look them up once, not per join
+            wanted = self.spark.createDataFrame(few)
+            attempts = sorted(set(few["attempt"].to_pylist()))
+        else:
+            attempts = self._named(wanted)
         positions = wanted.select(*ADDRESS, "version")
         if not attempts:
             empty = ", ".join([KEY_SCHEMA, self.values, META_SCHEMA, "attempt string"])
@@ -256,9 +262,6 @@ def _file_key(path):
     return F.regexp_extract(path, r"(attempt=.*)$", 1)
 
 
-MANY_POSITIONS = 1_000
-
-
 def tail_filter(positions: DataFrame):
     """Condition that a changelog row lies past its partition's position, for the
     scan to push down; None beyond ``MANY_POSITIONS`` partitions, where the join
