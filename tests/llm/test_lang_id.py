@@ -70,6 +70,33 @@ def test_awkward_rows(spark):
     assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted((r.doc_id for r in got if not r.rejected), key=repr)
 
 
+FOREIGN = ["Москва является столицей России и крупнейшим городом страны. ", "東京は日本の首都であり、世界で最も人口の多い都市の一つです。",
+           "Helsinki on Suomen pääkaupunki ja maan suurin kaupunki, joka sijaitsee Suomenlahden rannalla. ",
+           "Amsterdam is de hoofdstad van Nederland en een van de grootste steden van het land. ",
+           "Warszawa jest stolicą Polski i największym miastem kraju, położonym nad Wisłą. ",
+           "Lisboa é a capital de Portugal e a maior cidade do país, situada na foz do rio Tejo. ",
+           "Roma è la capitale d'Italia e la città più popolosa del paese, situata sul fiume Tevere. "]
+
+
+def test_texts_of_unlearned_languages_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "lang")
+    texts = [t * k for t in FOREIGN for k in (1, 3, 30)] + [t[:12] for t in FOREIGN[:5]]
+    more = spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(texts)], docs.schema)
+    got = li.identify(docs.unionByName(more)).select("doc_id", "rejected").collect()
+    assert [texts[-1 - r.doc_id] for r in got if r.doc_id < 0 and not r.rejected] == []
+    assert 0 < sum(r.rejected for r in got if r.doc_id >= 0) <= 0.005 * docs.count()
+
+
+def test_every_class_has_an_edge():
+    counts = {k: np.zeros((li.LONGEST + 1, li.STEPS + 1), dtype=int) for k in ("de", "en", "fr")}
+    counts["en"][5, 300], counts["en"][9, 700], counts["de"][4, 250], counts["de"][6, 400] = 50, 50, 1, 40
+    edge = lambda lang, size: li.edge_of(li.pooled(counts, lang, size))
+    assert edge("en", 5) == 0.3 and edge("en", 9) == 0.7  # own
+    assert edge("de", 4) == 0.25 and edge("de", 8) == 0.4  # the lengths next to it
+    assert edge("fr", 5) == 0.3 and edge("fr", 12) == 0.7 and edge("xx", 6) == 0.4  # other languages
+    assert li.edge_of(li.pooled({"en": counts["en"] // 50}, "de", 0)) == 0.3  # too few in all
+
+
 def test_nothing_to_learn_from(spark):
     assert li.identify(awkward_docs(spark, [])).count() == 0
     got = li.identify(awkward_docs(spark, [(1, "text", None), (2, None, "en")])).collect()

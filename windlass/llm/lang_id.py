@@ -7,10 +7,11 @@ centroids are found by spherical k-means over a bounded sample of its training
 documents (``SAMPLE_PER_LANGUAGE``, by hash of the id), in one task per
 language. A text gets the language of the centroid with the largest cosine.
 
-Rejection by distance: among all training documents predicted as a language
-and of a length class, a low quantile of the cosine is the usual edge; a text
-whose cosine is below ``SLACK`` of it lies too far from every centroid and is
-marked rejected, as are texts without a letter.
+Rejection by distance: among all training documents rightly predicted as a
+language and of a length class, a low quantile of the cosine is the edge; a text
+whose cosine is below it lies too far from every centroid and is marked
+rejected, as are texts without a letter. Every language and length class has an
+edge: a thin class takes in the lengths next to it, then the other languages.
 
 Texts are read where they are scored and never shuffled; what moves are
 counts per feature, the sample's vectors and one row of numbers per document.
@@ -33,8 +34,10 @@ FEATURES = 4096
 SAMPLE_PER_LANGUAGE = 600
 CENTROIDS = 4
 EDGE = 0.001  # quantile of the cosine among training documents
-SLACK = 0.7
-LEAST_TRAINED = 30  # training documents a language and length class needs for its own edge
+LEAST_TRAINED = 30  # training documents that an edge needs; thin classes are pooled
+LONGEST = 12  # the last length class: log2 of the number of trigrams
+NEAR = 2  # length classes to either side that a thin class takes in before other languages
+STEPS = 1000  # cosines are counted in steps of 1 / STEPS
 
 _BLANK = bytes(b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
@@ -177,20 +180,44 @@ def predict(rows: DataFrame, centroids: Centroids | None) -> DataFrame:
     schema = T.StructType([*fields, T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType()), T.StructField("n_grams", T.LongType())])
     return rows.mapInArrow(run, schema).withColumn("size", F.least(F.floor(F.log2(F.col("n_grams") + 1)).cast("int"),
-                                                                   F.lit(12)))
+                                                                   F.lit(LONGEST)))
 
 
-def edges(scored: DataFrame) -> DataFrame:
-    """(lang_pred, size, edge): the cosine below which a text is too far, from all training rows."""
-    known = scored.filter(~F.col("held_out") & F.col("lang").isNotNull() & (F.col("lang_pred") != "und"))
-    return known.groupBy("lang_pred", "size").agg(
-        (F.percentile_approx("score", EDGE, 10_000) * SLACK).alias("edge"), F.count(F.lit(1)).alias("n")).filter(
-        F.col("n") >= LEAST_TRAINED).drop("n")
+def edge_of(counts: np.ndarray) -> float:
+    """The lower end of the step that holds the ``EDGE`` quantile."""
+    return int(np.searchsorted(np.cumsum(counts), max(EDGE * counts.sum(), 1))) / STEPS
+
+
+def pooled(counts: dict[str, np.ndarray], lang: str, size: int) -> np.ndarray | None:
+    """Cosine counts that a class takes its edge from: its own language's of the nearest
+    lengths, at most ``NEAR`` away, else those of all languages; None without any."""
+    every = sum(counts.values())
+    own = [(counts[lang], w) for w in range(NEAR + 1)] if lang in counts else []
+    for of, w in own + [(every, w) for w in range(LONGEST + 1)]:
+        found = of[max(size - w, 0):size + w + 1].sum(axis=0)
+        if found.sum() >= LEAST_TRAINED:
+            return found
+    return every.sum(axis=0) if every.any() else None
+
+
+def edges(scored: DataFrame, centroids: Centroids | None) -> DataFrame:
+    """(lang_pred, size, edge) of every learned language and length class: the cosine below
+    which a text is too far, from all training rows whose language is predicted."""
+    known = scored.filter(~F.col("held_out") & (F.col("lang") == F.col("lang_pred")))
+    step = F.floor(F.col("score") * STEPS).cast("int").alias("step")
+    counts: dict[str, np.ndarray] = {}
+    # at most STEPS + 1 rows of each language and length class, whatever the number of documents
+    for r in known.groupBy("lang_pred", "size", step).agg(F.count(F.lit(1)).alias("n")).collect():
+        of = counts.setdefault(r["lang_pred"], np.zeros((LONGEST + 1, STEPS + 1), dtype=np.int64))
+        of[r["size"], r["step"]] = r["n"]
+    rows = [(lang, size, edge_of(pooled(counts, lang, size)))
+            for lang in sorted(set(centroids.langs)) for size in range(LONGEST + 1)] if counts else []
+    return scored.sparkSession.createDataFrame(rows, "lang_pred string, size int, edge double")
 
 
 def judged(scored: DataFrame, limits: DataFrame) -> DataFrame:
-    """``scored`` with the column rejected; the limits are a few rows per language."""
-    far = F.coalesce(F.col("score") < F.col("edge"), F.lit(False))
+    """``scored`` with the column rejected; the limits are a few rows per language. What has no edge is rejected."""
+    far = F.coalesce(F.col("score") < F.col("edge"), F.lit(True))
     return join_small(scored, limits, ["lang_pred", "size"]).withColumn("rejected", far | (F.col("lang_pred") == "und"))
 
 
@@ -204,8 +231,8 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     repeated rows are predicted each; other columns are not read; an empty table
     gives no rows.
     """
-    scored = _scored(docs, id_col, text_col, lang_col)[0]
-    return judged(scored, edges(scored)).select("doc_id", "held_out", "lang_pred", "score", "rejected")
+    scored, centroids = _scored(docs, id_col, text_col, lang_col)
+    return judged(scored, edges(scored, centroids)).select("doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
 def _scored(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> tuple[DataFrame, Centroids | None]:
@@ -219,4 +246,4 @@ def keep_known(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     judged again on the way through instead of being joined with the verdicts."""
     scored, centroids = _scored(docs, id_col, text_col, lang_col)
     rows = predict(wrapped(docs, text=F.col(text_col).cast("string")), centroids)
-    return unwrapped(judged(rows, edges(scored)).filter("not rejected"))
+    return unwrapped(judged(rows, edges(scored, centroids)).filter("not rejected"))
