@@ -32,6 +32,29 @@ def test_blocks_space_and_references():
     assert main_text(page) == "A & B AB é x\n\none two three\n\nitem, one\n\nitem two\n\na < b"
 
 
+@pytest.mark.parametrize("page", [
+    "<div class='content has-sidebar'>{}</div>", "<div class='no-sidebar'><div>{}</div></div>",
+    "<div class='elementor-widget elementor-widget-text-editor'>{}</div>", "<article><section id='discussion'>{}</section></article>",
+    "<div class=sidebar><main>{}</main></div>", "<div class='sidebar'>{}</div>"])
+def test_wrappers_with_furniture_words_keep_the_article(page):
+    assert main_text(f"<body>{page.format(ARTICLE)}</body>") == WANT
+
+
+def test_headings_formulas_and_sources_stay():
+    page = "<div class='article-header'><h1>Title</h1></div>" + ARTICLE + "<h2 id='related-work'>Related work</h2>" \
+           "<p id='social-effects'>Effects, on people.</p><p>Let <math><mi>x</mi></math> be <label>one</label>.</p>" \
+           "<p><a href=a>Anna A</a>, <a href=b>Bert B</a>, <a href=c>Cleo C</a></p>" \
+           "<ol>" + "<li><a href=s>A report on rivers and towns, in five volumes</a></li>" * 3 + "</ol>"
+    assert main_text(f"<article>{page}</article>") == "\n\n".join(
+        ["Title", WANT, "Related work", "Effects, on people.", "Let x be one.", "Anna A, Bert B, Cleo C"] +
+        ["A report on rivers and towns, in five volumes"] * 3)
+
+
+def test_furniture_by_name_goes():
+    for name in ("sidebar", "site-footer", "comments", "related", "widget", "share"):
+        assert main_text(f"<body><div>{ARTICLE}</div><div class='{name}'>Some, words, here.</div></body>") == WANT
+
+
 def test_menus_inside_the_article_are_left_out_and_linked_text_stays():
     menu = "<ul>" + "".join(f"<li><a href=/{i}>Section {i}</a></li>" for i in range(5)) + "</ul>"
     linked = '<p><a href="x">See here</a></p><p>One <a href=a>link</a>, two <a href=b>links</a>, three <a href=c>links</a> in a text.</p>'

@@ -2,8 +2,9 @@
 
 A page is parsed into a tree of elements (implied end tags and stray tags are
 handled the way browsers do). Boilerplate subtrees are cut: page furniture by
-element, and containers whose class or id names one of the usual furniture
-words. Each remaining paragraph-like block then earns points for its length and
+element, and containers whose class or id is one of the usual furniture words;
+words that may mean something else, or are part of a longer name, cut only what
+is short or mostly links. Each remaining paragraph-like block then earns points for its length and
 its commas and passes them to its ancestors - all to the parent, half to the
 grandparent, a third, a quarter, ... further up - and a container's points are
 discounted by the share of its text that lies in links. The best container is kept, with those
@@ -24,10 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MENU_LIKE = frozenset("ul ol dl div section table p".split())
+MENU_LIKE = frozenset("ul ol dl div".split())
+MENU_LABEL = 25  # characters of a menu's links on average; longer ones are titles, as in a list of sources
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CUT = frozenset("""head title script style noscript template nav header footer aside form button select textarea
-    input label fieldset iframe object embed svg canvas math video audio dialog menu datalist""".split())
+    input fieldset iframe object embed svg canvas annotation annotation-xml video audio dialog menu datalist""".split())
 BLOCK = frozenset("""address article blockquote body center dd details div dl dt figcaption figure h1 h2 h3 h4 h5 h6
     hgroup hr html li main ol p pre section summary table tbody td tfoot th thead tr ul caption""".split())
 PARAGRAPH = frozenset("p pre blockquote td li dd h1 h2 h3 h4 h5 h6 figcaption div section article main body html".split())
@@ -46,6 +48,13 @@ FURNITURE = frozenset("""ad ads advert adverts advertisement advertisements adbo
     cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login
     share sharing social related recommended recommendations pager pagination paging tags widget widgets skip
     skiplink""".split())
+# of these, the words that may also name a part of the article
+AMBIGUOUS = frozenset("""side head header discussion reply respond responses notice notices alert promotion subscription share
+    sharing social related tags rail skip widget widgets""".split())
+MODIFIERS = frozenset("has no with without is not hide show".split())  # "has-sidebar" is no sidebar
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+NEVER_BY_NAME = HEADINGS | frozenset("html body article main p pre blockquote".split())
+SHORT = 200  # characters
 FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 WORD = re.compile(r"[a-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -150,6 +159,7 @@ def parse(html: str) -> Node:
 
 
 def is_furniture(node: Node) -> bool:
+    """Page furniture by element, role or style, whatever its text."""
     if node.tag in CUT:
         return not (node.tag == "header" and _in_article(node))
     attrs = node.attrs
@@ -157,10 +167,50 @@ def is_furniture(node: Node) -> bool:
         return False
     if "hidden" in attrs or attrs.get("aria-hidden") == "true" or attrs.get("role", "").lower() in FURNITURE_ROLES:
         return True
-    if "display:none" in attrs.get("style", "").replace(" ", "").lower():
+    return "display:none" in attrs.get("style", "").replace(" ", "").lower()
+
+
+def names(node: Node) -> list[list[str]]:
+    """Words of each class and of the id."""
+    attrs = node.attrs
+    if "class" not in attrs and "id" not in attrs:
+        return []
+    tokens = f"{attrs.get('class', '')} {attrs.get('id', '')}".split()
+    return [w for w in (WORD.findall(CAMEL.sub(" ", t).lower()) for t in tokens) if w]
+
+
+def holds(node: Node, tags) -> bool:
+    stack = [node]
+    while stack:
+        for c in stack.pop().children:
+            if isinstance(c, Node):
+                if c.tag in tags:
+                    return True
+                stack.append(c)
+    return False
+
+
+def named_furniture(node: Node) -> bool:
+    """Furniture by class or id. A whole name of plain furniture words is enough; ambiguous
+    ones, and names that only end in a furniture word, need a subtree that is mostly
+    links, or short and without a heading."""
+    if node.tag in NEVER_BY_NAME:
+        return False
+    maybe = False
+    for words in names(node):
+        if words[0] in MODIFIERS:
+            continue
+        if all(w in FURNITURE for w in words):
+            if any(w not in AMBIGUOUS for w in words):
+                return not holds(node, ("main",))
+            maybe = True
+        elif words[-1] in FURNITURE:
+            maybe = True
+    if not maybe:
+        return False
+    if link_density(node) >= 0.5:
         return True
-    names = f"{attrs.get('class', '')} {attrs.get('id', '')}"
-    return len(names) > 1 and any(w in FURNITURE for w in WORD.findall(CAMEL.sub(" ", names).lower()))
+    return node.chars < SHORT and not holds(node, HEADINGS | {"p", "main"})
 
 
 def _in_article(node: Node) -> bool:
@@ -172,15 +222,15 @@ def _in_article(node: Node) -> bool:
     return False
 
 
-def prune(root: Node) -> None:
-    """Cut furniture, and nested articles that are reader comments, from the tree."""
+def prune(root: Node, cut) -> None:
+    """Cut the subtrees for which ``cut`` holds."""
     stack = [root]
     while stack:
         node = stack.pop()
         kept = []
         for c in node.children:
             if isinstance(c, Node):
-                if is_furniture(c):
+                if cut(c):
                     kept.append(" ")
                     continue
                 stack.append(c)
@@ -207,8 +257,9 @@ def link_density(node: Node) -> float:
 
 
 def is_menu(node: Node) -> bool:
-    """A list or box that is hardly anything but several links, whatever its class."""
-    return node.tag in MENU_LIKE and node.links >= 3 and link_density(node) >= 0.75
+    """A list or box that is hardly anything but several links with short labels, whatever its class."""
+    return node.tag in MENU_LIKE and node.links >= 3 and link_density(node) >= 0.75 \
+        and node.linked < MENU_LABEL * node.links
 
 
 def own_text(node: Node) -> str:
@@ -298,7 +349,7 @@ def blocks(nodes: list[Node]) -> list[str]:
             run.append(c)
         elif c.tag in BLOCK:
             flush()
-            if is_menu(c) and c not in nodes:
+            if is_menu(c) and not any(c is n for n in nodes):
                 continue
             stack.append(None)
             stack.extend(reversed(c.children))
@@ -314,8 +365,16 @@ def main_text(html: str | None) -> str:
     """The article of a page, its blocks joined by an empty line; empty if there is none."""
     if not html:
         return ""
+    text = _article(html, True)
+    return text or _article(html, False)  # a page that is nothing but furniture by name
+
+
+def _article(html: str, by_name: bool) -> str:
     root = parse(html)
-    prune(root)
+    prune(root, is_furniture)
+    if by_name:
+        measure(root)
+        prune(root, named_furniture)
     order = measure(root)
     score(order)
     return "\n\n".join(blocks(select(order)))
