@@ -55,6 +55,18 @@ def test_furniture_by_name_goes():
         assert main_text(f"<body><div>{ARTICLE}</div><div class='{name}'>Some, words, here.</div></body>") == WANT
 
 
+@pytest.mark.parametrize("page", [
+    "<article>{0}<article class='comment'><p>{1}</p></article></article>", "<article>{0}<section><article><p>{2}</p></article></section></article>",
+    "<article>{0}</article><article class='comment' id='comment-7'><p>{1}</p></article>",
+    "<article>{0}<article class='comment-body'><p>{1}</p></article></article>"])
+def test_comments_as_articles_are_left_out(page):
+    assert main_text(page.format(ARTICLE, "I disagree, in all, of the, many, points, and more, " * 20, "I disagree, with this.")) == WANT
+
+
+def test_an_article_that_only_wraps_another_keeps_it():
+    assert main_text(f"<article><h1>Title</h1><article>{ARTICLE}</article></article>") == "Title\n\n" + WANT
+
+
 def test_menus_inside_the_article_are_left_out_and_linked_text_stays():
     menu = "<ul>" + "".join(f"<li><a href=/{i}>Section {i}</a></li>" for i in range(5)) + "</ul>"
     linked = '<p><a href="x">See here</a></p><p>One <a href=a>link</a>, two <a href=b>links</a>, three <a href=c>links</a> in a text.</p>'

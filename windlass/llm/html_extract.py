@@ -55,6 +55,8 @@ MODIFIERS = frozenset("has no with without is not hide show".split())  # "has-si
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 NEVER_BY_NAME = HEADINGS | frozenset("html body article main p pre blockquote".split())
 SHORT = 200  # characters
+COMMENT = frozenset("comment comments comentario comentarios reply replies".split())
+COMMENT_PARTS = COMMENT | frozenset("body content item text list thread".split())
 FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 WORD = re.compile(r"[a-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -222,6 +224,19 @@ def _in_article(node: Node) -> bool:
     return False
 
 
+def is_comment(node: Node) -> bool:
+    """An article that is a reader comment: by its name, or nested in an article of which
+    it isn't the larger part."""
+    if node.tag != "article":
+        return False
+    if any(w[0] in COMMENT and all(x in COMMENT_PARTS for x in w) for w in names(node)):
+        return True
+    up = node.parent
+    while up is not None and up.tag != "article":
+        up = up.parent
+    return up is not None and 2 * node.chars < up.chars
+
+
 def prune(root: Node, cut) -> None:
     """Cut the subtrees for which ``cut`` holds."""
     stack = [root]
@@ -307,10 +322,12 @@ def select(order: list[Node]) -> list[Node]:
         return []
     while best.parent is not None and best.tag in ("tr", "tbody", "td", "ul", "ol", "dl", "blockquote", "figure", "table"):
         best = best.parent  # a part of a table or list is never the whole article
-    inside = best
-    while inside is not None and inside.tag != "article":
-        inside = inside.parent
-    best = inside or best  # an article element around the best container is the article, title block included
+    around, up = None, best
+    while up is not None:
+        if up.tag == "article":
+            around = up
+        up = up.parent
+    best = around or best  # the outermost article around the best container is the article, title block included
     if best.parent is None or best.tag == "article":
         return [best]
     floor = max(10.0, final_score(best) / 5)
@@ -374,7 +391,7 @@ def _article(html: str, by_name: bool) -> str:
     prune(root, is_furniture)
     if by_name:
         measure(root)
-        prune(root, named_furniture)
+        prune(root, lambda node: named_furniture(node) or is_comment(node))
     order = measure(root)
     score(order)
     return "\n\n".join(blocks(select(order)))
