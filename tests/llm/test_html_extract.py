@@ -67,6 +67,18 @@ def test_an_article_that_only_wraps_another_keeps_it():
     assert main_text(f"<article><h1>Title</h1><article>{ARTICLE}</article></article>") == "Title\n\n" + WANT
 
 
+@pytest.mark.parametrize("tag", ["main", "div", "body"])
+def test_uneven_sections_are_kept(tag):
+    page = f"<{tag}><section>{ARTICLE * 4}</section><section><p>Short one.</p><p>Another one.</p></section></{tag}>"
+    assert main_text(page) == "\n\n".join([WANT] * 4 + ["Short one.", "Another one."])
+
+
+def test_what_lies_between_parts_of_the_article_is_kept():
+    page = f"<body><div>{ARTICLE}</div><pre>x = 1</pre>bare text<ul><li>one</li></ul><table><tr><td>7</td></tr></table>" \
+           f"<blockquote>quoted</blockquote><figure><figcaption>a caption</figcaption></figure><div>{ARTICLE}</div></body>"
+    assert main_text(page) == "\n\n".join([WANT, "x = 1", "bare text", "one", "7", "quoted", "a caption", WANT])
+
+
 def test_menus_inside_the_article_are_left_out_and_linked_text_stays():
     menu = "<ul>" + "".join(f"<li><a href=/{i}>Section {i}</a></li>" for i in range(5)) + "</ul>"
     linked = '<p><a href="x">See here</a></p><p>One <a href=a>link</a>, two <a href=b>links</a>, three <a href=c>links</a> in a text.</p>'

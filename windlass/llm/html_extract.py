@@ -312,7 +312,7 @@ def final_score(node: Node) -> float:
     return node.score * (1 - link_density(node))
 
 
-def select(order: list[Node]) -> list[Node]:
+def select(order: list[Node]) -> list:
     """The best container and the siblings that belong to it, in page order."""
     best = None
     for node in order:
@@ -324,28 +324,45 @@ def select(order: list[Node]) -> list[Node]:
         best = best.parent  # a part of a table or list is never the whole article
     around, up = None, best
     while up is not None:
-        if up.tag == "article":
+        if up.tag == "article" or (up.tag == "main" and around is None):
             around = up
         up = up.parent
-    best = around or best  # the outermost article around the best container is the article, title block included
-    if best.parent is None or best.tag == "article":
+    # the outermost article around the best container is the article, title block included; else main is
+    best = around or best
+    if best.parent is None or best.tag in ("article", "main"):
         return [best]
-    floor = max(10.0, final_score(best) / 5)
-    kept = []
-    for c in best.parent.children:
+    return siblings(best)
+
+
+def is_text(c) -> bool:
+    """Text that is hardly linked: what may stand between two parts of the article."""
+    if isinstance(c, str):
+        return bool(c.strip())
+    return c.chars > 0 and link_density(c) < 0.25
+
+
+def siblings(best: Node) -> list:
+    """``best`` and its siblings of the article. Between the first and the last of them all
+    hardly linked text stays."""
+    floor = final_score(best) / 5
+    beside = best.parent.children
+    sure = set()
+    for k, c in enumerate(beside):
         if not isinstance(c, Node):
             continue
-        if c is best or (c.tag in CONTAINER and final_score(c) >= floor):
-            kept.append(c)
+        if c is best or (c.tag in CONTAINER and is_text(c) and
+                         (final_score(c) >= floor or (c.tag == best.tag == "section" and final_score(c) >= 1))):
+            sure.add(k)
         elif c.tag in PARAGRAPH and c.tag not in CONTAINER:
             text = " ".join(own_text(c).split())
-            if c.tag[0] == "h" or (len(text) > 80 and link_density(c) < 0.25) \
+            if c.tag in HEADINGS or (len(text) > 80 and link_density(c) < 0.25) \
                     or (text and c.linked == 0 and text[-1] in ".!?"):
-                kept.append(c)
-    return kept
+                sure.add(k)
+    first, last = min(sure), max(sure)
+    return [c for k, c in enumerate(beside) if k in sure or (first < k < last and is_text(c))]
 
 
-def blocks(nodes: list[Node]) -> list[str]:
+def blocks(nodes: list) -> list[str]:
     """Texts of the blocks in page order; a block ends where another begins or ends.
     Menus inside the kept nodes are left out."""
     out: list[str] = []
