@@ -121,3 +121,14 @@ def test_live_index_insert_and_delete(spark):
     index = ed.update_index(index, inserted=docs([(9, "c"), (10, "a")]), deleted=docs([(3, "b"), (2, "a"), (5, "zz")]))
     got = {bytes(r.digest): r.n for r in index.collect()}
     assert got == {hashlib.sha256(b"a").digest(): 2, hashlib.sha256(b"c").digest(): 1}
+
+
+def test_deletions_choose_the_kept_document_again(spark):
+    docs = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
+    index = ed.build_index(ed.content_keys(docs([(1, "a"), (2, "a"), (3, "b"), (4, "c"), (4, "c"), (7, "c"), (5, "d")])))
+    left = docs([(1, "a"), (4, "c"), (4, "c"), (5, "d"), (6, "a")])
+    index = ed.update_index(index, inserted=docs([(6, "a"), (8, "a")]),
+                            deleted=docs([(2, "a"), (8, "a"), (3, "b"), (7, "c"), (99, "d")]), remaining=left)
+    assert sorted(map(tuple, index.collect())) == sorted(map(tuple, ed.build_index(ed.content_keys(left)).collect()))
+    got = {bytes(r.digest): (r.n, r.keep_id, r.keep_rows) for r in index.collect()}
+    assert got == {hashlib.sha256(k).digest(): v for k, v in ((b"a", (2, 6, 1)), (b"c", (2, 4, 2)), (b"d", (1, 5, 1)))}

@@ -261,13 +261,17 @@ def build_index(keys: DataFrame, rows: int | None = None) -> DataFrame:
             .repartition(shards, "digest").mapInArrow(_index_shard, INDEX_SCHEMA))
 
 
-def update_index(index: DataFrame, inserted: DataFrame | None = None, deleted: DataFrame | None = None) -> DataFrame:
+def update_index(index: DataFrame, inserted: DataFrame | None = None, deleted: DataFrame | None = None,
+                 remaining: DataFrame | None = None) -> DataFrame:
     """Apply documents (``doc_id``, ``text``) to a live index and return the new one.
 
     Deletions take documents off their digest; a digest with none left leaves
-    the index. ``keep_id`` of a digest that lost some of its documents is not
-    recomputed: the index knows digests, not their members. Deletions of texts
-    that are not in the index change nothing.
+    the index. The index knows digests, not their members, so the digests that
+    deletions touch are built again from ``remaining``, the documents that are
+    live after the update. Without it only ``n`` is lowered: ``keep_id`` may name
+    a deleted document, and the deletion of an id that was never indexed takes
+    off another document of equal text. Deletions of texts that are not in the
+    index change nothing.
     """
     spark = index.sparkSession
     ops = index.withColumn("step", F.lit(0))
@@ -290,7 +294,12 @@ def update_index(index: DataFrame, inserted: DataFrame | None = None, deleted: D
             live.delete(digest, int(n))
         yield from live.batches()
 
-    return ops.repartition(shards, "digest").mapInArrow(shard, INDEX_SCHEMA)
+    updated = ops.repartition(shards, "digest").mapInArrow(shard, INDEX_SCHEMA)
+    if deleted is None or remaining is None:
+        return updated
+    touched = write_table(content_keys(deleted).select("digest").distinct(), "exact-touched")
+    again = build_index(content_keys(remaining).join(touched, "digest", "left_semi"))
+    return updated.join(touched, "digest", "left_anti").select(*index.columns).unionByName(again)
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
