@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from windlass.llm import (ann, bpe, exact_dedup, html_extract, lang_id, lm_scoring, packing, quality, simhash,
-                          url_filter)
+from windlass.llm import (ann, bpe, divergence, exact_dedup, filter_audit, html_extract, lang_id, lm_scoring, metric_join,
+                          packing, quality, simhash, url_filter)
 from windlass.llm.common import table
 
 
@@ -55,10 +55,23 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metric_join.near_dedup(table(spark, sf_dir, "embeddings"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_filter_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_exact_dedup, op2_html_extraction, op3_lm_scoring, op4_packing, op5_ann_search, op6_url_filter,
-        op7_language_id, op8_byte_bpe, op9_quality_classifier, op10_simhash_dedup)}
+        op7_language_id, op8_byte_bpe, op9_quality_classifier, op10_simhash_dedup,
+        op11_embedding_near_dedup, op12_source_divergence, op13_filter_interaction)}
 
 ORACLE_SQL: dict[str, str] = {
     "op1_exact_dedup": """
@@ -67,4 +80,7 @@ ORACLE_SQL: dict[str, str] = {
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
     "op6_url_filter": url_filter.ORACLE_SQL,
+    "op11_embedding_near_dedup": metric_join.ORACLE_SQL,
+    "op12_source_divergence": divergence.ORACLE_SQL,
+    "op13_filter_interaction": filter_audit.ORACLE_SQL,
 }
