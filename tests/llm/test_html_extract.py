@@ -1,6 +1,10 @@
+import time
+
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
-from windlass.llm.html_extract import extract_main_text, main_text
+from windlass.llm.html_extract import CONTAINER, extract_main_text, main_text, measure, parse, points, score
 
 ARTICLE = "<p>First paragraph, long enough to count, with several commas, and more words to it.</p>" \
           "<p>Second one, also of some length, which goes on and on, as articles do.</p>"
@@ -63,6 +67,47 @@ def test_comments_as_articles_are_left_out(page):
     assert main_text(page.format(ARTICLE, "I disagree, in all, of the, many, points, and more, " * 20, "I disagree, with this.")) == WANT
 
 
+LONG_TALK = "I disagree, in all, of the, many, points, and more, as one may see. " * 20
+
+
+@pytest.mark.parametrize("box", [
+    "<div class='comment-list'>{}</div>", "<section class='user-comments'>{}</section>", "<ol class='commentlist'><li>{}</ol>",
+    "<div id='comments-section'><div class='comment-body'>{}</div></div>", "<div class='post-comments'>{}</div>",
+    "<div class='related-articles'>{}</div>", "<div class='relatedPosts'>{}</div>", "<div class='site-notice'>{}</div>",
+    "<ul class='cookie-consent-banner'><li>{}</ul>", "<table class='newsletter-signup'><tr><td>{}</td></tr></table>",
+    "<div class='notice'>{}</div>", "<div class='recommended-stories'>{}</div>", "<section id='respond'>{}</section>"])
+@pytest.mark.parametrize("frame", ["<body><article>{0}</article>{1}</body>", "<body><div>{0}{1}</div></body>", "<main>{0}{1}</main>"])
+def test_named_furniture_goes_at_any_length(box, frame):
+    for talk in (f"<p>{LONG_TALK}</p>", LONG_TALK, "Agreed."):
+        assert main_text(frame.format(ARTICLE * 2, box.format(talk))) == WANT + "\n\n" + WANT
+
+
+@pytest.mark.parametrize("short", ["Short intro.", "<p>Short intro</p>", "<h2>Part</h2>", "<ul><li>one</li></ul>"])
+@pytest.mark.parametrize("tag", ["div", "section"])
+def test_short_boxes_beside_the_article_are_kept(tag, short):
+    """The first or the last, of any length, without a full stop."""
+    text = main_text(short)
+    page = f"<body><{tag}>{short}</{tag}><{tag}>{ARTICLE * 4}</{tag}><{tag}>{short}</{tag}></body>"
+    assert main_text(page) == "\n\n".join([text, *[WANT] * 4, text])
+
+
+def test_a_long_and_a_short_article_side_by_side_are_both_kept():
+    page = f"<main><article>{ARTICLE * 4}</article><article><p>A short one.</p></article></main>"
+    assert main_text(page) == "\n\n".join([WANT] * 4 + ["A short one."])
+    assert main_text(page.replace("main", "body")) == "\n\n".join([WANT] * 4 + ["A short one."])
+
+
+def test_the_title_block_of_main_is_kept_and_the_sites_is_not():
+    page = f"<body><header><h1>Site</h1></header><main><header><h1>Title</h1></header>{ARTICLE}</main></body>"
+    assert main_text(page) == "Title\n\n" + WANT
+
+
+def test_doubtful_names_beside_the_article_go_and_inside_it_stay():
+    box = "<div class='{}'><h3>Some</h3><p>Words, of its own.</p></div>"
+    page = "<body>" + box.format("header") + f"<div>{ARTICLE}" + box.format("discussion") + "</div>" + box.format("widget") + "</body>"
+    assert main_text(page) == WANT + "\n\nSome\n\nWords, of its own."
+
+
 def test_an_article_that_only_wraps_another_keeps_it():
     assert main_text(f"<article><h1>Title</h1><article>{ARTICLE}</article></article>") == "Title\n\n" + WANT
 
@@ -102,6 +147,47 @@ def test_hostile_markup_is_read_in_linear_time():
     assert main_text("<p>" + "word, " * 200_000).startswith("word, word,")
 
 
+@pytest.mark.parametrize("unit", ["<div><p>", "<b>", "<ul><li>", "<article><header>", "<div class='widget'>", "<table><tr><td>", "<p><b><i>"])
+def test_nesting_costs_linear_time(unit):
+    """Four times the nesting takes about four times as long, at half a megabyte."""
+    def seconds(n):
+        page = unit * n + "<p>" * (n if unit == "<b>" else 0) + "deep, text"
+        start = time.process_time()
+        assert "deep, text" in main_text(page)
+        return time.process_time() - start
+
+    n = 500_000 // len(unit) // 4
+    seconds(n)
+    small, large = min(seconds(n) for _ in range(2)), seconds(4 * n)
+    assert large < 8 * small + 0.2 and large < 10
+
+
+def brute_scores(order):
+    """Every container's points, from each paragraph walk to the root."""
+    out = {id(n): 0.0 for n in order}
+    for node in order:
+        own = points(node)
+        if node.tag in CONTAINER:
+            out[id(node)] += own
+        up, share = node.parent, 1
+        while up is not None:
+            if up.tag in CONTAINER:
+                out[id(up)] += own / share
+                share *= 2
+            up = up.parent
+    return out
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sampled_from(["<div>", "</div>", "<p>", "</p>", "<ul>", "<li>", "</ul>", "<b>", "</b>", "<a href=x>", "</a>", "<table>", "<tr>",
+                                 "<td>", "</table>", "words, and more", " of it, ", "<section>", "</section>", "<article>", "</article>"]), max_size=60))
+def test_scores_equal_brute_force(parts):
+    order = measure(parse("".join(parts)))
+    score(order)
+    want = brute_scores(order)
+    assert all(abs(n.score - want[id(n)]) < 1e-9 * (1 + want[id(n)]) for n in order if n.tag in CONTAINER)
+
+
 def test_frame(spark):
     rows = [(1, "u", f"<article>{ARTICLE}</article>", "x"), (1, "u", None, "y"), (None, None, "", "z")]
     got = extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()

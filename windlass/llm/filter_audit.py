@@ -58,6 +58,10 @@ def own_failures(text: Column) -> Column:
             + F.when(text.rlike(SYMBOLS), 8).otherwise(0)).cast("int")
 
 
+def text_hash(text: Column) -> Column:
+    return F.xxhash64(text)
+
+
 def probes(hashes: np.ndarray, counters: int) -> np.ndarray:
     """(PROBES x texts) counters of a 64-bit hash; ``counters`` is a power of two."""
     h = hashes.view(np.uint64)
@@ -163,7 +167,7 @@ def masks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                        F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("")).alias("part"),
                        F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("h", F.xxhash64("text"))
+    rows = rows.withColumn("h", text_hash(F.col("text")))
     facts = write_table(rows.select("doc_id", "part", "h", own_failures(F.col("text")).alias("mask")), "audit-facts")
     maybe = may_repeat(facts, "h", counters_for(facts.count()))
     firsts = write_table(first_ids(rows.select("doc_id", "h", "text").filter(maybe)), "audit-firsts")

@@ -2,22 +2,26 @@
 
 A page is parsed into a tree of elements (implied end tags and stray tags are
 handled the way browsers do). Boilerplate subtrees are cut: page furniture by
-element, and containers whose class or id is one of the usual furniture words;
-words that may mean something else, or are part of a longer name, cut only what
-is short or mostly links. Each remaining paragraph-like block then earns points for its length and
-its commas and passes them to its ancestors - all to the parent, half to the
-grandparent, a third, a quarter, ... further up - and a container's points are
-discounted by the share of its text that lies in links. The best container is kept, with those
-siblings that score at least a fifth of it or hold long, hardly linked
-paragraphs. Inside the kept nodes the text is read off in page order.
-
-Each page is one row of an Arrow batch; no exchange is needed, and a page is
-the unit of memory.
+element, and containers whose class or id names it, however long they are. A name
+is read word by word: it is furniture if one word is and the others only say where
+or of what kind ("comment-list", "site-notice", "related-articles"); names that mean
+a part of an article as often ("header", "widget") cut only what stands outside the
+article, or is no prose. Each remaining paragraph-like block then earns points for its
+length and its commas and passes them to its ancestors - all to the nearest
+container, half to the next, a quarter, ... further up - and a container's points are
+discounted by the share of its text that lies in links. The best container is kept, with
+those siblings that are hardly linked. Inside the kept nodes the text is read off in
+page order.
+
+Parsing and scoring take time in proportion to the page, however it is nested. Each
+page is one row of an Arrow batch; no exchange is needed, and a page is the unit of
+memory.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from html import unescape
 
@@ -43,33 +47,45 @@ SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}
 ENDS_P = BLOCK | {"form", "nav", "header", "footer", "aside", "fieldset", "menu", "dialog"}
 # class and id words that name page furniture
 FURNITURE = frozenset("""ad ads advert adverts advertisement advertisements adbox adslot advertising banner sponsor sponsored promo
-    promotion promoted nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar side aside rail footer foot
-    masthead topbar toolbar header comment comments comentario commentlist disqus discussion reply replies respond responses
-    cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login
-    share sharing social related recommended recommendations pager pagination paging tags widget widgets skip
-    skiplink""".split())
+    promos promoted promotion nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar side aside rail footer foot
+    masthead topbar toolbar header comment comments comentario comentarios commentlist disqus discussion reply replies respond
+    responses cookie cookies consent gdpr notice notices alert alerts popup modal overlay newsletter newsletters subscribe
+    subscription signup login share sharing social related recommended recommendation recommendations pager pagination paging
+    tags widget widgets skip skiplink""".split())
 # of these, the words that may also name a part of the article
-AMBIGUOUS = frozenset("""side head header discussion reply respond responses notice notices alert promotion subscription share
-    sharing social related tags rail skip widget widgets""".split())
+AMBIGUOUS = frozenset("side head header foot discussion promotion subscription rail skip widget widgets".split())
+# words that say where a box is or of what kind, not what it holds
+PLACES = frozenset("""site page global top bottom left right upper lower main first last primary secondary user users reader readers
+    visitor box block area region section container wrapper wrap inner outer list item items group panel pane bar link links
+    body text content thread form button buttons title heading more new latest""".split())
+# after "related" and the like: what is related lies elsewhere
+ELSEWHERE = frozenset("article articles post posts story stories news entries reading videos pages topics products".split())
+POINTERS = frozenset("related recommended recommendation recommendations promoted sponsored share sharing social".split())
+OF_ARTICLE = frozenset("article post entry story".split())  # "article-header", "post-comments"
 MODIFIERS = frozenset("has no with without is not hide show".split())  # "has-sidebar" is no sidebar
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+PROSE = HEADINGS | frozenset("p blockquote pre main article".split())
 NEVER_BY_NAME = HEADINGS | frozenset("html body article main p pre blockquote".split())
-SHORT = 200  # characters
-COMMENT = frozenset("comment comments comentario comentarios reply replies".split())
-COMMENT_PARTS = COMMENT | frozenset("body content item text list thread".split())
+COMMENT = frozenset("comment comments comentario comentarios reply replies response responses".split())
+COMMENT_PARTS = COMMENT | frozenset("body content item text list thread user reader box section area depth id li wp even odd".split())
 FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 WORD = re.compile(r"[a-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "parent", "children", "score", "chars", "linked", "links")
+    __slots__ = ("tag", "attrs", "parent", "children", "score", "passed", "chars", "linked", "links", "prose", "mains", "article",
+                 "inside", "doubtful")
 
     def __init__(self, tag: str, attrs: dict, parent):
         self.tag, self.attrs, self.parent = tag, attrs, parent
         self.children: list = []  # Node or str
-        self.score = 0.0
-        self.chars = self.linked = self.links = 0
+        self.score = self.passed = 0.0
+        self.chars = self.linked = self.links = self.prose = self.mains = 0
+        self.doubtful = False
+        # the nearest article around it, and whether it lies in an article or main
+        self.article = None if parent is None else parent if parent.tag == "article" else parent.article
+        self.inside = parent is not None and (parent.inside or parent.tag in ("article", "main"))
 
 
 # one markup token; quoted attribute values may hold ">"; possessive, so no input makes it backtrack
@@ -85,6 +101,9 @@ class TreeBuilder:
 
     def __init__(self):
         self.root = self.at = Node("html", {}, None)
+        self.path = [self.root]  # the open elements
+        self.open: dict[str, list[int]] = {"html": [0]}  # their places in the path, by tag
+        self.containers = [0]
 
     def feed(self, html: str) -> None:
         pos, n = 0, len(html)
@@ -112,8 +131,8 @@ class TreeBuilder:
     def start(self, tag: str, attrs: str) -> None:
         if tag == "html":
             return
-        if tag in ENDS_P:
-            self._close_open({"p"}, SCOPE_OF_P)
+        if tag in ENDS_P and self.open.get("p"):
+            self._close_open(("p",), SCOPE_OF_P)
         if tag in ENDS:
             self._close_open(ENDS[tag], SCOPE[tag])
         found: dict[str, str] = {}
@@ -123,31 +142,45 @@ class TreeBuilder:
         node = Node(tag, found, self.at)
         self.at.children.append(node)
         if tag not in VOID:
+            self.open.setdefault(tag, []).append(len(self.path))
+            if tag in CONTAINER:
+                self.containers.append(len(self.path))
+            self.path.append(node)
             self.at = node
 
+    def _cut_back(self, to: int) -> None:
+        """Close all open elements from place ``to`` on; each is closed once."""
+        while len(self.path) > to:
+            tag = self.path.pop().tag
+            self.open[tag].pop()
+            if tag in CONTAINER:
+                self.containers.pop()
+        self.at = self.path[-1]
+
+    def _innermost(self, tags) -> int:
+        """Place of the innermost open element of ``tags``; 0 if there is none but the root."""
+        return max((self.open[t][-1] for t in tags if self.open.get(t)), default=0)
+
     def _close_open(self, tags, scope):
-        """End the innermost run of open ``tags`` that no ``scope`` element shields."""
-        node, last = self.at, None
-        while node is not self.root and node.tag not in scope:
-            if node.tag in tags:
-                last = node
-            node = node.parent
-        if last is not None:
-            self.at = last.parent
+        """End the outermost of the open ``tags`` that no ``scope`` element shields."""
+        if not any(self.open.get(t) for t in tags):
+            return
+        shield = self._innermost(scope)
+        first = [places[k] for t in tags if (places := self.open.get(t)) and (k := bisect_right(places, shield)) < len(places)]
+        if first:
+            self._cut_back(min(first))
 
     def end(self, tag: str) -> None:
         if tag in VOID or tag in ("html", "body"):
             if tag == "br":
                 self.at.children.append(Node("br", {}, self.at))
             return
-        node = self.at
-        while node is not self.root:
-            if node.tag == tag:
-                self.at = node.parent
-                return
-            if tag not in ENDS_P and node.tag in CONTAINER:
-                return  # a stray inline end tag doesn't close a container
-            node = node.parent
+        places = self.open.get(tag)
+        if not places:
+            return
+        if tag not in ENDS_P and self.containers[-1] > places[-1]:
+            return  # a stray inline end tag doesn't close a container
+        self._cut_back(places[-1])
 
 
 # a block closes an open p unless one of these lies between
@@ -163,7 +196,7 @@ def parse(html: str) -> Node:
 def is_furniture(node: Node) -> bool:
     """Page furniture by element, role or style, whatever its text."""
     if node.tag in CUT:
-        return not (node.tag == "header" and _in_article(node))
+        return not (node.tag == "header" and node.inside)  # the title block of an article
     attrs = node.attrs
     if not attrs or node.tag in ("body", "article", "main"):
         return False
@@ -181,46 +214,40 @@ def names(node: Node) -> list[list[str]]:
     return [w for w in (WORD.findall(CAMEL.sub(" ", t).lower()) for t in tokens) if w]
 
 
-def holds(node: Node, tags) -> bool:
-    stack = [node]
-    while stack:
-        for c in stack.pop().children:
-            if isinstance(c, Node):
-                if c.tag in tags:
-                    return True
-                stack.append(c)
-    return False
+SURE, DOUBTFUL, PLAIN = 2, 1, 0
+
+
+def name_kind(words: list[str]) -> int:
+    """What one name says: furniture for certain, perhaps, or nothing."""
+    if words[0] in MODIFIERS:
+        return PLAIN
+    named = [w for w in words if w in FURNITURE]
+    if not named:
+        return PLAIN
+    certain = [w for w in named if w not in AMBIGUOUS]
+    pointing = any(w in POINTERS for w in certain)
+    rest = [w for w in words if w not in FURNITURE and w not in PLACES and not (pointing and w in ELSEWHERE)]
+    if certain and not rest:
+        return SURE
+    if certain and all(w in OF_ARTICLE for w in rest):
+        return SURE  # "post-comments", "article-share"
+    if rest and all(w in OF_ARTICLE for w in rest):
+        return PLAIN  # "article-header" is the article's own
+    return DOUBTFUL if not rest or words[-1] in FURNITURE else PLAIN
 
 
 def named_furniture(node: Node) -> bool:
-    """Furniture by class or id. A whole name of plain furniture words is enough; ambiguous
-    ones, and names that only end in a furniture word, need a subtree that is mostly
-    links, or short and without a heading."""
+    """Furniture by class or id, of any length. Doubtful names cut what is mostly links, or holds
+    no prose; what else they name is marked, to be no sibling of the article."""
     if node.tag in NEVER_BY_NAME:
         return False
-    maybe = False
-    for words in names(node):
-        if words[0] in MODIFIERS:
-            continue
-        if all(w in FURNITURE for w in words):
-            if any(w not in AMBIGUOUS for w in words):
-                return not holds(node, ("main",))
-            maybe = True
-        elif words[-1] in FURNITURE:
-            maybe = True
-    if not maybe:
-        return False
-    if link_density(node) >= 0.5:
-        return True
-    return node.chars < SHORT and not holds(node, HEADINGS | {"p", "main"})
-
-
-def _in_article(node: Node) -> bool:
-    """A header inside an article is the article's own title block."""
-    while node is not None:
-        if node.tag == "article":
+    kind = max((name_kind(w) for w in names(node)), default=PLAIN)
+    if kind == SURE:
+        return not node.mains
+    if kind == DOUBTFUL:
+        if link_density(node) >= 0.5 or not node.prose:
             return True
-        node = node.parent
+        node.doubtful = True
     return False
 
 
@@ -229,12 +256,9 @@ def is_comment(node: Node) -> bool:
     it isn't the larger part."""
     if node.tag != "article":
         return False
-    if any(w[0] in COMMENT and all(x in COMMENT_PARTS for x in w) for w in names(node)):
+    if any(w[0] in COMMENT_PARTS and any(x in COMMENT for x in w) and all(x in COMMENT_PARTS for x in w) for w in names(node)):
         return True
-    up = node.parent
-    while up is not None and up.tag != "article":
-        up = up.parent
-    return up is not None and 2 * node.chars < up.chars
+    return node.article is not None and 2 * node.chars < node.article.chars
 
 
 def prune(root: Node, cut) -> None:
@@ -261,9 +285,19 @@ def measure(root: Node) -> list[Node]:
         order.append(node)
         stack.extend(c for c in reversed(node.children) if isinstance(c, Node))
     for node in reversed(order):
-        node.chars = sum(c.chars if isinstance(c, Node) else len(c.strip()) for c in node.children)
-        node.linked = node.chars if node.tag == "a" else sum(c.linked for c in node.children if isinstance(c, Node))
-        node.links = (node.tag == "a") + sum(c.links for c in node.children if isinstance(c, Node))
+        chars = linked = links = prose = mains = 0
+        for c in node.children:
+            if isinstance(c, str):
+                chars += len(c.strip())
+            else:
+                chars += c.chars
+                linked += c.linked
+                links += c.links
+                prose += c.prose + (c.chars > 0 and c.tag in PROSE)
+                mains += c.mains + (c.tag == "main")
+        if node.tag == "a":
+            linked, links = chars, links + 1
+        node.chars, node.linked, node.links, node.prose, node.mains = chars, linked, links, prose, mains
     return order
 
 
@@ -289,23 +323,24 @@ def own_text(node: Node) -> str:
     return "".join(out)
 
 
+def points(node: Node) -> float:
+    """What a paragraph-like block earns by its own text."""
+    if not node.chars or node.tag not in PARAGRAPH:
+        return 0.0
+    text = " ".join(own_text(node).split())
+    return (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - link_density(node)) if text else 0.0
+
+
 def score(order: list[Node]) -> None:
-    """Paragraphs give points to their ancestors."""
-    for node in order:
-        if node.tag not in PARAGRAPH:
-            continue
-        text = " ".join(own_text(node).split())
-        if not text:
-            continue
-        points = (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - link_density(node))
+    """Paragraphs give points to their ancestors: all to the nearest container, half to the
+    next one up, and so on, carried up in one pass."""
+    for node in reversed(order):
+        own, given = points(node), node.passed  # what its children have passed by now
         if node.tag in CONTAINER:
-            node.score += points
-        up, share = node.parent, 1
-        while up is not None:
-            if up.tag in CONTAINER:
-                up.score += points / share
-                share += 1
-            up = up.parent
+            node.score = own + given
+            given /= 2
+        if node.parent is not None:
+            node.parent.passed += own + given
 
 
 def final_score(node: Node) -> float:
@@ -329,39 +364,20 @@ def select(order: list[Node]) -> list:
         up = up.parent
     # the outermost article around the best container is the article, title block included; else main is
     best = around or best
-    if best.parent is None or best.tag in ("article", "main"):
+    if best.parent is None or best.tag == "main":
         return [best]
-    return siblings(best)
+    if best.tag == "article":  # with the articles beside it
+        return [c for c in best.parent.children if c is best or (isinstance(c, Node) and c.tag == "article" and is_text(c))]
+    return [c for c in best.parent.children if c is best or (is_text(c) and not (isinstance(c, Node) and c.doubtful))]
 
 
 def is_text(c) -> bool:
-    """Text that is hardly linked: what may stand between two parts of the article."""
+    """Text that is hardly linked."""
     if isinstance(c, str):
         return bool(c.strip())
     return c.chars > 0 and link_density(c) < 0.25
 
 
-def siblings(best: Node) -> list:
-    """``best`` and its siblings of the article. Between the first and the last of them all
-    hardly linked text stays."""
-    floor = final_score(best) / 5
-    beside = best.parent.children
-    sure = set()
-    for k, c in enumerate(beside):
-        if not isinstance(c, Node):
-            continue
-        if c is best or (c.tag in CONTAINER and is_text(c) and
-                         (final_score(c) >= floor or (c.tag == best.tag == "section" and final_score(c) >= 1))):
-            sure.add(k)
-        elif c.tag in PARAGRAPH and c.tag not in CONTAINER:
-            text = " ".join(own_text(c).split())
-            if c.tag in HEADINGS or (len(text) > 80 and link_density(c) < 0.25) \
-                    or (text and c.linked == 0 and text[-1] in ".!?"):
-                sure.add(k)
-    first, last = min(sure), max(sure)
-    return [c for k, c in enumerate(beside) if k in sure or (first < k < last and is_text(c))]
-
-
 def blocks(nodes: list) -> list[str]:
     """Texts of the blocks in page order; a block ends where another begins or ends.
     Menus inside the kept nodes are left out."""
@@ -399,19 +415,27 @@ def main_text(html: str | None) -> str:
     """The article of a page, its blocks joined by an empty line; empty if there is none."""
     if not html:
         return ""
-    text = _article(html, True)
-    return text or _article(html, False)  # a page that is nothing but furniture by name
+    text, named = _article(html, True)
+    return text if text or not named else _article(html, False)[0]  # a page that is nothing but furniture by name
+
 
+def _article(html: str, by_name: bool) -> tuple[str, bool]:
+    """The text, and whether something was cut for its name."""
+    root, cut = parse(html), []
+
+    def named(node):
+        if named_furniture(node) or is_comment(node):
+            cut.append(node)
+            return True
+        return False
 
-def _article(html: str, by_name: bool) -> str:
-    root = parse(html)
     prune(root, is_furniture)
     if by_name:
         measure(root)
-        prune(root, lambda node: named_furniture(node) or is_comment(node))
+        prune(root, named)
     order = measure(root)
     score(order)
-    return "\n\n".join(blocks(select(order)))
+    return "\n\n".join(blocks(select(order))), bool(cut)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
