@@ -3,6 +3,8 @@
 import json
 import os
 import shutil
+import threading
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -327,6 +329,49 @@ def test_listener_records_events(spark, batches, tmp_root):
         spark.streams.removeListener(events)
 
 
+@pytest.mark.parametrize("flush_every", [1, 2, 3, 4])
+def test_events_are_written_before_a_run_counts_as_ended(spark, tmp_root, flush_every):
+    """A slow write, in the listener's own thread, delays the announcement, not the rows."""
+    events = listener.QueryEvents(spark, f"{tmp_root}/events", flush_every)
+    plain = events._write
+
+    def slow(rows):
+        time.sleep(0.5)
+        plain(rows)
+
+    events._write = slow
+
+    def run():
+        for k in range(3):
+            events._add("progress", "q", "run", None, k, 1, "now", None)
+        events._add("terminated", "q", "run", None, None, None, None, None)
+
+    caller = threading.Thread(target=run)
+    caller.start()
+    events.wait_terminated("run", timeout=60)
+    assert sorted(r["event"] for r in events.frame("q").collect()) == ["progress"] * 3 + ["terminated"]
+    caller.join()
+    assert events.frame().count() == 4 and events._rows == []
+
+
+def test_a_failed_write_loses_no_event(spark, tmp_root):
+    events = listener.QueryEvents(spark, f"{tmp_root}/events", flush_every=2)
+    plain, calls = events._write, []
+
+    def fails_once(rows):
+        calls.append(len(rows))
+        if len(calls) == 1:
+            raise OSError("no space")
+        plain(rows)
+
+    events._write = fails_once
+    events._add("started", "q", "run", None, None, None, "now", None)
+    with pytest.raises(OSError):
+        events._add("terminated", "q", "run", None, None, None, None, None)
+    events.wait_terminated("run", timeout=1)
+    assert sorted(r["event"] for r in events.frame("q").collect()) == ["started", "terminated"] and calls == [2, 2]
+
+
 def test_lag_per_source_partition(spark, tmp_root):
     events = listener.QueryEvents(spark, f"{tmp_root}/events")
     sources = json.dumps([{"description": "KafkaV2[order]", "startOffset": {"order": {"0": 1, "1": 1}}, "numInputRows": 12,

@@ -33,18 +33,32 @@ class QueryEvents(StreamingQueryListener):
         self._rows: list[tuple] = []
         self._ended: set[str] = set()
         self._changed = threading.Condition()
+        self._writing = threading.Lock()
 
     def _add(self, *row) -> None:
+        """Keep an event; a full set is in the table before the run's end is announced."""
         with self._changed:
             self._rows.append(row)
-            full = self._rows if len(self._rows) >= self.flush_every else None
-            if full is not None:
-                self._rows = []
+            full = len(self._rows) >= self.flush_every
+        try:
+            if full:
+                self._flush()
+        finally:
             if row[0] == "terminated":
-                self._ended.add(row[2])
-            self._changed.notify_all()
-        if full:
-            self._write(full)
+                with self._changed:
+                    self._ended.add(row[2])
+                    self._changed.notify_all()
+
+    def _flush(self) -> None:
+        """Write the events held. One writer at a time, and they are let go only once
+        written: a failed write loses none, the next one takes them along."""
+        with self._writing:
+            with self._changed:
+                rows = list(self._rows)
+            if rows:
+                self._write(rows)
+                with self._changed:
+                    del self._rows[:len(rows)]
 
     def _write(self, rows: list[tuple]) -> None:
         self.spark.createDataFrame(rows, EVENT_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
@@ -72,10 +86,7 @@ class QueryEvents(StreamingQueryListener):
 
     def frame(self, query_id: str | None = None) -> DataFrame:
         """Events so far, of one query or of all."""
-        with self._changed:
-            rows, self._rows = self._rows, []
-        if rows:
-            self._write(rows)
+        self._flush()
         events = read_or_empty(self.spark, self.path, EVENT_SCHEMA)
         return events if query_id is None else events.where(F.col("query_id") == query_id)
 
