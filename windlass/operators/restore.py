@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import config as C
 
@@ -111,14 +112,28 @@ def _values(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in known]
 
 
+# types a hash aggregate can update in place
+_FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
 def _last_write(rows: DataFrame, values: list[str]) -> DataFrame:
-    """Per window the values of the highest offset; a window whose values are all null was deleted."""
+    """Per window the values of the highest offset; a window whose values are all null was deleted.
+
+    Values of fixed width are kept one by one, so the aggregate is a hash aggregate with
+    map-side combine; a struct, as other types need it, would have to be sorted twice.
+    """
     gone = F.lit(True)
     for v in values:
         gone = gone & F.col(v).isNull()
+    fixed = [v for v in values if isinstance(rows.schema[v].dataType, _FIXED_WIDTH)]
+    other = [v for v in values if v not in fixed]
+    last = [F.max_by(v, "offset").alias(v) for v in fixed]
+    if other:
+        last.append(F.max_by(F.struct(*other), "offset").alias("__last"))
     return (rows.groupBy("topic", "partition", "key", "window_start", "window_end")
-            .agg(F.max_by(F.struct(*values), "offset").alias("__last"), F.max("offset").alias("offset"))
-            .select("topic", "partition", "key", "window_start", "window_end", "__last.*", "offset")
+            .agg(*last, F.max("offset").alias("offset"))
+            .select("topic", "partition", "key", "window_start", "window_end", *fixed, *(["__last.*"] if other else []), "offset")
+            .select("topic", "partition", "key", "window_start", "window_end", *values, "offset")
             .where(~gone))
 
 

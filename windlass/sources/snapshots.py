@@ -5,20 +5,24 @@ Layout (one function builds it for writer and reader)::
     <path>/<app>/<store>/state/attempt=<id>/task=<t>/part-*.parquet
     <path>/<app>/<store>/positions/attempt=<id>/part-*.parquet
     <path>/<app>/<store>/sources/attempt=<id>/part-*.parquet
-    <path>/<app>/<store>/versions/attempt=<id>/part-*.parquet   pointer rows
+    <path>/<app>/<store>/versions/attempt=<id>/part-*.parquet   manifest rows
 
-A version is named by the changelog offset the state stands at, per (topic,
+A version is a manifest: per task and segment (time slice of the store) the attempt
+that wrote the rows and how many there are. ``publish`` writes all of a state;
+``publish_changes`` writes the segments that changed and refers to the others where
+they lie, so its cost follows what changed, not the state. A version is named by the changelog offset the state stands at, per (topic,
 partition). One publish writes one attempt directory: state first, then the
-positions, then the pointer rows. Every attempt has a directory of its own, so
+positions, then the manifest rows. Every attempt has a directory of its own, so
 nothing that was published is ever overwritten, and a publish that is replayed
-after a failure only adds an attempt: per version the newest pointer counts,
-and a half-written attempt has none. A version with no rows gets no pointer
-(the empty-snapshot guard). Old versions are kept.
+after a failure only adds an attempt: per version the newest one counts,
+and a half-written attempt has no manifest. A version with no rows gets no pointer
+(the empty-snapshot guard; a pointer is the sum of a version's manifest rows). Old
+versions are kept.
 
-Readers list the attempts that the wanted pointers name - as many as there
-were publishes, whatever the number of tasks - and join data and pointers as
-tables. Row counts per version must equal the pointers' or the read fails:
-missing or partial data is never read as an empty state.
+Readers list the attempts that the wanted manifests name - no more than there were
+publishes, or live segments - and join data and manifest as tables. Row counts per
+segment must equal the manifest's or the read fails: missing or partial data is
+never read as an empty state.
 
 State rows carry any number of value columns (``agg`` in the sample; counts,
 sums, ``value_ts``, ... as the aggregation has them). Segments (time slices of
@@ -50,6 +54,9 @@ META_SCHEMA = "segment_id bigint, task string, store string, version bigint"
 POINTER = ["app", "task", "store", "topic", "partition", "version"]
 VERSION_SCHEMA = ("app string, task string, store string, topic string, partition int, version bigint, path string, "
                   "row_count bigint, offsets map<string,bigint>, published_at timestamp, attempt string")
+MANIFEST_SCHEMA = ("app string, task string, store string, topic string, partition int, version bigint, segment_id bigint, "
+                   "data_attempt string, data_version bigint, row_count bigint, published_at timestamp, attempt string")
+PART = ["task", "topic", "partition", "segment_id"]
 POSITION_SCHEMA = "topic string, partition int, version bigint, attempt string"
 SOURCE_SCHEMA = "topic string, partition int, position bigint, stream_time timestamp_ntz, attempt string"
 
@@ -111,10 +118,44 @@ class SnapshotStore:
         into the source topics the state reaches, to start a stream from it.
         """
         attempt = uuid.uuid4().hex
-        state, positions = self._addressed(state), self._addressed(positions).select(
-            *ADDRESS, F.col("version").cast("bigint").alias("version"))
+        schema = self._write_state(state, positions, attempt)
+        self._write_positions(positions, sources, attempt)
+        # data committed; count what is really there. Manifest last: from here on the attempt can be read
+        self._counted(attempt, schema).write.parquet(self.attempt_path("versions", attempt))
+        return self._pointers().where(F.col("attempt") == attempt)
+
+    def publish_changes(self, changed: DataFrame, segments: DataFrame, positions: DataFrame, base: DataFrame,
+                        sources: DataFrame | None = None, *, least_segment: int | None = None) -> DataFrame:
+        """Publish versions that differ from ``base`` (pointers) in some segments only, and
+        return their pointer rows.
+
+        ``segments`` (topic, partition, segment_id): the segments that may differ;
+        ``changed``: all state rows these now hold. Other segments are taken over by
+        reference, except those below ``least_segment``, which have expired.
+        """
+        attempt = uuid.uuid4().hex
+        schema = self._write_state(changed, positions, attempt)
+        self._write_positions(positions, sources, attempt)
+        positions = self._positions(positions)
+        segments = self._addressed(segments).select(*ADDRESS, "segment_id").distinct()
+        if least_segment is not None:
+            kept = self._parts(base).where(F.col("segment_id") >= least_segment)
+        else:
+            kept = self._parts(base)
+        kept = (kept.join(segments, [*ADDRESS, "segment_id"], "left_anti").drop("version").join(positions, ADDRESS)
+                .withColumn("published_at", F.current_timestamp()))
+        manifest = self._counted(attempt, schema)
+        (manifest.unionByName(kept.select(*manifest.columns)).coalesce(1)
+         .write.parquet(self.attempt_path("versions", attempt)))
+        return self._pointers().where(F.col("attempt") == attempt)
+
+    def _positions(self, positions: DataFrame) -> DataFrame:
+        return self._addressed(positions).select(*ADDRESS, F.col("version").cast("bigint").alias("version"))
+
+    def _write_state(self, state: DataFrame, positions: DataFrame, attempt: str) -> T.StructType:
+        state = self._addressed(state)
         values = value_columns(state)
-        rows = (state.join(positions, ADDRESS)
+        rows = (state.join(self._positions(positions), ADDRESS)
                 .select(*KEYS, *values, segment_id("window_start", self.segment_seconds).alias("segment_id"),
                         task_id().alias("task"), F.lit(self.store).alias("store"), "version"))
         # rebalance: AQE sizes the write tasks (splits a big task, merges small
@@ -122,28 +163,42 @@ class SnapshotStore:
         (rows.hint("rebalance", "task").sortWithinPartitions("task", "topic", "segment_id", "key", "window_start")
              .write.option("maxRecordsPerFile", self.max_records_per_file).partitionBy("task")
              .parquet(self.attempt_path("state", attempt)))
-        positions.write.parquet(self.attempt_path("positions", attempt))
+        return rows.schema
+
+    def _write_positions(self, positions: DataFrame, sources: DataFrame | None, attempt: str) -> None:
+        self._positions(positions).write.parquet(self.attempt_path("positions", attempt))
         if sources is not None:
             time = F.col("stream_time") if "stream_time" in sources.columns else F.lit(None)
             (sources.select(*ADDRESS, F.col("position").cast("bigint").alias("position"),
                             time.cast("timestamp_ntz").alias("stream_time"))
                     .write.parquet(self.attempt_path("sources", attempt)))
-        # data committed; count what is really there
-        there = self._attempts([attempt], rows.schema)
-        pointers = (there.groupBy("task", "store", *ADDRESS, "version").agg(F.count(F.lit(1)).alias("row_count"))
-                    .select(F.lit(self.app_id).alias("app"), "task", "store", *ADDRESS, "version",
-                            layout_path(F.lit(self.attempt_path("state", attempt)),
-                                        F.concat(F.lit("task="), "task")).alias("path"), "row_count",
-                            F.create_map(F.concat("topic", F.lit("-"), F.col("partition").cast("string")),
-                                         F.col("version")).alias("offsets"),
-                            F.current_timestamp().alias("published_at")))
-        # pointer last: from here on the attempt can be read
-        pointers.write.parquet(self.attempt_path("versions", attempt))
-        return self._pointers().where(F.col("attempt") == attempt)
+
+    def _counted(self, attempt: str, schema: T.StructType) -> DataFrame:
+        """Manifest rows of what an attempt wrote."""
+        return (self._attempts([attempt], schema).groupBy("task", "store", *ADDRESS, "version", "segment_id")
+                .agg(F.count(F.lit(1)).alias("row_count"))
+                .select(F.lit(self.app_id).alias("app"), "task", "store", *ADDRESS, "version", "segment_id",
+                        F.lit(attempt).alias("data_attempt"), F.col("version").alias("data_version"), "row_count",
+                        F.current_timestamp().alias("published_at")))
 
     # -- source ------------------------------------------------------------
+    def _manifests(self) -> DataFrame:
+        return read_or_empty(self.spark, self.table_path("versions"), MANIFEST_SCHEMA)
+
     def _pointers(self) -> DataFrame:
-        return read_or_empty(self.spark, self.table_path("versions"), VERSION_SCHEMA)
+        """One row per version and attempt: its manifest rows added up."""
+        path = layout_path(F.lit(self.table_path("state")), F.concat(F.lit("attempt="), "attempt"),
+                           F.concat(F.lit("task="), "task"))
+        return (self._manifests().groupBy(*POINTER, "attempt")
+                .agg(F.sum("row_count").cast("bigint").alias("row_count"), F.max("published_at").alias("published_at"))
+                .select(*POINTER, path.alias("path"), "row_count",
+                        F.create_map(F.concat("topic", F.lit("-"), F.col("partition").cast("string")),
+                                     F.col("version")).alias("offsets"), "published_at", "attempt"))
+
+    def _parts(self, pointer: DataFrame) -> DataFrame:
+        """Manifest rows of the pointed versions."""
+        keys = ["attempt", "task", "topic", "partition", "version"]
+        return self._manifests().join(pointer.select(*keys), keys, "left_semi")
 
     def versions(self) -> DataFrame:
         """One pointer row per published version (of replayed publishes the newest)."""
@@ -170,31 +225,41 @@ class SnapshotStore:
         """State rows of the versions named by ``pointer`` (default: the latest)."""
         return self.open(pointer, verify=verify)[0]
 
-    def open(self, pointer: DataFrame | None = None, *, verify: bool = True) -> tuple[DataFrame, DataFrame]:
+    def open(self, pointer: DataFrame | None = None, *, verify: bool = True,
+             segments: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
         """(state rows, positions) of the pointed versions; positions (topic,
-        partition, version). With ``verify``, rows per version must equal the
-        pointers' ``row_count``."""
+        partition, version). With ``verify``, rows per segment must equal the manifest's.
+        ``segments`` (topic, partition, segment_id) limits the rows, and what is read, to those."""
         pointer = self.latest() if pointer is None else pointer
-        keys = ["attempt", "task", "topic", "version"]
-        wanted = pointer.select(*keys, "partition", "row_count")
+        wanted = self._parts(pointer).select(*PART, "version", "attempt", "data_attempt", "data_version", "row_count")
         few = wanted.limit(MANY_POSITIONS + 1).toArrow()
-        if few.num_rows <= MANY_POSITIONS:  # a handful of pointers: look them up once, not per join
-            wanted = self.spark.createDataFrame(few)
-            attempts = sorted(set(few["attempt"].to_pylist()))
-        else:
-            attempts = self._named(wanted)
-        positions = wanted.select(*ADDRESS, "version")
+        if few.num_rows <= MANY_POSITIONS:  # a handful of rows: look them up once, not per join
+            wanted = self.spark.createDataFrame(few, wanted.schema)
+        positions = wanted.select(*ADDRESS, "version").distinct()
+        if segments is not None:
+            wanted = wanted.join(self._addressed(segments), [*ADDRESS, "segment_id"], "left_semi")
+            few = wanted.limit(MANY_POSITIONS + 1).toArrow()
+        attempts = (sorted(set(few["data_attempt"].to_pylist())) if few.num_rows <= MANY_POSITIONS
+                    else self._named(wanted, "data_attempt"))
         if not attempts:
             empty = ", ".join([KEY_SCHEMA, self.values, META_SCHEMA, "attempt string"])
             return self.spark.createDataFrame([], empty), positions
-        data = self._attempts(attempts)
+        data = self._attempts(attempts).withColumnsRenamed({"attempt": "data_attempt", "version": "data_version"})
+        keys = [*PART, "data_attempt", "data_version"]
         if verify:
             have = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("found"))
             bad = (wanted.join(have, keys, "left").where(~F.col("row_count").eqNullSafe(F.col("found")))
                          .select(*keys, "row_count", "found").limit(5).collect())
             if bad:
                 raise FileNotFoundError(f"snapshot data missing or partial, for example {bad}")
-        return data.join(wanted.select(*keys), keys, "left_semi"), positions
+        rows = data.join(wanted.select(*keys, "version", "attempt"), keys).drop("data_attempt", "data_version")
+        return rows.select(*KEYS, *value_columns(rows), *[c for c in rows.columns if c in (*_META, "attempt")]), positions
+
+    def segments(self, pointer: DataFrame | None = None) -> DataFrame:
+        """(topic, partition, segment_id, row_count, data_attempt): what the pointed versions
+        consist of, and the publish that wrote each part."""
+        return self._parts(self.latest() if pointer is None else pointer).select(
+            *ADDRESS, "segment_id", "row_count", "data_attempt")
 
     def sources(self, pointer: DataFrame | None = None) -> DataFrame:
         """(topic, partition, position, stream_time): how far into the source topics the
@@ -213,7 +278,7 @@ class SnapshotStore:
     def files(self, pointer: DataFrame | None = None) -> DataFrame:
         """Manifest: every data file of the pointed attempts with its size and
         time; file contents are not read."""
-        attempts = self._named(self.latest() if pointer is None else pointer)
+        attempts = self._named(self._parts(self.latest() if pointer is None else pointer), "data_attempt")
         if not attempts:
             return self.spark.createDataFrame(
                 [], "path string, length long, modificationTime timestamp, attempt string, task string")
@@ -227,13 +292,16 @@ class SnapshotStore:
         segment, with size, row count and window range."""
         pointer = self.latest() if pointer is None else pointer
         self.read(pointer)  # complete, or it raises
-        attempts = self._named(pointer)
+        parts = self._parts(pointer)
+        attempts = self._named(parts, "data_attempt")
         if not attempts:
-            data = self.read(pointer).withColumn("__file", F.lit(""))
+            data = (self.read(pointer).withColumn("__file", F.lit("")).withColumn("data_version", F.col("version"))
+                    .withColumnRenamed("attempt", "data_attempt").drop("version"))
         else:
-            data = self._attempts(attempts).withColumn("__file", _file_key(F.col("_metadata.file_path")))
-        keys = ["attempt", "task", "topic", "version"]
-        held = (data.join(pointer.select(*keys), keys, "left_semi").groupBy("__file", "task", "version", "segment_id")
+            data = (self._attempts(attempts).withColumn("__file", _file_key(F.col("_metadata.file_path")))
+                    .withColumnsRenamed({"attempt": "data_attempt", "version": "data_version"}))
+        keys = [*PART, "data_attempt", "data_version"]
+        held = (data.join(parts.select(*keys, "version"), keys).groupBy("__file", "task", "version", "segment_id")
                     .agg(F.count(F.lit(1)).alias("rows"), F.min("window_start").alias("min_window_start"),
                          F.max("window_start").alias("max_window_start"),
                          *[F.sum(c).cast("bigint").alias(c) for c in ("agg",) if c in data.columns]))
@@ -242,9 +310,9 @@ class SnapshotStore:
 
     # -- helpers -------------------------------------------------------------
     @staticmethod
-    def _named(pointer: DataFrame) -> list[str]:
-        """The attempts that pointers name: one per publish, however many tasks it had."""
-        return sorted(r["attempt"] for r in pointer.select("attempt").distinct().collect())
+    def _named(rows: DataFrame, column: str = "attempt") -> list[str]:
+        """The attempts that rows name: one per publish at most, however many tasks it had."""
+        return sorted(r[column] for r in rows.select(column).distinct().collect())
 
     def _attempts(self, attempts: list[str], schema: T.StructType | None = None) -> DataFrame:
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)

@@ -42,7 +42,9 @@ def last_batch(spark: SparkSession, path: str) -> int:
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(root):
         return -1
-    names = [s.getPath() for s in fs.listStatus(root)]
-    ids = [int(p.getName().removeprefix("batch_id=")) for p in names if p.getName().startswith("batch_id=")
-           and fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
-    return max(ids, default=-1)
+    names = [s.getPath().getName() for s in fs.listStatus(root)]
+    ids = sorted((int(n.removeprefix("batch_id=")) for n in names if n.startswith("batch_id=")), reverse=True)
+    for batch_id in ids:  # only the newest can lack its mark, so this asks once or twice
+        if fs.exists(jvm.org.apache.hadoop.fs.Path(batch_path(path, batch_id), "_SUCCESS")):
+            return batch_id
+    return -1
