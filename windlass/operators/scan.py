@@ -148,12 +148,13 @@ def row_number(df: DataFrame, by: Sequence[str], order: Sequence[str] | str, nam
 
 
 def session_starts(df: DataFrame, by: Sequence[str], t: str, gap: int, *, block: Column,
-                   name: str = "session_start") -> DataFrame:
+                   end: str | None = None, name: str = "session_start") -> DataFrame:
     """Start time of each row's session, block-parallel.
 
     A row opens a session when it has no predecessor in its group or the
     predecessor is more than ``gap`` earlier (``t`` numeric, e.g. epoch
-    micros). A row's session start is the latest opening time at or before
+    micros). With ``end`` a row stands for the stretch from ``t`` to ``end`` (stretches of
+    a group don't overlap), and the gap is from its predecessor's end. A row's session start is the latest opening time at or before
     it. Within a block: lag, opening flags and the running latest opening.
     On the block table (one row per group and block): the previous block's
     last time decides whether the block's first row opens a session, and an
@@ -163,12 +164,13 @@ def session_starts(df: DataFrame, by: Sequence[str], t: str, gap: int, *, block:
     by = list(by)
     d = df.withColumn(_BLK, block)
     wi = Window.partitionBy(*by, _BLK).orderBy(t)
-    lag_t = F.lag(t).over(wi)
+    end = end or t
+    lag_t = F.lag(end).over(wi)
     rows = (d.withColumn("__rn", F.row_number().over(wi))
               .withColumn("__open", F.when((F.col(t) - lag_t) > F.lit(gap), F.col(t))))
     rows = rows.withColumn("__run", F.max("__open").over(
         wi.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    blocks = rows.groupBy(*by, _BLK).agg(F.min(t).alias("__first"), F.max(t).alias("__last"),
+    blocks = rows.groupBy(*by, _BLK).agg(F.min(t).alias("__first"), F.max(end).alias("__last"),
                                           F.max("__open").alias("__bopen"))
     wb = Window.partitionBy(*by).orderBy(_BLK)
     prev_last = F.lag("__last").over(wb)

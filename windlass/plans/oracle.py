@@ -112,6 +112,23 @@ SELECT topic, "partition", "offset", ts, key, value,
             RANGE BETWEEN INTERVAL 6 HOUR PRECEDING AND CURRENT ROW) AS BIGINT) AS agg
 FROM rec""")
 
+ORACLE["sliding_windows"] = with_(RECORD + """,
+ms AS (SELECT key, epoch_us(ts) // 1000 AS t, value FROM rec),
+ends AS (SELECT DISTINCT key, t AS e FROM ms UNION SELECT DISTINCT key, t + 21600001 FROM ms)""", """
+SELECT e.key, make_timestamp((e.e - 21600000) * 1000) AS window_start, make_timestamp(e.e * 1000) AS window_end,
+       CAST(count(*) AS BIGINT) AS n, CAST(sum(m.value) AS BIGINT) AS agg
+FROM ends e JOIN ms m ON m.key = e.key AND m.t BETWEEN e.e - 21600000 AND e.e
+GROUP BY e.key, e.e""")
+
+ORACLE["longest_rise"] = with_(RECORD + f""",
+w AS (SELECT key, {ws(SAMPLE_W)} AS window_start, {we(SAMPLE_W)} AS window_end, "offset", value FROM rec),
+f AS (SELECT *, CASE WHEN value > lag(value) OVER (PARTITION BY key, window_start ORDER BY "offset") THEN 0 ELSE 1 END AS nw
+      FROM w),
+g AS (SELECT *, sum(nw) OVER (PARTITION BY key, window_start ORDER BY "offset") AS run FROM f),
+r AS (SELECT key, window_start, window_end, run, count(*) AS n FROM g GROUP BY ALL)""", """
+SELECT key, window_start, window_end, CAST(sum(n) AS BIGINT) AS n, CAST(max(n) AS BIGINT) AS longest
+FROM r GROUP BY key, window_start, window_end""")
+
 ORACLE["session_sum"] = with_(RECORD + """,
 g AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY key ORDER BY ts) <= INTERVAL 6 HOUR
                      THEN 0 ELSE 1 END AS nw FROM rec),
@@ -354,6 +371,17 @@ UNION ALL SELECT 'terminated', NULL, NULL""")
 
 # streaming forms whose final state has an exact batch twin
 ORACLE["strict_stream"] = ORACLE["restore_with_tail"]
+ORACLE["final_stream"] = ORACLE["final_windows"]
+ORACLE["update_changelog_stream"] = ORACLE["update_stream"]
+ORACLE["live_stream"] = ORACLE["live_windows"]
+ORACLE["window_rows_stream"] = ORACLE["window_rows"]
+ORACLE["session_stream"] = ORACLE["session_sum"]
+# a window is past its retention once the newest time (in ms, as watermarks are) reaches its
+# start + retention; until then every record of it counts
+ORACLE["expiring_stream"] = with_(RECORD + f""",
+w AS (SELECT key, {ws(STORE_W)} AS window_start, value FROM rec)""", f"""
+SELECT key, window_start, CAST(sum(value) AS BIGINT) AS agg FROM w
+WHERE epoch_us(window_start) + {RET} > (SELECT max(epoch_us(ts)) // 1000 * 1000 FROM rec) GROUP BY ALL""")
 ORACLE["bootstrap_stream"] = ORACLE["tumbling_sum"]
 
 

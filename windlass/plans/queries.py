@@ -86,6 +86,16 @@ def q_sliding_sum(spark, sf):
     return windows.sliding_sum(read_records(spark, sf), SLIDE_RANGE)
 
 
+@register("sliding_windows")
+def q_sliding_windows(spark, sf):
+    return windows.sliding_windows(read_records(spark, sf, offsets=False), SLIDE_RANGE)
+
+
+@register("longest_rise")
+def q_longest_rise(spark, sf):
+    return windows.longest_rise(read_records(spark, sf))
+
+
 @register("session_sum")
 def q_session_sum(spark, sf):
     return windows.session_sum(read_records(spark, sf, offsets=False), SESSION_GAP)
@@ -256,6 +266,42 @@ def q_strict_stream(spark, sf):
     return strict_stream(spark, sf)
 
 
+@register("final_stream")
+def q_final_stream(spark, sf):
+    from .streams import final_stream
+    return final_stream(spark, sf)
+
+
+@register("update_changelog_stream")
+def q_update_changelog_stream(spark, sf):
+    from .streams import update_changelog_stream
+    return update_changelog_stream(spark, sf)
+
+
+@register("live_stream")
+def q_live_stream(spark, sf):
+    from .streams import live_stream
+    return live_stream(spark, sf)
+
+
+@register("expiring_stream")
+def q_expiring_stream(spark, sf):
+    from .streams import expiring_stream
+    return expiring_stream(spark, sf)
+
+
+@register("window_rows_stream")
+def q_window_rows_stream(spark, sf):
+    from .streams import window_rows_stream
+    return window_rows_stream(spark, sf)
+
+
+@register("session_stream")
+def q_session_stream(spark, sf):
+    from .streams import session_changes
+    return session_changes(spark, sf, SESSION_GAP)
+
+
 @register("bootstrap_stream")
 def q_bootstrap_stream(spark, sf):
     from .streams import bootstrap

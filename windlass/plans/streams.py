@@ -16,11 +16,12 @@ from ..functions.columns import MICROS, epoch_micros, instant_to_ntz, micros_to_
 from ..session import scratch_dir
 from ..sources.records import read_records, stream_records_from_files
 from ..sources.snapshots import SnapshotStore
-from ..sources.state_reader import read_operator_state, windowed_state_rows
+from ..sources.state_reader import read_operator_state, read_state_variable, windowed_state_rows
 from ..streaming import listener
 from ..streaming.batches import last_batch, read_batches, write_batch
-from ..streaming.bootstrap import bootstrap_stream
+from ..streaming.bootstrap import bootstrap_stream, rows_stream
 from ..streaming.files import write_record_batches
+from ..streaming.sessions import session_stream
 from ..streaming.snapshot_sink import SnapshotSink
 from ..streaming.strict import StrictWindowSink
 from ..streaming.windowed import for_each_update, windowed_stream
@@ -62,6 +63,33 @@ def strict_stream(spark: SparkSession, sf: str) -> DataFrame:
     return sink.state().select("key", "window_start", "window_end", "agg")
 
 
+def _strict(spark: SparkSession, sf: str, tag: str, **options) -> StrictWindowSink:
+    """A strict store over 1 h windows that has seen all batches."""
+    root, _, src = _input(spark, sf, tag, event_time_type="timestamp_ntz")
+    sink = StrictWindowSink(spark, f"{root}/strict", every_n=2, store=SnapshotStore(spark, f"{root}/snap", APP), **options)
+    for_each_update(src, sink, f"{root}/ckpt", output_mode="append", available_now=True,
+                    state_partitions=_parallelism(spark)).awaitTermination()
+    return sink
+
+
+def final_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Emit on window close by each partition's own stream time, as a stream: what
+    the batches emitted."""
+    return _strict(spark, sf, "final", emit_final=True).final().select("key", "window_start", "window_end", "n", "agg")
+
+
+def update_changelog_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Every kept record's new window value, as the stream emitted them batch by batch."""
+    return _strict(spark, sf, "updates", emit_updates=True).updates().select(
+        "topic", "partition", "offset", "ts", "key", "window_start", "window_end", "agg")
+
+
+def live_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The strict store with a retention of 1 day: the windows it still holds at the end."""
+    sink = _strict(spark, sf, "live", retention_seconds=C.STORE_RETENTION_SECONDS)
+    return sink.state().select("partition", "key", "window_start", "window_end", "n", "agg")
+
+
 def tumbling_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Watermarked (0 s) 1,000,000 s windows in update mode; the sink keeps
     the changelog and a snapshot every 2 batches. Final state (Spark's
@@ -122,6 +150,40 @@ def bootstrap(spark: SparkSession, sf: str) -> DataFrame:
                         micros_to_ntz(epoch_micros("window_start") + F.lit(size)).alias("window_end"), "agg")
 
 
+def expiring_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Running sums of 1 h windows whose state expires after 1 day, by event-time timers:
+    what the state store holds after the last batch, read variable by variable."""
+    root, _, src = _input(spark, sf, "expiring")
+    out = f"{root}/updates"
+    sums = bootstrap_stream(src, size_seconds=C.STORE_WINDOW_SECONDS, retention_seconds=C.STORE_RETENTION_SECONDS)
+    for_each_update(sums, _deliver_to(out), f"{root}/ckpt", available_now=True, state_partitions=_parallelism(spark),
+                    rocksdb=True).awaitTermination()
+    held = read_state_variable(spark, f"{root}/ckpt", "agg")
+    return held.select("key", instant_to_ntz("window_start").alias("window_start"), "agg")
+
+
+def window_rows_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Duplicates retained in a stream: the list state of every window after the last batch."""
+    root, _, src = _input(spark, sf, "rows")
+    for_each_update(rows_stream(src), _deliver_to(f"{root}/rows"), f"{root}/ckpt", output_mode="append", available_now=True,
+                    state_partitions=_parallelism(spark), rocksdb=True).awaitTermination()
+    start = instant_to_ntz("window_start")
+    return read_state_variable(spark, f"{root}/ckpt", "rows").select(
+        "key", start.alias("window_start"), micros_to_ntz(epoch_micros(start) + F.lit(C.SAMPLE_WINDOW_SECONDS * MICROS)).alias("window_end"),
+        "partition", "offset", "value", "seq")
+
+
+def session_changes(spark: SparkSession, sf: str, gap_seconds: int) -> DataFrame:
+    """Sessions kept by a stream, the replaced ones retracted; snapshots every 2 batches.
+    The final sessions."""
+    root, _, src = _input(spark, sf, "sessions")
+    sink = SnapshotSink(spark, f"{root}/sink", SnapshotStore(spark, f"{root}/snap", APP, store="sessions"), every_n=2)
+    for_each_update(session_stream(src, gap_seconds), sink, f"{root}/ckpt", available_now=True,
+                    state_partitions=_parallelism(spark), rocksdb=True).awaitTermination()
+    return sink.state().select("key", F.col("window_start").alias("session_start"), F.col("window_end").alias("session_end"),
+                               "n", "agg")
+
+
 def query_events(spark: SparkSession, sf: str) -> DataFrame:
     """Lifecycle events of a streaming query (started, progress per batch,
     terminated) with input rows per batch."""

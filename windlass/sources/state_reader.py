@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import instant_to_ntz
+from ..functions.columns import MICROS, instant_to_ntz
 
 
 def state_metadata(spark: SparkSession, checkpoint: str) -> DataFrame:
@@ -58,15 +58,43 @@ def windowed_state_rows(state: DataFrame, values: tuple[str, ...] = (), key_fiel
         *cols)
 
 
+def read_state_variable(spark: SparkSession, checkpoint: str, name: str, *, batch_id: int | None = None,
+                        operator_id: int = 0) -> DataFrame:
+    """Rows of one state variable of a ``transformWithState`` query: the grouping key's
+    fields, then the variable's - a value state has one row per key, a list state one
+    per element, a map state one per entry."""
+    r = spark.read.format("statestore").option("operatorId", operator_id).option("stateVarName", name)
+    if batch_id is not None:
+        r = r.option("batchId", batch_id)
+    rows = r.load(checkpoint)
+    parts = [c for c in ("key", "value", "list_element", "user_map_key", "user_map_value") if c in rows.columns]
+    return rows.select(*[F.col(f"{p}.{f.name}").alias(f.name) for p in parts for f in rows.schema[p].dataType.fields])
+
+
+def publish_state(rows: DataFrame, store, version: int, partitions: int = 4, sources: DataFrame | None = None) -> DataFrame:
+    """Publish (key, window_start, window_end, values...), dealt to ``partitions`` snapshot
+    tasks by key, as ``version``; returns the pointers."""
+    for c, kind in rows.dtypes:
+        if kind == "timestamp":
+            rows = rows.withColumn(c, instant_to_ntz(c))
+    part = F.pmod(F.hash("key"), F.lit(partitions)).cast("int")
+    positions = rows.sparkSession.range(partitions).select(
+        F.lit(store.changelog_topic).alias("topic"), F.col("id").cast("int").alias("partition"), F.lit(version).alias("version"))
+    return store.publish(rows.withColumn("topic", F.lit(store.changelog_topic)).withColumn("partition", part), positions, sources)
+
+
+def snapshot_state_variable(spark: SparkSession, checkpoint: str, name: str, store, version: int, size_seconds: int, *,
+                            partitions: int = 4, batch_id: int | None = None, sources: DataFrame | None = None) -> DataFrame:
+    """Publish a value or list variable keyed by (key, window_start), read from the query's
+    checkpoint, as a version that :func:`~windlass.streaming.bootstrap.bootstrap_stream` starts from."""
+    rows = read_state_variable(spark, checkpoint, name, batch_id=batch_id)
+    end = F.timestamp_micros(F.unix_micros("window_start") + F.lit(size_seconds * MICROS))
+    return publish_state(rows.withColumn("window_end", end), store, version, partitions, sources)
+
+
 def snapshot_operator_state(spark: SparkSession, checkpoint: str, store, version: int, values: tuple[str, ...], *,
                             partitions: int = 4, batch_id: int | None = None) -> DataFrame:
     """Publish a stopped or running query's own state, read from its checkpoint, as
     ``version`` of a :class:`~windlass.sources.snapshots.SnapshotStore`; returns the pointers."""
     rows = windowed_state_rows(read_operator_state(spark, checkpoint, batch_id=batch_id), values)
-    for c, kind in rows.dtypes:
-        if kind == "timestamp":
-            rows = rows.withColumn(c, instant_to_ntz(c))
-    part = F.pmod(F.hash("key"), F.lit(partitions)).cast("int")
-    positions = spark.range(partitions).select(F.lit(store.changelog_topic).alias("topic"),
-                                               F.col("id").cast("int").alias("partition"), F.lit(version).alias("version"))
-    return store.publish(rows.withColumn("topic", F.lit(store.changelog_topic)).withColumn("partition", part), positions)
+    return publish_state(rows, store, version, partitions)

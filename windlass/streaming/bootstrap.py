@@ -37,27 +37,53 @@ OUTPUT_SCHEMA = "key string, window_start timestamp, agg long, last_offset long"
 def _sum_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         if len(pdf):
-            yield pdf.groupby(["key", "window_start"], as_index=False).agg(value=("value", "sum"), offset=("offset", "max"))
+            yield pdf.groupby(["key", "window_start", "expires"], as_index=False).agg(value=("value", "sum"), offset=("offset", "max"))
 
 
 class RunningSum(StatefulProcessor):
-    """agg = v + agg per (key, window), starting from the initial state."""
+    """agg = v + agg per (key, window), starting from the initial state.
+
+    With ``expire`` a window leaves the state by an event-time timer once the watermark
+    reaches its ``expires`` (ms), and records that come for it later are skipped, as a
+    store skips what lies past its retention.
+    """
+
+    def __init__(self, expire: bool = False) -> None:
+        self.expire = expire
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.agg = handle.getValueState("agg", "agg long")
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
         self.agg.update((int(initialState["agg"].sum()),))
+        if self.expire:
+            self.handle.registerTimer(int(initialState["expires"].iloc[0]))
+
+    def open_rows(self, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        """The rows of a window that is not past its retention; its timer is set."""
+        for pdf in rows:
+            if self.expire:
+                expires = int(pdf["expires"].iloc[0])
+                if expires <= timerValues.getCurrentWatermarkInMs():
+                    return
+                self.handle.registerTimer(expires)
+            yield pdf
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         total = self.agg.get()[0] if self.agg.exists() else 0
         last = None
-        for pdf in rows:
+        for pdf in self.open_rows(rows, timerValues):
             total += int(pdf["value"].sum())
             m = int(pdf["offset"].max())
             last = m if last is None else max(last, m)
-        self.agg.update((total,))
-        yield pd.DataFrame({"key": [key[0]], "window_start": [key[1]], "agg": [total], "last_offset": [last]})
+        if last is not None:
+            self.agg.update((total,))
+            yield pd.DataFrame({"key": [key[0]], "window_start": [key[1]], "agg": [total], "last_offset": [last]})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.agg.clear()
+        return iter([])
 
     def close(self) -> None:
         pass
@@ -66,12 +92,16 @@ class RunningSum(StatefulProcessor):
 class RunningFold(RunningSum):
     """agg = step(agg, value) in offset order per (key, window), from ``start``."""
 
-    def __init__(self, start: int, step: Callable[[int, int], int]) -> None:
+    def __init__(self, start: int, step: Callable[[int, int], int], expire: bool = False) -> None:
+        super().__init__(expire)
         self.start, self.step = start, step
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        held = list(self.open_rows(rows, timerValues))
+        if not held:
+            return
         agg = self.agg.get()[0] if self.agg.exists() else self.start
-        pdf = pd.concat(list(rows)).sort_values("offset")
+        pdf = pd.concat(held).sort_values("offset")
         for v in pdf["value"].tolist():
             agg = self.step(agg, v)
         self.agg.update((int(agg),))
@@ -79,41 +109,101 @@ class RunningFold(RunningSum):
                             "last_offset": [int(pdf["offset"].iloc[-1])]})
 
 
-def _fresh(records: DataFrame, positions: DataFrame | None, size_seconds: int) -> DataFrame:
+def _expires(window_start, retention_seconds: int | None):
+    """When a window leaves the state, in ms since the epoch."""
+    return (F.unix_millis(window_start) + F.lit((retention_seconds or 0) * 1000)).cast("long").alias("expires")
+
+
+def _past(records: DataFrame, positions: DataFrame | None) -> DataFrame:
+    """Records past their source partition's position."""
+    if positions is None:
+        return records
+    pos = positions.select("topic", "partition", F.col("position").alias("__pos"))
+    return (records.join(pos, ["topic", "partition"], "left")
+            .where(F.col("__pos").isNull() | (F.col("offset") > F.col("__pos"))))
+
+
+def _fresh(records: DataFrame, positions: DataFrame | None, size_seconds: int, retention_seconds: int | None,
+           delay_seconds: int) -> DataFrame:
     """Records past their source partition's position, with their window."""
-    if positions is not None:
-        pos = positions.select("topic", "partition", F.col("position").alias("__pos"))
-        records = (records.join(pos, ["topic", "partition"], "left")
-                   .where(F.col("__pos").isNull() | (F.col("offset") > F.col("__pos"))))
-    return (records.withColumn("window_start", F.window("ts", f"{size_seconds} seconds").start)
-            .select("key", "window_start", "offset", "value"))
+    if retention_seconds is not None:
+        records = records.withWatermark("ts", f"{delay_seconds} seconds")
+    return (_past(records, positions).withColumn("window_start", F.window("ts", f"{size_seconds} seconds").start)
+            .select("key", "window_start", "offset", "value", _expires(F.col("window_start"), retention_seconds)))
+
+
+def _initial(snapshot: DataFrame, retention_seconds: int | None):
+    start = ntz_to_instant("window_start")
+    return (snapshot.select("key", start.alias("window_start"), F.col("agg").cast("bigint").alias("agg"),
+                            _expires(start, retention_seconds)).groupBy("key", "window_start"))
 
 
-def _initial(snapshot: DataFrame):
-    return (snapshot.select("key", ntz_to_instant("window_start").alias("window_start"),
-                            F.col("agg").cast("bigint").alias("agg")).groupBy("key", "window_start"))
+def _with_state(grouped, processor: RunningSum, snapshot: DataFrame | None, retention_seconds: int | None) -> DataFrame:
+    init = {} if snapshot is None else {"initialState": _initial(snapshot, retention_seconds)}
+    mode = "None" if retention_seconds is None else "EventTime"
+    return grouped.transformWithStateInPandas(processor, OUTPUT_SCHEMA, "Update", mode, **init)
 
 
-def bootstrap_stream(records: DataFrame, snapshot: DataFrame, positions: DataFrame,
-                     size_seconds: int = C.SAMPLE_WINDOW_SECONDS) -> DataFrame:
+def bootstrap_stream(records: DataFrame, snapshot: DataFrame | None = None, positions: DataFrame | None = None,
+                     size_seconds: int = C.SAMPLE_WINDOW_SECONDS, *, retention_seconds: int | None = None,
+                     delay_seconds: int = 0) -> DataFrame:
     """Streaming DataFrame of per-window sums that continues from ``snapshot``
-    (key, window_start, agg; several rows of a window add up).
+    (key, window_start, agg; several rows of a window add up), if one is given.
 
     ``records``: streaming RECORD (ts as timestamp); ``positions`` (topic,
     partition, position): the source offset each partition's state includes, as
-    ``SnapshotStore.sources`` returns it.
+    ``SnapshotStore.sources`` returns it. With ``retention_seconds`` a window leaves
+    the state once the watermark (newest time less ``delay_seconds``) reaches its
+    start plus that; records for it are then skipped.
     """
-    fresh = _fresh(records, positions, size_seconds)
+    fresh = _fresh(records, positions, size_seconds, retention_seconds, delay_seconds)
     summed = fresh.mapInPandas(_sum_batches, fresh.schema)
-    return summed.groupBy("key", "window_start").transformWithStateInPandas(
-        RunningSum(), OUTPUT_SCHEMA, "Update", "None", initialState=_initial(snapshot))
+    return _with_state(summed.groupBy("key", "window_start"), RunningSum(retention_seconds is not None), snapshot,
+                       retention_seconds)
 
 
 def fold_stream(records: DataFrame, start: int, step: Callable[[int, int], int],
                 size_seconds: int = C.SAMPLE_WINDOW_SECONDS, *, snapshot: DataFrame | None = None,
-                positions: DataFrame | None = None) -> DataFrame:
+                positions: DataFrame | None = None, retention_seconds: int | None = None, delay_seconds: int = 0) -> DataFrame:
     """Any fold ``step(agg, value)`` from ``start`` per key and window, in offset order,
-    optionally continued from a snapshot."""
-    grouped = _fresh(records, positions, size_seconds).groupBy("key", "window_start")
-    init = {} if snapshot is None else {"initialState": _initial(snapshot)}
-    return grouped.transformWithStateInPandas(RunningFold(start, step), OUTPUT_SCHEMA, "Update", "None", **init)
+    optionally continued from a snapshot; retention as in :func:`bootstrap_stream`."""
+    fresh = _fresh(records, positions, size_seconds, retention_seconds, delay_seconds)
+    return _with_state(fresh.groupBy("key", "window_start"), RunningFold(start, step, retention_seconds is not None), snapshot,
+                       retention_seconds)
+
+
+ROWS_SCHEMA = "key string, window_start timestamp, partition int, offset long, value long, seq long"
+
+
+class WindowRows(StatefulProcessor):
+    """Every record of a window with its sequence number, by offset: the store that keeps
+    duplicates. ``rows`` is the list, ``n`` how many it holds, so that a batch appends
+    without reading what is there."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.rows = handle.getListState("rows", "seq long, partition int, offset long, value long")
+        self.n = handle.getValueState("n", "n long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        new = pd.concat(list(rows)).sort_values("offset", kind="stable")  # one window's records of one batch
+        held = self.n.get()[0] if self.n.exists() else 0
+        new["seq"] = range(held + 1, held + len(new) + 1)
+        columns = [new[c].astype(int).tolist() for c in ("seq", "partition", "offset", "value")]
+        self.rows.appendList(list(zip(*columns)))
+        self.n.update((held + len(new),))
+        yield pd.DataFrame({"key": key[0], "window_start": key[1],
+                            **dict(zip(("seq", "partition", "offset", "value"), columns))})[
+            ["key", "window_start", "partition", "offset", "value", "seq"]]
+
+    def close(self) -> None:
+        pass
+
+
+def rows_stream(records: DataFrame, size_seconds: int = C.SAMPLE_WINDOW_SECONDS) -> DataFrame:
+    """Duplicates retained, as a stream: each record once, with its sequence number (from 1,
+    by offset) in its key's window. A key's records come from one topic partition, in offset
+    order from batch to batch. The records of a window that one batch brings meet in one
+    task; the source's rate limit bounds them."""
+    windowed = records.withColumn("window_start", F.window("ts", f"{size_seconds} seconds").start)
+    return (windowed.select("key", "window_start", "partition", "offset", "value").groupBy("key", "window_start")
+            .transformWithStateInPandas(WindowRows(), ROWS_SCHEMA, "Append", "None"))

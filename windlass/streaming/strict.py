@@ -11,7 +11,20 @@ Per micro-batch ``id`` (all work runs as Spark jobs on the batch):
    per (topic, partition, key, window) into ``deltas/batch_id=<id>``;
 4. the new carry is written to ``carry/batch_id=<id>``.
 
-Both writes overwrite their batch directory, so a batch replayed after a
+With ``emit_updates`` the batch's per-record updates are written first, to
+``updates/batch_id=<id>``: for every record kept, the new value of its window -
+the running sum of the batch's records (the same block-parallel scan) on top of
+what the window held before. They are the store's changelog, which
+``restore_with_tail`` replays, and the deltas are then read from them.
+
+With ``emit_updates`` or ``emit_final`` the sink also keeps ``open/batch_id=<id>``,
+the windows that records can still change: those that end after their own
+partition's stream time, so a few per key, however long the query runs. With
+``emit_final`` a window that has ended goes to ``final/batch_id=<id>`` instead
+("emit on window close"), by the time of its partition, not by Spark's global
+watermark. As no record is kept for a window that has ended, each is emitted once.
+
+All writes overwrite their batch directory, so a batch replayed after a
 failure (same id, same input) rewrites the same files: exactly once. The
 carry is looked up by batch id, never "the latest", so a replay sees the
 carry its first run saw; only batch 0 may start without one. Each
@@ -36,6 +49,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.columns import MICROS, epoch_micros, instant_to_ntz
 from ..operators import scan
+from ..operators.windows import _keyed
 from ..sources.snapshots import SnapshotStore
 from .batches import last_batch, read_batches, write_batch
 
@@ -43,6 +57,10 @@ CARRY = "topic string, partition int, carry timestamp_ntz, position bigint"
 CARRY_SCHEMA = CARRY + ", batch_id bigint"
 DELTA_SCHEMA = ("topic string, partition int, key string, window_start timestamp_ntz, window_end timestamp_ntz, "
                 "agg bigint, n bigint, batch_id bigint")
+STATE_SCHEMA = ("topic string, partition int, key string, window_start timestamp_ntz, window_end timestamp_ntz, "
+                "agg bigint, n bigint")
+UPDATE_SCHEMA = ("topic string, partition int, offset bigint, ts timestamp_ntz, key string, window_start timestamp_ntz, "
+                 "window_end timestamp_ntz, value bigint, agg bigint, n bigint, batch_id bigint")
 WINDOW = ["topic", "partition", "key", "window_start", "window_end"]
 WHERE = ["topic", "partition"]
 
@@ -56,6 +74,9 @@ class StrictWindowSink:
     every_n: int = C.DEFAULT_SNAPSHOT_FREQUENCY
     store: SnapshotStore | None = None
     resume: SnapshotStore | None = None
+    emit_updates: bool = False
+    emit_final: bool = False
+    retention_seconds: int | None = None  # windows past it leave the state and the versions
 
     @property
     def carry_path(self) -> str:
@@ -65,6 +86,31 @@ class StrictWindowSink:
     def delta_path(self) -> str:
         return f"{self.path}/deltas"
 
+    @property
+    def update_path(self) -> str:
+        return f"{self.path}/updates"
+
+    @property
+    def open_path(self) -> str:
+        return f"{self.path}/open"
+
+    @property
+    def final_path(self) -> str:
+        return f"{self.path}/final"
+
+    def _ended(self):
+        """Whether a window takes no more records at its partition's time ``carry``."""
+        return (epoch_micros("window_end") + F.lit(self.grace_seconds * MICROS)) <= epoch_micros("carry")
+
+    def open_after(self, batch_id: int) -> DataFrame:
+        """Windows that a batch left open, from its own directory."""
+        if batch_id >= 0:
+            return read_batches(self.spark, self.open_path, batch_id - 1, batch_id, STATE_SCHEMA + ", batch_id bigint").drop("batch_id")
+        if self.resume is None:
+            return self.spark.createDataFrame([], STATE_SCHEMA)
+        held = self.resume.read().select(*WINDOW, "agg", "n").join(self.carry_after(-1), WHERE, "left")
+        return held.where(F.col("carry").isNull() | ~self._ended()).select(*WINDOW, "agg", "n")
+
     def carry_after(self, batch_id: int) -> DataFrame:
         """Stream time and position per topic partition as a batch left them: its own
         directory only, so the cost does not grow with the batches run."""
@@ -77,6 +123,7 @@ class StrictWindowSink:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         if dict(batch.dtypes)["ts"] == "timestamp":
             batch = batch.withColumn("ts", instant_to_ntz("ts"))
+        batch = _keyed(batch)
         carry = self.carry_after(batch_id - 1)
         if self.resume is not None:
             batch = batch.join(carry.select(*WHERE, "position"), WHERE, "left").where(
@@ -87,22 +134,67 @@ class StrictWindowSink:
         w = F.window("ts", f"{self.size_seconds} seconds")
         kept = (timed.withColumn("__w", w)
                 .where((epoch_micros("__w.end") + F.lit(self.grace_seconds * MICROS))
-                       > epoch_micros("stream_time")))
-        deltas = (kept.groupBy(*WHERE, "key", F.col("__w.start").alias("window_start"),
-                               F.col("__w.end").alias("window_end"))
-                  .agg(F.sum("value").cast("bigint").alias("agg"), F.count(F.lit(1)).alias("n")))
+                       > epoch_micros("stream_time"))
+                .select(*WHERE, "offset", "ts", "key", F.col("__w.start").alias("window_start"),
+                        F.col("__w.end").alias("window_end"), "value"))
+        if self.emit_updates:
+            kept = self._write_updates(kept, batch_id)
+        deltas = kept.groupBy(*WINDOW).agg(F.sum("value").cast("bigint").alias("agg"), F.count(F.lit(1)).alias("n"))
         write_batch(deltas, self.delta_path, batch_id)
         seen = batch.groupBy(*WHERE).agg(F.max("ts").alias("__t"), F.max("offset").alias("__o"))
         after = carry.join(seen, WHERE, "full_outer").select(
             *WHERE, F.greatest("carry", "__t").alias("carry"), F.greatest("position", "__o").alias("position"))
         write_batch(after, self.carry_path, batch_id)
+        if self.emit_updates or self.emit_final:
+            self._close_windows(batch_id)
         if self.store is not None and self.every_n and batch_id % self.every_n == 0:
             self.snapshot(batch_id)
 
+    def _write_updates(self, kept: DataFrame, batch_id: int) -> DataFrame:
+        """The value of its window after each record kept, written and read back."""
+        run = scan.running(kept, WINDOW, "offset", [("__agg", "sum", F.col("value")), ("__n", "count", F.lit(1))])
+        held = self.open_after(batch_id - 1).withColumnsRenamed({"agg": "__held", "n": "__held_n"})
+        zero = F.lit(0).cast("bigint")
+        updates = run.join(held, WINDOW, "left").select(
+            *WHERE, "offset", "ts", "key", "window_start", "window_end", F.col("value").cast("bigint").alias("value"),
+            (F.coalesce("__held", zero) + F.col("__agg")).cast("bigint").alias("agg"),
+            (F.coalesce("__held_n", zero) + F.col("__n")).cast("bigint").alias("n"))
+        write_batch(updates, self.update_path, batch_id)
+        return read_batches(self.spark, self.update_path, batch_id - 1, batch_id, UPDATE_SCHEMA)
+
+    def _close_windows(self, batch_id: int) -> None:
+        """Add the batch's deltas to the open windows and part those that have ended."""
+        deltas = read_batches(self.spark, self.delta_path, batch_id - 1, batch_id, DELTA_SCHEMA).select(*WINDOW, "agg", "n")
+        held = self._summed([self.open_after(batch_id - 1), deltas]).join(self.carry_after(batch_id).drop("position"), WHERE, "left")
+        still = F.col("carry").isNull() | ~self._ended()
+        if self.emit_final:
+            write_batch(held.where(~still).select(*WINDOW, "agg", "n"), self.final_path, batch_id)
+        write_batch(held.where(still).select(*WINDOW, "agg", "n"), self.open_path, batch_id)
+
+    def updates(self, after: int = -1, upto: int | None = None) -> DataFrame:
+        """Per record kept in the batches (after, upto], the new value of its window."""
+        upto = last_batch(self.spark, self.update_path) if upto is None else upto
+        return read_batches(self.spark, self.update_path, after, upto, UPDATE_SCHEMA).drop("value")
+
+    def final(self, after: int = -1, upto: int | None = None) -> DataFrame:
+        """Windows that ended in the batches (after, upto], each once, with their final value."""
+        upto = last_batch(self.spark, self.final_path) if upto is None else upto
+        return read_batches(self.spark, self.final_path, after, upto, DELTA_SCHEMA)
+
     def state(self, upto: int | None = None) -> DataFrame:
+        """:meth:`_whole_state` without the windows past retention: those that start at or
+        before their partition's stream time less it."""
+        upto = last_batch(self.spark, self.delta_path) if upto is None else upto
+        whole = self._whole_state(upto)
+        if self.retention_seconds is None:
+            return whole
+        gone = epoch_micros("window_start") <= epoch_micros("carry") - F.lit(self.retention_seconds * MICROS)
+        return (whole.join(self.carry_after(upto).select(*WHERE, "carry"), WHERE, "left")
+                .where(F.col("carry").isNull() | ~gone).select(*WINDOW, "agg", "n"))
+
+    def _whole_state(self, upto: int) -> DataFrame:
         """Windowed state (topic, partition, key, window, agg, n): per topic partition the
         last version at or before ``upto`` plus the deltas of the batches after it."""
-        upto = last_batch(self.spark, self.delta_path) if upto is None else upto
         parts, after = [], -1
         if self.resume is not None:
             parts.append(self.resume.read().select(*WINDOW, "agg", "n"))
