@@ -23,7 +23,9 @@ computation here is a two-level scan:
    span blocks.
 
 Each level reads its input for two branches: nested scans multiply that, and
-a long chain is better cut by a written table.
+a long chain is better cut by a written table. Where all columns of the rows are
+used afterwards, ``share`` makes the two branches' exchanges equal, so that Spark
+runs one and reads its output twice.
 
 All of it is declared with DataFrame operators; Catalyst keeps the
 expressions in whole-stage codegen.
@@ -41,6 +43,12 @@ from ..functions.columns import col
 
 _BLK = "__blk"
 
+def _whole(rows: DataFrame) -> Column:
+    """A block aggregate that reads every column. Without it the totals' branch is pruned to
+    fewer columns than the rows' branch, so that its exchange differs from that one."""
+    return F.max(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])).alias("__whole")
+
+
 _ROW_AGG = {
     "sum": F.sum,
     "max": F.max,
@@ -98,13 +106,13 @@ def _join_back(rows: DataFrame, blocks: DataFrame, by: Sequence[str]) -> DataFra
 
 def running(df: DataFrame, by: Sequence[str], order: Sequence[str] | str,
             aggs: Sequence[tuple[str, str, Column]], *, span: int | None = None,
-            block: Column | None = None, inclusive: bool = True) -> DataFrame:
+            block: Column | None = None, inclusive: bool = True, share: bool = False) -> DataFrame:
     """Add running aggregates over ``order`` within groups ``by``.
 
     ``aggs`` is a list of (output name, kind, value column), kind one of
     ``sum``, ``count``, ``max``, ``min``. ``inclusive`` False gives the value
     over strictly earlier rows. ``block`` overrides the block id (it must
-    be monotone in ``order``); by default it is ``order[0] // span``.
+    be monotone in ``order``); by default it is ``order[0] // span``. ``share``: see above.
     Rows with equal order keys are taken in an arbitrary but fixed order
     (ROWS frame), as a window function would.
     """
@@ -119,7 +127,9 @@ def running(df: DataFrame, by: Sequence[str], order: Sequence[str] | str,
         rows = rows.withColumn(f"__in_{name}", _ROW_AGG[kind](value).over(wi))
     # block totals from the same exchange as the within-block window
     totals = rows.groupBy(*by, _BLK).agg(
-        *[_ROW_AGG[kind](value).alias(f"__bt_{name}") for name, kind, value in aggs])
+        *[_ROW_AGG[kind](value).alias(f"__bt_{name}") for name, kind, value in aggs], *([_whole(d)] if share else []))
+    if share:
+        totals = totals.where("__whole IS NOT NULL").drop("__whole")
     wb = Window.partitionBy(*by).orderBy(_BLK)
     before = wb.rowsBetween(Window.unboundedPreceding, -1)
     prefix = totals.select(
@@ -171,7 +181,8 @@ def session_starts(df: DataFrame, by: Sequence[str], t: str, gap: int, *, block:
     rows = rows.withColumn("__run", F.max("__open").over(
         wi.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     blocks = rows.groupBy(*by, _BLK).agg(F.min(t).alias("__first"), F.max(end).alias("__last"),
-                                          F.max("__open").alias("__bopen"))
+                                          F.max("__open").alias("__bopen"),
+                                         _whole(d)).where("__whole IS NOT NULL").drop("__whole")
     wb = Window.partitionBy(*by).orderBy(_BLK)
     prev_last = F.lag("__last").over(wb)
     blocks = blocks.withColumn(

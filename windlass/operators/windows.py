@@ -98,7 +98,7 @@ def _active(records: DataFrame, range_micros: int, unit_micros: int, block_secon
     events = (records.select("key", F.explode(F.array(enter, leave)).alias("__e")).select("key", "__e.*")
               .groupBy("key", "t").agg(F.max("kind").alias("kind"), F.sum("v").alias("v"), F.sum("n").alias("n")))
     return scan.running(events, ["key"], "t", [("__agg", "sum", F.col("v")), ("__n", "sum", F.col("n"))],
-                        block=F.floor(F.col("t") / F.lit(block_seconds * MICROS)).cast("bigint"))
+                        block=F.floor(F.col("t") / F.lit(block_seconds * MICROS)).cast("bigint"), share=True)
 
 
 def sliding_sum(records: DataFrame, range_seconds: int, *, block_seconds: int = 3_600) -> DataFrame:

@@ -3,7 +3,6 @@
 Layout (one function builds it for writer and reader)::
 
     <path>/<app>/<store>/state/attempt=<id>/task=<t>/part-*.parquet
-    <path>/<app>/<store>/positions/attempt=<id>/part-*.parquet
     <path>/<app>/<store>/sources/attempt=<id>/part-*.parquet
     <path>/<app>/<store>/versions/attempt=<id>/part-*.parquet   manifest rows
 
@@ -11,8 +10,8 @@ A version is a manifest: per task and segment (time slice of the store) the atte
 that wrote the rows and how many there are. ``publish`` writes all of a state;
 ``publish_changes`` writes the segments that changed and refers to the others where
 they lie, so its cost follows what changed, not the state. A version is named by the changelog offset the state stands at, per (topic,
-partition). One publish writes one attempt directory: state first, then the
-positions, then the manifest rows. Every attempt has a directory of its own, so
+partition). One publish writes one attempt directory: state first, then
+how far into the source it reaches, then the manifest rows. Every attempt has a directory of its own, so
 nothing that was published is ever overwritten, and a publish that is replayed
 after a failure only adds an attempt: per version the newest one counts,
 and a half-written attempt has no manifest. A version with no rows gets no pointer
@@ -57,7 +56,6 @@ VERSION_SCHEMA = ("app string, task string, store string, topic string, partitio
 MANIFEST_SCHEMA = ("app string, task string, store string, topic string, partition int, version bigint, segment_id bigint, "
                    "data_attempt string, data_version bigint, row_count bigint, published_at timestamp, attempt string")
 PART = ["task", "topic", "partition", "segment_id"]
-POSITION_SCHEMA = "topic string, partition int, version bigint, attempt string"
 SOURCE_SCHEMA = "topic string, partition int, position bigint, stream_time timestamp_ntz, attempt string"
 
 
@@ -119,7 +117,7 @@ class SnapshotStore:
         """
         attempt = uuid.uuid4().hex
         schema = self._write_state(state, positions, attempt)
-        self._write_positions(positions, sources, attempt)
+        self._write_sources(sources, attempt)
         # data committed; count what is really there. Manifest last: from here on the attempt can be read
         self._counted(attempt, schema).write.parquet(self.attempt_path("versions", attempt))
         return self._pointers().where(F.col("attempt") == attempt)
@@ -135,7 +133,7 @@ class SnapshotStore:
         """
         attempt = uuid.uuid4().hex
         schema = self._write_state(changed, positions, attempt)
-        self._write_positions(positions, sources, attempt)
+        self._write_sources(sources, attempt)
         positions = self._positions(positions)
         segments = self._addressed(segments).select(*ADDRESS, "segment_id").distinct()
         if least_segment is not None:
@@ -165,8 +163,7 @@ class SnapshotStore:
              .parquet(self.attempt_path("state", attempt)))
         return rows.schema
 
-    def _write_positions(self, positions: DataFrame, sources: DataFrame | None, attempt: str) -> None:
-        self._positions(positions).write.parquet(self.attempt_path("positions", attempt))
+    def _write_sources(self, sources: DataFrame | None, attempt: str) -> None:
         if sources is not None:
             time = F.col("stream_time") if "stream_time" in sources.columns else F.lit(None)
             (sources.select(*ADDRESS, F.col("position").cast("bigint").alias("position"),
@@ -195,8 +192,15 @@ class SnapshotStore:
                         F.create_map(F.concat("topic", F.lit("-"), F.col("partition").cast("string")),
                                      F.col("version")).alias("offsets"), "published_at", "attempt"))
 
-    def _parts(self, pointer: DataFrame) -> DataFrame:
-        """Manifest rows of the pointed versions."""
+    def _parts(self, pointer: DataFrame | None) -> DataFrame:
+        """Manifest rows of the pointed versions (default: the latest, found by one aggregate
+        of the manifests)."""
+        if pointer is None:
+            by = ["app", "task", "store", "topic", "partition"]
+            rows = self._manifests()
+            best = rows.groupBy(*by).agg(F.max(F.struct("published_at", "version", "attempt")).alias("b")).select(
+                *by, F.col("b.version").alias("version"), F.col("b.attempt").alias("attempt"))
+            return rows.join(best, [*by, "version", "attempt"])
         keys = ["attempt", "task", "topic", "partition", "version"]
         return self._manifests().join(pointer.select(*keys), keys, "left_semi")
 
@@ -230,12 +234,13 @@ class SnapshotStore:
         """(state rows, positions) of the pointed versions; positions (topic,
         partition, version). With ``verify``, rows per segment must equal the manifest's.
         ``segments`` (topic, partition, segment_id) limits the rows, and what is read, to those."""
-        pointer = self.latest() if pointer is None else pointer
         wanted = self._parts(pointer).select(*PART, "version", "attempt", "data_attempt", "data_version", "row_count")
         few = wanted.limit(MANY_POSITIONS + 1).toArrow()
+        positions = wanted.select(*ADDRESS, "version").distinct()
         if few.num_rows <= MANY_POSITIONS:  # a handful of rows: look them up once, not per join
             wanted = self.spark.createDataFrame(few, wanted.schema)
-        positions = wanted.select(*ADDRESS, "version").distinct()
+            held = few.group_by([*ADDRESS, "version"]).aggregate([]).select([*ADDRESS, "version"])
+            positions = self.spark.createDataFrame(held, positions.schema)
         if segments is not None:
             wanted = wanted.join(self._addressed(segments), [*ADDRESS, "segment_id"], "left_semi")
             few = wanted.limit(MANY_POSITIONS + 1).toArrow()
