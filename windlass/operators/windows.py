@@ -131,17 +131,18 @@ def sliding_windows(records: DataFrame, difference_seconds: int, *, block_second
                       F.col("__agg").cast("bigint").alias("agg"))
 
 
-def session_sum(records: DataFrame, gap_seconds: int, *, block_rows: int = 100_000) -> DataFrame:
+def session_sum(records: DataFrame, gap_seconds: int, *, block_seconds: int | None = None) -> DataFrame:
     """Session windows: a key's records closer than or exactly ``gap`` apart
     share a session. Session end is the last record's time.
 
     Records of a key within one stretch of ``gap`` (times cut at its multiples) are
     never more than it apart, so each stretch is one row from the start, with map-side
-    combine. Session starts come from a block-parallel scan of these rows (at most
-    ``block_rows`` of a key to a block; see
+    combine. Session starts come from a block-parallel scan of these rows (blocks of
+    ``block_seconds``, by default of 100,000 stretches; see
     :func:`windlass.operators.scan.session_starts`), then a plain ``groupBy(key, start)``.
     """
     gap = gap_seconds * MICROS
+    block_rows = 100_000 if block_seconds is None else max(1, block_seconds * MICROS // max(gap, 1))
     stretch = F.floor(epoch_micros("ts") / F.lit(max(gap, 1))).cast("bigint")
     d = (_keyed(records).groupBy("key", stretch.alias("__s"))
          .agg(F.count(F.lit(1)).alias("__n"), F.sum("value").alias("__v"), F.min("ts").alias("__lo"), F.max("ts").alias("__hi"))
