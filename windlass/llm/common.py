@@ -62,11 +62,22 @@ def unwrapped(rows: DataFrame) -> DataFrame:
 SMALL_SIDE = 50_000
 
 
-def join_small(rows: DataFrame, few: DataFrame, on: list[str]) -> DataFrame:
+SPREAD = 32
+
+
+def join_small(rows: DataFrame, few: DataFrame, on: list[str], spread: str | None = None) -> DataFrame:
     """Left join with a table that is expected to be small: its rows are counted,
-    and it is broadcast only up to ``SMALL_SIDE`` of them."""
+    and it is broadcast only up to ``SMALL_SIDE`` of them. Beyond, with ``spread`` (a
+    column of ``rows``), the rows of one key are dealt to ``SPREAD`` parts by its hash
+    and each row of ``few`` goes to all of them, so that no key is one task."""
     few = write_table(few, "small")
-    return rows.join(F.broadcast(few) if few.count() <= SMALL_SIDE else few, on, "left")
+    if few.count() <= SMALL_SIDE:
+        return rows.join(F.broadcast(few), on, "left")
+    if spread is None:
+        return rows.join(few, on, "left")
+    everywhere = few.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    dealt = rows.withColumn("__part", F.pmod(F.xxhash64(spread), F.lit(SPREAD)).cast("int"))
+    return dealt.join(everywhere, [*on, "__part"], "left").drop("__part")
 
 
 def one_row_each(rows: DataFrame, kept: DataFrame, on: list[str]) -> DataFrame:

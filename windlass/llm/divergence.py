@@ -281,7 +281,7 @@ def audit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
         "chunks", F.greatest(F.ceil(F.col("kept") / F.lit(chunk_terms)), F.lit(1).cast("long")))
     known = write_table(groups.join(totals, ["lang", "source"], "left").na.fill(0, ["total"]).join(langs, "lang")
                         .withColumn("block", F.pmod(F.xxhash64("source"), F.col("blocks"))), "divergence-groups")
-    rows = join_small(counts, known, ["lang", "source"])
+    rows = join_small(counts, known, ["lang", "source"], "term")
 
     # pairs: a tile is a chunk of terms and a block of sources on either side
     each = "transform(sequence(0, blocks - 1), o -> named_struct('a', {a}, 'b', {b}, 'side', '{side}'))"

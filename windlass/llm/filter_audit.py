@@ -180,7 +180,7 @@ def masks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         own = few.groupBy("text").agg(F.min("doc_id").alias("first"))
         by_text = few.join(own, "text").withColumn("mask", own_failures(F.col("text"))).select(
             "doc_id", "part", last.cast("int").alias("mask"))
-    out = join_small(plain, firsts.filter("texts = 1").select("h", "first"), ["h"]).select(
+    out = join_small(plain, firsts.filter("texts = 1").select("h", "first"), ["h"], "doc_id").select(
         "doc_id", "part", last.cast("int").alias("mask"))
     return out if shared.isEmpty() else out.unionByName(by_text)
 

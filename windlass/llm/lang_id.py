@@ -117,6 +117,22 @@ class Centroids:
         return [self.langs[k] for k in best], cos[np.arange(len(best)), best].astype(np.float64)
 
 
+def training_sample(train: DataFrame) -> DataFrame:
+    """(doc_id, lang, text): up to ``SAMPLE_PER_LANGUAGE`` different rows of each language, those
+    of the smallest hashes. A bound on the hash, from the language's estimated number of
+    different rows, leaves about twice as many before any row is shuffled, and equal
+    rows are combined first, so no task sees more of a language or of a repeated row."""
+    rows = train.select("doc_id", "lang", "text", F.xxhash64("doc_id", "text").alias("h"))
+    share = rows.groupBy("lang").agg(
+        (F.lit(2.0 * SAMPLE_PER_LANGUAGE) / F.greatest(F.approx_count_distinct("h", 0.02), F.lit(1))).alias("share"))
+    place = F.pmod("h", F.lit(1 << 40)) / F.lit(float(1 << 40))
+    some = join_small(rows, share, ["lang"]).filter((F.col("share") > 0.5) | (place < F.col("share")))
+    once = some.groupBy("lang", "doc_id", "h").agg(F.first("text").alias("text"))
+    order = Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 40)), "h", "doc_id")
+    return once.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= SAMPLE_PER_LANGUAGE).select(
+        "doc_id", "lang", "text")
+
+
 def fit(rows: DataFrame) -> Centroids | None:
     """Centroids from ``training_rows``; None if no row has a language and a letter."""
     train = rows.filter(~F.col("held_out") & F.col("lang").isNotNull() & F.col("text").isNotNull())
@@ -124,9 +140,7 @@ def fit(rows: DataFrame) -> Centroids | None:
     if not n:
         return None
     idf = np.log((1 + n) / (1 + found)) + 1
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    sample = train.select("doc_id", "lang").withColumn("r", F.row_number().over(order)).filter(
-        F.col("r") <= SAMPLE_PER_LANGUAGE).select("doc_id").distinct()
+    sample = training_sample(train)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -144,9 +158,7 @@ def fit(rows: DataFrame) -> Centroids | None:
         c = spherical_k_means(x, CENTROIDS)
         return pd.DataFrame({"lang": df["lang"].iloc[0], "k": np.arange(len(c)), "c": [v.tobytes() for v in c]})
 
-    # the sample is bounded by SAMPLE_PER_LANGUAGE rows of each language
-    picked = train.join(F.broadcast(sample), "doc_id", "left_semi").select("doc_id", "lang", "text")
-    learned = (picked.mapInArrow(vectors, "doc_id long, lang string, v binary").groupBy("lang")
+    learned = (sample.mapInArrow(vectors, "doc_id long, lang string, v binary").groupBy("lang")
                .applyInPandas(cluster, "lang string, k int, c binary").orderBy("lang", "k").collect())
     if not learned:
         return None

@@ -337,7 +337,7 @@ def near_dedup(vectors: DataFrame, least: float = LEAST_COSINE, id_col: str = "v
                                       F.count(F.when(~F.col("home"), 1)).alias("others"))
              .filter(F.col("homes") + F.col("others") > tile)
              .select(*CELL, chunks(F.col("homes")).alias("hs"), chunks(F.col("others")).alias("os")))
-    cut = join_small(dealt, sizes, CELL)
+    cut = join_small(dealt, sizes, CELL, "node")
     part = F.when(F.col("home"), F.pmod(F.xxhash64("node"), F.col("hs"))).otherwise(
         F.col("hs") + F.pmod(F.xxhash64("node"), F.col("os")))
     tiles = F.expr("""CASE WHEN hs IS NULL THEN array(named_struct('i', 0L, 'j', 0L))
@@ -362,7 +362,7 @@ def near_dedup(vectors: DataFrame, least: float = LEAST_COSINE, id_col: str = "v
     roots = components(links).withColumnsRenamed({"src": "node", "dst": "root"})
     rooted = write_table(near.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "metric-near")
     tops = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    linked = join_small(rooted, tops, ["root"]).select("label", "v", "n_links", "component_id", F.lit(True).alias("has"))
+    linked = join_small(rooted, tops, ["root"], "node").select("label", "v", "n_links", "component_id", F.lit(True).alias("has"))
     # only vectors with a link are looked up
     out = rows.join(linked, ["label", "v"], "left")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),

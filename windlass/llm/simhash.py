@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windlass.llm.common import one_row_each, whole_text, width, wrapped, write_table
+from windlass.llm.common import join_small, one_row_each, whole_text, width, wrapped, write_table
 from windlass.llm.components import components
 
 SHINGLE = 4
@@ -297,7 +297,7 @@ def _classes(docs: DataFrame, shingle: int, max_bits: int, id_col: str, text_col
         "fp", "low", "n", F.coalesce("up", "fp").alias("root"))
     tops = rooted.groupBy("root").agg(F.min("low").alias("top"), F.sum("n").alias("rows"))
     # a row alone in its component needs no look-up
-    shared = rooted.join(tops.filter("rows > 1"), "root").select("fp", "root", "top")
+    shared = join_small(rooted, tops.filter("rows > 1"), ["root"], "fp").filter("top IS NOT NULL").select("fp", "root", "top")
     return prints.join(shared, "fp", "left").select(
         "doc_id", "xx", "fp", F.coalesce("root", "fp").alias("root"), F.coalesce("top", own).alias("top"))
 
