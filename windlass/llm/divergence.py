@@ -36,6 +36,7 @@ CHUNK_TERMS = 4_096
 SOURCE_BLOCK = 128
 TERM_SALT = 16  # parts of a group whose best terms are found apart
 PARTIAL_ROWS = 400_000  # partial counts per partition
+BYTES_PER_RUN = 12  # of text, about, to a partial count
 
 _BYTES = np.arange(256)
 _LETTER = ((_BYTES >= 0x41) & (_BYTES <= 0x5A)) | ((_BYTES >= 0x61) & (_BYTES <= 0x7A)) | (_BYTES >= 0x80)
@@ -235,14 +236,11 @@ def _pair_sums(table: pa.Table) -> pa.Table:
                      "item": pa.array(out_t, pa.string()), "value": pa.array(out_v, pa.int64())})
 
 
-def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
-                slice_bytes: int = SLICE_BYTES, least_docs: int = LEAST_DOCS) -> DataFrame:
+def term_counts(texts: DataFrame, size: int, slice_bytes: int = SLICE_BYTES, least_docs: int = LEAST_DOCS) -> DataFrame:
     """(lang, source, term, n, all_n): occurrences of the kept terms in each source and in
-    the whole language. Null text, lang and source count as empty."""
-    read = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(n)
-            for c, n in ((lang_col, "lang"), (source_col, "source"), (text_col, "text"))]
-    partial = write_table(docs.select(*read).mapInArrow(_counter(slice_bytes), PARTIAL), "divergence-runs")
-    parts = width(docs.sparkSession, partial.count(), PARTIAL_ROWS)
+    the whole language. ``texts`` (lang, source, text), of about ``size`` bytes in all."""
+    partial = texts.mapInArrow(_counter(slice_bytes), PARTIAL)
+    parts = width(texts.sparkSession, size // BYTES_PER_RUN, PARTIAL_ROWS)
     by_term = Window.partitionBy("lang", "term")
     return (partial.repartition(parts, "lang", "term").groupBy("lang", "term", "source")
             .agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
@@ -268,11 +266,14 @@ def audit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
     documents of their own. Other columns are not read, whatever their names. Ties
     go by the item's UTF-8 bytes. An empty table gives no rows.
     """
-    spark = docs.sparkSession
-    counts = write_table(term_counts(docs, text_col, lang_col, source_col, slice_bytes, least_docs), "divergence-counts")
     empty = F.lit("")
-    groups = docs.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), empty).alias("lang"),
-                         F.coalesce(F.col(f"`{source_col}`").cast("string"), empty).alias("source")).distinct()
+    texts = docs.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), empty).alias(n)
+                          for c, n in ((lang_col, "lang"), (source_col, "source"), (text_col, "text"))])
+    groups = write_table(texts.groupBy("lang", "source").agg(F.sum(F.octet_length("text").cast("long")).alias("bytes")),
+                         "divergence-sizes")
+    size = groups.agg(F.sum("bytes")).first()[0] or 0
+    groups = groups.select("lang", "source")
+    counts = write_table(term_counts(texts, size, slice_bytes, least_docs), "divergence-counts")
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     kept = (counts.groupBy("lang", "term").agg(F.first("all_n").alias("n")).groupBy("lang")
             .agg(F.count(F.lit(1)).alias("kept"), F.sum("n").alias("lang_total")))
