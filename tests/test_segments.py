@@ -57,7 +57,8 @@ def test_changed_segments_are_written_and_others_referenced(spark, tmp_root):
     # a third version on top of the second, which also drops the oldest segments
     again = state(spark, [(0, "k0", 109, 7)])  # all that partition 0 holds of the last segment
     low = min(s for _, s in by) + 4
-    store.publish_changes(again, segments(spark, again), positions(spark, 3, (0, 1)), store.latest(), least_segment=low)
+    least = spark.createDataFrame([("t", p, low) for p in (0, 1)], "topic string, partition int, least_segment long")
+    store.publish_changes(again, segments(spark, again), positions(spark, 3, (0, 1)), store.latest(), least=least)
     want = [r for r in new if r[2] > 48 and not (r[0] == 0 and r[2] == 109)] + [(0, "k0", 109, 7)]
     assert held(store.read()) == held(state(spark, want))
     # the manifest lists every file of a version once, with all its rows

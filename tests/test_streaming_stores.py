@@ -16,6 +16,7 @@ from windlass.sources.snapshots import SnapshotStore
 from windlass.sources.state_reader import read_state_variable, snapshot_state_variable
 from windlass.streaming.batches import last_batch, write_batch
 from windlass.streaming.bootstrap import bootstrap_stream, fold_stream, rows_stream
+from windlass.streaming.enrich import EnrichSink, ReplicatedTable
 from windlass.streaming.files import write_record_batches
 from windlass.streaming.sessions import merge_sessions, session_stream
 from windlass.streaming.snapshot_sink import SnapshotSink
@@ -278,3 +279,39 @@ def test_kept_duplicates_equal_batch_across_a_restart(spark, batches, tmp_root):
     emitted = spark.read.parquet(f"{tmp_root}/out").withColumn("window_start", instant_to_ntz("window_start"))
     held = read_state_variable(spark, f"{tmp_root}/ckpt", "rows").withColumn("window_start", instant_to_ntz("window_start"))
     assert rows(emitted, *cols) == want and rows(held, *cols) == want
+
+
+# -- replicated tables --------------------------------------------------------------------------
+
+def test_enrichment_refreshes_by_batch_and_replays_what_it_saw(spark, tmp_root):
+    loads = []
+
+    def load():
+        loads.append(1)
+        n = len(loads)
+        return spark.createDataFrame([("a", f"a{n}", 1), ("a", f"A{n}", 2), ("b", f"b{n}", 1), (None, "none", 1)],
+                                     "key string, name string, rank int")
+
+    def sink(limit=100):
+        return EnrichSink(f"{tmp_root}/out", [ReplicatedTable(spark, f"{tmp_root}/t", load, ["key"], order="rank", refresh_every=2,
+                                                              broadcast_rows=limit)])
+
+    first = sink()
+    for b in range(4):
+        first(hand(spark, [("t", 0, b, b, "a", b), ("t", 0, 10 + b, b, "x", b)]), b)
+    out = lambda: rows(spark.read.option("basePath", f"{tmp_root}/out").parquet(f"{tmp_root}/out"), "batch_id", "key", "name")
+    want = [(b, k, f"A{1 + b // 2}" if k == "a" else None) for b in range(4) for k in "ax"]
+    assert out() == sorted(want, key=repr) and len(loads) == 2
+    # replayed by a new process, and by key where the copy is too large to broadcast
+    again = sink(limit=0)
+    again(hand(spark, [("t", 0, 1, 1, "a", 1), ("t", 0, 11, 1, "x", 1)]), 1)
+    assert out() == sorted(want, key=repr) and len(loads) == 2
+
+
+def test_the_join_is_broadcast_by_its_counted_size(spark, tmp_root):
+    def plan(limit):
+        t = ReplicatedTable(spark, f"{tmp_root}/t{limit}", lambda: spark.range(50).selectExpr("cast(id as string) key", "id"), ["key"],
+                            broadcast_rows=limit)
+        return t.join(spark.range(10).selectExpr("cast(id as string) key"), 0)._jdf.queryExecution().optimizedPlan().toString()
+
+    assert "broadcast" in plan(50) and "broadcast" not in plan(49)

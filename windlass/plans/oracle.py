@@ -382,6 +382,9 @@ ORACLE["expiring_stream"] = with_(RECORD + f""",
 w AS (SELECT key, {ws(STORE_W)} AS window_start, value FROM rec)""", f"""
 SELECT key, window_start, CAST(sum(value) AS BIGINT) AS agg FROM w
 WHERE epoch_us(window_start) + {RET} > (SELECT max(epoch_us(ts)) // 1000 * 1000 FROM rec) GROUP BY ALL""")
+ORACLE["enrich_orders"] = with_(RECORD, """
+SELECT r.topic, r."partition", r."offset", r.ts, r.key, r.value, c.c_name, c.c_mktsegment, n.n_name
+FROM rec r LEFT JOIN customer c ON CAST(c.c_custkey AS VARCHAR) = r.key LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey""")
 ORACLE["bootstrap_stream"] = ORACLE["tumbling_sum"]
 
 

@@ -302,6 +302,12 @@ def q_session_stream(spark, sf):
     return session_changes(spark, sf, SESSION_GAP)
 
 
+@register("enrich_orders")
+def q_enrich_orders(spark, sf):
+    from .streams import enrich_orders
+    return enrich_orders(spark, sf)
+
+
 @register("bootstrap_stream")
 def q_bootstrap_stream(spark, sf):
     from .streams import bootstrap

@@ -13,13 +13,14 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.columns import MICROS, epoch_micros, instant_to_ntz, micros_to_ntz
-from ..session import scratch_dir
+from ..session import scratch_dir, table_path
 from ..sources.records import read_records, stream_records_from_files
 from ..sources.snapshots import SnapshotStore
 from ..sources.state_reader import read_operator_state, read_state_variable, windowed_state_rows
 from ..streaming import listener
 from ..streaming.batches import last_batch, read_batches, write_batch
 from ..streaming.bootstrap import bootstrap_stream, rows_stream
+from ..streaming.enrich import EnrichSink, ReplicatedTable
 from ..streaming.files import write_record_batches
 from ..streaming.sessions import session_stream
 from ..streaming.snapshot_sink import SnapshotSink
@@ -184,6 +185,21 @@ def session_changes(spark: SparkSession, sf: str, gap_seconds: int) -> DataFrame
                                "n", "agg")
 
 
+def enrich_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Each record of the stream with its customer and the customer's nation, from
+    replicated tables that are copied anew every 2 batches."""
+    root, _, src = _input(spark, sf, "enrich", event_time_type="timestamp_ntz")
+    customers = ReplicatedTable(spark, f"{root}/customers", lambda: spark.read.parquet(table_path(sf, "customer")).select(
+        F.col("c_custkey").cast("string").alias("key"), "c_name", "c_mktsegment", F.col("c_nationkey").alias("n_nationkey")),
+        ["key"], order="c_name", refresh_every=2)
+    nations = ReplicatedTable(spark, f"{root}/nations", lambda: spark.read.parquet(table_path(sf, "nation")).select(
+        "n_nationkey", "n_name"), ["n_nationkey"], order="n_name", refresh_every=2)
+    sink = EnrichSink(f"{root}/out", [customers, nations])
+    for_each_update(src, sink, f"{root}/ckpt", output_mode="append", available_now=True,
+                    state_partitions=_parallelism(spark)).awaitTermination()
+    return _delivered(spark, sink.path).select("topic", "partition", "offset", "ts", "key", "value", "c_name", "c_mktsegment", "n_name")
+
+
 def query_events(spark: SparkSession, sf: str) -> DataFrame:
     """Lifecycle events of a streaming query (started, progress per batch,
     terminated) with input rows per batch."""

@@ -56,6 +56,7 @@ VERSION_SCHEMA = ("app string, task string, store string, topic string, partitio
 MANIFEST_SCHEMA = ("app string, task string, store string, topic string, partition int, version bigint, segment_id bigint, "
                    "data_attempt string, data_version bigint, row_count bigint, published_at timestamp, attempt string")
 PART = ["task", "topic", "partition", "segment_id"]
+DATA_KEYS = [*PART, "data_attempt", "data_version"]
 SOURCE_SCHEMA = "topic string, partition int, position bigint, stream_time timestamp_ntz, attempt string"
 
 
@@ -123,24 +124,29 @@ class SnapshotStore:
         return self._pointers().where(F.col("attempt") == attempt)
 
     def publish_changes(self, changed: DataFrame, segments: DataFrame, positions: DataFrame, base: DataFrame,
-                        sources: DataFrame | None = None, *, least_segment: int | None = None) -> DataFrame:
+                        sources: DataFrame | None = None, *, least: DataFrame | None = None) -> DataFrame:
         """Publish versions that differ from ``base`` (pointers) in some segments only, and
         return their pointer rows.
 
         ``segments`` (topic, partition, segment_id): the segments that may differ;
         ``changed``: all state rows these now hold. Other segments are taken over by
-        reference, except those below ``least_segment``, which have expired.
+        reference - their rows are counted, from the key columns alone, as a version must
+        not rest on data that is gone - except those below ``least`` (topic, partition, least_segment), which
+        have expired.
         """
         attempt = uuid.uuid4().hex
         schema = self._write_state(changed, positions, attempt)
         self._write_sources(sources, attempt)
         positions = self._positions(positions)
         segments = self._addressed(segments).select(*ADDRESS, "segment_id").distinct()
-        if least_segment is not None:
-            kept = self._parts(base).where(F.col("segment_id") >= least_segment)
-        else:
-            kept = self._parts(base)
-        kept = (kept.join(segments, [*ADDRESS, "segment_id"], "left_anti").drop("version").join(positions, ADDRESS)
+        kept = self._parts(base)
+        if least is not None:
+            kept = (kept.join(self._addressed(least).select(*ADDRESS, "least_segment"), ADDRESS, "left")
+                    .where(F.col("least_segment").isNull() | (F.col("segment_id") >= F.col("least_segment"))).drop("least_segment"))
+        kept = kept.join(segments, [*ADDRESS, "segment_id"], "left_anti")
+        if attempts := self._named(kept, "data_attempt"):
+            self._complete(kept, self._data(attempts))  # a version must not rest on data that is gone
+        kept = (kept.drop("version").join(positions, ADDRESS)
                 .withColumn("published_at", F.current_timestamp()))
         manifest = self._counted(attempt, schema)
         (manifest.unionByName(kept.select(*manifest.columns)).coalesce(1)
@@ -249,15 +255,10 @@ class SnapshotStore:
         if not attempts:
             empty = ", ".join([KEY_SCHEMA, self.values, META_SCHEMA, "attempt string"])
             return self.spark.createDataFrame([], empty), positions
-        data = self._attempts(attempts).withColumnsRenamed({"attempt": "data_attempt", "version": "data_version"})
-        keys = [*PART, "data_attempt", "data_version"]
+        data = self._data(attempts)
         if verify:
-            have = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("found"))
-            bad = (wanted.join(have, keys, "left").where(~F.col("row_count").eqNullSafe(F.col("found")))
-                         .select(*keys, "row_count", "found").limit(5).collect())
-            if bad:
-                raise FileNotFoundError(f"snapshot data missing or partial, for example {bad}")
-        rows = data.join(wanted.select(*keys, "version", "attempt"), keys).drop("data_attempt", "data_version")
+            self._complete(wanted, data)
+        rows = data.join(wanted.select(*DATA_KEYS, "version", "attempt"), DATA_KEYS).drop("data_attempt", "data_version")
         return rows.select(*KEYS, *value_columns(rows), *[c for c in rows.columns if c in (*_META, "attempt")]), positions
 
     def segments(self, pointer: DataFrame | None = None) -> DataFrame:
@@ -305,14 +306,25 @@ class SnapshotStore:
         else:
             data = (self._attempts(attempts).withColumn("__file", _file_key(F.col("_metadata.file_path")))
                     .withColumnsRenamed({"attempt": "data_attempt", "version": "data_version"}))
-        keys = [*PART, "data_attempt", "data_version"]
-        held = (data.join(parts.select(*keys, "version"), keys).groupBy("__file", "task", "version", "segment_id")
+        held = (data.join(parts.select(*DATA_KEYS, "version"), DATA_KEYS).groupBy("__file", "task", "version", "segment_id")
                     .agg(F.count(F.lit(1)).alias("rows"), F.min("window_start").alias("min_window_start"),
                          F.max("window_start").alias("max_window_start"),
                          *[F.sum(c).cast("bigint").alias(c) for c in ("agg",) if c in data.columns]))
         files = self.files(pointer).withColumn("__file", _file_key(F.col("path")))
         return held.join(files.select("__file", "path", "length", "modificationTime"), "__file").drop("__file")
 
+    def _data(self, attempts: list[str]) -> DataFrame:
+        return self._attempts(attempts).withColumnsRenamed({"attempt": "data_attempt", "version": "data_version"})
+
+    @staticmethod
+    def _complete(parts: DataFrame, data: DataFrame) -> None:
+        """Raise unless ``data`` has as many rows of each part as its manifest says."""
+        have = data.groupBy(*DATA_KEYS).agg(F.count(F.lit(1)).alias("found"))
+        bad = (parts.join(have, DATA_KEYS, "left").where(~F.col("row_count").eqNullSafe(F.col("found")))
+                    .select(*DATA_KEYS, "row_count", "found").limit(5).collect())
+        if bad:
+            raise FileNotFoundError(f"snapshot data missing or partial, for example {bad}")
+
     # -- helpers -------------------------------------------------------------
     @staticmethod
     def _named(rows: DataFrame, column: str = "attempt") -> list[str]:

@@ -139,7 +139,8 @@ class SnapshotSink:
         rows = restore_with_tail(snap, held, tail.drop("__segment"))
         if newest is not None:
             rows = rows.where(epoch_micros("window_start") > self._floor(newest))
-        return self.store.publish_changes(rows, touched, positions, pointer, self.sources(batch_id), least_segment=least)
+        floor = None if least is None else positions.select("topic", "partition", F.lit(least).cast("bigint").alias("least_segment"))
+        return self.store.publish_changes(rows, touched, positions, pointer, self.sources(batch_id), least=floor)
 
     def _newest(self, pointer: DataFrame, tail: DataFrame):
         """The newest record time of version and tail: of the version, its last segments hold it,

@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.columns import MICROS, epoch_micros, instant_to_ntz
+from ..functions.columns import MICROS, epoch_micros, instant_to_ntz, micros_to_ntz, segment_id
 from ..operators import scan
 from ..operators.windows import _keyed
 from ..sources.snapshots import SnapshotStore
@@ -186,10 +186,13 @@ class StrictWindowSink:
         before their partition's stream time less it."""
         upto = last_batch(self.spark, self.delta_path) if upto is None else upto
         whole = self._whole_state(upto)
+        return self._live(whole, self.carry_after(upto))
+
+    def _live(self, rows: DataFrame, carry: DataFrame) -> DataFrame:
         if self.retention_seconds is None:
-            return whole
+            return rows
         gone = epoch_micros("window_start") <= epoch_micros("carry") - F.lit(self.retention_seconds * MICROS)
-        return (whole.join(self.carry_after(upto).select(*WHERE, "carry"), WHERE, "left")
+        return (rows.join(carry.select(*WHERE, "carry"), WHERE, "left")
                 .where(F.col("carry").isNull() | ~gone).select(*WINDOW, "agg", "n"))
 
     def _whole_state(self, upto: int) -> DataFrame:
@@ -225,8 +228,27 @@ class StrictWindowSink:
         return rows.groupBy(*WINDOW).agg(F.sum("agg").cast("bigint").alias("agg"), F.sum("n").cast("bigint").alias("n"))
 
     def snapshot(self, batch_id: int) -> DataFrame:
-        """Fold everything up to ``batch_id`` into version ``batch_id``."""
+        """Fold everything up to ``batch_id`` into version ``batch_id``: the segments that the
+        deltas since the last version touch, and the one that retention cuts through; the
+        others are taken over by reference."""
         carry = self.carry_after(batch_id)
         positions = carry.select(*WHERE, F.lit(batch_id).cast("bigint").alias("version"))
-        return self.store.publish(self.state(upto=batch_id), positions,
-                                  carry.select(*WHERE, "position", F.col("carry").alias("stream_time")))
+        sources = carry.select(*WHERE, "position", F.col("carry").alias("stream_time"))
+        pointer = self.store.at(batch_id - 1)
+        versions = pointer.select(*WHERE, F.col("version").alias("__v"))
+        low = versions.agg(F.min("__v")).first()[0]
+        if low is None or carry.join(versions, WHERE, "left_anti").limit(1).count():  # a partition without a version
+            return self.store.publish(self.state(upto=batch_id), positions, sources)
+        deltas = (read_batches(self.spark, self.delta_path, int(low), batch_id, DELTA_SCHEMA).join(versions, WHERE)
+                  .where(F.col("batch_id") > F.col("__v")).select(*WINDOW, "agg", "n"))
+        width = self.store.segment_seconds
+        touched, least = deltas.select(*WHERE, segment_id("window_start", width).alias("segment_id")), None
+        if self.retention_seconds is not None:
+            edge = segment_id(micros_to_ntz(epoch_micros("carry") - F.lit(self.retention_seconds * MICROS)), width)
+            least = carry.select(*WHERE, edge.alias("least_segment"))
+            touched = touched.unionByName(least.withColumnRenamed("least_segment", "segment_id"))
+        touched = touched.distinct()
+        base, _ = self.store.open(pointer, segments=touched)
+        held = [base.select(*WINDOW, "agg", "n")] if "n" in base.columns else []  # no version may hold a touched segment
+        rows = self._live(self._summed([*held, deltas]), carry)
+        return self.store.publish_changes(rows, touched, positions, pointer, sources, least=least)
