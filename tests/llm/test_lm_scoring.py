@@ -8,14 +8,19 @@ from windlass.llm.byte_classes import SIZE, TABLE
 
 def brute_score(network, text):
     """Every place of the text put through the network by itself."""
-    raw = (text or "").encode().translate(TABLE)
-    row = [0, 0, *raw, 0, 0]
+    raw = (text or "").encode()
+    row = [0, 0, *raw.translate(TABLE), 0, 0]
     total = 0.0
-    tables, bias, out, out_bias = [w.astype(float) for w in network.weights]
+    tables, bias, out, out_bias, byte_out, byte_bias = [w.astype(float) for w in network.weights]
     for i in range(2, len(row) - 2):
         h = np.tanh(bias + sum(tables[k][row[i + d]] for k, d in enumerate((-1, 1, -2, 2))))
         z = h @ out + out_bias
+        z[0] = -np.inf  # no byte is the edge of a text
         total += z[row[i]] - np.log(np.exp(z - z.max()).sum()) - z.max()
+        peers = [b for b in range(256) if TABLE[b] == row[i]]
+        if len(peers) > 1:
+            z = (h @ byte_out + byte_bias)[peers]
+            total += z[peers.index(raw[i - 2])] - np.log(np.exp(z - z.max()).sum()) - z.max()
     return total
 
 
@@ -37,8 +42,9 @@ def test_full_cache_changes_nothing(monkeypatch):
     network = lm.WindowNetwork(seed=3)
     r = np.random.default_rng(1)
     around = (r.integers(0, SIZE, (500, 4)) << np.arange(0, 24, 6)).sum(axis=1)
-    target = r.integers(0, SIZE, 500)
+    target = r.integers(0, 256, 500)
     want = network.log_probs(lm.unpack(around))[np.arange(500), target]
+    assert np.allclose(np.exp(network.log_probs(lm.unpack(around))).sum(axis=1), 1, atol=1e-4)
     monkeypatch.setattr(lm, "MAX_KNOWN", 40)
     known = lm.KnownSurroundings(network)
     got = np.concatenate([known.look_up(around[i:i + 25], target[i:i + 25]) for i in range(0, 500, 25)])
@@ -64,7 +70,7 @@ def test_training_prefers_what_it_has_seen(spark):
 
 def test_gradient_step_lowers_the_loss():
     r = np.random.default_rng(0)
-    around, target = r.integers(0, SIZE, (4000, 4)), r.integers(0, 3, 4000)
+    around, target = r.integers(0, SIZE, (4000, 4)), r.choice([ord(c) for c in "e7Q"], 4000)
     network = lm.WindowNetwork()
     loss = lambda: -network.log_probs(around)[np.arange(4000), target].mean()
     before = loss()
@@ -72,5 +78,36 @@ def test_gradient_step_lowers_the_loss():
     assert loss() < before - 0.5
 
 
+def test_texts_that_differ_within_a_class_of_bytes_score_apart(spark):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(
+        ["in 1999 NASA, né á é ñ. " * 40] * 6 + ["in 1998 it was. " * 30] * 6)], "doc_id long, text string")
+    network = lm.fit(docs, rounds=3)
+    for a, b in (("in 1999", "in 4726"), ("NASA", "QXZV"), ("né", "nü"), ("á é ñ", "ж б ч")):
+        assert brute_score(network, a) > brute_score(network, b) + 0.5
+
+
+def test_gradients_match_differences():
+    """The class and the byte part of the loss, against finite differences."""
+    r = np.random.default_rng(4)
+    around, target = r.integers(0, SIZE, (50, 4)), r.integers(0, 256, 50)
+    network = lm.WindowNetwork(seed=1)
+    loss = lambda n: -n.log_probs(around)[np.arange(50), target].astype(float).mean()
+    start = network.vector()
+    network.train(around, target, np.ones(50), seed=1)  # Adam's first step moves each weight against its slope
+    moved = network.vector() - start
+    used = np.flatnonzero(np.abs(moved) > 1e-3)
+    for k in r.choice(used, 40, replace=False):
+        up, down = start.copy(), start.copy()
+        up[k] += 0.02
+        down[k] -= 0.02
+        slope = loss(lm.WindowNetwork.from_vector(up)) - loss(lm.WindowNetwork.from_vector(down))
+        assert abs(slope) < 2e-4 or (slope > 0) == (moved[k] < 0)
+
+
+def test_replicas_follow_the_text(spark):
+    assert lm.replicas_for(0) == lm.replicas_for(10**8) == lm.LEAST_REPLICAS
+    assert lm.replicas_for(10**12) == 15_625
+
+
 def test_empty_table(spark):
     assert lm.pseudo_likelihood(awkward_docs(spark, [])).count() == 0

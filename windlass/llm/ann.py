@@ -41,6 +41,7 @@ RECALL = 0.95
 MAX_CENTROIDS = 256  # per half
 BLOCK = 20_000
 CHUNK = 20_000
+VISITS = 2_000  # (query, first centroid, block) rows that a task holds before it sends them on
 
 
 def valid_vectors(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -190,7 +191,10 @@ def search(vectors: DataFrame, every: int = 100, top: int = 10, id_col: str = "v
         return spark.createDataFrame([], schema)
 
     k = min(MAX_CENTROIDS, max(4, 2 ** round(math.log2(math.sqrt(n / 16)))))
-    sample = entries.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").toArrow()
+    # about twice as many by a bound on the hash, before the smallest hashes meet in one task
+    place = F.pmod(F.xxhash64("vec_id"), F.lit(1 << 40))
+    drawn = entries.filter(place < F.lit(min(1 << 40, (2 * SAMPLE << 40) // n)))
+    sample = drawn.orderBy(place, "vec_id").limit(SAMPLE).select("v").toArrow()
     books = Codebooks(matrix(sample["v"].combine_chunks()), k)
     shape = len(books.books[0]), len(books.books[1])
 
@@ -209,6 +213,10 @@ def search(vectors: DataFrame, every: int = 100, top: int = 10, id_col: str = "v
     blocks = np.maximum(1, -(-counts.sum(1) // BLOCK))
     chunks = max(1, -(-n_queries // CHUNK))
 
+    def probes_batch(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pandas(pd.DataFrame(rows, columns=["c1", "blk", "chunk", "qrep", "v", "seconds"]),
+                                          preserve_index=False)
+
     def visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
@@ -220,12 +228,14 @@ def search(vectors: DataFrame, every: int = 100, top: int = 10, id_col: str = "v
                 seconds: dict[int, list[int]] = {}
                 for c1, c2 in walk(da[i], db[i], counts, enough):
                     seconds.setdefault(c1, []).append(c2)
-                out.extend((c1, blk, qrep % chunks, qrep, v[i].tolist(), c2s)
-                           for c1, c2s in seconds.items() for blk in range(blocks[c1]))
-            for lo in range(0, len(out), 5000):
-                yield pa.RecordBatch.from_pandas(
-                    pd.DataFrame(out[lo:lo + 5000], columns=["c1", "blk", "chunk", "qrep", "v", "seconds"]),
-                    preserve_index=False)
+                for c1, c2s in seconds.items():
+                    for blk in range(blocks[c1]):
+                        out.append((c1, blk, qrep % chunks, qrep, v[i], c2s))
+                        if len(out) == VISITS:  # no more than these are held at once
+                            yield probes_batch(out)
+                            out = []
+            if out:
+                yield probes_batch(out)
 
     def meet(key, own: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
         found = []

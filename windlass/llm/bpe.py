@@ -32,7 +32,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windlass.llm.common import whole_text
+from windlass.llm.common import KnownValues, whole_text
 
 MAX_KNOWN = 600_000  # entries of each of a worker's shortcut tables
 NEVER = 1 << 40  # above every rank
@@ -247,19 +247,11 @@ class TextEncoder:
         self.split = regex.compile(pattern).findall
         # white space next to a space: then cutting at that space might cut a piece
         self.crowded = regex.compile(r"\s | \s|^\s|\s$").search
-        self._piece: dict[str, bytes] = {}
-        self._spaced: dict[str, bytes] = {}
+        self._piece = KnownValues(lambda piece: array("I", self.encoder.encode_piece(piece.encode())).tobytes(), MAX_KNOWN)
+        self._spaced = KnownValues(lambda word: self._pieces(" " + word), MAX_KNOWN)
 
     def _pieces(self, text: str) -> bytes:
-        known, out = self._piece, []
-        for piece in self.split(text):
-            ids = known.get(piece)
-            if ids is None:
-                if len(known) >= MAX_KNOWN:
-                    known.clear()
-                ids = known[piece] = array("I", self.encoder.encode_piece(piece.encode())).tobytes()
-            out.append(ids)
-        return b"".join(out)
+        return b"".join(map(self._piece.__getitem__, self.split(text)))
 
     def encode(self, text: str) -> bytes:
         """A single space between other characters always starts a piece, so
@@ -267,16 +259,7 @@ class TextEncoder:
         if self.crowded(text):
             return self._pieces(text)
         first, *words = text.split(" ")
-        known = self._spaced
-        out = [self._pieces(first)]
-        for w in words:
-            ids = known.get(w)
-            if ids is None:
-                if len(known) >= MAX_KNOWN:
-                    known.clear()
-                ids = known[w] = self._pieces(" " + w)
-            out.append(ids)
-        return b"".join(out)
+        return self._pieces(first) + b"".join(map(self._spaced.__getitem__, words))
 
 
 @functools.lru_cache(maxsize=2)

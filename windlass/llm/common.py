@@ -85,3 +85,25 @@ def one_row_each(rows: DataFrame, kept: DataFrame, on: list[str]) -> DataFrame:
     found = rows.join(kept, on, "left_semi")
     first = F.row_number().over(Window.partitionBy(*on).orderBy(F.lit(0)))
     return unwrapped(found.withColumn("nth", first).filter("nth = 1"))
+
+
+class KnownValues(dict):
+    """A worker's table of computed values, bounded in entries and in the length of its keys:
+    long keys are computed each time and never held. When it is half full it becomes the
+    old generation and a new one begins, so what is used often stays."""
+
+    def __init__(self, compute, entries: int, longest: int = 64) -> None:
+        super().__init__()
+        self.compute, self.entries, self.longest = compute, entries, longest
+        self.old: dict = {}
+
+    def __missing__(self, key):
+        found = self.old.get(key)
+        if found is None:
+            found = self.compute(key)
+        if len(key) <= self.longest:
+            if len(self) >= self.entries // 2:
+                self.old = dict(self)
+                self.clear()
+            self[key] = found
+        return found

@@ -1,7 +1,7 @@
 """Packing of tokenised documents into fixed-length training sequences.
 
-Documents are dealt at random to groups of about ``GROUP_DOCS``; each group is
-packed by itself in one task:
+Documents are dealt at random to groups of about ``GROUP_DOCS``, or fewer where they
+are long (``GROUP_BYTES``); each group is packed by itself in one task:
 
 1. A document longer than a sequence gives full sequences and one rest.
 2. Rests and short documents are placed first-fit decreasing: longest first,
@@ -39,7 +39,9 @@ from windlass.llm.common import whole_text, width
 SEQUENCE = 2048
 END_ID = 1
 GROUP_DOCS = 1000
-MAX_KNOWN = 1_000_000  # entries of a worker's table of words; emptied when full
+GROUP_BYTES = 32_000_000  # of text in a group, about; long documents make more groups
+MAX_KNOWN = 1_000_000  # words a worker keeps, in two generations of half as many
+LONG_WORD = 64  # characters; longer words are encoded each time and never kept
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "padded_length long")
@@ -71,6 +73,7 @@ class WordTokenizer:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.dtype = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         with open(path, encoding="utf-8") as f:
             model = json.load(f)["model"]
         suffix = model["end_of_word_suffix"]
@@ -109,14 +112,21 @@ class WordTokenizer:
             known[w] = np.array(e.ids, dtype=self.dtype).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) >= MAX_KNOWN:
-            self.known.clear()
+        if len(self.known) >= MAX_KNOWN // 2:  # what is used goes on into the new generation
+            self.old, self.known = self.known, {}
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        missing = list(set().union(*split).difference(self.known)) if split else []
+        missing = set().union(*split).difference(self.known) if split else set()
+        again = missing.intersection(self.old)
+        self.known.update((w, self.old[w]) for w in again)
+        missing = list(missing - again)
         for lo in range(0, len(missing), 10_000):
             self._words(missing[lo:lo + 10_000])
         ids = self.known.__getitem__
-        return [b"".join(map(ids, words)) for words in split]
+        out = [b"".join(map(ids, words)) for words in split]
+        for w in missing:
+            if len(w) > LONG_WORD:
+                del self.known[w]
+        return out
 
 
 def _byte_alphabet() -> dict[int, str]:
@@ -244,8 +254,8 @@ def pack_documents(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id",
     sequence run without gaps from 0.
     """
     spark = docs.sparkSession
-    rows = docs.count()
-    groups = max(1, round(rows / group_docs))
+    rows, size = docs.agg(F.count(F.lit(1)), F.sum(F.octet_length(whole_text(text_col)).cast("long"))).first()
+    groups = max(1, round(rows / group_docs), -(-(size or 0) // GROUP_BYTES))
 
     def tokenised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok, place = word_tokenizer(tokenizer_file), 0
