@@ -15,7 +15,7 @@ NAMES = sorted(oracle_sql())
 # the snapshot queries write files; run them once with the default span
 SNAPSHOT = {"snapshot_state", "latest_snapshot", "read_snapshot", "snapshot_manifest", "restore_with_tail",
             "bootstrap_stream", "snapshot_aggregates", "tumbling_stream", "for_each_update", "read_operator_state",
-            "query_events"}
+            "query_events", "expiring_stream", "window_rows_stream", "session_stream", "enrich_orders", "live_stream"}
 
 
 def _norm(v):
@@ -34,7 +34,7 @@ def _rows(cols, rows):
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for t in ("events", "orders", "customer"):
+    for t in ("events", "orders", "customer", "nation"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(SF001, t)}.parquet')")
     return con
 
