@@ -28,8 +28,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,8 +45,9 @@ PASSES = 2  # over a replica's counts, per round
 BATCH = 2048
 RATE = 0.01
 BITS = 6  # per class in a window code
-MAX_HELD = 6_000_000  # different windows that a counting task holds before it emits them
-MAX_KNOWN = 250_000  # surroundings a worker keeps; emptied when full
+MAX_HELD = 3_000_000  # counted windows that a counting task holds
+CHUNK_BYTES = 2_000_000  # of text that a task works on at once
+MAX_KNOWN = 200_000  # surroundings a worker keeps; emptied when full
 
 CLASS = np.frombuffer(TABLE, dtype=np.uint8).astype(np.int64)  # of each byte
 MEMBERS = [np.flatnonzero(CLASS == c) for c in range(SIZE)]  # bytes of each class
@@ -169,10 +170,25 @@ def unpack(codes: np.ndarray) -> np.ndarray:
     return np.stack([(codes >> (BITS * k)) & ((1 << BITS) - 1) for k in range(2 * SIDE)], axis=1)
 
 
-def _chunks(b: pa.RecordBatch, column: int, rows: int = 500):
-    for lo in range(0, b.num_rows, rows):
-        part = b.slice(lo, rows)
+def _chunks(b: pa.RecordBatch, column: int, size: int = CHUNK_BYTES):
+    """Slices of a batch of about ``size`` bytes of text, with their texts as bytes."""
+    ends = np.cumsum(pc.binary_length(b.column(column).cast(pa.large_binary())).to_numpy(zero_copy_only=False))
+    lo = 0
+    while lo < b.num_rows:
+        done = int(ends[lo - 1]) if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(ends, done + size, "right")))
+        part = b.slice(lo, hi - lo)
         yield part, part.column(column).cast(pa.binary()).to_pylist()
+        lo = hi
+
+
+def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Counts by key of several (keys, counts), sorted by key."""
+    keys, n = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    return keys[first], np.add.reduceat(n, first)
 
 
 def replicas_for(size: int) -> int:
@@ -183,36 +199,35 @@ def window_counts(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id
     """(replica, code, n) over all documents; code holds the surroundings and, above them, the byte itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by: dict[int, list[pd.Series]] = {}
-
-        def merged(rows):
-            return pd.concat(rows).groupby(level=0).sum()
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        waiting = 0  # rows in held
 
         def out():
-            for replica, rows in by.items():
-                total = merged(rows)
-                keys, n = total.index.to_numpy(dtype=np.int64), total.to_numpy(dtype=np.int64)
-                for lo in range(0, len(keys), 50_000):
-                    k = keys[lo:lo + 50_000]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(k), replica)), pa.array(k), pa.array(n[lo:lo + 50_000])],
-                        names=["replica", "code", "n"])
-            by.clear()
+            keys, n = _added(held)
+            for lo in range(0, len(keys), 50_000):
+                k = keys[lo:lo + 50_000]
+                yield pa.RecordBatch.from_arrays([pa.array(k >> 32), pa.array(k & 0xFFFFFFFF), pa.array(n[lo:lo + 50_000])],
+                                                 names=["replica", "code", "n"])
+            held.clear()
 
         for b in batches:
             for part, texts in _chunks(b, 1):
                 data, row, at, lengths = places(texts)
                 code = surroundings(row, at) | (data[at].astype(np.int64) << (BITS * 2 * SIDE))
-                owner = np.repeat(part.column(0).to_numpy(), lengths)
-                for replica in np.unique(owner).tolist():
-                    keys, n = np.unique(code[owner == replica], return_counts=True)
-                    held = by.setdefault(replica, [])
-                    held.append(pd.Series(n, index=keys))
-                    if len(held) >= 16:
-                        held[:] = [merged(held)]
-                if sum(len(x) for rows in by.values() for x in rows) > MAX_HELD:
-                    yield from out()
-        yield from out()
+                code |= np.repeat(part.column(0).to_numpy(), lengths) << 32
+                code.sort()
+                first = np.flatnonzero(np.r_[True, code[1:] != code[:-1]]) if len(code) else code
+                if len(first):
+                    held.append((code[first], np.diff(np.r_[first, len(code)])))
+                    waiting += len(first)
+                if waiting > MAX_HELD:
+                    held[:] = [_added(held)]
+                    waiting = len(held[0][0])
+                    if waiting > MAX_HELD // 2:
+                        yield from out()
+                        waiting = 0
+        if held:
+            yield from out()
 
     replica = F.pmod(F.xxhash64(F.col(id_col).cast("long"), whole_text(text_col)), F.lit(replicas))
     rows = docs.select(replica.alias("replica"), whole_text(text_col).alias("text"))
