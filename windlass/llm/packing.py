@@ -116,9 +116,9 @@ class WordTokenizer:
             self.old, self.known = self.known, {}
         split = [t.replace("\n", " ").split(" ") for t in texts]
         missing = set().union(*split).difference(self.known) if split else set()
-        again = missing.intersection(self.old)
-        self.known.update((w, self.old[w]) for w in again)
-        missing = list(missing - again)
+        old = self.old
+        self.known.update([(w, old[w]) for w in missing if w in old])
+        missing = [w for w in missing if w not in old]
         for lo in range(0, len(missing), 10_000):
             self._words(missing[lo:lo + 10_000])
         ids = self.known.__getitem__
