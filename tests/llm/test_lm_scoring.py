@@ -49,6 +49,7 @@ def test_full_cache_changes_nothing(monkeypatch):
     known = lm.KnownSurroundings(network)
     got = np.concatenate([known.look_up(around[i:i + 25], target[i:i + 25]) for i in range(0, 500, 25)])
     assert np.allclose(got, want, atol=1e-5)
+    assert np.allclose(lm.KnownSurroundings(network).look_up(around, target), want, atol=1e-5)  # more places than it holds
 
 
 def test_counts_cover_every_place_of_every_document(spark):

@@ -45,8 +45,8 @@ PASSES = 2  # over a replica's counts, per round
 BATCH = 2048
 RATE = 0.01
 BITS = 6  # per class in a window code
-MAX_HELD = 3_000_000  # counted windows that a counting task holds
-CHUNK_BYTES = 2_000_000  # of text that a task works on at once
+MAX_HELD = 2_000_000  # counted windows that a counting task holds
+CHUNK_BYTES = 500_000  # of text that a task works on at once
 MAX_KNOWN = 200_000  # surroundings a worker keeps; emptied when full
 
 CLASS = np.frombuffer(TABLE, dtype=np.uint8).astype(np.int64)  # of each byte
@@ -268,24 +268,18 @@ class KnownSurroundings:
 
     def __init__(self, network: WindowNetwork):
         self.network = network
-        self._empty()
-
-    def _empty(self) -> None:
         self.slot = np.full(1 << (BITS * 2 * SIDE), -1, dtype=np.int32)
-        self.logs = np.zeros((1024, SIZE), dtype=np.float32)
-        self.hidden = np.zeros((1024, HIDDEN), dtype=np.float32)
+        self.logs = np.empty((MAX_KNOWN, SIZE), dtype=np.float32)
+        self.hidden = np.empty((MAX_KNOWN, HIDDEN), dtype=np.float32)
         self.used = 0
 
     def _slots(self, around: np.ndarray) -> np.ndarray:
         slots = self.slot[around]
         if (slots < 0).any():
             new = np.unique(around[slots < 0])
-            if self.used + len(new) > MAX_KNOWN:
-                self._empty()
+            if self.used + len(new) > len(self.logs):
+                self.slot[:], self.used = -1, 0
                 new = np.unique(around)
-            while self.used + len(new) > len(self.logs):
-                self.logs = np.concatenate([self.logs, np.zeros_like(self.logs)])
-                self.hidden = np.concatenate([self.hidden, np.zeros_like(self.hidden)])
             for lo in range(0, len(new), 20_000):
                 part = new[lo:lo + 20_000]
                 to = slice(self.used, self.used + len(part))
@@ -297,7 +291,13 @@ class KnownSurroundings:
         return slots
 
     def look_up(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """Log-probabilities of the bytes ``target`` in the surroundings ``around``."""
+        """Log-probabilities of the bytes ``target`` in the surroundings ``around``; no more
+        places at a time than the table holds surroundings."""
+        step = len(self.logs)
+        parts = [self._some(around[lo:lo + step], target[lo:lo + step]) for lo in range(0, len(around), step)]
+        return np.concatenate(parts) if parts else np.zeros(0)
+
+    def _some(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
         slots, kind = self._slots(around), CLASS[target]
         out = self.logs[slots, kind].astype(np.float64)
         for c in SHARED:

@@ -40,7 +40,7 @@ SEQUENCE = 2048
 END_ID = 1
 GROUP_DOCS = 1000
 GROUP_BYTES = 32_000_000  # of text in a group, about; long documents make more groups
-MAX_KNOWN = 1_000_000  # words a worker keeps, in two generations of half as many
+MAX_KNOWN = 1_400_000  # words a worker keeps, in two generations of half as many
 LONG_WORD = 64  # characters; longer words are encoded each time and never kept
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
