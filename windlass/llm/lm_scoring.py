@@ -45,7 +45,7 @@ PASSES = 2  # over a replica's counts, per round
 BATCH = 2048
 RATE = 0.01
 BITS = 6  # per class in a window code
-MAX_HELD = 2_000_000  # counted windows that a counting task holds
+MAX_HELD = 4_000_000  # counted windows that a counting task holds
 CHUNK_BYTES = 500_000  # of text that a task works on at once
 MAX_KNOWN = 200_000  # surroundings a worker keeps; emptied when full
 
@@ -223,7 +223,7 @@ def window_counts(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id
                 if waiting > MAX_HELD:
                     held[:] = [_added(held)]
                     waiting = len(held[0][0])
-                    if waiting > MAX_HELD // 2:
+                    if waiting > 3 * MAX_HELD // 4:  # hardly a window repeats: no use in holding them
                         yield from out()
                         waiting = 0
         if held:
