@@ -45,7 +45,7 @@ PASSES = 2  # over a replica's counts, per round
 BATCH = 2048
 RATE = 0.01
 BITS = 6  # per class in a window code
-MAX_HELD = 4_000_000  # counted windows that a counting task holds
+MAX_HELD = 2_600_000  # counted windows that a counting task holds
 CHUNK_BYTES = 500_000  # of text that a task works on at once
 MAX_KNOWN = 200_000  # surroundings a worker keeps; emptied when full
 
