@@ -174,6 +174,25 @@ def test_state_from_a_snapshot_expires_too(spark, tmp_root):
     assert rows(read_state_variable(spark, f"{tmp_root}/ckpt", "agg"), "key", "agg") == [("c", 3), ("c", 4), ("c", 7)]
 
 
+def entries(spark, root, name):
+    """Entries of the state store that hold a variable."""
+    return spark.read.format("statestore").option("stateVarName", name).load(f"{root}/ckpt").count()
+
+
+@pytest.mark.parametrize("build", [
+    lambda s, slots: bootstrap_stream(s, size_seconds=3_600, retention_seconds=DAY, slots=slots),
+    lambda s, slots: fold_stream(s, 0, lambda agg, v: agg + v, 3_600, retention_seconds=DAY, slots=slots)])
+def test_keys_of_a_window_share_entries_of_the_store(spark, tmp_root, build):
+    parts = [[("t", 0, 40 * b + i, 7_200 * b + i % 2 * 3_600, f"k{i}", i + b) for i in range(40)] for b in range(2)]
+    parts[1] += [("t", 0, 100 + i, 5, f"k{i}", 1_000) for i in range(0, 40, 4)]
+    out = run_batches(spark, lambda s: build(s, 3), parts, tmp_root)
+    again = {f"k{i}" for i in range(0, 40, 4)}
+    want = [(f"k{i}", i + 1_000 * (f"k{i}" in again)) for i in range(40)] + [(f"k{i}", i + 1) for i in range(40)]
+    assert rows(read_state_variable(spark, f"{tmp_root}/ckpt", "agg"), "key", "agg") == sorted(want, key=repr)
+    assert out.where("batch_id = 1").count() == 50
+    assert 4 <= entries(spark, tmp_root, "agg") <= 4 * 3
+
+
 def test_custom_state_is_published_and_started_from(spark, batches, tmp_root):
     """The value state of one query, read offline, is the snapshot another one goes on from."""
     path, recs, files = batches

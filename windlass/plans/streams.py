@@ -8,6 +8,8 @@ query produced, read back as a batch DataFrame.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +39,19 @@ def _parallelism(spark: SparkSession) -> int:
     return max(1, spark.sparkContext.defaultParallelism)
 
 
+ROWS_PER_SLOT = 250_000
+
+
+def _slots(spark: SparkSession, sf: str, windows: bool = False) -> int:
+    """Slots for the keys of a registered stream: some for each state partition, so that they
+    spread evenly, and one per ``ROWS_PER_SLOT`` records; fewer if many short ``windows``
+    divide the records already."""
+    rows = spark.read.parquet(table_path(sf, "events")).count()
+    if windows:
+        return max(8, math.ceil(rows / (4 * ROWS_PER_SLOT)))
+    return max(16 * _parallelism(spark), math.ceil(rows / ROWS_PER_SLOT))
+
+
 def _input(spark: SparkSession, sf: str, tag: str, **source) -> tuple[str, DataFrame, DataFrame]:
     """(folder, RECORD, the stream over its micro-batches)."""
     root = scratch_dir(spark, "streams", tag)
@@ -140,7 +155,7 @@ def bootstrap(spark: SparkSession, sf: str) -> DataFrame:
     store = SnapshotStore(spark, f"{root}/snap", APP, store="sum-store")
     store.publish(upto, pos, pos.withColumnRenamed("version", "position"))
     snapshot, out = store.read(), f"{root}/updates"
-    for_each_update(bootstrap_stream(src, snapshot, store.sources()), _deliver_to(out), f"{root}/ckpt",
+    for_each_update(bootstrap_stream(src, snapshot, store.sources(), slots=_slots(spark, sf)), _deliver_to(out), f"{root}/ckpt",
                     available_now=True, state_partitions=_parallelism(spark), rocksdb=True).awaitTermination()
     emitted = _delivered(spark, out).select("key", instant_to_ntz("window_start").alias("window_start"), "agg", "batch_id")
     first = snapshot.groupBy("key", "window_start").agg(F.sum("agg").cast("bigint").alias("agg")).withColumn(
@@ -156,7 +171,8 @@ def expiring_stream(spark: SparkSession, sf: str) -> DataFrame:
     what the state store holds after the last batch, read variable by variable."""
     root, _, src = _input(spark, sf, "expiring")
     out = f"{root}/updates"
-    sums = bootstrap_stream(src, size_seconds=C.STORE_WINDOW_SECONDS, retention_seconds=C.STORE_RETENTION_SECONDS)
+    sums = bootstrap_stream(src, size_seconds=C.STORE_WINDOW_SECONDS, retention_seconds=C.STORE_RETENTION_SECONDS,
+                            slots=_slots(spark, sf, windows=True))
     for_each_update(sums, _deliver_to(out), f"{root}/ckpt", available_now=True, state_partitions=_parallelism(spark),
                     rocksdb=True).awaitTermination()
     held = read_state_variable(spark, f"{root}/ckpt", "agg")

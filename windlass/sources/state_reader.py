@@ -62,13 +62,21 @@ def read_state_variable(spark: SparkSession, checkpoint: str, name: str, *, batc
                         operator_id: int = 0) -> DataFrame:
     """Rows of one state variable of a ``transformWithState`` query: the grouping key's
     fields, then the variable's - a value state has one row per key, a list state one
-    per element, a map state one per entry."""
+    per element, a map state one per entry. State kept in slots (``streaming.bootstrap``),
+    whose entries hold columns as arrays, gives one row per packed row instead, without
+    the slot and a map's key."""
     r = spark.read.format("statestore").option("operatorId", operator_id).option("stateVarName", name)
     if batch_id is not None:
         r = r.option("batchId", batch_id)
     rows = r.load(checkpoint)
     parts = [c for c in ("key", "value", "list_element", "user_map_key", "user_map_value") if c in rows.columns]
-    return rows.select(*[F.col(f"{p}.{f.name}").alias(f.name) for p in parts for f in rows.schema[p].dataType.fields])
+    fields = {p: rows.schema[p].dataType.fields for p in parts}
+    if "slot" not in rows.schema["key"].dataType.names or not all(isinstance(f.dataType, T.ArrayType) for f in fields[parts[-1]]):
+        return rows.select(*[F.col(f"{p}.{f.name}").alias(f.name) for p in parts for f in fields[p]])
+    named = T.ArrayType(T.StructType([T.StructField(f.name, f.dataType.elementType) for f in fields[parts[-1]]]))
+    packed = F.arrays_zip(*[F.col(f"{parts[-1]}.{f.name}") for f in fields[parts[-1]]]).cast(named)
+    return rows.select(*[F.col(f"key.{f.name}") for f in fields["key"] if f.name != "slot"], F.explode(packed).alias("row")).select(
+        *[f.name for f in fields["key"] if f.name != "slot"], "row.*")
 
 
 def publish_state(rows: DataFrame, store, version: int, partitions: int = 4, sources: DataFrame | None = None) -> DataFrame:

@@ -1,15 +1,21 @@
 """Start a new streaming query from a snapshot instead of empty state.
 
 The snapshot becomes the initial state of a ``transformWithStateInPandas``
-processor keyed by (key, window_start); input records at or below the
-snapshot's source position are cut *per source partition* before the
-processor, because input replay is not idempotent: a record folded into the
-snapshot must not be folded again.
+processor; input records at or below the snapshot's source position are cut
+*per source partition* before the processor, because input replay is not
+idempotent: a record folded into the snapshot must not be folded again.
+
+State is kept in slots: keys are dealt to ``slots`` by hash, and a window's keys of
+one slot are one entry of the store (their columns as arrays), read, written and
+expired at once. A call of the processor, a look-up and a timer then serve many keys;
+one per key and window costs milliseconds each. A batch rewrites the entries it
+touches, so there should be enough slots that one holds some 100,000 rows at most.
+``read_state_variable`` gives the rows one by one.
 
 :func:`bootstrap_stream` continues a sum: records are summed per window within
 each Arrow batch before they are shuffled, so a hot key costs a few rows per
-task. :func:`fold_stream` continues any user fold in offset order; one window's
-records of a batch then meet in one task, as an arbitrary fold needs them.
+task. :func:`fold_stream` continues any user fold in offset order; the
+records that a batch has for one window and slot then meet in one task.
 Start the queries with ``for_each_update(..., rocksdb=True)``.
 """
 
@@ -17,6 +23,7 @@ from __future__ import annotations
 
 import sys as _sys
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import pandas as pd
 from pyspark import cloudpickle as _cloudpickle
@@ -33,15 +40,34 @@ _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
 
 OUTPUT_SCHEMA = "key string, window_start timestamp, agg long, last_offset long"
 
+SLOTS = 64
+
+
+def in_slots(rows: DataFrame, slots: int) -> DataFrame:
+    """Rows with the slot of their key."""
+    return rows.withColumn("slot", F.pmod(F.xxhash64("key"), F.lit(slots)).cast("int"))
+
+
+def unpacked(held) -> list[tuple]:
+    """The rows of an entry that keeps its columns as arrays; none if there is no entry."""
+    return [] if held is None else list(zip(*held))  # noqa: B905
+
+
+def packed(rows) -> tuple:
+    """The entry of some rows."""
+    return tuple(map(list, zip(*rows)))  # noqa: B905
+
 
 def _sum_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         if len(pdf):
-            yield pdf.groupby(["key", "window_start", "expires"], as_index=False).agg(value=("value", "sum"), offset=("offset", "max"))
+            sums = pdf.groupby(["key", "window_start", "slot", "expires"], as_index=False).agg(value=("value", "sum"), offset=("offset", "max"))
+            yield sums[["key", "window_start", "offset", "value", "expires", "slot"]]
 
 
 class RunningSum(StatefulProcessor):
-    """agg = v + agg per (key, window), starting from the initial state.
+    """agg = v + agg per (key, window), starting from the initial state; the processor's
+    groups are (window, slot).
 
     With ``expire`` a window leaves the state by an event-time timer once the watermark
     reaches its ``expires`` (ms), and records that come for it later are skipped, as a
@@ -53,33 +79,46 @@ class RunningSum(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.agg = handle.getValueState("agg", "agg long")
+        self.agg = handle.getValueState("agg", "key array<string>, agg array<long>")
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        self.agg.update((int(initialState["agg"].sum()),))
+        held = dict(unpacked(self.agg.get()))  # a large group comes in several frames
+        for k, v in zip(initialState["key"].tolist(), initialState["agg"].tolist()):  # noqa: B905
+            held[k] = held.get(k, 0) + v
+        self.agg.update(packed(held.items()))
         if self.expire:
             self.handle.registerTimer(int(initialState["expires"].iloc[0]))
 
     def open_rows(self, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         """The rows of a window that is not past its retention; its timer is set."""
+        known = False
         for pdf in rows:
-            if self.expire:
+            if self.expire and not known:
                 expires = int(pdf["expires"].iloc[0])
                 if expires <= timerValues.getCurrentWatermarkInMs():
                     return
                 self.handle.registerTimer(expires)
+                known = True
             yield pdf
 
+    def folded(self, agg: dict, rows: Iterator[pd.DataFrame]) -> dict:
+        """``agg`` (key -> value) with the rows folded in; last offset by key."""
+        last: dict = {}
+        for pdf in rows:
+            for k, v, o in zip(*[pdf[c].tolist() for c in ("key", "value", "offset")]):  # noqa: B905
+                agg[k] = agg.get(k, 0) + v
+                last[k] = max(last.get(k, o), o)
+        return last
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        total = self.agg.get()[0] if self.agg.exists() else 0
-        last = None
-        for pdf in self.open_rows(rows, timerValues):
-            total += int(pdf["value"].sum())
-            m = int(pdf["offset"].max())
-            last = m if last is None else max(last, m)
-        if last is not None:
-            self.agg.update((total,))
-            yield pd.DataFrame({"key": [key[0]], "window_start": [key[1]], "agg": [total], "last_offset": [last]})
+        rows = self.open_rows(rows, timerValues)
+        first = next(rows, None)
+        if first is None:
+            return
+        agg = dict(unpacked(self.agg.get()))
+        last = self.folded(agg, chain([first], rows))
+        self.agg.update(packed(agg.items()))
+        yield pd.DataFrame({"key": list(last), "window_start": key[0], "agg": [agg[k] for k in last], "last_offset": list(last.values())})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.agg.clear()
@@ -96,17 +135,15 @@ class RunningFold(RunningSum):
         super().__init__(expire)
         self.start, self.step = start, step
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        held = list(self.open_rows(rows, timerValues))
-        if not held:
-            return
-        agg = self.agg.get()[0] if self.agg.exists() else self.start
-        pdf = pd.concat(held).sort_values("offset")
-        for v in pdf["value"].tolist():
-            agg = self.step(agg, v)
-        self.agg.update((int(agg),))
-        yield pd.DataFrame({"key": [key[0]], "window_start": [key[1]], "agg": [int(agg)],
-                            "last_offset": [int(pdf["offset"].iloc[-1])]})
+    def folded(self, agg: dict, rows: Iterator[pd.DataFrame]) -> dict:
+        pdf = pd.concat(list(rows)).sort_values("offset")
+        last: dict = {}
+        for k, v, o in zip(*[pdf[c].tolist() for c in ("key", "value", "offset")]):  # noqa: B905
+            agg[k] = self.step(agg.get(k, self.start), v)
+            last[k] = o
+        for k in last:
+            agg[k] = int(agg[k])
+        return last
 
 
 def _expires(window_start, retention_seconds: int | None):
@@ -124,29 +161,30 @@ def _past(records: DataFrame, positions: DataFrame | None) -> DataFrame:
 
 
 def _fresh(records: DataFrame, positions: DataFrame | None, size_seconds: int, retention_seconds: int | None,
-           delay_seconds: int) -> DataFrame:
-    """Records past their source partition's position, with their window."""
+           delay_seconds: int, slots: int) -> DataFrame:
+    """Records past their source partition's position, with their window and slot."""
     if retention_seconds is not None:
         records = records.withWatermark("ts", f"{delay_seconds} seconds")
-    return (_past(records, positions).withColumn("window_start", F.window("ts", f"{size_seconds} seconds").start)
-            .select("key", "window_start", "offset", "value", _expires(F.col("window_start"), retention_seconds)))
+    return in_slots(_past(records, positions).withColumn("window_start", F.window("ts", f"{size_seconds} seconds").start)
+                    .select("key", "window_start", "offset", "value", _expires(F.col("window_start"), retention_seconds)), slots)
 
 
-def _initial(snapshot: DataFrame, retention_seconds: int | None):
+def _initial(snapshot: DataFrame, retention_seconds: int | None, slots: int):
     start = ntz_to_instant("window_start")
-    return (snapshot.select("key", start.alias("window_start"), F.col("agg").cast("bigint").alias("agg"),
-                            _expires(start, retention_seconds)).groupBy("key", "window_start"))
+    return (in_slots(snapshot.select("key", start.alias("window_start"), F.coalesce(F.col("agg").cast("bigint"), F.lit(0)).alias("agg"),
+                                     _expires(start, retention_seconds)), slots).groupBy("window_start", "slot"))
 
 
-def _with_state(grouped, processor: RunningSum, snapshot: DataFrame | None, retention_seconds: int | None) -> DataFrame:
-    init = {} if snapshot is None else {"initialState": _initial(snapshot, retention_seconds)}
+def _with_state(rows: DataFrame, processor: RunningSum, snapshot: DataFrame | None, retention_seconds: int | None,
+                slots: int) -> DataFrame:
+    init = {} if snapshot is None else {"initialState": _initial(snapshot, retention_seconds, slots)}
     mode = "None" if retention_seconds is None else "EventTime"
-    return grouped.transformWithStateInPandas(processor, OUTPUT_SCHEMA, "Update", mode, **init)
+    return rows.groupBy("window_start", "slot").transformWithStateInPandas(processor, OUTPUT_SCHEMA, "Update", mode, **init)
 
 
 def bootstrap_stream(records: DataFrame, snapshot: DataFrame | None = None, positions: DataFrame | None = None,
                      size_seconds: int = C.SAMPLE_WINDOW_SECONDS, *, retention_seconds: int | None = None,
-                     delay_seconds: int = 0) -> DataFrame:
+                     delay_seconds: int = 0, slots: int = SLOTS) -> DataFrame:
     """Streaming DataFrame of per-window sums that continues from ``snapshot``
     (key, window_start, agg; several rows of a window add up), if one is given.
 
@@ -154,22 +192,22 @@ def bootstrap_stream(records: DataFrame, snapshot: DataFrame | None = None, posi
     partition, position): the source offset each partition's state includes, as
     ``SnapshotStore.sources`` returns it. With ``retention_seconds`` a window leaves
     the state once the watermark (newest time less ``delay_seconds``) reaches its
-    start plus that; records for it are then skipped.
+    start plus that; records for it are then skipped. ``slots`` must stay the same
+    for one checkpoint.
     """
-    fresh = _fresh(records, positions, size_seconds, retention_seconds, delay_seconds)
+    fresh = _fresh(records, positions, size_seconds, retention_seconds, delay_seconds, slots)
     summed = fresh.mapInPandas(_sum_batches, fresh.schema)
-    return _with_state(summed.groupBy("key", "window_start"), RunningSum(retention_seconds is not None), snapshot,
-                       retention_seconds)
+    return _with_state(summed, RunningSum(retention_seconds is not None), snapshot, retention_seconds, slots)
 
 
 def fold_stream(records: DataFrame, start: int, step: Callable[[int, int], int],
                 size_seconds: int = C.SAMPLE_WINDOW_SECONDS, *, snapshot: DataFrame | None = None,
-                positions: DataFrame | None = None, retention_seconds: int | None = None, delay_seconds: int = 0) -> DataFrame:
+                positions: DataFrame | None = None, retention_seconds: int | None = None, delay_seconds: int = 0,
+                slots: int = SLOTS) -> DataFrame:
     """Any fold ``step(agg, value)`` from ``start`` per key and window, in offset order,
-    optionally continued from a snapshot; retention as in :func:`bootstrap_stream`."""
-    fresh = _fresh(records, positions, size_seconds, retention_seconds, delay_seconds)
-    return _with_state(fresh.groupBy("key", "window_start"), RunningFold(start, step, retention_seconds is not None), snapshot,
-                       retention_seconds)
+    optionally continued from a snapshot; retention and slots as in :func:`bootstrap_stream`."""
+    fresh = _fresh(records, positions, size_seconds, retention_seconds, delay_seconds, slots)
+    return _with_state(fresh, RunningFold(start, step, retention_seconds is not None), snapshot, retention_seconds, slots)
 
 
 ROWS_SCHEMA = "key string, window_start timestamp, partition int, offset long, value long, seq long"
