@@ -255,6 +255,31 @@ def test_closed_sessions_leave_the_state(spark, tmp_root):
     assert rows(read_state_variable(spark, f"{tmp_root}/ckpt", "sessions"), "key") == [("c",)]
 
 
+def test_sessions_of_many_keys_share_entries(spark, tmp_root):
+    day = 86_400
+    parts = [[("t", 0, i, i // 30 * 3 * day, f"k{i % 30}", 1) for i in range(60)],
+             [("t", 0, 60 + i, 3 * day + 40, f"k{i}", 5) for i in range(30)],
+             [("t", 0, 100, 40, "k0", 7), ("t", 0, 101, day, "k1", 9)]]  # late ones: of an old session, and between two
+    out = run_batches(spark, lambda s: session_stream(s, 50, slots=3), parts, tmp_root)
+    want = [(f"k{i}", at(0), at(40 if i == 0 else 0), 2 if i == 0 else 1, 8 if i == 0 else 1) for i in range(30)]
+    want += [(f"k{i}", at(3 * day), at(3 * day + 40), 2, 6) for i in range(30)] + [("k1", at(day), at(day), 1, 9)]
+    shown = out.withColumn("window_start", instant_to_ntz("window_start")).withColumn("window_end", instant_to_ntz("window_end"))
+    assert sessions_of(shown) == sorted(want)
+    held = read_state_variable(spark, f"{tmp_root}/ckpt", "sessions")
+    assert rows(held, "key", "n", "agg") == sorted(((k, n, agg) for k, _, _, n, agg in want), key=repr)
+    assert entries(spark, tmp_root, "sessions") <= 3 * 3
+
+
+def test_closed_sessions_of_a_slot_leave_one_by_one(spark, tmp_root):
+    day = 86_400
+    parts = [[("t", 0, 0, 0, "a", 1), ("t", 0, 1, 300, "b", 2), ("t", 0, 2, day, "c", 4)], [("t", 0, 3, day + 1, "c", 8)],
+             [("t", 0, 4, 2 * day, "d", 1)], [("t", 0, 5, 2 * day + 1, "d", 1)]]
+    run_batches(spark, lambda s: session_stream(s, 50, grace_seconds=20, slots=1), parts, tmp_root)
+    held = lambda batch: rows(read_state_variable(spark, f"{tmp_root}/ckpt", "sessions", batch_id=batch), "key", "n", "agg")
+    assert held(0) == [("a", 1, 1), ("b", 1, 2), ("c", 1, 4)] and held(1) == [("c", 2, 12)]
+    assert held(None) == [("d", 2, 2)]
+
+
 def test_sessions_equal_batch_with_snapshots_and_a_new_query(spark, batches, tmp_root):
     path, recs, files = batches
     gap = 6 * 3_600

@@ -1,22 +1,24 @@
 """Session windows in a running query.
 
-A key's state is its sessions that can still change: a map from start to (end, n,
-agg). A batch's records are first made into sessions of their own within each Arrow
-batch, so a hot key costs a few rows per task; the key's task then merges them with
-the ones it holds. A late record may join two sessions into one: the ones that are
+The state is the sessions that can still change, in slots of keys (``bootstrap``): a
+map from the day of a session's end to that day's sessions, columns as arrays. A
+batch's records are first made into sessions of their own within each Arrow
+batch, so a hot key costs a few rows per task; the slot's task then merges them with
+the ones it holds that end no more than the gap before the batch's first. A late record may join two sessions into one: the ones that are
 replaced are retracted - emitted again with null values, which is a tombstone to the
 changelog - and the new one is emitted. So the result is a changelog by (key, start,
 end) that ``SnapshotSink`` folds into versions, and that a new query resumes from.
 
 With ``grace_seconds`` a session is closed, and leaves the state by an event-time
 timer, once the watermark reaches its end + gap + grace; records as late as that are
-skipped. Without it sessions stay open for ever, as in batch, and a key's task reads
-all its sessions in each batch that brings the key.
+skipped. Without it sessions stay open for ever, as in batch; a batch still reads only
+the days from its oldest record on, and writes those it changes.
 """
 
 from __future__ import annotations
 
 import sys as _sys
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.columns import MICROS, epoch_micros
-from .bootstrap import _past
+from .bootstrap import SLOTS, _past, in_slots, packed, unpacked
 
 _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
 
@@ -67,63 +69,110 @@ def _own_sessions(gap: int):
     return run
 
 
+SEGMENT = 86_400 * MICROS  # sessions are held by the day of their end
+
+
 class Sessions(StatefulProcessor):
+    """Its groups are the slots of the keys."""
+
     def __init__(self, gap: int, grace: int | None) -> None:
         self.gap, self.grace = gap, grace
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.sessions = handle.getMapState("sessions", "start long", "end long, n long, agg long")
+        self.sessions = handle.getMapState("sessions", "segment long", "key array<string>, start array<long>, end array<long>, "
+                                           "n array<long>, agg array<long>")
 
     def _closes(self, end: int) -> int:
         """The watermark (ms) at which a session that ends at ``end`` (micros) is closed."""
         return -(-(end + self.gap + self.grace) // 1000)
 
-    def _held(self) -> dict[int, tuple]:
-        return {k[0]: tuple(v) for k, v in self.sessions.iterator()} if self.sessions.exists() else {}
-
-    def _put(self, start: int, session: tuple) -> None:
-        self.sessions.updateValue((start,), session)
-        if self.grace is not None:
-            self.handle.registerTimer(self._closes(session[0]))
+    def _segments(self) -> list[int]:
+        return sorted(k[0] for k in self.sessions.keys()) if self.sessions.exists() else []
+
+    def _load(self, segment: int) -> dict[tuple, tuple]:
+        """(key, start) -> (end, n, agg)"""
+        return {r[:2]: r[2:] for r in unpacked(self.sessions.getValue((segment,)))}
+
+    def _store(self, segment: int, held: dict[tuple, tuple]) -> None:
+        if held:
+            self.sessions.updateValue((segment,), packed((*k, *v) for k, v in held.items()))
+        elif self.sessions.containsKey((segment,)):
+            self.sessions.removeKey((segment,))
+
+    def _close_later(self, ends: list[int]) -> None:
+        """A timer for the first of some sessions; when it comes, it sets the next one."""
+        if self.grace is not None and ends:
+            self.handle.registerTimer(self._closes(min(ends)))
+
+    def _merge(self, new: dict[str, list[tuple]]) -> Iterator[tuple]:
+        """Put new sessions to the held ones; (key, start, old, now) of each that was held and
+        is replaced (now None) or that is new or changed (old its former end, if it had one)."""
+        low = (min(s[0] for sessions in new.values() for s in sessions) - self.gap) // SEGMENT
+        segments = defaultdict(dict, {g: self._load(g) for g in self._segments() if g >= low})
+        before = defaultdict(dict)
+        for sessions in segments.values():
+            for (k, start), session in sessions.items():
+                if k in new:
+                    before[k][start] = session
+        touched, ends = set(), []
+        for k, sessions in new.items():
+            held = before[k]
+            after = merge_sessions([(s, *v) for s, v in held.items()] + sessions, self.gap)
+            for start, old in held.items():
+                if after.get(start) != old:
+                    del segments[old[0] // SEGMENT][k, start]
+                    touched.add(old[0] // SEGMENT)
+                    if start not in after or after[start][0] != old[0]:  # joined into another, or ends elsewhere now
+                        yield k, start, old[0], None
+            for start, session in after.items():
+                if held.get(start) != session:
+                    segments[session[0] // SEGMENT][k, start] = session
+                    touched.add(session[0] // SEGMENT)
+                    ends.append(session[0])
+                    yield k, start, session[0], session
+        for g in touched:
+            self._store(g, segments[g])
+        self._close_later(ends)
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        columns = [initialState[c].astype(int).tolist() for c in ("start", "end", "n", "agg")]
-        for start, session in merge_sessions(list(zip(*columns)), self.gap).items():
-            self._put(start, session)
+        new = defaultdict(list)  # a large slot comes in several frames
+        for k, *session in zip(*[initialState[c].tolist() for c in ("key", "start", "end", "n", "agg")]):  # noqa: B905
+            new[k].append(tuple(session))
+        for _ in self._merge(new):
+            pass
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        new, where = [], None
+        new, where = defaultdict(list), {}
         for pdf in rows:
-            columns = [pdf[c].astype(int).tolist() for c in ("start", "end", "n", "agg")]
-            new += zip(*columns)
-            top = pdf.loc[pdf["source_offset"].idxmax()]
-            if where is None or top["source_offset"] > where[2]:
-                where = (top["source_topic"], int(top["source_partition"]), int(top["source_offset"]))
+            for k, start, end, n, agg, *at in zip(*[pdf[c].tolist() for c in (  # noqa: B905
+                    "key", "start", "end", "n", "agg", "source_topic", "source_partition", "source_offset")]):
+                new[k].append((start, end, n, agg))
+                if k not in where or at[2] > where[k][2]:
+                    where[k] = at
         if self.grace is not None:
             mark = timerValues.getCurrentWatermarkInMs()
-            new = [s for s in new if self._closes(s[1]) > mark]
+            on_time = {k: [s for s in sessions if self._closes(s[1]) > mark] for k, sessions in new.items()}
+            new = {k: sessions for k, sessions in on_time.items() if sessions}
         if not new:
             return
-        held = self._held()
-        after = merge_sessions([(s, *v) for s, v in held.items()] + new, self.gap)
-        out = []
-        for start, old in held.items():
-            if start not in after or after[start][0] != old[0]:  # joined into another, or ends elsewhere now
-                out.append((key[0], start, old[0], None, None, None, None, None))
-            if start not in after:
-                self.sessions.removeKey((start,))
-        for start, session in after.items():
-            if held.get(start) != session:
-                self._put(start, session)
-                out.append((key[0], start, *session, *where))
-        frame = pd.DataFrame(out, columns=[c.split()[0] for c in _OUT.split(", ")])
-        yield frame.astype({c: "Int64" for c in ("n", "agg", "source_partition", "source_offset")})
+        out = [(k, start, end, None, None, None, None, None) if now is None else (k, start, end, *now[1:], *where[k])
+               for k, start, end, now in self._merge(new)]
+        if out:
+            columns = zip(*out)  # noqa: B905
+            yield pd.DataFrame({c.split()[0]: pd.array(v, "Int64") if c.split()[1] in ("long", "int") else list(v)
+                                for c, v in zip(_OUT.split(", "), columns)})  # noqa: B905
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        for start, session in self._held().items():
-            if self._closes(session[0]) <= expiredTimerInfo.getExpiryTimeInMs():
-                self.sessions.removeKey((start,))
+        mark = timerValues.getCurrentWatermarkInMs()
+        for g in self._segments():
+            held = self._load(g)
+            left = {k: s for k, s in held.items() if self._closes(s[0]) > mark}
+            if len(left) < len(held):
+                self._store(g, left)
+            if left:
+                self._close_later([s[0] for s in left.values()])
+                break  # later segments end later
         return iter([])
 
     def close(self) -> None:
@@ -131,7 +180,7 @@ class Sessions(StatefulProcessor):
 
 
 def session_stream(records: DataFrame, gap_seconds: int, *, grace_seconds: int | None = None,
-                   snapshot: DataFrame | None = None, positions: DataFrame | None = None) -> DataFrame:
+                   snapshot: DataFrame | None = None, positions: DataFrame | None = None, slots: int = SLOTS) -> DataFrame:
     """Changelog of session windows: (key, window_start, window_end, agg, n, source_topic,
     source_partition, source_offset), one row per session that a batch changed and one
     with null values per session that it replaced.
@@ -139,19 +188,19 @@ def session_stream(records: DataFrame, gap_seconds: int, *, grace_seconds: int |
     ``records``: streaming RECORD (ts as timestamp). Records no more than the gap apart
     share a session, whose end is its last record's time. ``snapshot`` (key,
     window_start, window_end, agg, n) and ``positions`` continue from a version of
-    another query.
+    another query. ``slots`` must stay the same for one checkpoint.
     """
     gap = gap_seconds * MICROS
     if grace_seconds is not None:
         records = records.withWatermark("ts", "0 seconds")
     rows = _past(records, positions).select("key", F.unix_micros("ts").alias("t"), "value", "topic", "partition", "offset")
-    parts = rows.mapInPandas(_own_sessions(gap), _PART)
+    parts = in_slots(rows.mapInPandas(_own_sessions(gap), _PART), slots)
     init = {}
     if snapshot is not None:
-        init["initialState"] = snapshot.select("key", epoch_micros("window_start").alias("start"),
-                                               epoch_micros("window_end").alias("end"), "n", "agg").groupBy("key")
+        held = snapshot.select("key", epoch_micros("window_start").alias("start"), epoch_micros("window_end").alias("end"), "n", "agg")
+        init["initialState"] = in_slots(held, slots).groupBy("slot")
     grace = None if grace_seconds is None else grace_seconds * MICROS
-    out = parts.groupBy("key").transformWithStateInPandas(Sessions(gap, grace), _OUT, "Update",
+    out = parts.groupBy("slot").transformWithStateInPandas(Sessions(gap, grace), _OUT, "Update",
                                                           "None" if grace is None else "EventTime", **init)
     return out.select("key", F.timestamp_micros("start").alias("window_start"), F.timestamp_micros("end").alias("window_end"),
                       "agg", "n", "source_topic", "source_partition", "source_offset")
