@@ -325,6 +325,15 @@ def test_kept_duplicates_equal_batch_across_a_restart(spark, batches, tmp_root):
     assert rows(emitted, *cols) == want and rows(held, *cols) == want
 
 
+def test_kept_duplicates_of_many_keys_share_entries(spark, tmp_root):
+    parts = [[("t", 0, 60 * b + i, i, f"k{i % 30}", i + b) for i in range(60)] for b in range(2)]
+    out = run_batches(spark, lambda s: rows_stream(s, 3_600, slots=3), parts, tmp_root, "append")
+    cols = ("key", "offset", "value", "seq")
+    want = sorted(((f"k{i % 30}", 60 * b + i, i + b, 2 * b + i // 30 + 1) for b in range(2) for i in range(60)), key=repr)
+    assert rows(out, *cols) == want and rows(read_state_variable(spark, f"{tmp_root}/ckpt", "rows"), *cols) == want
+    assert entries(spark, tmp_root, "n") <= 3 and entries(spark, tmp_root, "rows") <= 3 * 2
+
+
 # -- replicated tables --------------------------------------------------------------------------
 
 def test_enrichment_refreshes_by_batch_and_replays_what_it_saw(spark, tmp_root):

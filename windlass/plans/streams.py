@@ -182,8 +182,8 @@ def expiring_stream(spark: SparkSession, sf: str) -> DataFrame:
 def window_rows_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Duplicates retained in a stream: the list state of every window after the last batch."""
     root, _, src = _input(spark, sf, "rows")
-    for_each_update(rows_stream(src), _deliver_to(f"{root}/rows"), f"{root}/ckpt", output_mode="append", available_now=True,
-                    state_partitions=_parallelism(spark), rocksdb=True).awaitTermination()
+    for_each_update(rows_stream(src, slots=_slots(spark, sf)), _deliver_to(f"{root}/rows"), f"{root}/ckpt",
+                    output_mode="append", available_now=True, state_partitions=_parallelism(spark), rocksdb=True).awaitTermination()
     start = instant_to_ntz("window_start")
     return read_state_variable(spark, f"{root}/ckpt", "rows").select(
         "key", start.alias("window_start"), micros_to_ntz(epoch_micros(start) + F.lit(C.SAMPLE_WINDOW_SECONDS * MICROS)).alias("window_end"),
@@ -195,7 +195,7 @@ def session_changes(spark: SparkSession, sf: str, gap_seconds: int) -> DataFrame
     The final sessions."""
     root, _, src = _input(spark, sf, "sessions")
     sink = SnapshotSink(spark, f"{root}/sink", SnapshotStore(spark, f"{root}/snap", APP, store="sessions"), every_n=2)
-    for_each_update(session_stream(src, gap_seconds), sink, f"{root}/ckpt", available_now=True,
+    for_each_update(session_stream(src, gap_seconds, slots=_slots(spark, sf)), sink, f"{root}/ckpt", available_now=True,
                     state_partitions=_parallelism(spark), rocksdb=True).awaitTermination()
     return sink.state().select("key", F.col("window_start").alias("session_start"), F.col("window_end").alias("session_end"),
                                "n", "agg")

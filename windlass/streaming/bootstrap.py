@@ -210,38 +210,45 @@ def fold_stream(records: DataFrame, start: int, step: Callable[[int, int], int],
     return _with_state(fresh, RunningFold(start, step, retention_seconds is not None), snapshot, retention_seconds, slots)
 
 
+ROWS_PER_ELEMENT = 10_000
 ROWS_SCHEMA = "key string, window_start timestamp, partition int, offset long, value long, seq long"
 
 
 class WindowRows(StatefulProcessor):
     """Every record of a window with its sequence number, by offset: the store that keeps
-    duplicates. ``rows`` is the list, ``n`` how many it holds, so that a batch appends
-    without reading what is there."""
+    duplicates. Its groups are (window, slot). ``rows`` is a list of packed rows, ``n`` how
+    many each key has, so that a batch appends without reading what is there."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.rows = handle.getListState("rows", "seq long, partition int, offset long, value long")
-        self.n = handle.getValueState("n", "n long")
+        self.rows = handle.getListState(
+            "rows", "key array<string>, seq array<long>, partition array<int>, offset array<long>, value array<long>")
+        self.n = handle.getValueState("n", "key array<string>, n array<long>")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        new = pd.concat(list(rows)).sort_values("offset", kind="stable")  # one window's records of one batch
-        held = self.n.get()[0] if self.n.exists() else 0
-        new["seq"] = range(held + 1, held + len(new) + 1)
-        columns = [new[c].astype(int).tolist() for c in ("seq", "partition", "offset", "value")]
-        self.rows.appendList(list(zip(*columns)))
-        self.n.update((held + len(new),))
-        yield pd.DataFrame({"key": key[0], "window_start": key[1],
-                            **dict(zip(("seq", "partition", "offset", "value"), columns))})[
-            ["key", "window_start", "partition", "offset", "value", "seq"]]
+        new = pd.concat(list(rows)).sort_values("offset", kind="stable")  # one window's and slot's records of one batch
+        n = dict(unpacked(self.n.get()))
+        seq = []
+        for k in new["key"].tolist():
+            n[k] = n.get(k, 0) + 1
+            seq.append(n[k])
+        new["seq"] = seq
+        columns = ["key", "seq", "partition", "offset", "value"]
+        for lo in range(0, len(new), ROWS_PER_ELEMENT):
+            part = new.iloc[lo:lo + ROWS_PER_ELEMENT]
+            self.rows.appendValue((part["key"].tolist(), *[part[c].astype(int).tolist() for c in columns[1:]]))
+        self.n.update(packed(n.items()))
+        yield new.assign(window_start=key[0])[["key", "window_start", "partition", "offset", "value", "seq"]]
 
     def close(self) -> None:
         pass
 
 
-def rows_stream(records: DataFrame, size_seconds: int = C.SAMPLE_WINDOW_SECONDS) -> DataFrame:
+def rows_stream(records: DataFrame, size_seconds: int = C.SAMPLE_WINDOW_SECONDS, *, slots: int = SLOTS) -> DataFrame:
     """Duplicates retained, as a stream: each record once, with its sequence number (from 1,
     by offset) in its key's window. A key's records come from one topic partition, in offset
-    order from batch to batch. The records of a window that one batch brings meet in one
-    task; the source's rate limit bounds them."""
+    order from batch to batch. The records that one batch brings for a window and slot meet
+    in one task; the source's rate limit bounds them. ``slots`` must stay the same for one
+    checkpoint."""
     windowed = records.withColumn("window_start", F.window("ts", f"{size_seconds} seconds").start)
-    return (windowed.select("key", "window_start", "partition", "offset", "value").groupBy("key", "window_start")
+    return (in_slots(windowed.select("key", "window_start", "partition", "offset", "value"), slots).groupBy("window_start", "slot")
             .transformWithStateInPandas(WindowRows(), ROWS_SCHEMA, "Append", "None"))
